@@ -12,9 +12,10 @@ BOUNCE_TIMEOUT_MS = 10_000
 
 
 def unique_visits(pages: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
-    """The first entry page of each device and day.
+    """The first entry page of each device and day, from a batch table.
 
-    Spark cuts each task's rows to one per (device, day) before the shuffle, so a hot device is no hot group.
+    Spark cuts each task's rows to one per (device, day) before the shuffle, so a hot device is no hot group. The
+    streaming form is ``tidemart.streaming.unique_visits``.
     """
     first = Window.partitionBy("common.mid", "_day").orderBy("ts", *tie)
     return (
@@ -26,31 +27,44 @@ def unique_visits(pages: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def bounces(pages: DataFrame, timeout_ms: int = BOUNCE_TIMEOUT_MS, tie: tuple[str, ...] = ()) -> DataFrame:
-    """Entry pages not followed by another page of the device within the timeout.
+def bounces(
+    pages: DataFrame,
+    timeout_ms: int = BOUNCE_TIMEOUT_MS,
+    tie: tuple[str, ...] = (),
+    delay_ms: int = 0,
+) -> DataFrame:
+    """Entry pages not followed by another page of the device within the timeout; batch and streaming.
 
     Time is cut into slots as wide as the timeout. Two pages in one slot are always closer than the timeout, so
     only the last page of a slot can be a bounce, and only the first page of the next slot can prevent it. Both
     are plain maxima and minima: every page reports to its own slot, and its time to the slot before. One
     aggregate, combined before the shuffle, replaces an ordered window over all pages of a device.
+
+    A report about a slot is filed one slot later, where the next slot's reports are filed too. On a stream that is
+    the window in which the last of them can arrive; the watermark, ``delay_ms`` behind the pages, closes it.
     """
-    slot = F.col("ts") - F.pmod("ts", F.lit(timeout_ms))
-    report = F.explode(
-        F.array(
-            F.struct(slot.alias("slot"), F.lit(True).alias("own")),
-            F.struct((slot - timeout_ms).alias("slot"), F.lit(False).alias("own")),
-        )
+    order, page = F.struct("ts", *tie), F.struct(*pages.columns)
+    # only entry pages take their columns along; the other reports are times alone
+    own = F.struct(
+        (F.col("ts") + timeout_ms).alias("filed"),
+        order.alias("order"),
+        F.when(is_entry(), page).alias("page"),
+        F.lit(None).cast("bigint").alias("next_ts"),
+    )
+    before = F.struct(
+        F.col("ts").alias("filed"),
+        F.when(F.lit(False), order).alias("order"),
+        F.when(F.lit(False), page).alias("page"),
+        F.col("ts").alias("next_ts"),
+    )
+    reports = pages.select(F.col("common.mid").alias("_mid"), F.explode(F.array(own, before)).alias("_at")).select(
+        "_mid", "_at.*", F.timestamp_millis("_at.filed").alias("_filed")
     )
-    own = F.col("_at.own")
-    page = F.struct(*pages.columns)
-    order = F.struct("ts", *tie)
+    if pages.isStreaming:
+        reports = reports.withWatermark("_filed", f"{delay_ms + timeout_ms} milliseconds")
     return (
-        pages.withColumn("_at", report)
-        .groupBy(F.col("common.mid").alias("_mid"), F.col("_at.slot").alias("_slot"))
-        .agg(
-            F.max_by(F.when(own & is_entry(), page), F.when(own, order)).alias("_last"),
-            F.min(F.when(~own, F.col("ts"))).alias("_next_ts"),
-        )
+        reports.groupBy("_mid", F.window("_filed", f"{timeout_ms} milliseconds"))
+        .agg(F.max_by("page", "order").alias("_last"), F.min("next_ts").alias("_next_ts"))
         .filter(F.col("_last").isNotNull())
         .filter(F.col("_next_ts").isNull() | (F.col("_next_ts") - F.col("_last.ts") >= timeout_ms))
         .select("_last.*")

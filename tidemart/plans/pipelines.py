@@ -23,10 +23,12 @@ def visitor_stats_from_log(
     shuffled for the repair, and a busy device arrives there as a handful of rows.
     """
     pages = logs.page_log(log)
+    # what the metrics read, so that no other column travels with unique visits and bounces
+    narrow = pages.select(*tie, "common", F.struct("page.last_page_id").alias("page"), "ts")
     rows = measures.visitor_measures(
         pages,
-        visits.unique_visits(pages, tie),
-        visits.bounces(pages, bounce_timeout_ms, tie),
+        visits.unique_visits(narrow, tie),
+        visits.bounces(narrow, bounce_timeout_ms, tie),
         keep=("common.mid",),
     ).withColumn("day", day_of_millis(F.col("ts"), "yyyyMMdd"))
     keys = ("vc", "ch", "ar")

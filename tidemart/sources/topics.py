@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemart.sources.parsing import parse_rows
+
 # A micro-batch must stay bounded: a stateful operator sees at most this many records at once.
 MAX_OFFSETS_PER_BATCH = 5_000_000
 
@@ -47,3 +49,23 @@ def replay_files(
         .option("latestFirst", "false")
         .load(path)
     )
+
+
+def topic_view(
+    records: DataFrame,
+    ddl: str,
+    name: str,
+    rowtime: str | None = None,
+    delay: str = "0 seconds",
+) -> DataFrame:
+    """Register a record stream as a SQL table: typed columns, an optional computed ``rowtime`` with a watermark.
+
+    ``rowtime`` is a SQL expression over the columns. Query the view with ``spark.sql``.
+    """
+    rows = parse_rows(records, ddl)
+    if rowtime:
+        rows = rows.selectExpr("*", f"{rowtime} AS rowtime")
+        if rows.isStreaming:
+            rows = rows.withWatermark("rowtime", delay)
+    rows.createOrReplaceTempView(name)
+    return rows

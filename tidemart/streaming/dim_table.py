@@ -1,0 +1,99 @@
+"""A dimension table kept up to date by micro-batches of change rows."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemart.operators.cdc import latest_rows
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+@dataclass(frozen=True)
+class DimTable:
+    """One row per key, in Parquet under ``path``, on storage all executors share.
+
+    Rows are spread over a fixed number of hash buckets. An upsert rewrites only the buckets its changes fall into,
+    as a new version, and then records which version each bucket is at. Readers follow the newest record, so they
+    never see half an upsert, and repeating a micro-batch writes the same version again.
+
+    ``columns`` are text columns, as the routing configuration lists them. ``apply_deletes`` removes rows whose newest
+    change is a delete; by default such a change is stored like any other.
+    """
+
+    path: str
+    pk: str
+    columns: tuple[str, ...]
+    buckets: int = 64
+    apply_deletes: bool = False
+
+    @property
+    def _row_ddl(self) -> str:
+        return ", ".join(f"`{c}` string" for c in self.columns) + ", _seq bigint, _type string, _bucket int, _version bigint"
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.pk), F.lit(self.buckets)).cast("int")
+
+    def _versions(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
+        """Bucket -> version of the newest record (older than ``before``): at most ``buckets`` entries."""
+        folder = f"{self.path}/versions"
+        if not _exists(spark, folder):
+            return {}
+        records = spark.read.schema("bucket int, version bigint, upsert bigint").parquet(folder)
+        if before is not None:
+            records = records.filter(F.col("upsert") < before)
+        newest = records.agg(F.max("upsert")).first()[0]
+        if newest is None:
+            return {}
+        return {r["bucket"]: r["version"] for r in records.filter(F.col("upsert") == newest).collect()}
+
+    def _rows(self, spark: SparkSession, versions: dict[int, int]) -> DataFrame:
+        if not versions:
+            return spark.createDataFrame([], self._row_ddl)
+        base = f"{self.path}/rows"
+        folders = [f"{base}/_version={v}/_bucket={b}" for b, v in sorted(versions.items())]
+        # a bucket all of whose rows were deleted has no folder
+        folders = [f for f in folders if not self.apply_deletes or _exists(spark, f)]
+        if not folders:
+            return spark.createDataFrame([], self._row_ddl)
+        return spark.read.schema(self._row_ddl).option("basePath", base).parquet(*folders)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The newest complete state; call it per micro-batch to see new versions."""
+        return self._rows(spark, self._versions(spark)).select(*self.columns)
+
+    def upsert(self, changes: DataFrame, upsert_id: int) -> None:
+        """Apply ``changes`` (the columns plus ``_seq`` and ``_type``); ids must increase, repeats are harmless."""
+        spark = changes.sparkSession
+        rows = changes.select(*self.columns, "_seq", "_type").filter(F.col(self.pk).isNotNull())
+        newest = [F.col("_seq").desc()]
+        incoming = latest_rows(rows, [self.pk], newest).withColumn("_bucket", self._bucket())
+        touched = sorted(r[0] for r in incoming.select("_bucket").distinct().collect())
+        if not touched:
+            return
+        versions = self._versions(spark, before=upsert_id)
+        current = self._rows(spark, {b: versions[b] for b in touched if b in versions})
+        merged = latest_rows(
+            incoming.unionByName(current.drop("_version")), [self.pk, "_bucket"], newest
+        )
+        if self.apply_deletes:
+            merged = merged.filter(F.col("_type") != "delete")
+        (
+            merged.repartition(len(touched), "_bucket")
+            .write.mode("overwrite")
+            .partitionBy("_bucket")
+            .parquet(f"{self.path}/rows/_version={upsert_id}")
+        )
+        record = {**versions, **{b: upsert_id for b in touched}}
+        (
+            spark.createDataFrame(sorted(record.items()), "bucket int, version bigint")
+            .coalesce(1)
+            .write.mode("overwrite")
+            .parquet(f"{self.path}/versions/upsert={upsert_id}")
+        )
