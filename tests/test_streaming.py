@@ -18,7 +18,7 @@ def rows(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-def closing_page(spark, log):
+def closing_page(log, page_id=None):
     """A page long after all others, from a device of its own: it closes every window before it."""
     last = log.agg(F.max("ts")).first()[0] + LATER
     return log.limit(1).withColumns(
@@ -26,23 +26,25 @@ def closing_page(spark, log):
             "event_id": F.lit(-1).cast("bigint"),
             "ts": F.lit(last).cast("bigint"),
             "common": F.col("common").withField("mid", F.lit("closing")),
-            "page": F.col("page").withField("last_page_id", F.lit("home")),
+            "page": F.col("page").withField("last_page_id", F.lit("home")).withField(
+                "page_id", F.lit(page_id) if page_id else F.col("page.page_id")
+            ),
             "start": F.lit(None).cast("map<string,string>"),
         }
     )
 
 
-def feed_log(replay, spark, log, name="log", parts=4, shuffled=False):
+def feed_log(replay, log, name="log", parts=4, shuffled=False, closing_id=None):
     source = replay(name)
     order = [F.xxhash64("event_id")] if shuffled else ["ts", "event_id"]
     source.add_sorted(log, order, parts)
-    source.add(closing_page(spark, log))
+    source.add(closing_page(log, closing_id))
     return source.stream(log.schema)
 
 
 def test_new_visitor_repair(spark, views, replay, table_of, tmp_path):
     log = views.page_log
-    got = table_of(repair_new_visitors(feed_log(replay, spark, log)), tmp_path / "ck").filter("event_id >= 0")
+    got = table_of(repair_new_visitors(feed_log(replay, log)), tmp_path / "ck").filter("event_id >= 0")
     want = logs.repair_new_visitors(log)
     columns = ("event_id", "common.mid", "common.is_new", "page.page_id", "ts")
     assert rows(got, *columns) == rows(want, *columns)
@@ -50,7 +52,7 @@ def test_new_visitor_repair(spark, views, replay, table_of, tmp_path):
 
 def test_unique_visits(spark, views, replay, table_of, tmp_path):
     pages = logs.page_log(views.page_log)
-    stream = feed_log(replay, spark, pages)
+    stream = feed_log(replay, pages)
     got = table_of(stateful.unique_visits(stream, tie=("event_id",)), tmp_path / "ck")
     want = visits.unique_visits(pages, ("event_id",))
     assert rows(got, "event_id", "common.mid", "ts") == rows(want, "event_id", "common.mid", "ts")
@@ -58,7 +60,7 @@ def test_unique_visits(spark, views, replay, table_of, tmp_path):
 
 def test_bounces(spark, views, replay, table_of, tmp_path):
     pages = logs.page_log(views.page_log)
-    stream = feed_log(replay, spark, pages)
+    stream = feed_log(replay, pages)
     got = table_of(visits.bounces(stream, 600_000, ("event_id",)), tmp_path / "ck")
     want = visits.bounces(pages, 600_000, ("event_id",))
     assert rows(got, "event_id", "common.mid", "ts") == rows(want, "event_id", "common.mid", "ts")
@@ -67,7 +69,7 @@ def test_bounces(spark, views, replay, table_of, tmp_path):
 def test_bounces_out_of_order_within_delay(spark, views, replay, table_of, tmp_path):
     """Arrival order does not matter as long as the watermark waits for it."""
     pages = logs.page_log(views.page_log)
-    stream = feed_log(replay, spark, pages, shuffled=True)
+    stream = feed_log(replay, pages, shuffled=True)
     got = table_of(visits.bounces(stream, 600_000, ("event_id",), delay_ms=35 * 86_400_000), tmp_path / "ck")
     want = visits.bounces(pages, 600_000, ("event_id",))
     assert rows(got, "event_id", "ts") == rows(want, "event_id", "ts")
@@ -114,7 +116,7 @@ def test_visitor_stats(spark, views, replay, tmp_path):
     pages = logs.page_log(log)
     unique = visits.unique_visits(pages, ("event_id",))
     bounced = visits.bounces(pages, 600_000, ("event_id",))
-    streams = [feed_log(replay, spark, df, n) for df, n in ((pages, "p"), (unique, "u"), (bounced, "b"))]
+    streams = [feed_log(replay, df, n) for df, n in ((pages, "p"), (unique, "u"), (bounced, "b"))]
     out = str(tmp_path / "out")
     jobs.visitor_stats(*streams, out, str(tmp_path / "ck"), "1 hour", "40 days", trigger=NOW).awaitTermination()
     want = stats.visitor_stats(measures.visitor_measures(pages, unique, bounced), "1 hour")
@@ -142,7 +144,8 @@ def test_distinct_order_counts(spark, views, replay, table_of, tmp_path):
     got = table_of(stats.province_stats(named, "30 days"), tmp_path / "ck1").filter("stt < '2009'")
     assert rows(got, *columns) == rows(want, *columns)
 
-    measured = measures.order_product_measures(timed).withWatermark("event_time", "0 seconds")
+    plain = source.stream(pairs.schema)
+    measured = measures.order_product_measures(plain).withWatermark("event_time", "0 seconds")
     columns = ("stt", "edt", "sku_id", "order_sku_num", "order_amount", "order_ct", "paid_order_ct")
     want = stats.product_sums(measures.order_product_measures(pairs), "30 days")
     got = table_of(stats.product_sums(measured, "30 days"), tmp_path / "ck2").filter("stt < '2009'")
@@ -151,7 +154,7 @@ def test_distinct_order_counts(spark, views, replay, table_of, tmp_path):
 
 def test_product_stats_job_writes_rows_and_records(spark, views, replay, tmp_path):
     pages = logs.page_log(views.page_log)
-    measured = measures.page_product_measures(feed_log(replay, spark, pages))
+    measured = measures.page_product_measures(feed_log(replay, pages, closing_id="good_detail"))
     dims = {"sku": views.dim_sku, "spu": views.dim_spu, "category3": views.dim_category3, "trademark": views.dim_trademark}
     out, topic = str(tmp_path / "out"), str(tmp_path / "topic")
     jobs.product_stats(measured, lambda: dims, out, topic, str(tmp_path / "ck"), "1 day", trigger=NOW).awaitTermination()
@@ -220,7 +223,7 @@ def test_base_db_job(spark, replay, tmp_path):
 def test_keyword_and_payment_jobs(spark, views, replay, tmp_path):
     pages = logs.page_log(views.page_log)
     out = str(tmp_path / "kw")
-    stream = feed_log(replay, spark, pages.withColumn("page", F.col("page").withField("page_id", F.lit("good_list"))))
+    stream = feed_log(replay, pages.withColumn("page", F.col("page").withField("page_id", F.lit("good_list"))))
     jobs.keyword_stats_search(stream, out, str(tmp_path / "ck1"), "1 day", trigger=NOW).awaitTermination()
     assert spark.read.parquet(out).agg(F.sum("ct")).first()[0] == pages.count()
 
