@@ -209,7 +209,7 @@ def test_single_order_window_counts_one(spark):
         [(7, 1, 2, Decimal("9.90"), "2021-05-01 10:00:00")],
         "sku_id bigint, order_id bigint, sku_num bigint, split_total_amount decimal(18,2), create_time string",
     )
-    got = stats.product_sums(measures.order_product_measures(rows)).collect()
+    got = stats.product_sums(measures.unified(measures.order_product_measures(rows))).collect()
     assert [(r["stt"], r["order_ct"], r["order_sku_num"], r["order_amount"]) for r in got] == [
         ("2021-05-01 10:00:00", 1, 2, Decimal("9.90"))
     ]

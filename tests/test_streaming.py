@@ -145,20 +145,20 @@ def test_distinct_order_counts(spark, views, replay, table_of, tmp_path):
     assert rows(got, *columns) == rows(want, *columns)
 
     plain = source.stream(pairs.schema)
-    measured = measures.order_product_measures(plain).withWatermark("event_time", "0 seconds")
+    measured = measures.unified(measures.order_product_measures(plain)).withWatermark("event_time", "0 seconds")
     columns = ("stt", "edt", "sku_id", "order_sku_num", "order_amount", "order_ct", "paid_order_ct")
-    want = stats.product_sums(measures.order_product_measures(pairs), "30 days")
+    want = stats.product_sums(measures.unified(measures.order_product_measures(pairs)), "30 days")
     got = table_of(stats.product_sums(measured, "30 days"), tmp_path / "ck2").filter("stt < '2009'")
     assert rows(got, *columns) == rows(want, *columns)
 
 
 def test_product_stats_job_writes_rows_and_records(spark, views, replay, tmp_path):
     pages = logs.page_log(views.page_log)
-    measured = measures.page_product_measures(feed_log(replay, pages, closing_id="good_detail"))
+    measured = measures.unified(measures.page_product_measures(feed_log(replay, pages, closing_id="good_detail")))
     dims = {"sku": views.dim_sku, "spu": views.dim_spu, "category3": views.dim_category3, "trademark": views.dim_trademark}
     out, topic = str(tmp_path / "out"), str(tmp_path / "topic")
     jobs.product_stats(measured, lambda: dims, out, topic, str(tmp_path / "ck"), "1 day", trigger=NOW).awaitTermination()
-    want = stats.enrich_product_stats(stats.product_sums(measures.page_product_measures(pages), "1 day"), **dims)
+    want = stats.enrich_product_stats(stats.product_sums(measures.unified(measures.page_product_measures(pages)), "1 day"), **dims)
     columns = ("stt", "sku_id", "click_ct", "display_ct", "sku_name", "spu_name", "tm_name")
     got = spark.read.parquet(out)
     sort_key = lambda r: tuple(str(x) for x in r)

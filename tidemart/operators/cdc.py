@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.operators.sizing import broadcast_if_small
+from tidemart.sources.parsing import computed_once
 
 SINK_DIMENSION = "hbase"
 SINK_FACT = "kafka"
@@ -39,12 +40,9 @@ def route(cdc: DataFrame, routing: DataFrame, prune: bool = True) -> DataFrame:
     Adds ``sink_type`` (lower case), ``sink_table``, ``sink_columns``, ``sink_pk``; ``data`` becomes a map.
     """
     kind = F.when(F.col("type") == "bootstrap-insert", F.lit("insert")).otherwise(F.col("type"))
-    changes = (
-        valid_changes(cdc)
-        .withColumn("type", kind)
-        .withColumn("data", F.from_json("data", "map<string,string>"))
-        .filter(F.col("data").isNotNull())
-    )
+    changes = computed_once(
+        valid_changes(cdc).withColumn("type", kind), "data", F.from_json("data", "map<string,string>")
+    ).filter(F.col("data").isNotNull())
     conf = broadcast_if_small(one_route_per_key(routing)).select(
         F.col("source_table").alias("table"),
         F.col("operate_type").alias("type"),

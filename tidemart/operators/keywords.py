@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.sizing import broadcast_if_small
 
-# a run of Han characters, or a run of any other letters and digits
-WORD_PATTERN = r"(\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+)"
+# a run of letters and digits other than Han, or a run of Han characters; the plain ASCII ranges add nothing but are
+# what most characters are decided by
+WORD_PATTERN = r"([a-z0-9[\p{L}\p{N}&&[^\p{IsHan}]]]+|\p{IsHan}+)"
 HAN_PATTERN = r"^\p{IsHan}"
 
 # fixed values: the sources of product keyword counts

@@ -60,17 +60,37 @@ def visitor_measures(
     )
 
 
-def _product_rows(df: DataFrame, event_time: Column, order_kind: str | None = None, **measures: Column) -> DataFrame:
-    """Unified product rows: counts and amounts default to 0, at most one order id with its kind."""
-    zero = F.lit(0)
-    order_id = measures.pop("order_id", F.lit(None))
-    return df.select(
-        measures.pop("sku_id", F.col("sku_id")).cast("bigint").alias("sku_id"),
-        event_time.alias("event_time"),
-        *[F.coalesce(measures.get(c, zero).cast("bigint"), zero.cast("bigint")).alias(c) for c in PRODUCT_COUNTS],
-        *[F.coalesce(measures.get(c, zero).cast(MONEY), zero.cast(MONEY)).alias(c) for c in PRODUCT_AMOUNTS],
-        F.lit(order_kind).cast("string").alias("order_kind"),
-        order_id.cast("bigint").alias("kind_order_id"),
+def _product_rows(df: DataFrame, event_time: str, order_kind: str | None = None, **measures: str) -> DataFrame:
+    """The measured columns of one source, given as SQL expressions; ``unified`` adds the others."""
+    typed = {"sku_id": "bigint", "kind_order_id": "bigint"}
+    typed.update(dict.fromkeys(PRODUCT_COUNTS, "bigint"))
+    typed.update(dict.fromkeys(PRODUCT_AMOUNTS, MONEY))
+    columns = {"sku_id": "sku_id", **measures}
+    if order_kind:
+        columns["kind_order_id"] = "order_id"
+    selected = [f"cast({value} as {typed[name]}) as {name}" for name, value in columns.items()]
+    kind = [f"'{order_kind}' as order_kind"] if order_kind else []
+    return df.selectExpr(*selected, *kind, f"{event_time} as event_time")
+
+
+def unified(*parts: DataFrame) -> DataFrame:
+    """Union of measured rows: absent or null counts and amounts are 0; at most one order id, with its kind."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    present = set(rows.columns)
+
+    def filled(name: str, kind: str) -> str:
+        return f"coalesce({name}, cast(0 as {kind})) as {name}" if name in present else f"cast(0 as {kind}) as {name}"
+
+    def optional(name: str, kind: str) -> str:
+        return name if name in present else f"cast(null as {kind}) as {name}"
+
+    return rows.selectExpr(
+        "sku_id",
+        "event_time",
+        *[filled(c, "bigint") for c in PRODUCT_COUNTS],
+        *[filled(c, MONEY) for c in PRODUCT_AMOUNTS],
+        optional("order_kind", "string"),
+        optional("kind_order_id", "bigint"),
     )
 
 
@@ -87,57 +107,40 @@ def page_product_measures(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.explode(F.concat(clicks, F.coalesce(shown, no_rows))).alias("m"), "ts")
     return _product_rows(
         rows,
-        F.timestamp_millis("ts"),
-        sku_id=F.expr("try_cast(m.sku as bigint)"),
-        click_ct=F.col("m.click_ct"),
-        display_ct=F.col("m.display_ct"),
+        "timestamp_millis(ts)",
+        sku_id="try_cast(m.sku as bigint)",
+        click_ct="m.click_ct",
+        display_ct="m.display_ct",
     )
 
 
 def order_product_measures(orders: DataFrame) -> DataFrame:
     rows = with_event_time(orders, "create_time", "create_ts")
-    return _product_rows(
-        rows,
-        F.col("create_ts"),
-        ORDER,
-        order_id=F.col("order_id"),
-        order_sku_num=F.col("sku_num"),
-        order_amount=F.col("split_total_amount"),
-    )
+    return _product_rows(rows, "create_ts", ORDER, order_sku_num="sku_num", order_amount="split_total_amount")
 
 
 def favor_measures(favors: DataFrame) -> DataFrame:
-    rows = with_event_time(favors, "create_time", "create_ts")
-    return _product_rows(rows, F.col("create_ts"), favor_ct=F.lit(1))
+    return _product_rows(with_event_time(favors, "create_time", "create_ts"), "create_ts", favor_ct="1")
 
 
 def cart_measures(carts: DataFrame) -> DataFrame:
-    rows = with_event_time(carts, "create_time", "create_ts")
-    return _product_rows(rows, F.col("create_ts"), cart_ct=F.lit(1))
+    return _product_rows(with_event_time(carts, "create_time", "create_ts"), "create_ts", cart_ct="1")
 
 
 def payment_measures(payments: DataFrame) -> DataFrame:
     rows = with_event_time(payments, "payment_create_time", "payment_create_ts")
-    return _product_rows(
-        rows,
-        F.col("payment_create_ts"),
-        PAID,
-        order_id=F.col("order_id"),
-        payment_amount=F.col("split_total_amount"),
-    )
+    return _product_rows(rows, "payment_create_ts", PAID, payment_amount="split_total_amount")
 
 
 def refund_measures(refunds: DataFrame) -> DataFrame:
     rows = with_event_time(refunds, "create_time", "create_ts")
-    return _product_rows(
-        rows, F.col("create_ts"), REFUND, order_id=F.col("order_id"), refund_amount=F.col("refund_amount")
-    )
+    return _product_rows(rows, "create_ts", REFUND, refund_amount="refund_amount")
 
 
 def comment_measures(comments: DataFrame) -> DataFrame:
     rows = with_event_time(comments, "create_time", "create_ts")
-    good = F.when(F.col("appraise") == APPRAISE_GOOD, F.lit(1)).otherwise(F.lit(0))
-    return _product_rows(rows, F.col("create_ts"), comment_ct=F.lit(1), good_comment_ct=good)
+    good = f"case when appraise = '{APPRAISE_GOOD}' then 1 else 0 end"
+    return _product_rows(rows, "create_ts", comment_ct="1", good_comment_ct=good)
 
 
 def product_measures(
@@ -149,8 +152,8 @@ def product_measures(
     refunds: DataFrame,
     comments: DataFrame,
 ) -> DataFrame:
-    """Union of the seven product sources."""
-    parts = [
+    """Unified rows of the seven product sources."""
+    return unified(
         page_product_measures(pages),
         order_product_measures(orders),
         cart_measures(carts),
@@ -158,5 +161,4 @@ def product_measures(
         refund_measures(refunds),
         favor_measures(favors),
         comment_measures(comments),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    )

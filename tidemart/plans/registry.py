@@ -176,14 +176,14 @@ def dim_rows_from_config(v: Views) -> DataFrame:
 @query
 def dim_upsert_latest(v: Views) -> DataFrame:
     """Customers as the current dimension, orders as their later changes."""
-    current = v._table("customer").select(
+    current = v.table("customer").select(
         F.col("c_custkey").alias("id"),
         F.lit("NEW").alias("status"),
         F.col("c_mktsegment").alias("label"),
         F.lit(0).cast("timestamp").alias("ts"),
         F.lit(-1).cast("bigint").alias("offset"),
     )
-    changes = v._table("orders").select(
+    changes = v.table("orders").select(
         F.col("o_custkey").alias("id"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("label"),
@@ -205,7 +205,7 @@ def dim_lookup(v: Views) -> DataFrame:
 
 @query
 def dim_lookup_multi(v: Views) -> DataFrame:
-    customer = v._table("customer")
+    customer = v.table("customer")
     spec = dims.DimSpec(
         {"c_nationkey": "c_nationkey", "c_mktsegment": "c_mktsegment"},
         {"first_name": "c_name"},
@@ -353,7 +353,7 @@ def visitor_new_old_table(v: Views) -> DataFrame:
 
 
 def _pairs(v: Views) -> DataFrame:
-    return wide.order_pairs(v.order_info, v.order_detail, FAR)
+    return v.once("far pairs", lambda: wide.order_pairs(v.order_info, v.order_detail, FAR))
 
 
 def _payments(v: Views) -> DataFrame:
@@ -379,7 +379,7 @@ def product_measures_order(v: Views) -> DataFrame:
 
 @query
 def product_measures_favor_cart(v: Views) -> DataFrame:
-    rows = measures.favor_measures(v.favor).unionByName(measures.cart_measures(v.cart))
+    rows = measures.unified(measures.favor_measures(v.favor), measures.cart_measures(v.cart))
     return rows.select("sku_id", "favor_ct", "cart_ct", time_text(F.col("event_time")).alias("at"))
 
 
@@ -488,7 +488,7 @@ def search_keywords(v: Views) -> DataFrame:
 
 @query
 def tokenize_documents(v: Views) -> DataFrame:
-    words = keywords.tokenize(v._table("documents").select("doc_id", "text"), "text")
+    words = keywords.tokenize(v.table("documents").select("doc_id", "text"), "text")
     return words.groupBy("doc_id", "keyword").agg(F.count(F.lit(1)).alias("ct"))
 
 

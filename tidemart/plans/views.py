@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,9 +30,16 @@ class Views:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._made: dict[str, DataFrame] = {}
 
-    def _table(self, name: str) -> DataFrame:
-        return table(self.spark, self.folder, name)
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A frame under a name, put together on first use."""
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
+
+    def table(self, name: str) -> DataFrame:
+        return self.once(name, lambda: table(self.spark, self.folder, name))
 
     @cached_property
     def page_log(self) -> DataFrame:
@@ -47,7 +55,7 @@ class Views:
             return F.struct(((event + i) % 1000).cast("string").alias("item"), item_type.alias("item_type"))
 
         shown_items = F.transform(F.slice(F.array(F.lit(0), F.lit(1)), F.lit(1), k % 3), shown)
-        return self._table("events").select(
+        return self.table("events").select(
             "event_id",
             F.struct(
                 user.cast("string").alias("mid"),
@@ -78,9 +86,9 @@ class Views:
 
     @cached_property
     def order_info(self) -> DataFrame:
-        customer = self._table("customer").select("c_custkey", "c_nationkey")
+        customer = self.table("customer").select("c_custkey", "c_nationkey")
         key, user = F.col("o_orderkey"), F.col("o_custkey")
-        return self._table("orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        return self.table("orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
             key.alias("id"),
             F.col("c_nationkey").cast("bigint").alias("province_id"),
             F.col("o_orderstatus").alias("order_status"),
@@ -98,7 +106,7 @@ class Views:
     @cached_property
     def order_detail(self) -> DataFrame:
         net = _money("l_extendedprice") * (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)"))
-        return self._table("lineitem").select(
+        return self.table("lineitem").select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("sku_id"),
@@ -115,7 +123,7 @@ class Views:
     @cached_property
     def payment_info(self) -> DataFrame:
         late = F.col("o_orderdate") + F.make_dt_interval(mins=(F.col("o_orderkey") % 60).cast("int"))
-        return self._table("orders").select(
+        return self.table("orders").select(
             (F.col("o_orderkey") + 1_000_000).alias("id"),
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("user_id"),
@@ -133,14 +141,14 @@ class Views:
         key = F.col("c_custkey")
         born = F.date_add(F.lit("1960-01-01").cast("date"), (key % 15000).cast("int"))
         gender = F.when(key % 2 == 0, "M").otherwise("F")
-        return self._table("customer").select(
+        return self.table("customer").select(
             key.alias("id"), F.date_format(born, "yyyy-MM-dd").alias("birthday"), gender.alias("gender")
         )
 
     @cached_property
     def dim_province(self) -> DataFrame:
-        region = self._table("region")
-        return self._table("nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+        region = self.table("region")
+        return self.table("nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
             F.col("n_nationkey").cast("bigint").alias("id"),
             F.col("n_name").alias("name"),
             F.concat(F.lit("CN-"), F.col("n_nationkey").cast("string")).alias("iso_3166_2"),
@@ -156,7 +164,7 @@ class Views:
 
     @cached_property
     def dim_sku(self) -> DataFrame:
-        return self._table("part").select(
+        return self.table("part").select(
             F.col("p_partkey").alias("id"),
             F.col("p_name").alias("sku_name"),
             _money("p_retailprice").alias("price"),
@@ -168,21 +176,21 @@ class Views:
     @cached_property
     def dim_spu(self) -> DataFrame:
         return (
-            self._table("part").groupBy(self._spu().alias("id")).agg(F.min_by("p_name", "p_partkey").alias("spu_name"))
+            self.table("part").groupBy(self._spu().alias("id")).agg(F.min_by("p_name", "p_partkey").alias("spu_name"))
         )
 
     @cached_property
     def dim_category3(self) -> DataFrame:
         size = F.col("p_size").cast("bigint")
         name = F.concat(F.lit("cat-"), size.cast("string"))
-        return self._table("part").select(size.alias("id"), name.alias("name")).distinct()
+        return self.table("part").select(size.alias("id"), name.alias("name")).distinct()
 
     @cached_property
     def dim_trademark(self) -> DataFrame:
-        return self._table("part").select(self._brand().alias("id"), F.col("p_brand").alias("tm_name")).distinct()
+        return self.table("part").select(self._brand().alias("id"), F.col("p_brand").alias("tm_name")).distinct()
 
     def _sku_events(self, kind: str, *more: Column) -> DataFrame:
-        return self._table("events").filter(F.col("event_type") == kind).select(
+        return self.table("events").filter(F.col("event_type") == kind).select(
             (F.col("event_id") % 1000).alias("sku_id"),
             *more,
             time_text(F.col("ts")).alias("create_time"),
@@ -204,7 +212,7 @@ class Views:
 
     @cached_property
     def refund(self) -> DataFrame:
-        return self._table("lineitem").filter(F.col("l_returnflag") == "R").select(
+        return self.table("lineitem").filter(F.col("l_returnflag") == "R").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("sku_id"),
             _money("l_extendedprice").alias("refund_amount"),
@@ -216,7 +224,7 @@ class Views:
         kind = F.when(key % 3 == 0, "bootstrap-insert").when(key % 3 == 1, "insert").otherwise("update")
         entries = [x for n, c in columns.items() for x in (F.lit(n), c)]
         record = F.struct(F.lit(name).alias("table"), kind.alias("type"), F.create_map(*entries).alias("data"))
-        return self._table(name).select(F.to_json(record).alias("value"))
+        return self.table(name).select(F.to_json(record).alias("value"))
 
     @cached_property
     def raw_cdc(self) -> DataFrame:

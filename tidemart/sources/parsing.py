@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.schemas import CDC_DDL
@@ -10,9 +10,19 @@ from tidemart.schemas import CDC_DDL
 CORRUPT = "_corrupt_record"
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df.withColumn(name, value)`` for a costly ``value`` that later filters look at.
+
+    A filter on an ordinary computed column is pushed below it with a copy of the computation for every mention. The
+    output of a generator is not: the value is computed once per row.
+    """
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def _parsed(df: DataFrame, ddl: str, value: str) -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.withColumn("_row", F.from_json(F.col(value), f"{ddl}, {CORRUPT} string", options))
+    return computed_once(df, "_row", F.from_json(F.col(value), f"{ddl}, {CORRUPT} string", options))
 
 
 def parse_rows(df: DataFrame, ddl: str, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
