@@ -315,8 +315,8 @@ STATEMENTS = {
     "visitor_stats": "SELECT * FROM m_visitor",
     "visitor_by_new": "SELECT * FROM by_new",
     "visitor_kpis": """
-        SELECT * EXCLUDE (rate_units, dur_units, page_units), cast(rate_units AS decimal(20,2)) / 100 AS uj_rate,
-               cast(dur_units AS decimal(20,1)) / 10 AS dur_per_sv, cast(page_units AS decimal(20,2)) / 100 AS pv_per_sv
+        SELECT * EXCLUDE (rate_units, dur_units, page_units), cast(rate_units / 100 AS decimal(20,2)) AS uj_rate,
+               cast(dur_units / 10 AS decimal(20,1)) AS dur_per_sv, cast(page_units / 100 AS decimal(20,2)) AS pv_per_sv
         FROM kpis""",
     "visitor_by_hour": "SELECT * FROM by_hour",
     "visitor_hour_dense": """

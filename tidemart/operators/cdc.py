@@ -43,7 +43,7 @@ def route(cdc: DataFrame, routing: DataFrame, prune: bool = True) -> DataFrame:
     changes = computed_once(
         valid_changes(cdc).withColumn("type", kind), "data", F.from_json("data", "map<string,string>")
     ).filter(F.col("data").isNotNull())
-    conf = broadcast_if_small(one_route_per_key(routing)).select(
+    conf = broadcast_if_small(one_route_per_key(routing), "source_table", "operate_type").select(
         F.col("source_table").alias("table"),
         F.col("operate_type").alias("type"),
         F.lower("sink_type").alias("sink_type"),

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.operators.sizing import own_exchange
+
 
 @dataclass(frozen=True)
 class DimSpec:
@@ -29,9 +31,10 @@ def one_row_per_key(dim: DataFrame, spec: DimSpec) -> DataFrame:
     row = F.min_by(F.struct(*sources), F.struct(*prefer)).alias("_row")
     keys = list(spec.keys)
     # a column may be key and field at once
-    return dim.select(
+    grouped = dim.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], *dict.fromkeys(sources + list(prefer))
-    ).groupBy(*[f"_k_{k}" for k in keys]).agg(row)
+    ).groupBy(*[f"_k_{k}" for k in keys])
+    return own_exchange(grouped.agg(row), *[f"_k_{k}" for k in keys])
 
 
 def dim_join(rows: DataFrame, dim: DataFrame, spec: DimSpec) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.operators.sizing import broadcast_if_small
+from tidemart.operators.sizing import broadcast_if_small, own_exchange
 
 # a run of letters and digits other than Han, or a run of Han characters; the plain ASCII ranges add nothing but are
 # what most characters are decided by
@@ -56,7 +56,7 @@ def cut_runs(runs: DataFrame, dictionary: DataFrame) -> DataFrame:
         .withColumn("_word", F.expr("substring(run, at, size)"))
     )
     matched = (
-        candidates.join(broadcast_if_small(known), "_word", "left_semi")
+        candidates.join(broadcast_if_small(known, "_word"), "_word", "left_semi")
         .groupBy("run")
         .agg(F.collect_list(F.struct("at", (-F.col("size")).alias("shorter"))).alias("matches"))
     )
@@ -85,7 +85,7 @@ def tokenize(
             raise ValueError("use a dictionary inside foreachBatch, where each batch is a plain frame")
         long_han = F.col(out).rlike(HAN_PATTERN) & (F.length(out) > 1)
         runs = found.filter(long_han).select(F.col(out).alias("run")).distinct()
-        pieces = cut_runs(runs, dictionary)
+        pieces = own_exchange(cut_runs(runs, dictionary), "run")
         found = (
             found.join(pieces, F.col(out) == F.col("run"), "left")
             .withColumn(out, F.explode(F.coalesce(F.col("pieces"), F.array(F.col(out)))))

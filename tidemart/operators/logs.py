@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import day_of_millis, millis_to_second
+from tidemart.operators.sizing import own_exchange
 
 
 def is_start() -> Column:
@@ -62,7 +63,8 @@ def repair_new_visitors(log: DataFrame, firsts: DataFrame | None = None) -> Data
     A join to one narrow row per device instead of an ordered window per device: the optimizer broadcasts it
     when it is small, and adaptive execution splits the log side of a busy device when it is not.
     """
-    firsts = (first_days(log) if firsts is None else firsts).select(F.col("mid").alias("_mid"), "first_day")
+    firsts = own_exchange(first_days(log) if firsts is None else firsts, "mid")
+    firsts = firsts.select(F.col("mid").alias("_mid"), "first_day")
     on = (F.col("common.mid") == F.col("_mid")) & (F.col("common.is_new") == "1")
     flag = repaired_flag(F.col("common.is_new"), F.col("ts"), F.col("first_day"))
     return (

@@ -1,4 +1,4 @@
-"""Broadcast only what was counted first."""
+"""Sides of a join: broadcast only what was counted first, and let hot keys be split otherwise."""
 
 from __future__ import annotations
 
@@ -8,11 +8,21 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave the join to the optimizer.
+def own_exchange(df: DataFrame, *keys: str) -> DataFrame:
+    """Prepare an aggregate on ``keys`` for a join on the same keys.
+
+    An aggregate leaves its rows where the join wants them, so the join adds no exchange on that side, and adaptive
+    execution, which splits a hot key only between two plain exchanges, cannot help the other side. Moving the (one row
+    per key) aggregate once more restores that shape.
+    """
+    return df.repartition(F.xxhash64(*keys))
+
+
+def broadcast_if_small(df: DataFrame, *keys: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else prepare it for a shuffled join on ``keys``.
 
     The count stops after ``max_rows + 1`` rows. Meant for narrow configuration-like tables whose source gives
     Spark no size estimate (JDBC); Parquet tables carry one, so joins to them need no hint at all.
     """
     counted = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else df
+    return F.broadcast(df) if counted <= max_rows else own_exchange(df, *keys)

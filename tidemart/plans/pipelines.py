@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import day_of_millis
 from tidemart.operators import logs, measures, stats, visits
 from tidemart.operators.measures import VISITOR_MEASURES
+from tidemart.operators.sizing import own_exchange
 
 
 def visitor_stats_from_log(
@@ -35,7 +36,7 @@ def visitor_stats_from_log(
     summed = rows.groupBy(F.window("event_time", size), *keys, "is_new", "mid", "day").agg(
         *[F.sum(m).alias(m) for m in VISITOR_MEASURES], F.min("ts").alias("ts")
     )
-    firsts = logs.first_days(log).withColumnRenamed("mid", "_mid")
+    firsts = own_exchange(logs.first_days(log), "mid").withColumnRenamed("mid", "_mid")
     on = (F.col("mid") == F.col("_mid")) & (F.col("is_new") == "1")
     later = (F.col("is_new") == "1") & (F.col("day") != F.col("first_day"))
     repaired = summed.join(firsts, on, "left").withColumn("is_new", F.when(later, "0").otherwise(F.col("is_new")))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemart.sources.parsing import parse_rows
 
 # A micro-batch must stay bounded: a stateful operator sees at most this many records at once.
-MAX_OFFSETS_PER_BATCH = 5_000_000
+MAX_OFFSETS_PER_BATCH = 1_000_000
 
 
 def read_topic(

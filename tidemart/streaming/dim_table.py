@@ -70,13 +70,17 @@ class DimTable:
 
     def upsert(self, changes: DataFrame, upsert_id: int) -> None:
         """Apply ``changes`` (the columns plus ``_seq`` and ``_type``); ids must increase, repeats are harmless."""
-        spark = changes.sparkSession
         rows = changes.select(*self.columns, "_seq", "_type").filter(F.col(self.pk).isNotNull())
         newest = [F.col("_seq").desc()]
-        incoming = latest_rows(rows, [self.pk], newest).withColumn("_bucket", self._bucket())
+        incoming = latest_rows(rows, [self.pk], newest).withColumn("_bucket", self._bucket()).persist()
+        # at most ``buckets`` numbers
         touched = sorted(r[0] for r in incoming.select("_bucket").distinct().collect())
-        if not touched:
-            return
+        if touched:
+            self._write(incoming, touched, newest, upsert_id)
+        incoming.unpersist()
+
+    def _write(self, incoming: DataFrame, touched: list[int], newest: list[Column], upsert_id: int) -> None:
+        spark = incoming.sparkSession
         versions = self._versions(spark, before=upsert_id)
         current = self._rows(spark, {b: versions[b] for b in touched if b in versions})
         merged = latest_rows(

@@ -1,7 +1,7 @@
 """Operators that must answer at once and remember: new-visitor repair and daily unique visits.
 
-State lives in the RocksDB store. Both processors hold one small value per key and never a group of rows, except a
-device's very first micro-batch in the repair, whose size the source's batch limit bounds.
+State lives in the RocksDB store, one small value per key. Rows pass through one by one; only the repair waits, with
+the new-flagged rows of a device it has never seen, for the end of that one micro-batch, which the source bounds.
 """
 
 from __future__ import annotations
@@ -24,16 +24,22 @@ class FirstDay(StatefulProcessor):
         self._first = handle.getValueState("first_day", "first_day string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self._first.get() if self._first.exists() else None
-        first = known[0] if known else None
-        if first is None:
-            rows = list(rows)
-            days = [r["_day"] for r in rows if r["_new"]]
-            if days:
-                first = min(days)
-                self._first.update((first,))
+        first = self._first.get()[0] if self._first.exists() else None
+        waiting = []
         for row in rows:
-            yield Row(**{**row.asDict(recursive=False), "first_day": first})
+            if first is None and row["_new"]:
+                waiting.append(row)
+            else:
+                yield self._with_first(row, first)
+        if waiting:
+            first = min(row["_day"] for row in waiting)
+            self._first.update((first,))
+            for row in waiting:
+                yield self._with_first(row, first)
+
+    @staticmethod
+    def _with_first(row: Row, first: str | None) -> Row:
+        return Row(**{**row.asDict(recursive=False), "first_day": first})
 
     def close(self) -> None:
         pass
