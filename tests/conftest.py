@@ -13,8 +13,9 @@ DATA = Path(os.environ.get("TIDEMART_TESTDATA", "/root/testdata"))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     conf = {
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "6g",

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from tidemart.functions import age_years, millis_of_text
 from tidemart.operators import cdc, dims, keywords, logs, measures, serving, stats, visits, wide
 from tidemart.schemas import PAGE_LOG_DDL, VISITOR_STATS_COLUMNS
-from tidemart.sources import parse_cdc, parse_records
+from tidemart.plans import Backfill
+from tidemart.plans.views import ROUTES
+from tidemart.session import shared_dir
+from tidemart.sources import parse_cdc, parse_records, read_routing
 from tidemart.streaming import DimTable
 from tidemart.streaming.sinks import append_metrics, topic_records
 
@@ -348,6 +351,27 @@ def test_dim_table_versions(spark, tmp_path):
     assert state(removing) == {"1": "a2", "3": "c"}
 
 
+def test_an_unfinished_upsert_is_not_seen(spark, tmp_path):
+    ddl = "id string, name string, _seq bigint, _type string"
+    table_ = DimTable(str(tmp_path / "dim"), "id", ("id", "name"), buckets=2)
+    table_.upsert(spark.createDataFrame([("1", "a", 1, "insert"), ("2", "b", 1, "insert")], ddl), 0)
+    # rows of a next version without its record: the writer died in between
+    spark.createDataFrame([("1", "half", 9, "update", 0)], f"{ddl}, _bucket int").write.partitionBy("_bucket").parquet(
+        str(tmp_path / "dim" / "rows" / "_version=1")
+    )
+    assert sorted(map(tuple, table_.read(spark).collect())) == [("1", "a"), ("2", "b")]
+
+
+def test_routing_sources_and_shared_folder(spark, tmp_path):
+    folder = str(tmp_path / "routing")
+    spark.createDataFrame(ROUTES, ROUTING).write.parquet(folder)
+    assert read_routing(spark, folder).count() == len(ROUTES)
+    with pytest.raises(ValueError):
+        read_routing(spark)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == shared and Backfill(spark).out == f"{shared}/warehouse"
+
+
 def test_repeated_batch_overwrites_itself(spark, tmp_path):
     out = str(tmp_path / "metrics")
     rows = spark.createDataFrame([("2024-01-01 00:00:00", 1), ("2024-01-02 00:00:00", 2)], "stt string, ct bigint")

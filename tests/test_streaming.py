@@ -220,6 +220,28 @@ def test_base_db_job(spark, replay, tmp_path):
     ]
 
 
+def test_routing_is_read_again_for_every_batch(spark, replay, tmp_path):
+    """A route taken away stops routing at the next micro-batch, and the other way round."""
+    source = replay("cdc")
+    order = lambda key, seq: (f'{{"table":"orders","type":"insert","data":{{"o_orderkey":"{key}"}}}}', seq)
+    for number in (1, 2, 3):
+        source.add(spark.createDataFrame([order(number, number)], "value string, seq bigint"))
+    calls = []
+
+    def routing():
+        calls.append(1)
+        with_orders = [r for r in ROUTES if r[0] == "orders"]
+        other = [("refund", "insert", "kafka", "dwd_refund", "", "id", None)]
+        return spark.createDataFrame(other if len(calls) == 2 else with_orders, TABLE_PROCESS_DDL)
+
+    facts = str(tmp_path / "facts")
+    jobs.base_db(
+        source.stream("value string, seq bigint"), routing, facts, str(tmp_path / "dims"), str(tmp_path / "ck"), trigger=NOW
+    ).awaitTermination()
+    assert len(calls) == 3
+    assert rows(spark.read.parquet(facts), "value") == [('{"o_orderkey":"1"}',), ('{"o_orderkey":"3"}',)]
+
+
 def test_keyword_and_payment_jobs(spark, views, replay, tmp_path):
     pages = logs.page_log(views.page_log)
     out = str(tmp_path / "kw")

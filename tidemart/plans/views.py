@@ -17,6 +17,21 @@ def _money(name: str) -> Column:
     return F.col(name).cast(MONEY)
 
 
+# the declared columns of the test tables
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 ROUTES = [
     ("customer", "insert", "hbase", "dim_customer", "c_custkey,c_name,c_nationkey", "c_custkey", None),
     ("customer", "update", "HBASE", "dim_customer", "c_custkey,c_name,c_nationkey", "c_custkey", None),
@@ -39,7 +54,7 @@ class Views:
         return self._made[name]
 
     def table(self, name: str) -> DataFrame:
-        return self.once(name, lambda: table(self.spark, self.folder, name))
+        return self.once(name, lambda: table(self.spark, self.folder, name, TABLES[name]))
 
     @cached_property
     def page_log(self) -> DataFrame:

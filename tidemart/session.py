@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,10 +37,11 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tidemart-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared work folder; a local one only where the cluster names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tidemart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The cluster's shared work folder, from ``spark.checkpoint.dir``; a local one only where that is unset."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
