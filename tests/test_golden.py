@@ -303,10 +303,11 @@ def longest_match(run, known):
 
 def test_longest_match_equals_brute_force(spark):
     rng = random.Random(11)
-    letters = "天地玄黄宇宙"
+    letters = "天地玄黄宇宙𠀀"
     text = lambda low, high: "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
     known = {text(2, 9) for _ in range(60)}
-    runs = [text(1, 40) for _ in range(80)] * 2
+    # short, repeated and long runs; the long ones are longer than the stretches they are looked at in
+    runs = [text(1, 40) for _ in range(80)] * 2 + [text(250, 270) for _ in range(10)] + [text(1_000, 1_500)] * 2
     rows = spark.createDataFrame([(n, f"{r}x{r}") for n, r in enumerate(runs)], "n int, text string")
     dictionary = spark.createDataFrame([(w,) for w in known], "word string")
     got = {}

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.operators.sizing import broadcast_if_small, own_exchange
+from tidemart.sources.parsing import computed_once
 
 # a run of letters and digits other than Han, or a run of Han characters; the plain ASCII ranges add nothing but are
 # what most characters are decided by
 WORD_PATTERN = r"([a-z0-9[\p{L}\p{N}&&[^\p{IsHan}]]]+|\p{IsHan}+)"
 HAN_PATTERN = r"^\p{IsHan}"
+STRETCH = 256
 
 # fixed values: the sources of product keyword counts
 PRODUCT_SOURCES = {"click_ct": "CLICK", "cart_ct": "CART", "order_ct": "ORDER"}
@@ -20,49 +22,83 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(1))
 
 
-def _cut(run: Column, matches: Column) -> Column:
-    """Walk ``run`` from the left taking the longest match at each place, single characters elsewhere."""
-    singles = F.transform(
-        F.sequence(F.lit(1), F.length(run)), lambda at: F.struct(at.alias("at"), F.lit(-1).alias("shorter"))
-    )
-    candidates = F.array_sort(F.concat(singles, matches))
-    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("found"))
-
-    def step(done: Column, c: Column) -> Column:
-        size = -c["shorter"]
-        taken = F.struct(
-            (c["at"] + size).alias("next"),
-            F.concat(done["found"], F.array(F.substring(run, c["at"], size))).alias("found"),
-        )
-        return F.when(c["at"] >= done["next"], taken).otherwise(done)
+def _taken(matches: Column) -> Column:
+    """Of matches sorted by place, those a walk from the left takes: each begins after the one taken before."""
+    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<at:int,size:int>>").alias("found"))
+
+    def step(done: Column, m: Column) -> Column:
+        grown = F.struct((m["at"] + m["size"]).alias("next"), F.concat(done["found"], F.array(m)).alias("found"))
+        return F.when(m["at"] >= done["next"], grown).otherwise(done)
+
+    return F.aggregate(matches, start, step, lambda done: done["found"])
+
 
-    return F.aggregate(candidates, start, step, lambda done: done["found"])
+def _longest_matches(chars: DataFrame, known: DataFrame, longest: int) -> DataFrame:
+    """``_id, at, size``: the longest dictionary word beginning at each place of each run.
+
+    Runs are looked at in overlapping stretches, so that the work grows with their length and not with its square.
+    """
+
+    def stretch(number: Column) -> Column:
+        base = number * STRETCH
+        text = F.array_join(F.slice("_chars", base + 1, F.lit(STRETCH + longest - 1)), "")
+        return F.struct(base.alias("base"), text.alias("text"))
+
+    last = F.call_function("div", F.size("_chars") - 1, F.lit(STRETCH)).cast("int")
+    stretches = chars.select("_id", F.inline(F.transform(F.sequence(F.lit(0), last), stretch)))
+    places = stretches.withColumn(
+        "place", F.explode(F.sequence(F.lit(1), F.least(F.lit(STRETCH), F.length("text"))))
+    ).filter(F.col("place") < F.length("text"))
+    room = F.least(F.lit(longest), F.length("text") - F.col("place") + 1)
+    words_here = F.transform(
+        F.sequence(F.lit(2), room),
+        lambda size: F.struct(size.alias("size"), F.col("text").substr(F.col("place"), size).alias("_word")),
+    )
+    candidates = places.select("_id", (F.col("base") + F.col("place")).alias("at"), F.inline(words_here))
+    found = candidates.join(broadcast_if_small(known, "_word"), "_word", "left_semi")
+    return found.groupBy("_id", "at").agg(F.max("size").alias("size"))
 
 
 def cut_runs(runs: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """``run -> pieces`` for distinct Han runs, by longest match against ``dictionary(word)``.
+    """``run -> pieces`` for distinct Han runs, by longest match against ``dictionary(word)`` from the left.
 
-    The candidate length is the longest dictionary word, so no word can be missed.
+    Candidates are as long as the longest dictionary word, so no word can be missed. Matches that overlap form
+    islands; a match that begins where all earlier ones have ended begins a new island whatever was taken before, so
+    each island is walked on its own.
     """
     known = dictionary.select(F.col("word").alias("_word")).filter(F.length("_word") > 1).distinct()
-    longest = known.agg(F.max(F.length("_word"))).first()[0] or 1
-    places = runs.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("at")).filter(
-        F.col("at") < F.length("run")
+    longest = known.agg(F.max(F.length("_word"))).first()[0]
+    # a long run travels under its digest
+    key = F.when(F.length("run") <= 64, F.col("run")).otherwise(F.sha2("run", 256))
+    chars = computed_once(
+        runs.select("run", key.alias("_id")), "_chars", F.regexp_extract_all("run", F.lit("(.)"), F.lit(1))
     )
-    room = F.length("run") - F.col("at") + 1
-    candidates = (
-        places.filter(F.lit(longest) >= 2)
-        .withColumn("size", F.explode(F.sequence(F.lit(2), F.greatest(F.lit(2), F.least(F.lit(longest), room)))))
-        .withColumn("_word", F.expr("substring(run, at, size)"))
+    if longest is None:
+        return chars.select("run", F.col("_chars").alias("pieces"))
+
+    place = Window.partitionBy("_id").orderBy("at")
+    reach = F.max(F.col("at") + F.col("size")).over(place.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.coalesce(F.col("at") < reach, F.lit(False)), 0).otherwise(1)
+    islands = (
+        _longest_matches(chars, known, longest)
+        .withColumn("_begins", begins)
+        .withColumn("_island", F.sum("_begins").over(place))
     )
-    matched = (
-        candidates.join(broadcast_if_small(known, "_word"), "_word", "left_semi")
-        .groupBy("run")
-        .agg(F.collect_list(F.struct("at", (-F.col("size")).alias("shorter"))).alias("matches"))
+    taken = islands.groupBy("_id", "_island").agg(
+        _taken(F.array_sort(F.collect_list(F.struct("at", "size")))).alias("taken")
     )
-    none = F.array().cast("array<struct<at:int,shorter:int>>")
-    return runs.join(matched, "run", "left").select(
-        "run", _cut(F.col("run"), F.coalesce("matches", none)).alias("pieces")
+    chosen = taken.groupBy("_id").agg(F.array_sort(F.flatten(F.collect_list("taken"))).alias("taken"))
+
+    def piece_and_gap(m: Column, number: Column) -> Column:
+        end = m["at"] + m["size"]
+        following = F.coalesce(F.get("taken", number + 1)["at"], F.size("_chars") + 1)
+        word = F.array_join(F.slice("_chars", m["at"], m["size"]), "")
+        return F.concat(F.array(word), F.slice("_chars", end, following - end))
+
+    before = F.slice("_chars", F.lit(1), F.get("taken", F.lit(0))["at"] - 1)
+    pieces = F.concat(before, F.flatten(F.transform("taken", piece_and_gap)))
+    return chars.join(chosen, "_id", "left").select(
+        "run", F.when(F.col("taken").isNull(), F.col("_chars")).otherwise(pieces).alias("pieces")
     )
 
 
