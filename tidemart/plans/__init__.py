@@ -1,4 +1,4 @@
 from tidemart.plans.backfill import Backfill, Settings
-from tidemart.plans.pipelines import product_stats_from, visitor_stats_from_log
+from tidemart.plans.pipelines import visitor_stats_from_log
 
-__all__ = ["Backfill", "Settings", "product_stats_from", "visitor_stats_from_log"]
+__all__ = ["Backfill", "Settings", "visitor_stats_from_log"]

@@ -51,23 +51,3 @@ def visitor_stats_from_log(
         *VISITOR_MEASURES,
         "ts",
     )
-
-
-def product_stats_from(
-    pages: DataFrame,
-    orders: DataFrame,
-    payments: DataFrame,
-    favors: DataFrame,
-    carts: DataFrame,
-    refunds: DataFrame,
-    comments: DataFrame,
-    sku: DataFrame,
-    spu: DataFrame,
-    category3: DataFrame,
-    trademark: DataFrame,
-    size: str = stats.WINDOW,
-) -> DataFrame:
-    """Product metrics with names. ``orders`` may be the order pairs before enrichment: no dimension is read there,
-    the names are joined to the few aggregated rows."""
-    rows = measures.product_measures(pages, orders, payments, favors, carts, refunds, comments)
-    return stats.enrich_product_stats(stats.product_sums(rows, size), sku, spu, category3, trademark)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import day_of_millis, millis_of_text, time_text
 from tidemart.operators import cdc, dims, keywords, logs, measures, serving, stats, visits, wide
-from tidemart.plans.pipelines import product_stats_from, visitor_stats_from_log
+from tidemart.plans.pipelines import visitor_stats_from_log
 from tidemart.plans.views import Views
 from tidemart.schemas import ORDER_INFO_DDL, ORDER_WIDE_COLUMNS, PAGE_LOG_DDL, PAYMENT_WIDE_COLUMNS
 from tidemart.session import apply_runtime_conf
@@ -285,9 +285,8 @@ def order_wide_coalesce(v: Views) -> DataFrame:
 
 @query
 def payment_interval_join(v: Views) -> DataFrame:
-    return wide.payment_wide(v.payment_info, _order_wide(v)).select(
-        "payment_id", "order_id", "detail_id", "callback_time", "order_create_time"
-    )
+    near = wide.order_pairs(v.order_info, v.order_detail, NEAR)
+    return _payments(v, near).select("payment_id", "order_id", "detail_id", "callback_time", "order_create_time")
 
 
 @query
@@ -356,9 +355,8 @@ def _pairs(v: Views) -> DataFrame:
     return v.once("far pairs", lambda: wide.order_pairs(v.order_info, v.order_detail, FAR))
 
 
-def _payments(v: Views) -> DataFrame:
-    """Paid pairs: the wide columns no product measure reads stay empty and are pruned."""
-    pairs = _pairs(v)
+def _payments(v: Views, pairs: DataFrame) -> DataFrame:
+    """Paid pairs: dimension columns are not asked for, so they stay empty and no dimension is read."""
     absent = {c: F.lit(None).cast("string") for c in ORDER_WIDE_COLUMNS if c not in pairs.columns}
     return wide.payment_wide(v.payment_info, pairs.withColumns(absent))
 
@@ -385,7 +383,7 @@ def product_measures_favor_cart(v: Views) -> DataFrame:
 
 @query
 def product_measures_payment(v: Views) -> DataFrame:
-    return measures.payment_measures(_payments(v)).select(
+    return measures.payment_measures(_payments(v, _pairs(v))).select(
         "sku_id", "order_kind", "kind_order_id", "payment_amount", time_text(F.col("event_time")).alias("at")
     )
 
@@ -404,21 +402,16 @@ def product_measures_comment(v: Views) -> DataFrame:
     )
 
 
-def _product_stats(v: Views) -> DataFrame:
-    return product_stats_from(
-        logs.page_log(v.page_log),
-        _pairs(v),
-        _payments(v),
-        v.favor,
-        v.cart,
-        v.refund,
-        v.comment,
-        v.dim_sku,
-        v.dim_spu,
-        v.dim_category3,
-        v.dim_trademark,
-        MONTH,
+def _product_sums(v: Views) -> DataFrame:
+    """Product metrics without names, for queries that show none."""
+    rows = measures.product_measures(
+        logs.page_log(v.page_log), _pairs(v), _payments(v, _pairs(v)), v.favor, v.cart, v.refund, v.comment
     )
+    return stats.product_sums(rows, MONTH)
+
+
+def _product_stats(v: Views) -> DataFrame:
+    return stats.enrich_product_stats(_product_sums(v), v.dim_sku, v.dim_spu, v.dim_category3, v.dim_trademark)
 
 
 @query
@@ -428,7 +421,7 @@ def product_stats(v: Views) -> DataFrame:
 
 @query
 def gmv(v: Views) -> DataFrame:
-    return serving.gmv(_product_stats(v), ORDER_DAY)
+    return serving.gmv(_product_sums(v), ORDER_DAY)
 
 
 @query
@@ -499,7 +492,7 @@ def product_keywords(v: Views) -> DataFrame:
 
 @query
 def product_keyword_sources(v: Views) -> DataFrame:
-    return keywords.keyword_sources(_product_stats(v).select("stt", "sku_id", "click_ct", "cart_ct", "order_ct"))
+    return keywords.keyword_sources(_product_sums(v).select("stt", "sku_id", "click_ct", "cart_ct", "order_ct"))
 
 
 def _keyword_search(v: Views) -> DataFrame:
