@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import age_years, parse_time
 from tidemart.operators import dims
 from tidemart.schemas import ORDER_WIDE_COLUMNS, PAYMENT_WIDE_COLUMNS
+from tidemart.sources.parsing import computed_once
 
 ORDER_BOUND = timedelta(seconds=5)
 PAYMENT_BOUND = timedelta(seconds=1800)
@@ -17,7 +18,7 @@ PAYMENT_BOUND = timedelta(seconds=1800)
 
 def with_event_time(df: DataFrame, text: str, target: str) -> DataFrame:
     """Parse the event time once; a frame that already carries it is left alone."""
-    return df if target in df.columns else df.withColumn(target, parse_time(F.col(text)))
+    return df if target in df.columns else computed_once(df, target, parse_time(F.col(text)))
 
 
 def _micros(span: timedelta) -> int:
