@@ -31,9 +31,11 @@ def build_session(app: str = "tidemart", master: str | None = None, conf: dict[s
 
 
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
-    """Set :data:`BASE_CONF` on a session somebody else created."""
+    """Set :data:`BASE_CONF` on a session somebody else created, where that session has no value of its own."""
+    own = dict(spark.sparkContext.getConf().getAll())
     for key, value in BASE_CONF.items():
-        spark.conf.set(key, value)
+        if key not in own:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -43,5 +45,14 @@ def _local_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared work folder, from ``spark.checkpoint.dir``; a local one only where that is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
+    """The work folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Without that setting a local session gets a temporary folder; on a cluster it is an error, as every executor would
+    write to its own disk.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or "local-cluster" in spark.sparkContext.master:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_dir()
