@@ -29,19 +29,12 @@ def words_of(text: Column) -> Column:
     return F.split(F.trim(text, F.lit(SPACE)), r"[\x20\x09-\x0D]+")
 
 
-def votes(words: Column) -> Column:
-    """Terms of an array of words as ``struct<hash, weight>``."""
-    weight = lambda w, n: F.length(w) + F.coalesce(F.length(n), F.lit(0))
-    return F.zip_with(
-        words,
-        F.slice(words, F.lit(2), F.size(words)),
-        lambda w, n: F.struct(F.xxhash64(w, n).alias("hash"), weight(w, n).cast("long").alias("weight")),
-    )
-
-
 def simhash(texts: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
     """``keys`` and ``fp``: one fingerprint for each combination of ``keys``, over the terms of all its ``words``."""
-    term = texts.select(*keys, F.explode(votes(F.col(words))).alias("term")).select(*keys, "term.hash", "term.weight")
+    after = F.slice(words, F.lit(2), F.size(words))
+    pairs = texts.select(*keys, F.inline(F.arrays_zip(F.col(words), after)).alias("_word", "_next"))
+    weight = F.length("_word") + F.coalesce(F.length("_next"), F.lit(0))
+    term = pairs.select(*keys, F.xxhash64("_word", "_next").alias("hash"), weight.cast("long").alias("weight"))
     lane = lambda i: F.sum(F.shiftrightunsigned("hash", i).bitwiseAND(F.lit(LANES)) * F.col("weight"))
     counted = term.groupBy(*keys).agg(
         F.sum("weight").alias("_votes"), *[lane(i).alias(f"_{i}") for i in range(BITS // 2)]

@@ -5,17 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, fingerprints, mixing, simhash_trees, token_files, toxicity
+from tidemart.llm import (
+    chat,
+    exact_dedup,
+    fingerprints,
+    licenses,
+    mixing,
+    packing,
+    simhash_trees,
+    token_files,
+    toxicity,
+    url_reputation,
+)
 from tidemart.llm.work import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 
 
-def held_out() -> F.Column:
+def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
@@ -35,6 +46,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(mixing.schedule(table(spark, folder, "documents")))
 
@@ -50,6 +65,21 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
+
+
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    records = table(spark, folder, "conversations").select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    test = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    records = records.union(spark.createDataFrame(test, records.schema))
+    turns = chat.canonical(records, fields=("role", "text")).select("conv_id", "turn", F.posexplode("turns").alias("at", "_t"))
+    chats = chat.formatted(turns.select("conv_id", "turn", "at", "_t.*"), "conv_id", ["turn", "at"])
+    return chat.digests(chats, "conv_id")
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     dedup = exact_dedup.ExactDedup(spark)
@@ -64,6 +94,13 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.index(spark, path)
 
 
+def op9_urls(spark: SparkSession, folder: str) -> DataFrame:
+    # a page's outcome is the label of the document of the same number
+    bad = ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("bad")
+    outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), bad)
+    return url_reputation.judged(table(spark, folder, "pages"), outcomes).drop("bad_rate_low")
+
+
 def op10_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_trees.near_components(table(spark, folder, "documents")).select(
         "doc_id", simhash_trees.hex_print().alias("fingerprint"), "component_id"
@@ -73,7 +110,8 @@ def op10_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
     for fn in (
-        op1_toxicity, op3_mixing, op4_fingerprints, op7_exact_dedup, op8_token_files, op10_simhash_trees,
+        op1_toxicity, op2_licenses, op3_mixing, op4_fingerprints, op5_packing, op6_chat, op7_exact_dedup,
+        op8_token_files, op9_urls, op10_simhash_trees,
     )
 }
 
