@@ -24,7 +24,11 @@ from tidemart.session import ROCKSDB
 
 # rows of a group that one task compares with the kept text
 HITS_PER_SALT = 1000
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # many small stores: space set aside for their logs would be larger than they are
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -47,15 +51,18 @@ class ExactDedup:
             F.input_file_name().alias("locator"),
         )
         rows.write.mode("append").parquet(f"{self.folder}/inbox")
-        before = self.spark.conf.get(PROVIDER, None)
-        self.spark.conf.set(PROVIDER, ROCKSDB)
+        conf = self.spark.conf
+        before = {key: conf.get(key, None) for key in STATE_CONF}
+        for key, value in STATE_CONF.items():
+            conf.set(key, value)
         try:
             self._state(rows.schema).awaitTermination()
         finally:
-            if before is None:
-                self.spark.conf.unset(PROVIDER)
-            else:
-                self.spark.conf.set(PROVIDER, before)
+            for key, value in before.items():
+                if value is None:
+                    conf.unset(key)
+                else:
+                    conf.set(key, value)
 
     def _state(self, schema):
         folder = self.folder
