@@ -111,6 +111,7 @@ def canonical(rows: DataFrame, mappings: Iterable[Mapping] = MAPPINGS, fields: I
 
 
 def _role(value: Column) -> Column:
+    """A role as this library names it, for layouts that use other names."""
     names = F.create_map(*[F.lit(x) for pair in ROLE_NAMES.items() for x in pair])
     return F.coalesce(F.try_element_at(names, value), value, F.lit(""))
 
@@ -122,11 +123,10 @@ def _turns(m: Mapping) -> Column:
             F.col(path),
             lambda x: F.struct(_role(x.getField(role)).alias("role"), F.coalesce(x.getField(text), F.lit("")).alias("text")),
         )
+    # a role that is a field of the row stays as it is
     return F.array(
         *[
-            F.struct(
-                (_role(F.col(role[1:])) if role.startswith("$") else F.lit(role)).alias("role"), F.col(path).alias("text")
-            )
+            F.struct((F.col(role[1:]) if role.startswith("$") else F.lit(role)).alias("role"), F.col(path).alias("text"))
             for role, path in m.turns
         ]
     )
