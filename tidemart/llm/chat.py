@@ -67,16 +67,18 @@ def present_paths(schema: T.StructType, only: Iterable[str]) -> Column:
     """The sorted paths of a row's non-null fields, below the columns ``only``, as one string."""
     found: list[tuple[str, Column]] = []
 
+    def in_elements(value: Column, name: str) -> Column:
+        return F.coalesce(F.exists(value, lambda x: x[name].isNotNull()), F.lit(False))
+
     def walk(path: str, value: Column, kind: T.DataType) -> None:
         if isinstance(kind, T.StructType):
             for f in kind.fields:
-                walk(f"{path}.{f.name}", value.getField(f.name), f.dataType)
+                walk(f"{path}.{f.name}", value[f.name], f.dataType)
             return
         found.append((path, value.isNotNull()))
         if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
             for f in kind.elementType.fields:
-                has = F.exists(value, lambda x, n=f.name: x.getField(n).isNotNull())
-                found.append((f"{path}[].{f.name}", F.coalesce(has, F.lit(False))))
+                found.append((f"{path}[].{f.name}", in_elements(value, f.name)))
 
     for f in schema.fields:
         if f.name in set(only):
@@ -121,7 +123,7 @@ def _turns(m: Mapping) -> Column:
         path, role, text = m.array
         return F.transform(
             F.col(path),
-            lambda x: F.struct(_role(x.getField(role)).alias("role"), F.coalesce(x.getField(text), F.lit("")).alias("text")),
+            lambda x: F.struct(_role(x[role]).alias("role"), F.coalesce(x[text], F.lit("")).alias("text")),
         )
     # a role that is a field of the row stays as it is
     return F.array(

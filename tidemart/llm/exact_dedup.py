@@ -1,6 +1,6 @@
 """Exact deduplication as a stream with keyed state that never expires.
 
-Each run stages ``digest, doc_id, row, locator`` of its rows in an inbox folder; a stream over the inbox keeps, per
+Each run stages ``doc_id, digest, feed, row, locator`` of its rows in an inbox folder; a stream over the inbox keeps, per
 digest, the stable identifier of the row that stays, its content locator and the number of rows. The state lives in
 RocksDB on the executors' disks, is checkpointed below the shared folder and outlives the run: a later ``feed`` on the
 same folder meets everything seen before. Rows of one digest are combined before the shuffle, so a group that holds a
@@ -14,6 +14,7 @@ without rows gives none; other columns are not read.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -47,6 +48,7 @@ class ExactDedup:
         rows = docs.select(
             "doc_id",
             self.digest(lower_ascii(text_of())).alias("digest"),
+            F.lit(time.time_ns()).alias("feed"),
             F.monotonically_increasing_id().alias("row"),
             F.input_file_name().alias("locator"),
         )
@@ -68,7 +70,7 @@ class ExactDedup:
         folder = self.folder
         arriving = self.spark.readStream.schema(schema).parquet(f"{folder}/inbox")
         groups = arriving.groupBy("digest").agg(
-            F.max(F.struct("doc_id", "row", "locator")).alias("keep"), F.count("*").alias("group_size")
+            F.max(F.struct("doc_id", "feed", "row", "locator")).alias("keep"), F.count("*").alias("group_size")
         )
 
         def publish(batch: DataFrame, number: int) -> None:
@@ -84,7 +86,7 @@ class ExactDedup:
         )
 
     def rows(self) -> DataFrame:
-        """Every row fed so far: ``doc_id, digest, row, locator``."""
+        """Every row fed so far: ``doc_id, digest, feed, row, locator``; ``feed`` and ``row`` together tell rows apart."""
         return self.spark.read.parquet(f"{self.folder}/inbox")
 
     def groups(self) -> DataFrame:
@@ -95,18 +97,19 @@ class ExactDedup:
         )
 
     def decisions(self, docs: DataFrame) -> DataFrame:
-        """``doc_id, row, keep_id, group_size, kept, digest`` for every row fed; ``docs`` gives the texts of hits."""
+        """``doc_id, feed, row, keep_id, group_size, kept, digest`` for every row fed; ``docs`` gives the texts of hits."""
         rows = self.rows()
-        decided = rows.join(self.groups(), "digest").select(
-            "doc_id", "row", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size",
-            "digest",
+        # a table of its own, so that a digest of very many rows can be split over tasks in the join
+        groups = staged(self.groups(), "groups")
+        chosen = (F.col("feed") == F.col("keep.feed")) & (F.col("row") == F.col("keep.row"))
+        decided = rows.join(groups, "digest").select(
+            "doc_id", "feed", "row", F.col("keep.doc_id").alias("keep_id"), "group_size", chosen.alias("kept"), "digest"
         )
         decided = staged(decided, "decided")
         hits = staged(self._hits(docs, decided.where("group_size > 1")), "hits")
         collided = self._collided(hits)
-        plain = decided.join(collided, "digest", "left_anti").withColumn("kept", F.col("row") == F.col("keep_row"))
-        columns = ["doc_id", "row", "keep_id", "group_size", "kept", "digest"]
-        return plain.select(columns).unionByName(_regrouped(decided, hits, collided).select(columns))
+        plain = decided.join(collided, "digest", "left_anti")
+        return plain.unionByName(_regrouped(decided, hits, collided).select(plain.columns))
 
     def _hits(self, docs: DataFrame, rows: DataFrame) -> DataFrame:
         """The normalised texts of all rows that share their digest."""
@@ -136,13 +139,15 @@ def _regrouped(decided: DataFrame, hits: DataFrame, collided: DataFrame) -> Data
     """Decisions for the rows of collided digests, by their texts."""
     own = hits.join(collided, "digest")
     by_text = own.groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    found = own.select("doc_id", "digest", "text").distinct().join(by_text, ["digest", "text"]).drop("text")
-    rows = decided.select("doc_id", "row", "digest").join(collided, "digest")
+    # rows that repeat an identifier and have one digest count as one document
+    one = own.groupBy("doc_id", "digest").agg(F.min("text").alias("text"))
+    found = one.join(by_text, ["digest", "text"])
+    rows = decided.select("doc_id", "feed", "row", "digest").join(collided, "digest")
     same = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["digest"] == found["digest"])
-    joined = rows.join(found, same).select(rows["doc_id"], "row", rows["digest"], "keep_id", "group_size")
-    last = F.max(F.when(F.col("doc_id").eqNullSafe(F.col("keep_id")), F.col("row")))
-    group = Window.partitionBy("digest", "keep_id")
-    return joined.withColumn("kept", F.col("row").eqNullSafe(last.over(group)))
+    joined = rows.join(found, same).select(rows["doc_id"], "feed", "row", rows["digest"], "keep_id", "group_size", "text")
+    place = F.struct("feed", "row")
+    last = F.max(F.when(F.col("doc_id").eqNullSafe(F.col("keep_id")), place))
+    return joined.withColumn("kept", place.eqNullSafe(last.over(Window.partitionBy("digest", "text")))).drop("text")
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:

@@ -58,7 +58,8 @@ def _shingle(words: list[Column]) -> Column:
 
 def _signature(shingles: Column) -> Column:
     """One minimum for each band."""
-    return F.array(*[F.array_min(F.transform(shingles, lambda s, i=i: F.xxhash64(s, F.lit(i)))) for i in range(BANDS)])
+    least = lambda band: F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, F.lit(band))))
+    return F.array(*[least(i) for i in range(BANDS)])
 
 
 def template_table(docs: DataFrame, templates: dict[str, str]) -> DataFrame:

@@ -20,8 +20,11 @@ from tidemart.llm import (
     toxicity,
     url_reputation,
 )
+from tidemart.llm.oracle import ORACLE_SQL
 from tidemart.llm.work import table
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 
@@ -114,5 +117,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_files, op9_urls, op10_simhash_trees,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -1,13 +1,14 @@
 """URL filters: written rules first, empirical-Bayes reputation of hosts for the rest.
 
 Labelled outcomes of pages (bad or not) are counted by host. A suffix's rate is shrunk towards the rate of all pages, a
-registered domain's towards its suffix, a host's towards its domain: each level's posterior mean and strength is the
-beta prior of the next. A level's strength is fitted by the method of moments from the spread of its members' rates. A
+registered domain's towards its suffix, a host's towards its domain: the posterior of each level, without the member's
+own counts, is the beta prior of the next. How far members follow their parent is fitted for each level by the method of
+moments from the spread of their rates, and a prior is never surer than the counts it comes from. A
 host is blocked if even the lower bound of its posterior rate of bad pages is above the limit; hosts without labels take
 the posterior of the level above.
 
 Defined cases: a null url, or one without ``://``, has empty host and path; an address of one label is its own domain
-and suffix; without labels the prior rate is 0 and nothing is blocked by reputation; repeated pages are judged alike; a
+and suffix; without labels nothing is blocked by reputation; repeated pages are judged alike; a
 table without rows gives none; other columns are not read.
 """
 
@@ -29,6 +30,8 @@ RULES = (
 )
 LIMIT, DEVIATIONS = 0.5, 1.64
 WEAKEST, STRONGEST = 1.0, 1000.0
+# of bad and of good pages, before any label
+PRIOR = 0.5
 
 
 def with_places(pages: DataFrame) -> DataFrame:
@@ -80,24 +83,31 @@ def strength(children: DataFrame) -> float:
 
 
 def _shrunk(children: DataFrame, *keep: str) -> DataFrame:
-    """``keep, a, b``: the beta posterior of each member of a level from ``bad, n`` and its parent's ``mean``."""
-    agreement = F.lit(strength(children))
-    prior = agreement * F.col("mean")
-    a, b = prior + F.col("bad"), agreement - prior + F.col("n") - F.col("bad")
-    return children.select(*keep, a.alias("a"), b.alias("b"))
+    """``keep, a, b``: posteriors of a level's members from ``bad, n`` and their parents' posteriors ``a, b``.
+
+    A member's prior is its parent's posterior without the member's own counts, and no surer than that.
+    """
+    a, b = F.col("a") - F.col("bad"), F.col("b") - (F.col("n") - F.col("bad"))
+    others = children.select(*keep, "bad", "n", (a + b).alias("known"), (a / (a + b)).alias("mean"))
+    weight = F.least(F.lit(strength(others)), F.col("known"))
+    return others.select(
+        *keep,
+        (weight * F.col("mean") + F.col("bad")).alias("a"),
+        (weight * (1 - F.col("mean")) + F.col("n") - F.col("bad")).alias("b"),
+    )
 
 
 def reputations(hosts: DataFrame) -> DataFrame:
     """``host, a, b``: beta posterior of every host from its counts ``host, bad, n`` (zero where it has no labels)."""
     counted = hosts.withColumn("domain", domain(F.col("host"))).withColumn("suffix", suffix(F.col("host")))
     add = lambda df, *keys: df.groupBy(*keys).agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    mean = (F.col("a") / (F.col("a") + F.col("b"))).alias("mean")
     domains = add(counted, "domain", "suffix")
     suffixes = add(domains, "suffix")
     total = suffixes.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
-    rate = F.lit(total.bad / total.n if total.n else 0.0).alias("mean")
-    of_suffix = _shrunk(suffixes.select("*", rate), "suffix").select("suffix", mean)
-    of_domain = _shrunk(domains.join(of_suffix, "suffix"), "domain").select("domain", mean)
+    bad, good = total.bad or 0, (total.n or 0) - (total.bad or 0)
+    every = [F.lit(PRIOR + bad).alias("a"), F.lit(PRIOR + good).alias("b")]
+    of_suffix = _shrunk(suffixes.select("*", *every), "suffix")
+    of_domain = _shrunk(domains.join(of_suffix, "suffix"), "domain")
     return _shrunk(counted.join(of_domain, "domain"), "host")
 
 
