@@ -194,8 +194,9 @@ def test_token_files_hold_the_ids_of_whole_texts(spark, documents, clashing, tok
 def test_pieces_table_may_overflow(tokenizer, monkeypatch):
     monkeypatch.setattr(token_files, "PIECES_KEPT", 3)
     encoder = token_files.Encoder(VOCABULARY, 1)
-    for text in ["a b c d e f g", "h i j", "a b c d e f g"]:
-        assert list(np.frombuffer(encoder.ids(text), "<u4")) == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    for text in ["a b c d e f g", "H i. j, k", "a b c. d e f g", *filter(None, TRICKY), "x. y.. é. it's. 5. ."]:
+        (ids,) = encoder.batch([text])
+        assert list(np.frombuffer(ids, "<u4")) == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
 def test_files_are_coded_and_indexed(spark, sf):
