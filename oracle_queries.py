@@ -145,13 +145,13 @@ STEPS = {
         SELECT is_new, cast(sum(uv_ct) AS bigint) AS uv_ct, cast(sum(pv_ct) AS bigint) AS pv_ct,
                cast(sum(sv_ct) AS bigint) AS sv_ct, cast(sum(uj_ct) AS bigint) AS uj_ct,
                cast(sum(dur_sum) AS bigint) AS dur_sum
-        FROM m_visitor WHERE substr(stt, 1, 10) = '2024-01-15' GROUP BY is_new""",
+        FROM m_visitor WHERE substr(stt, 1, 10) = '2024-01-01' GROUP BY is_new""",
     "by_hour": """
         SELECT cast(substr(stt, 12, 2) AS integer) AS hr,
                cast(sum(CASE WHEN is_new = '1' THEN uv_ct ELSE 0 END) AS bigint) AS new_uv,
                cast(sum(uv_ct) AS bigint) AS uv_ct, cast(sum(pv_ct) AS bigint) AS pv_ct,
                cast(sum(uj_ct) AS bigint) AS uj_ct
-        FROM m_visitor WHERE substr(stt, 1, 10) = '2024-01-15' GROUP BY 1""",
+        FROM m_visitor WHERE substr(stt, 1, 10) = '2024-01-01' GROUP BY 1""",
     "kpis": """
         SELECT *,
                CASE WHEN uv_ct = 0 OR sv_ct = 0 THEN 0 ELSE (uj_ct * 20000 + sv_ct) // (2 * sv_ct) END AS rate_units,
@@ -275,6 +275,21 @@ STATEMENTS = {
                        cast(-1 AS bigint) AS "offset" FROM customer
                 UNION ALL
                 SELECT o_custkey, o_orderstatus, o_orderpriority, o_orderdate, o_orderkey FROM orders)) WHERE rn = 1""",
+    "dim_upsert_columns": """
+        WITH c AS (
+            SELECT c_custkey::varchar AS id, c_name AS name, NULL AS status, c_mktsegment AS label, -1 AS seq, false AS gone
+            FROM customer
+            UNION ALL
+            SELECT o_custkey::varchar, NULL, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END,
+                   o_orderkey, o_orderkey % 97 = 0 FROM orders),
+        d AS (SELECT *, coalesce(max(CASE WHEN gone THEN seq END) OVER (PARTITION BY id), -2) AS last_gone FROM c)
+        SELECT id, arg_max(name, seq) FILTER (WHERE name IS NOT NULL) AS name,
+               arg_max(status, seq) FILTER (WHERE status IS NOT NULL) AS status,
+               arg_max(label, seq) FILTER (WHERE label IS NOT NULL) AS label
+        FROM d WHERE seq > last_gone GROUP BY id""",
+    "cdc_dead_letters": """
+        SELECT 'not json ' || o_orderkey AS value, 'record' AS reason FROM orders WHERE o_orderkey % 50 = 0
+        UNION ALL SELECT '[100' || o_orderkey || ']', 'data' FROM orders WHERE o_orderkey % 50 = 1""",
     "dim_lookup": """
         SELECT sku_id, cast(click_ct AS bigint) AS click_ct, cast(display_ct AS bigint) AS display_ct, sku_name,
                category3_id, spu_id, tm_id FROM p_page LEFT JOIN d_sku ON id = sku_id""",

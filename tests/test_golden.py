@@ -254,7 +254,11 @@ def test_gmv_of_an_empty_day(spark):
     rows = spark.createDataFrame([("2024-01-01 00:00:00", Decimal("5.00"))], "stt string, order_amount decimal(18,2)")
     assert serving.gmv(rows, 20240101).first()[0] == 5
     assert serving.gmv(rows, 20240102).first()[0] == 0
-    assert serving.iso_day(0) == serving.iso_day(None) == datetime.now().date().isoformat()
+    today = spark.range(1).select(serving.iso_day(0), serving.iso_day(None), F.current_date().cast("string")).first()
+    assert len(set(today)) == 1
+    for bad in ("2024011", "20241301", "yesterday"):
+        with pytest.raises(ValueError):
+            serving.iso_day(bad)
 
 
 def test_keyword_score_order(spark):

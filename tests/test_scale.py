@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators import cdc, dims, keywords, logs, measures, serving, stats, visits, wide
-from tidemart.operators.sizing import broadcast_if_small, own_exchange
 from tidemart.plans import Backfill, Settings, registry
 from tidemart.plans.views import Views
 
@@ -110,15 +109,7 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     assert "l_extendedprice" in schema and "l_comment" not in schema and "l_tax" not in schema
 
 
-def test_broadcast_only_when_counted_small(spark, shuffled):
-    broadcast = lambda rows: "BroadcastHashJoin" in plan(
-        spark.range(5_000).join(broadcast_if_small(spark.range(rows), "id", max_rows=100), "id")
-    )
-    assert broadcast(100) and not broadcast(101)
-
-
-def test_a_large_dictionary_and_a_hot_text_are_joined_by_shuffle(spark, shuffled, monkeypatch):
-    monkeypatch.setattr(keywords, "broadcast_if_small", lambda df, *keys: own_exchange(df, *keys))
+def test_a_large_dictionary_and_a_hot_text_are_joined_by_shuffle(spark, shuffled):
     rows = hot(spark).select("n", F.when(F.col("k") == 0, "天地玄黄").otherwise(F.concat(F.lit("宇宙"), "payload")).alias("text"))
     dictionary = spark.createDataFrame([("天地",), ("玄黄",), ("宇宙",)], "word string")
     found = keywords.tokenize(rows, "text", dictionary=dictionary)

@@ -223,6 +223,34 @@ def test_base_db_job(spark, replay, tmp_path):
     ]
 
 
+def test_every_change_is_stored_or_a_dead_letter(spark, replay, tmp_path):
+    """Routes of one dimension with different columns, and records nobody can read: good + dead = read."""
+    source = replay("cdc")
+    change = lambda kind, data, seq: (f'{{"table":"t","type":"{kind}","data":{data}}}', seq)
+    sent = [
+        change("insert", '{"id":"1","name":"a","city":"x"}', 1),
+        change("insert", '{"id":"2","name":"b","city":"y"}', 2),
+        change("update", '{"id":"1","name":"a2","city":"ignored"}', 3),
+        change("insert", '{"name":"nobody","city":"z"}', 4),
+        change("insert", "[1, 2, 3]", 5),
+        ("not json", 6),
+    ]
+    for record in sent:
+        source.add(spark.createDataFrame([record], "value string, seq bigint"))
+    routes = [("t", "insert", "hbase", "dim_t", "id,name,city", "id", None), ("t", "update", "hbase", "dim_t", "id,name", "id", None)]
+    facts, dims, dead = (str(tmp_path / n) for n in ("facts", "dims", "dead"))
+    jobs.base_db(
+        source.stream("value string, seq bigint", files_per_batch=2),
+        lambda: spark.createDataFrame(routes, TABLE_PROCESS_DDL),
+        facts, dims, str(tmp_path / "ck"), buckets=2, trigger=NOW, dead=dead,
+    ).awaitTermination()
+    from tidemart.streaming import DimTable
+
+    table = DimTable(f"{dims}/DIM_T", "id", ("id", "name", "city"), 2)
+    assert rows(table.read(spark), "id", "name", "city") == [("1", "a2", "x"), ("2", "b", "y")]
+    assert sorted(r.reason for r in spark.read.parquet(dead).collect()) == ["data", "key", "record"]
+
+
 def test_routing_is_read_again_for_every_batch(spark, replay, tmp_path):
     """A route taken away stops routing at the next micro-batch, and the other way round."""
     source = replay("cdc")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.operators.sizing import broadcast_if_small
-from tidemart.sources.parsing import computed_once
+from tidemart.operators.sizing import own_exchange
+from tidemart.schemas import CDC_DDL
+from tidemart.sources.parsing import computed_once, parse_records
 
 SINK_DIMENSION = "hbase"
 SINK_FACT = "kafka"
@@ -17,6 +18,16 @@ def valid_changes(cdc: DataFrame) -> DataFrame:
     return cdc.filter(F.col("table").isNotNull() & F.col("data").isNotNull() & (F.length("data") > 3))
 
 
+def dead_letters(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``value, reason`` (and ``keep``) of change records that routing can't read: no JSON, or ``data`` no flat object."""
+    good, bad = parse_records(records, CDC_DDL, value, keep)
+    parsed = computed_once(valid_changes(good), "_map", F.from_json("data", "map<string,string>"))
+    no_map = parsed.filter(F.col("_map").isNull())
+    return bad.select(*keep, F.col(value).alias("value"), F.lit("record").alias("reason")).unionByName(
+        no_map.select(*keep, F.col("data").alias("value"), F.lit("data").alias("reason"))
+    )
+
+
 def _is_kept(name: Column, columns: Column) -> Column:
     keep_all = F.coalesce(F.length(columns), F.lit(0)) == 0
     return keep_all | F.array_contains(F.split(columns, ","), name)
@@ -43,7 +54,7 @@ def route(cdc: DataFrame, routing: DataFrame, prune: bool = True) -> DataFrame:
     changes = computed_once(
         valid_changes(cdc).withColumn("type", kind), "data", F.from_json("data", "map<string,string>")
     ).filter(F.col("data").isNotNull())
-    conf = broadcast_if_small(one_route_per_key(routing), "source_table", "operate_type").select(
+    conf = own_exchange(one_route_per_key(routing), "source_table", "operate_type").select(
         F.col("source_table").alias("table"),
         F.col("operate_type").alias("type"),
         F.lower("sink_type").alias("sink_type"),
@@ -76,6 +87,42 @@ def dimension_rows(
     return changes.filter(F.col("sink_table") == sink_table.upper()).select(*columns, *extra)
 
 
+def column_states(
+    changes: DataFrame, pk: str, columns: tuple[str, ...], data: str = "data", order: str = "_seq", kind: str = "_type"
+) -> DataFrame:
+    """One row per key: for each column ``struct<seq, value>`` of the newest change that carries it, and ``_deleted``,
+    the newest delete. States of two sets of changes combine by the maximum of each column (:func:`merged_states`).
+
+    A change carries the columns its map holds; others keep what they had. Maxima combine before the shuffle, so a key
+    that is changed very often stays cheap.
+    """
+    key = F.try_element_at(data, F.lit(pk))
+
+    def newest(name: str) -> Column:
+        state = F.struct(F.col(order).cast("bigint").alias("seq"), F.try_element_at(data, F.lit(name)).alias("value"))
+        return F.max(F.when(F.map_contains_key(data, F.lit(name)), state)).alias(name)
+
+    deleted = F.max(F.when(F.col(kind) == "delete", F.col(order).cast("bigint"))).alias("_deleted")
+    keyed = changes.withColumn("_key", key).filter(F.col("_key").isNotNull())
+    return keyed.groupBy("_key").agg(*[newest(c) for c in columns], deleted)
+
+
+def merged_states(states: DataFrame, columns: tuple[str, ...], *more: str) -> DataFrame:
+    return states.groupBy("_key", *more).agg(*[F.max(c).alias(c) for c in columns], F.max("_deleted").alias("_deleted"))
+
+
+def rows_of_states(states: DataFrame, columns: tuple[str, ...], apply_deletes: bool = False) -> DataFrame:
+    """The dimension rows; with ``apply_deletes`` only what came after a key's newest delete."""
+    if not apply_deletes:
+        return states.select(*[F.col(f"{c}.value").alias(c) for c in columns])
+    gone = F.coalesce(F.col("_deleted"), F.lit(-(1 << 63)).cast("bigint"))
+    alive = {c: F.coalesce(F.col(f"{c}.seq") > gone, F.lit(False)) for c in columns}
+    some = F.lit(False)
+    for live in alive.values():
+        some = some | live
+    return states.filter(some).select(*[F.when(live, F.col(f"{c}.value")).alias(c) for c, live in alive.items()])
+
+
 def latest_rows(changes: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
     """The newest row per key.
 

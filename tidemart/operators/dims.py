@@ -62,7 +62,7 @@ def dim_join(rows: DataFrame, dim: DataFrame, spec: DimSpec) -> DataFrame:
     return joined.withColumns(written).drop("_row", *[f"_k_{k}" for k in spec.keys])
 
 
-USER = DimSpec({"id": "user_id"}, {"_birthday": "birthday", "user_gender": "gender"}, unique=True)
+USER = DimSpec({"id": "user_id"}, {"_birthday": "birthday", "user_gender": "gender"})
 PROVINCE = DimSpec(
     {"id": "province_id"},
     {
@@ -71,16 +71,14 @@ PROVINCE = DimSpec(
         "province_iso_code": "iso_code",
         "province_area_code": "area_code",
     },
-    unique=True,
 )
 SKU = DimSpec(
     {"id": "sku_id"},
     {"sku_name": "sku_name", "category3_id": "category3_id", "spu_id": "spu_id", "tm_id": "tm_id"},
-    unique=True,
 )
-SPU = DimSpec({"id": "spu_id"}, {"spu_name": "spu_name"}, unique=True)
-CATEGORY3 = DimSpec({"id": "category3_id"}, {"category3_name": "name"}, unique=True)
-TRADEMARK = DimSpec({"id": "tm_id"}, {"tm_name": "tm_name"}, unique=True)
+SPU = DimSpec({"id": "spu_id"}, {"spu_name": "spu_name"})
+CATEGORY3 = DimSpec({"id": "category3_id"}, {"category3_name": "name"})
+TRADEMARK = DimSpec({"id": "tm_id"}, {"tm_name": "tm_name"})
 
 SKU_FIELDS = (
     "sku_name", "sku_price", "category3_id", "spu_id", "tm_id", "spu_name", "category3_name", "tm_name",
@@ -101,4 +99,4 @@ def flat_sku(sku: DataFrame, spu: DataFrame, category3: DataFrame, trademark: Da
 
 def flat_sku_spec(with_price: bool = False) -> DimSpec:
     names = SKU_FIELDS if with_price else [n for n in SKU_FIELDS if n != "sku_price"]
-    return DimSpec({"id": "sku_id"}, {n: n for n in names}, unique=True)
+    return DimSpec({"id": "sku_id"}, {n: n for n in names})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.operators.sizing import broadcast_if_small, own_exchange
+from tidemart.operators.sizing import own_exchange
 from tidemart.sources.parsing import computed_once
 
 # a run of letters and digits other than Han, or a run of Han characters; the plain ASCII ranges add nothing but are
@@ -55,7 +55,7 @@ def _longest_matches(chars: DataFrame, known: DataFrame, longest: int) -> DataFr
         lambda size: F.struct(size.alias("size"), F.col("text").substr(F.col("place"), size).alias("_word")),
     )
     candidates = places.select("_id", (F.col("base") + F.col("place")).alias("at"), F.inline(words_here))
-    found = candidates.join(broadcast_if_small(known, "_word"), "_word", "left_semi")
+    found = candidates.join(own_exchange(known, "_word"), "_word", "left_semi")
     return found.groupBy("_id", "at").agg(F.max("size").alias("size"))
 
 

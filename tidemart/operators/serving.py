@@ -6,7 +6,7 @@ prefix, which Parquet scans evaluate themselves; a ``dt`` partition column, wher
 
 from __future__ import annotations
 
-from datetime import date as calendar_date
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,17 +21,20 @@ KEYWORD_WEIGHTS = {"SEARCH": 10, "ORDER": 3, "CART": 2, "CLICK": 1}
 NEW_OLD_LABELS = ("用户数(人)", "总访问页面(次)", "跳出率(%)", "平均在线时长(秒)", "平均访问人数(人次)")
 
 
-def iso_day(date: int | str | None) -> str:
+def iso_day(date: int | str | None) -> Column:
+    """The day as ``yyyy-MM-dd``; today is the session's day. Raises on text that is no date."""
     text = str(date or 0)
     if text == "0":
-        return calendar_date.today().isoformat()
-    return f"{text[:4]}-{text[4:6]}-{text[6:8]}"
+        return F.date_format(F.current_date(), "yyyy-MM-dd")
+    if len(text) != 8:
+        raise ValueError(f"not a yyyyMMdd date: {text}")
+    return F.lit(datetime.strptime(text, "%Y%m%d").date().isoformat())
 
 
 def of_day(stats: DataFrame, date: int | str | None) -> DataFrame:
     day = iso_day(date)
     if "dt" in stats.columns:
-        stats = stats.filter(F.col("dt") == F.lit(day).cast("date"))
+        stats = stats.filter(F.col("dt") == day.cast("date"))
     return stats.filter(F.col("stt").startswith(day))
 
 

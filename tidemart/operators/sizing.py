@@ -1,13 +1,10 @@
-"""Sides of a join: broadcast only what was counted first, and let hot keys be split otherwise."""
+"""Sides of a join, shaped so that adaptive execution can broadcast small ones and split hot keys of others."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
-
 def own_exchange(df: DataFrame, *keys: str) -> DataFrame:
     """Prepare an aggregate on ``keys`` for a join on the same keys.
 
@@ -16,13 +13,3 @@ def own_exchange(df: DataFrame, *keys: str) -> DataFrame:
     per key) aggregate once more restores that shape.
     """
     return df.repartition(F.xxhash64(*keys))
-
-
-def broadcast_if_small(df: DataFrame, *keys: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else prepare it for a shuffled join on ``keys``.
-
-    The count stops after ``max_rows + 1`` rows. Meant for narrow configuration-like tables whose source gives
-    Spark no size estimate (JDBC); Parquet tables carry one, so joins to them need no hint at all.
-    """
-    counted = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else own_exchange(df, *keys)

@@ -28,7 +28,7 @@ DAY = "1 day"
 BOUNCE_MS = 600_000
 TIE = ("event_id",)
 ORDER_DAY = 19980504
-VISIT_DAY = 20240115
+VISIT_DAY = 20240101
 KEYWORD_DAY = 20240118
 AS_OF = "2024-01-01"
 
@@ -194,6 +194,39 @@ def dim_upsert_latest(v: Views) -> DataFrame:
     return cdc.latest_rows(current.unionByName(changes), ["id"], newest).select("id", "status", "label", "offset")
 
 
+@query
+def dim_upsert_columns(v: Views) -> DataFrame:
+    """Inserts, updates that carry fewer columns, and deletes: each column keeps its newest value."""
+    entry = lambda *pairs: F.create_map(*[x for n, c in pairs for x in (F.lit(n), c)])
+    current = v.table("customer").select(
+        entry(("id", F.col("c_custkey").cast("string")), ("name", F.col("c_name")), ("label", F.col("c_mktsegment"))).alias("data"),
+        F.lit(-1).cast("bigint").alias("_seq"),
+        F.lit("insert").alias("_type"),
+    )
+    key, status = ("id", F.col("o_custkey").cast("string")), ("status", F.col("o_orderstatus"))
+    changes = v.table("orders").select(
+        F.when(F.col("o_orderkey") % 2 == 0, entry(key, status, ("label", F.col("o_orderpriority"))))
+        .otherwise(entry(key, status))
+        .alias("data"),
+        F.col("o_orderkey").cast("bigint").alias("_seq"),
+        F.when(F.col("o_orderkey") % 97 == 0, "delete").otherwise("update").alias("_type"),
+    )
+    columns = ("id", "name", "status", "label")
+    return cdc.rows_of_states(cdc.column_states(current.unionByName(changes), "id", columns), columns, apply_deletes=True)
+
+
+@query
+def cdc_dead_letters(v: Views) -> DataFrame:
+    """One order in fifty is no JSON, one has data that is no object."""
+    key = F.col("o_orderkey").cast("string")
+    broken = v.table("orders").select(
+        F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit("not json "), key))
+        .when(F.col("o_orderkey") % 50 == 1, F.concat(F.lit('{"table":"orders","type":"insert","data":[100'), key, F.lit("]}")))
+        .alias("value")
+    )
+    return cdc.dead_letters(v.raw_cdc.unionByName(broken.filter(F.col("value").isNotNull())))
+
+
 # --- dimension lookups and wide rows
 
 
@@ -419,29 +452,38 @@ def product_stats(v: Views) -> DataFrame:
     return _product_stats(v)
 
 
+def _order_sums(v: Views) -> DataFrame:
+    """Product metrics of orders alone, for queries that show nothing else."""
+    return stats.product_sums(measures.unified(measures.order_product_measures(_pairs(v))), MONTH)
+
+
+def _named_order_sums(v: Views) -> DataFrame:
+    return stats.enrich_product_stats(_order_sums(v), v.dim_sku, v.dim_spu, v.dim_category3, v.dim_trademark)
+
+
 @query
 def gmv(v: Views) -> DataFrame:
-    return serving.gmv(_product_sums(v), ORDER_DAY)
+    return serving.gmv(_order_sums(v), ORDER_DAY)
 
 
 @query
 def top_trademark(v: Views) -> DataFrame:
-    return serving.top_trademark(_product_stats(v), ORDER_DAY)
+    return serving.top_trademark(_named_order_sums(v), ORDER_DAY)
 
 
 @query
 def top_category3(v: Views) -> DataFrame:
-    return serving.top_category3(_product_stats(v), ORDER_DAY)
+    return serving.top_category3(_named_order_sums(v), ORDER_DAY)
 
 
 @query
 def top_spu(v: Views) -> DataFrame:
-    return serving.top_spu(_product_stats(v), ORDER_DAY)
+    return serving.top_spu(_named_order_sums(v), ORDER_DAY)
 
 
 @query
 def trademark_series(v: Views) -> DataFrame:
-    arrays = serving.series(serving.top_trademark(_product_stats(v), ORDER_DAY), "tm_name", "order_amount")
+    arrays = serving.series(serving.top_trademark(_named_order_sums(v), ORDER_DAY), "tm_name", "order_amount")
     return arrays.select(F.posexplode(F.arrays_zip("categories", "data")).alias("pos", "p")).select(
         "pos", F.col("p.categories").alias("name"), F.col("p.data").alias("value")
     )

@@ -6,27 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.sources.parsing import parse_rows
 
-# A micro-batch must stay bounded: a stateful operator sees at most this many records at once.
-MAX_OFFSETS_PER_BATCH = 1_000_000
-
 
 def read_topic(
     spark: SparkSession,
     topic: str,
     bootstrap: str,
     group_id: str | None = None,
-    starting_offsets: str = "latest",
-    max_offsets: int = MAX_OFFSETS_PER_BATCH,
+    starting_offsets: str = "earliest",
+    max_offsets: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One topic as a streaming ``value string`` frame; offsets live in the query's checkpoint."""
+    """One topic as a streaming ``value string`` frame; offsets live in the query's checkpoint.
+
+    A first start reads all the topic holds (``starting_offsets="latest"`` skips it). ``max_offsets`` limits a
+    micro-batch; by default it takes all there is.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("maxOffsetsPerTrigger", str(max_offsets))
     )
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets))
     if group_id:
         reader = reader.option("groupIdPrefix", group_id)
     for key, value in (options or {}).items():
@@ -39,16 +41,13 @@ def replay_files(
     path: str,
     schema,
     fmt: str = "parquet",
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Replay a folder of files as a stream, oldest modification time first."""
-    return (
-        spark.readStream.format(fmt)
-        .schema(schema)
-        .option("maxFilesPerTrigger", str(files_per_batch))
-        .option("latestFirst", "false")
-        .load(path)
-    )
+    """A folder of files as a stream, oldest modification time first; ``files_per_batch`` sets the pace of a replay."""
+    reader = spark.readStream.format(fmt).schema(schema).option("latestFirst", "false")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
+    return reader.load(path)
 
 
 def topic_view(

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.operators.cdc import latest_rows
+from tidemart.operators import cdc
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -23,8 +23,9 @@ class DimTable:
     as a new version, and then records which version each bucket is at. Readers follow the newest record, so they
     never see half an upsert, and repeating a micro-batch writes the same version again.
 
-    ``columns`` are text columns, as the routing configuration lists them. ``apply_deletes`` removes rows whose newest
-    change is a delete; by default such a change is stored like any other.
+    ``columns`` are text columns, as the routing configuration lists them. A change writes only the columns it carries;
+    each column keeps its newest value. ``apply_deletes`` removes what is older than a key's newest delete; by default a
+    delete is stored like any other change.
     """
 
     path: str
@@ -35,10 +36,11 @@ class DimTable:
 
     @property
     def _row_ddl(self) -> str:
-        return ", ".join(f"`{c}` string" for c in self.columns) + ", _seq bigint, _type string, _bucket int, _version bigint"
+        states = ", ".join(f"`{c}` struct<seq:bigint,value:string>" for c in self.columns)
+        return f"_key string, {states}, _deleted bigint, _bucket int, _version bigint"
 
     def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.pk), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.xxhash64("_key"), F.lit(self.buckets)).cast("int")
 
     def _versions(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
         """Bucket -> version of the newest record (older than ``before``): at most ``buckets`` entries."""
@@ -58,36 +60,40 @@ class DimTable:
             return spark.createDataFrame([], self._row_ddl)
         base = f"{self.path}/rows"
         folders = [f"{base}/_version={v}/_bucket={b}" for b, v in sorted(versions.items())]
-        # a bucket all of whose rows were deleted has no folder
-        folders = [f for f in folders if not self.apply_deletes or _exists(spark, f)]
-        if not folders:
-            return spark.createDataFrame([], self._row_ddl)
         return spark.read.schema(self._row_ddl).option("basePath", base).parquet(*folders)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The newest complete state; call it per micro-batch to see new versions."""
-        return self._rows(spark, self._versions(spark)).select(*self.columns)
+        states = self._rows(spark, self._versions(spark))
+        return cdc.rows_of_states(states, self.columns, self.apply_deletes)
 
     def upsert(self, changes: DataFrame, upsert_id: int) -> None:
-        """Apply ``changes`` (the columns plus ``_seq`` and ``_type``); ids must increase, repeats are harmless."""
-        rows = changes.select(*self.columns, "_seq", "_type").filter(F.col(self.pk).isNotNull())
-        newest = [F.col("_seq").desc()]
-        incoming = latest_rows(rows, [self.pk], newest).withColumn("_bucket", self._bucket()).persist()
+        """Apply ``changes``: ``_seq``, ``_type`` and either a map ``data`` of what each carries, or the columns.
+
+        Ids must increase, repeats are harmless. Changes without a key are not stored; :meth:`without_key` has them.
+        """
+        states = cdc.column_states(self._with_map(changes), self.pk, self.columns)
+        incoming = states.withColumn("_bucket", self._bucket()).persist()
         # at most ``buckets`` numbers
         touched = sorted(r[0] for r in incoming.select("_bucket").distinct().collect())
         if touched:
-            self._write(incoming, touched, newest, upsert_id)
+            self._write(incoming, touched, upsert_id)
         incoming.unpersist()
 
-    def _write(self, incoming: DataFrame, touched: list[int], newest: list[Column], upsert_id: int) -> None:
+    def _with_map(self, changes: DataFrame) -> DataFrame:
+        if "data" in changes.columns:
+            return changes
+        entries = [x for c in self.columns for x in (F.lit(c), F.col(c))]
+        return changes.withColumn("data", F.create_map(*entries))
+
+    def without_key(self, changes: DataFrame) -> DataFrame:
+        return self._with_map(changes).filter(F.try_element_at("data", F.lit(self.pk)).isNull())
+
+    def _write(self, incoming: DataFrame, touched: list[int], upsert_id: int) -> None:
         spark = incoming.sparkSession
         versions = self._versions(spark, before=upsert_id)
         current = self._rows(spark, {b: versions[b] for b in touched if b in versions})
-        merged = latest_rows(
-            incoming.unionByName(current.drop("_version")), [self.pk, "_bucket"], newest
-        )
-        if self.apply_deletes:
-            merged = merged.filter(F.col("_type") != "delete")
+        merged = cdc.merged_states(incoming.unionByName(current.drop("_version")), self.columns, "_bucket")
         (
             merged.repartition(len(touched), "_bucket")
             .write.mode("overwrite")

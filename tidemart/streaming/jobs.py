@@ -58,10 +58,13 @@ def base_db(
     order: str = "seq",
     buckets: int = 64,
     trigger: dict | None = None,
+    dead: str | None = None,
 ) -> StreamingQuery:
     """Route change records (``value`` and an increasing ``order`` column).
 
-    Facts go to ``facts`` as JSON text partitioned by ``sink_table``; each dimension is upserted below ``dims``.
+    Facts go to ``facts`` as JSON text partitioned by ``sink_table``; each dimension is upserted below ``dims``, column
+    by column. Records that can't be read and dimension changes without a key go to ``dead`` (default: ``facts`` with
+    ``-dead`` added) with a reason.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -69,14 +72,23 @@ def base_db(
         routed = cdc.route(parse_cdc(batch, keep=(order,)), conf).persist()
         changed = cdc.fact_changes(routed).select("sink_table", F.to_json("data").alias("value"))
         append_batch(changed, facts, batch_id, ("sink_table",))
+        letters = cdc.dead_letters(batch, keep=(order,)).drop(order)
         dimensions = cdc.dimension_changes(routed)
-        # a few configuration rows; one dimension may have a route per operation
-        wanted = conf.filter(F.lower("sink_type") == cdc.SINK_DIMENSION).select("sink_table", "sink_columns", "sink_pk")
-        for sink_table, sink_columns, pk in wanted.distinct().collect():
-            table = DimTable(f"{dims}/{sink_table.upper()}", pk or "id", tuple(sink_columns.split(",")), buckets)
-            rows = cdc.dimension_rows(dimensions, sink_table, sink_columns, (order, "type"))
-            renamed = rows.withColumnsRenamed({order: "_seq", "type": "_type"})
-            table.upsert(renamed, batch_id)
+        # a few configuration rows; a dimension may have a route per operation, each with its own columns
+        wanted: dict[str, tuple[str, list[str]]] = {}
+        routes = conf.filter(F.lower("sink_type") == cdc.SINK_DIMENSION).orderBy("sink_table", "operate_type")
+        for r in routes.select("sink_table", "sink_columns", "sink_pk").collect():
+            pk, names = wanted.setdefault(r.sink_table.upper(), (r.sink_pk or "id", []))
+            names += [c for c in r.sink_columns.split(",") if c not in names]
+        for sink_table, (pk, names) in wanted.items():
+            table = DimTable(f"{dims}/{sink_table}", pk, tuple(names), buckets)
+            changes = dimensions.filter(F.col("sink_table") == sink_table).select(
+                "data", F.col(order).alias("_seq"), F.col("type").alias("_type")
+            )
+            table.upsert(changes, batch_id)
+            keyless = table.without_key(changes).select(F.to_json("data").alias("value"), F.lit("key").alias("reason"))
+            letters = letters.unionByName(keyless)
+        append_batch(letters, dead or f"{facts}-dead", batch_id)
         routed.unpersist()
         conf.unpersist()
 
