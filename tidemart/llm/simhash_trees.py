@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.components import components
-from tidemart.llm.work import lower_ascii, staged, text_of
+from tidemart.llm.work import lower_ascii, small_batches, staged, text_of
 
 SHINGLE, SEED, RADIUS, TREES = 4, 42, 4, 3
 # distinct fingerprints the upper trees are built from, at most
@@ -68,6 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             found = np.array([simhash(t, shingle) for t in batch.column("text").to_pylist()], "u8")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view("i8"))], ["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lower_ascii(text_of()).cast("binary").alias("text"))
     return texts.mapInArrow(run, "doc_id long, fp long")
 

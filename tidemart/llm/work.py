@@ -39,3 +39,10 @@ def word_count(text: Column) -> Column:
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows where the session has Spark's default of 10,000: texts may be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, "1000")
