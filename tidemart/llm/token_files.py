@@ -4,8 +4,8 @@ Files hold ``doc_id, n_tokens, ids`` (``ids`` a list of integers that ends with
 this small are dictionary-coded, other integer columns delta-coded (Parquet version 2 pages); row groups and pages are
 limited, and page indexes let a reader fetch the lists of a few documents, or the counts of all, without the rest.
 
-Texts are cut at spaces and line feeds, and each piece is encoded by the tokenizer once per task: the tokenizer cuts
-there itself, so ids are those of the whole text. The table of pieces is emptied when it is full.
+Texts are cut at spaces and line feeds, and the tokenizer encodes each distinct piece once: it cuts there itself, so ids
+are those of the whole text. A worker process keeps its pieces for its next tasks, in a table of bounded size.
 
 Defined cases: null text is the empty text (the end id alone); rows without ``doc_id`` come last; repeated rows are
 documents of their own; a table without rows gives none; other columns are not read.
@@ -13,17 +13,21 @@ documents of their own; a table without rows gives none; other columns are not r
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.work import text_of, work_path
+from tidemart.llm.work import small_batches, text_of, work_path
 
-PIECES_KEPT = 200_000
+PIECES_KEPT = 250_000
+# fixed value: how the vocabulary marks the last token of a word
+WORD_END = "</w>"
 WRITE_OPTIONS = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "true",
@@ -36,7 +40,10 @@ FILE_SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
+
+    Pieces are kept in two generations: when the younger is full it becomes the older, and pieces met again move over.
+    """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
@@ -45,30 +52,76 @@ class Encoder:
         # the strings of special tokens are ordinary text inside a document
         self.tokenizer.encode_special_tokens = True
         self.end = np.array([end_id], "<u4").tobytes()
-        self.pieces: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
-        new = list(set(parts).difference(self.pieces))
+        self.pieces: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.stops = dict(zip(b".,", self._encode([b".", b","]), strict=True))
+
+    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Pieces of letters are one word each and go through the tokenizer as one text, cut again at word ends."""
+        words = [p for p in pieces if p.decode().isalpha()]
+        if len(words) > 1 and self.word_ends.any():
+            (coded,) = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4")
+            ends = (np.flatnonzero(self.word_ends[ids]) + 1) * 4
+            if len(ends) == len(words):
+                flat, cuts = ids.tobytes(), ends.tolist()
+                found = {w: flat[a:b] for w, a, b in zip(words, [0, *cuts[:-1]], cuts, strict=True)}
+                rest = [p for p in pieces if p not in found]
+                found |= zip(rest, self._encode_each(rest), strict=True)
+                return [found[p] for p in pieces]
+        return self._encode_each(pieces)
+
+    def _encode_each(self, pieces: list[bytes]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Add pieces; a stop after a letter is a token of its own, so the word before it serves for both."""
+        if len(self.pieces) + len(new) > PIECES_KEPT:
+            self.older, self.pieces = self.pieces, {}
+        pieces, older = self.pieces, self.older
+        bases = {p: p[:-1] if len(p) > 1 and p[-1] in self.stops and p[-2:-1].isalpha() else p for p in new}
+        unknown = list({b for b in bases.values() if b not in pieces and b not in older})
+        known = dict(zip(unknown, self._encode(unknown), strict=True))
+        for piece, base in bases.items():
+            ids = known.get(base) or pieces.get(base) or older.get(base, b"")
+            pieces[piece] = ids if base is piece else ids + self.stops[piece[-1]]
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        # the tokenizer lower-cases too, and letters of ASCII are the same before and after
+        parts = [t.encode().lower().replace(b"\n", b" ").split(b" ") for t in texts]
+        met = set().union(*parts)
+        new = met.difference(self.pieces)
         if new:
             if len(self.pieces) + len(new) > PIECES_KEPT:
-                self.pieces.clear()
-                new = list(set(parts))
-            for part, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.pieces[part] = np.array(coded.ids, "<u4").tobytes()
-        return b"".join(map(self.pieces.__getitem__, parts)) + self.end
+                new = met
+            self._learn(new)
+        ids = self.pieces.__getitem__
+        return [b"".join(map(ids, p)) + self.end for p in parts]
+
+
+@cache
+def encoder(path: str, end_id: int) -> Encoder:
+    """One encoder for a worker process, kept for its next tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path, end_id)
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """``doc_id, n_tokens, ids`` sorted by ``doc_id`` within and across partitions."""
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end_id)
+        own = encoder(tokenizer, end_id)
         for batch in batches:
             # few documents at a time: lists are several times as large as their texts
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                coded = [encoder.ids(t) for t in part.column("text").to_pylist()]
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                coded = own.batch(part.column("text").to_pylist())
                 counts = np.array([len(c) // 4 for c in coded], "i8")
                 flat = np.frombuffer(b"".join(coded), "<i4")
                 offsets = np.concatenate(([0], counts.cumsum())).astype("i4")
@@ -123,6 +176,8 @@ def _with_starts(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
 def index(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the lists read back from the files."""
 
+    small_batches(spark)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("ids")
