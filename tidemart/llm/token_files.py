@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.work import small_batches, text_of, work_path
 
-PIECES_KEPT = 250_000
+PIECES_KEPT = 500_000
 # fixed value: how the vocabulary marks the last token of a word
 WORD_END = "</w>"
 WRITE_OPTIONS = {
