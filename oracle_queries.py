@@ -387,6 +387,29 @@ STATEMENTS = {
         SELECT doc_id, keyword, count(*) AS ct FROM (
             SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS keyword FROM documents)
         GROUP BY doc_id, keyword""",
+    "tokenize_dictionary": r"""
+        WITH RECURSIVE han AS (
+            SELECT doc_id, translate(lower(text), 'abcdefghijklmnopqrstuvwxyz',
+                                     '天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余') AS t FROM documents),
+        run_of AS (SELECT doc_id, unnest(regexp_extract_all(t, '\p{Han}+')) AS run FROM han),
+        runs AS (SELECT DISTINCT run FROM run_of),
+        known AS (SELECT run AS word FROM runs WHERE length(run) BETWEEN 2 AND 4),
+        walk AS (
+            SELECT run, 1 AS place, CAST(NULL AS varchar) AS piece FROM runs
+            UNION ALL
+            SELECT run, place + length(piece), piece FROM (
+                SELECT run, place,
+                       CASE WHEN substr(run, place, 4) IN (SELECT word FROM known) THEN substr(run, place, 4)
+                            WHEN substr(run, place, 3) IN (SELECT word FROM known) THEN substr(run, place, 3)
+                            WHEN substr(run, place, 2) IN (SELECT word FROM known) THEN substr(run, place, 2)
+                            ELSE substr(run, place, 1) END AS piece
+                FROM walk WHERE place <= length(run)))
+        SELECT doc_id, keyword, count(*) AS ct FROM (
+            SELECT doc_id, piece AS keyword FROM run_of JOIN walk USING (run) WHERE piece IS NOT NULL
+            UNION ALL
+            SELECT doc_id, unnest(regexp_extract_all(regexp_replace(t, '\p{Han}+', ' ', 'g'), '[\p{L}\p{N}]+'))
+            FROM han)
+        GROUP BY doc_id, keyword""",
     "product_keywords": r"""
         SELECT id, unnest(regexp_extract_all(lower(spu_name), '[\p{L}\p{N}]+')) AS keyword FROM d_spu""",
     "product_keyword_sources": "SELECT stt, sku_id, ct, source FROM product_source",
@@ -399,6 +422,14 @@ STATEMENTS = {
             FROM (SELECT keyword, ct, source, stt FROM m_search
                   UNION ALL SELECT keyword, ct, source, stt FROM m_keyword_product)
             WHERE substr(stt, 1, 10) = '2024-01-18' GROUP BY keyword ORDER BY n DESC, keyword LIMIT 20)""",
+    "keyword_score_sources": """
+        SELECT keyword, cast(score AS bigint) AS ct FROM (
+            SELECT keyword, sum(ct * CASE source WHEN 'SEARCH' THEN 10 WHEN 'ORDER' THEN 3 WHEN 'CART' THEN 2
+                                                 WHEN 'CLICK' THEN 1 ELSE 0 END) AS score
+            FROM (SELECT keyword, ct, source, stt FROM m_search
+                  UNION ALL SELECT keyword, ct, source, stt FROM m_keyword_product)
+            WHERE substr(stt, 1, 10) = CASE source WHEN 'ORDER' THEN '1998-05-04' ELSE '2024-01-18' END
+            GROUP BY keyword ORDER BY score DESC, keyword LIMIT 200)""",
 }
 
 

@@ -109,6 +109,58 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     assert "l_extendedprice" in schema and "l_comment" not in schema and "l_tax" not in schema
 
 
+@pytest.fixture
+def whole_plans(spark):
+    key = "spark.sql.maxMetadataStringLength"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "5000")
+    yield
+    spark.conf.set(key, old)
+
+
+ORDER_SCANS = {"o_orderdate": 1, "l_shipdate": 1}
+
+
+@pytest.mark.parametrize(
+    "name, bounded",
+    [
+        *[(n, ORDER_SCANS) for n in ("gmv", "top_trademark", "top_category3", "top_spu", "trademark_series")],
+        *[(n, ORDER_SCANS) for n in ("province_amount", "province_map")],
+        *[(n, {"ts": 3}) for n in ("visitor_by_new", "visitor_by_hour", "visitor_hour_dense", "visitor_kpis")],
+        ("keyword_score", {**ORDER_SCANS, "ts": 3}),
+    ],
+)
+def test_one_day_queries_push_their_day_to_the_scan(spark, sf, whole_plans, name, bounded):
+    text = plan(registry.QUERIES[name](Views(spark, sf)))
+    pushed = [line for line in text.splitlines() if "PushedFilters" in line]
+    for column, least in bounded.items():
+        both = [p for p in pushed if f"GreaterThanOrEqual({column}," in p and f"LessThan({column}," in p]
+        assert len(both) >= least, (column, pushed)
+    # no scan of a fact table without an upper bound
+    facts = [p for p in pushed if any(f"({c}" in p for c in ("o_orderdate", "l_shipdate", "ts"))]
+    assert all("LessThan(" in p for p in facts)
+
+
+@pytest.mark.parametrize("name", ["visitor_by_new", "visitor_kpis", "visitor_hour_dense", "keyword_score_sources"])
+def test_one_day_queries_have_figures_in_every_column(spark, sf, name):
+    rows = [r.asDict() for r in registry.QUERIES[name](Views(spark, sf)).collect()]
+    assert all(any(r[c] for r in rows) for c in rows[0])
+
+
+def test_time_bounds_also_work_on_epoch_millis(spark):
+    rows = spark.range(0, 200, 1).selectExpr("1704067200000 + (id - 50) * 900000 as ts")
+    day = serving.within("ts", 20240101, "1 hour", millis=True)
+    edge = rows.filter(day).agg(F.min("ts"), F.max("ts")).first()
+    assert tuple(edge) == (1704067200000, 1704067200000 + 25 * 3_600_000 - 900_000)
+
+
+def test_a_long_word_adds_one_candidate_at_each_place(spark):
+    runs = spark.createDataFrame([("天地" * 300,)], "run string")
+    dictionary = spark.createDataFrame([("天地",), ("玄" * 200,)], "word string")
+    pieces = keywords.cut_runs(runs, dictionary).first().pieces
+    assert pieces == ["天地"] * 300
+
+
 def test_a_large_dictionary_and_a_hot_text_are_joined_by_shuffle(spark, shuffled):
     rows = hot(spark).select("n", F.when(F.col("k") == 0, "天地玄黄").otherwise(F.concat(F.lit("宇宙"), "payload")).alias("text"))
     dictionary = spark.createDataFrame([("天地",), ("玄黄",), ("宇宙",)], "word string")

@@ -33,11 +33,13 @@ def _taken(matches: Column) -> Column:
     return F.aggregate(matches, start, step, lambda done: done["found"])
 
 
-def _longest_matches(chars: DataFrame, known: DataFrame, longest: int) -> DataFrame:
+def _longest_matches(chars: DataFrame, known: DataFrame, lengths: list[int]) -> DataFrame:
     """``_id, at, size``: the longest dictionary word beginning at each place of each run.
 
     Runs are looked at in overlapping stretches, so that the work grows with their length and not with its square.
+    Candidates have only the ``lengths`` of dictionary words, so one long word adds one candidate at each place.
     """
+    longest = lengths[-1]
 
     def stretch(number: Column) -> Column:
         base = number * STRETCH
@@ -49,9 +51,9 @@ def _longest_matches(chars: DataFrame, known: DataFrame, longest: int) -> DataFr
     places = stretches.withColumn(
         "place", F.explode(F.sequence(F.lit(1), F.least(F.lit(STRETCH), F.length("text"))))
     ).filter(F.col("place") < F.length("text"))
-    room = F.least(F.lit(longest), F.length("text") - F.col("place") + 1)
+    room = F.length("text") - F.col("place") + 1
     words_here = F.transform(
-        F.sequence(F.lit(2), room),
+        F.filter(F.array(*[F.lit(n) for n in lengths]), lambda size: size <= room),
         lambda size: F.struct(size.alias("size"), F.col("text").substr(F.col("place"), size).alias("_word")),
     )
     candidates = places.select("_id", (F.col("base") + F.col("place")).alias("at"), F.inline(words_here))
@@ -62,25 +64,26 @@ def _longest_matches(chars: DataFrame, known: DataFrame, longest: int) -> DataFr
 def cut_runs(runs: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``run -> pieces`` for distinct Han runs, by longest match against ``dictionary(word)`` from the left.
 
-    Candidates are as long as the longest dictionary word, so no word can be missed. Matches that overlap form
+    Candidates are as long as some dictionary word, so no word can be missed. Matches that overlap form
     islands; a match that begins where all earlier ones have ended begins a new island whatever was taken before, so
     each island is walked on its own.
     """
     known = dictionary.select(F.col("word").alias("_word")).filter(F.length("_word") > 1).distinct()
-    longest = known.agg(F.max(F.length("_word"))).first()[0]
+    # numbers below the length of the longest word
+    lengths = sorted(r[0] for r in known.select(F.length("_word")).distinct().collect())
     # a long run travels under its digest
     key = F.when(F.length("run") <= 64, F.col("run")).otherwise(F.sha2("run", 256))
     chars = computed_once(
         runs.select("run", key.alias("_id")), "_chars", F.regexp_extract_all("run", F.lit("(.)"), F.lit(1))
     )
-    if longest is None:
+    if not lengths:
         return chars.select("run", F.col("_chars").alias("pieces"))
 
     place = Window.partitionBy("_id").orderBy("at")
     reach = F.max(F.col("at") + F.col("size")).over(place.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.when(F.coalesce(F.col("at") < reach, F.lit(False)), 0).otherwise(1)
     islands = (
-        _longest_matches(chars, known, longest)
+        _longest_matches(chars, known, lengths)
         .withColumn("_begins", begins)
         .withColumn("_island", F.sum("_begins").over(place))
     )

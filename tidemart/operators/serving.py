@@ -6,7 +6,7 @@ prefix, which Parquet scans evaluate themselves; a ``dt`` partition column, wher
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,41 @@ def of_day(stats: DataFrame, date: int | str | None) -> DataFrame:
     return stats.filter(F.col("stt").startswith(day))
 
 
+def _edges(date: int | str | None, size: str) -> tuple[Column, Column]:
+    """From the day's begin to the end of the last window that begins on it."""
+    day = iso_day(date).cast("timestamp_ntz")
+    return day, day + F.lit(timedelta(days=1)) + F.expr(f"interval '{size}'")
+
+
+def _stored(edge: Column, millis: bool) -> Column:
+    return F.unix_millis(edge.cast("timestamp")) if millis else edge
+
+
+def until(
+    time: str, date: int | str | None, size: str, after: timedelta = timedelta(0), millis: bool = False
+) -> Column:
+    """Rows of source tables up to the end of a day's windows of ``size``, ``after`` later at most."""
+    return F.col(time) < _stored(_edges(date, size)[1] + F.lit(after), millis)
+
+
+def within(
+    time: str,
+    date: int | str | None,
+    size: str,
+    before: timedelta = timedelta(0),
+    after: timedelta = timedelta(0),
+    millis: bool = False,
+) -> Column:
+    """Rows of source tables that a day's windows of ``size`` can depend on: the day pushed down to the scan.
+
+    ``time`` is a stored column, a timestamp or (``millis``) epoch milliseconds; ``before`` and ``after`` are margins for
+    joins and timeouts. The range is compared with constants, so scans skip the files and row groups outside of it.
+    Windows that begin on other days come out incomplete; the day filter of the dataset removes them.
+    """
+    begin = _edges(date, size)[0] - F.lit(before)
+    return (F.col(time) >= _stored(begin, millis)) & until(time, date, size, after, millis)
+
+
 def _total(name: str, kind: str = "bigint") -> Column:
     return F.coalesce(F.sum(name), F.lit(0)).cast(kind).alias(name)
 

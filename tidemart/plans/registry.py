@@ -31,6 +31,14 @@ ORDER_DAY = 19980504
 VISIT_DAY = 20240101
 KEYWORD_DAY = 20240118
 AS_OF = "2024-01-01"
+# days from the orders of ORDER_DAY to the events of KEYWORD_DAY, a multiple of MONTH
+ORDERS_LATER = timedelta(days=9390)
+# event times are rounded to milliseconds or cut to seconds
+ROUNDING = timedelta(seconds=1)
+
+# a Han character for each letter, for texts that a dictionary can cut
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+HAN_LETTERS = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
 
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {}
 
@@ -351,6 +359,14 @@ def _visitor_stats(v: Views, size: str = HOUR) -> DataFrame:
     return visitor_stats_from_log(v.page_log, size, BOUNCE_MS, TIE)
 
 
+def _visitor_day(v: Views, size: str = HOUR) -> DataFrame:
+    """Visitor metrics of one day: its log and a timeout more; first days come from two columns of all days before."""
+    late = timedelta(milliseconds=BOUNCE_MS) + ROUNDING
+    day = v.narrowed(events=serving.within("ts", VISIT_DAY, size, ROUNDING, late))
+    past = v.narrowed(events=serving.until("ts", VISIT_DAY, size, ROUNDING))
+    return visitor_stats_from_log(day.page_log, size, BOUNCE_MS, TIE, logs.first_days(past.page_log))
+
+
 @query
 def visitor_stats(v: Views) -> DataFrame:
     return _visitor_stats(v)
@@ -358,27 +374,27 @@ def visitor_stats(v: Views) -> DataFrame:
 
 @query
 def visitor_by_new(v: Views) -> DataFrame:
-    return serving.visitor_by_new(_visitor_stats(v), VISIT_DAY)
+    return serving.visitor_by_new(_visitor_day(v), VISIT_DAY)
 
 
 @query
 def visitor_kpis(v: Views) -> DataFrame:
-    return serving.with_kpis(serving.visitor_by_new(_visitor_stats(v), VISIT_DAY))
+    return serving.with_kpis(serving.visitor_by_new(_visitor_day(v), VISIT_DAY))
 
 
 @query
 def visitor_by_hour(v: Views) -> DataFrame:
-    return serving.visitor_by_hour(_visitor_stats(v), VISIT_DAY)
+    return serving.visitor_by_hour(_visitor_day(v), VISIT_DAY)
 
 
 @query
 def visitor_hour_dense(v: Views) -> DataFrame:
-    return serving.visitor_hour_dense(_visitor_stats(v), VISIT_DAY)
+    return serving.visitor_hour_dense(_visitor_day(v), VISIT_DAY)
 
 
 @query
 def visitor_new_old_table(v: Views) -> DataFrame:
-    return serving.visitor_new_old_table(_visitor_stats(v), VISIT_DAY)
+    return serving.visitor_new_old_table(_visitor_day(v), VISIT_DAY)
 
 
 # --- product measures and metrics
@@ -461,29 +477,39 @@ def _named_order_sums(v: Views) -> DataFrame:
     return stats.enrich_product_stats(_order_sums(v), v.dim_sku, v.dim_spu, v.dim_category3, v.dim_trademark)
 
 
+def _order_day(v: Views, day: int = ORDER_DAY) -> Views:
+    """The orders of one day's windows, and the lines that can belong to them."""
+    return v.narrowed(
+        orders=serving.within("o_orderdate", day, MONTH, ROUNDING),
+        lineitem=serving.within("l_shipdate", day, MONTH, FAR + ROUNDING, FAR),
+        events=serving.within("ts", day, MONTH, ROUNDING, ROUNDING),
+    )
+
+
 @query
 def gmv(v: Views) -> DataFrame:
-    return serving.gmv(_order_sums(v), ORDER_DAY)
+    return serving.gmv(_order_sums(_order_day(v)), ORDER_DAY)
 
 
 @query
 def top_trademark(v: Views) -> DataFrame:
-    return serving.top_trademark(_named_order_sums(v), ORDER_DAY)
+    return serving.top_trademark(_named_order_sums(_order_day(v)), ORDER_DAY)
 
 
 @query
 def top_category3(v: Views) -> DataFrame:
-    return serving.top_category3(_named_order_sums(v), ORDER_DAY)
+    return serving.top_category3(_named_order_sums(_order_day(v)), ORDER_DAY)
 
 
 @query
 def top_spu(v: Views) -> DataFrame:
-    return serving.top_spu(_named_order_sums(v), ORDER_DAY)
+    return serving.top_spu(_named_order_sums(_order_day(v)), ORDER_DAY)
 
 
 @query
 def trademark_series(v: Views) -> DataFrame:
-    arrays = serving.series(serving.top_trademark(_named_order_sums(v), ORDER_DAY), "tm_name", "order_amount")
+    ranked = serving.top_trademark(_named_order_sums(_order_day(v)), ORDER_DAY)
+    arrays = serving.series(ranked, "tm_name", "order_amount")
     return arrays.select(F.posexplode(F.arrays_zip("categories", "data")).alias("pos", "p")).select(
         "pos", F.col("p.categories").alias("name"), F.col("p.data").alias("value")
     )
@@ -504,12 +530,13 @@ def province_stats(v: Views) -> DataFrame:
 
 @query
 def province_amount(v: Views) -> DataFrame:
-    return serving.province_amount(_province_stats(v), ORDER_DAY)
+    return serving.province_amount(_province_stats(_order_day(v)), ORDER_DAY)
 
 
 @query
 def province_map(v: Views) -> DataFrame:
-    return serving.name_values(serving.province_amount(_province_stats(v), ORDER_DAY), "province_name", "order_amount")
+    amounts = serving.province_amount(_province_stats(_order_day(v)), ORDER_DAY)
+    return serving.name_values(amounts, "province_name", "order_amount")
 
 
 # --- keywords
@@ -532,9 +559,34 @@ def product_keywords(v: Views) -> DataFrame:
     return keywords.tokenize(v.dim_spu, "spu_name").select("id", "keyword")
 
 
+@query
+def tokenize_dictionary(v: Views) -> DataFrame:
+    """Documents in Han characters, one for each letter, cut by the words of two to four characters among them."""
+    han = v.table("documents").select("doc_id", F.translate(F.lower("text"), LETTERS, HAN_LETTERS).alias("text"))
+    whole = keywords.tokenize(han, "text", "word").select("word").distinct()
+    known = whole.filter(F.col("word").rlike(keywords.HAN_PATTERN) & F.length("word").between(2, 4))
+    return keywords.tokenize(han, "text", dictionary=known).groupBy("doc_id", "keyword").agg(F.count(F.lit(1)).alias("ct"))
+
+
+def _counted_sums(v: Views, orders_later: timedelta = timedelta(0)) -> DataFrame:
+    """Product metrics of the sources whose counts give keywords."""
+    orders = measures.order_product_measures(_pairs(v))
+    if orders_later:
+        orders = orders.withColumn("event_time", F.col("event_time") + F.lit(orders_later))
+    pages = measures.page_product_measures(logs.page_log(v.page_log))
+    return stats.product_sums(measures.unified(pages, orders, measures.cart_measures(v.cart)), MONTH)
+
+
+def _product_words(v: Views, orders_later: timedelta = timedelta(0)) -> DataFrame:
+    sums = _counted_sums(v, orders_later)
+    return keywords.product_keywords(
+        stats.enrich_product_stats(sums, v.dim_sku, v.dim_spu, v.dim_category3, v.dim_trademark)
+    )
+
+
 @query
 def product_keyword_sources(v: Views) -> DataFrame:
-    return keywords.keyword_sources(_product_sums(v).select("stt", "sku_id", "click_ct", "cart_ct", "order_ct"))
+    return keywords.keyword_sources(_counted_sums(v).select("stt", "sku_id", "click_ct", "cart_ct", "order_ct"))
 
 
 def _keyword_search(v: Views) -> DataFrame:
@@ -549,10 +601,18 @@ def keyword_stats_search(v: Views) -> DataFrame:
 
 @query
 def keyword_stats_product(v: Views) -> DataFrame:
-    return keywords.product_keywords(_product_stats(v))
+    return _product_words(v)
 
 
 @query
 def keyword_score(v: Views) -> DataFrame:
-    both = _keyword_search(v).unionByName(keywords.product_keywords(_product_stats(v)))
-    return serving.keyword_score(both, KEYWORD_DAY)
+    day = _order_day(v, KEYWORD_DAY)
+    return serving.keyword_score(_keyword_search(day).unionByName(_product_words(day)), KEYWORD_DAY)
+
+
+@query
+def keyword_score_sources(v: Views) -> DataFrame:
+    """All four sources on one day: the orders of ``ORDER_DAY`` count as made later."""
+    day = v.narrowed(**{**_order_day(v).only, "events": _order_day(v, KEYWORD_DAY).only["events"]})
+    both = _keyword_search(day).unionByName(_product_words(day, ORDERS_LATER))
+    return serving.keyword_score(both, KEYWORD_DAY, limit=200, order_by="score")

@@ -42,9 +42,10 @@ ROUTES = [
 
 
 class Views:
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, only: dict[str, Column] | None = None):
         self.spark = spark
         self.folder = folder
+        self.only = only or {}
         self._made: dict[str, DataFrame] = {}
 
     def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
@@ -53,8 +54,12 @@ class Views:
             self._made[name] = make()
         return self._made[name]
 
+    def narrowed(self, **only: Column) -> Views:
+        """The same views over the rows of the named tables that meet a condition on their stored columns."""
+        return Views(self.spark, self.folder, only)
+
     def table(self, name: str) -> DataFrame:
-        return self.once(name, lambda: table(self.spark, self.folder, name, TABLES[name]))
+        return self.once(name, lambda: table(self.spark, self.folder, name, TABLES[name], self.only.get(name)))
 
     @cached_property
     def page_log(self) -> DataFrame:

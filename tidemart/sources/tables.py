@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from tidemart.schemas import TABLE_PROCESS_DDL, struct
 
 
-def table(spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None) -> DataFrame:
+def table(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    schema: StructType | str | None = None,
+    where: Column | None = None,
+) -> DataFrame:
     """One Parquet table; zone-less timestamps become session-zone timestamps (watermarks need them).
 
-    With a declared ``schema`` no file is opened before the query runs.
+    With a declared ``schema`` no file is opened before the query runs. ``where`` sees the columns as they are stored, so
+    that scans can evaluate it.
     """
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.parquet(f"{folder}/{name}.parquet")
+    if where is not None:
+        df = df.filter(where)
     casts = {
         f.name: F.col(f.name).cast("timestamp") for f in df.schema.fields if isinstance(f.dataType, TimestampNTZType)
     }
