@@ -1,6 +1,7 @@
 """Streaming forms against their batch forms, restarts, repeats and late rows."""
 
 from datetime import timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from tidemart.plans.views import ROUTES
 from tidemart.schemas import TABLE_PROCESS_DDL
 from tidemart.sources import topic_view
 from tidemart.streaming import jobs, repair_new_visitors, stateful
+from tidemart.streaming.sinks import append_batch, start_batches
 
 NOW = {"availableNow": True}
 LATER = 40 * 86_400_000
@@ -308,6 +310,28 @@ def test_keyword_and_payment_jobs(spark, views, replay, tmp_path):
     assert rows(spark.read.parquet(paid_out), *columns) == rows(wide.payment_wide(views.payment_info, wide_rows), *columns)
 
 
+def test_a_repeated_batch_is_published_once_to_a_reading_job(spark, tmp_path):
+    out, read = str(tmp_path / "handed"), str(tmp_path / "read")
+    batches = {n: spark.range(5 * n, 5 * n + 5) for n in range(3)}
+
+    def read_on():
+        stream = spark.readStream.schema("id bigint").parquet(out)
+        start_batches(stream, lambda b, i: append_batch(b, read, i), str(tmp_path / "ck"), trigger=NOW).awaitTermination()
+        return spark.read.parquet(read)
+
+    append_batch(batches[0], out, 0)
+    assert read_on().count() == 5
+    # the writing job ends before it records the batch, starts again and repeats it
+    append_batch(batches[0], out, 0)
+    append_batch(batches[1], out, 1)
+    assert rows(read_on(), "id") == [(n,) for n in range(10)]
+    # a batch that ended halfway: its folder has no success mark
+    batches[2].limit(2).write.parquet(f"{out}/batch_id=2")
+    Path(f"{out}/batch_id=2/_SUCCESS").unlink()
+    append_batch(batches[2], out, 2)
+    assert rows(spark.read.parquet(out), "id") == [(n,) for n in range(15)]
+
+
 def test_topic_view_in_sql(spark, views, replay, table_of, tmp_path):
     raw = views.page_log.orderBy("ts").select(F.to_json(F.struct("page", "ts")).alias("value"))
     source = replay("sql")

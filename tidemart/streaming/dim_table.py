@@ -8,11 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators import cdc
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+from tidemart.streaming.sinks import path_exists
 
 
 @dataclass(frozen=True)
@@ -45,7 +41,7 @@ class DimTable:
     def _versions(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
         """Bucket -> version of the newest record (older than ``before``): at most ``buckets`` entries."""
         folder = f"{self.path}/versions"
-        if not _exists(spark, folder):
+        if not path_exists(spark, folder):
             return {}
         records = spark.read.schema("bucket int, version bigint, upsert bigint").parquet(folder)
         if before is not None:

@@ -1,28 +1,31 @@
-"""Sinks that give the same result when a micro-batch is repeated."""
+"""Sinks that give the same result when a micro-batch is repeated, also to jobs that read them as file streams."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ()) -> None:
-    """Write one micro-batch into its own ``batch_id`` partition, below the ``by`` partitions.
+    """Publish one micro-batch once, as its own ``batch_id`` folder with the ``by`` partitions below.
 
-    Only partitions the batch has rows for are replaced, so a repeated batch overwrites itself and nothing else.
+    The folder's success mark is set when all files are in place. A repeated batch that finds the mark writes nothing, so
+    its files keep their names and a job that reads the folder as a file stream doesn't meet the rows again. Without the
+    mark the batch did not end, and is written anew.
     """
-    (
-        df.withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by, "batch_id")
-        .parquet(path)
-    )
+    folder = f"{path}/batch_id={batch_id}"
+    if not path_exists(df.sparkSession, f"{folder}/_SUCCESS"):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(folder)
 
 
 def append_metrics(df: DataFrame, path: str, batch_id: int) -> None:
