@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import logs, measures, stats, visits, wide
 from tidemart.plans.views import ROUTES
 from tidemart.schemas import TABLE_PROCESS_DDL
-from tidemart.sources import topic_view
+from tidemart.sources import feed_rows, feeds, topic_view
 from tidemart.streaming import jobs, repair_new_visitors, stateful
 from tidemart.streaming.sinks import append_batch, start_batches
 
@@ -344,3 +344,50 @@ def test_topic_view_in_sql(spark, views, replay, table_of, tmp_path):
         "SELECT page['item'] AS fullword, rowtime FROM page_view WHERE page['page_id'] = 'good_list' AND page['item'] IS NOT NULL"
     )
     assert table_of(found, tmp_path / "ck").count() == logs.search_fullwords(views.page_log).count() > 0
+
+
+def test_unique_visits_of_one_millisecond_are_the_same_in_both_forms(spark, views, replay, table_of, tmp_path):
+    """Without a tie column the content decides."""
+    pages = logs.page_log(views.page_log).withColumn("ts", F.col("ts") - F.col("ts") % 86_400_000)
+    source = replay("ties")
+    source.add_sorted(pages, ["ts", "event_id"], 1)
+    got = table_of(stateful.unique_visits(source.stream(pages.schema)), tmp_path / "ck")
+    want = visits.unique_visits(pages)
+    assert rows(got, "event_id", "common.mid", "ts") == rows(want, "event_id", "common.mid", "ts")
+    assert rows(want, "event_id") == rows(visits.unique_visits(pages.repartition(7)), "event_id")
+    one = visits.bounces(pages, 600_000)
+    assert rows(one, "event_id") == rows(visits.bounces(pages.repartition(7), 600_000), "event_id")
+
+
+def test_records_become_rows_or_dead_letters(spark, replay, tmp_path):
+    sent = [
+        ('{"id":1,"create_time":"2024-01-01 00:00:01","total_amount":"3.00"}', None),
+        ("not json", "record"),
+        (None, "record"),
+        ('{"create_time":"2024-01-01 00:00:01"}', "key"),
+        ('{"id":2,"create_time":"yesterday"}', "time"),
+        ('{"id":3}', "time"),
+    ]
+    records = spark.createDataFrame([(v,) for v, _ in sent], "value string")
+    source, dead = replay("orders"), str(tmp_path / "dead")
+    source.add(records)
+    stream = source.stream("value string")
+    jobs.dead_letters(stream, feeds.ORDERS, dead, str(tmp_path / "ck"), NOW).awaitTermination()
+    assert rows(feed_rows(records, feeds.ORDERS), "id") == [(1,)]
+    found = {(r.value, r.reason) for r in spark.read.parquet(dead).collect()}
+    assert found == {(v, reason) for v, reason in sent if reason}
+
+
+def test_product_rows_from_records(spark, views):
+    as_json = lambda df: df.select(F.to_json(F.struct("*")).alias("value"))
+    pages = logs.page_log(views.page_log)
+    dims = {
+        "user": views.dim_user, "province": views.dim_province, "sku": views.dim_sku, "spu": views.dim_spu,
+        "category3": views.dim_category3, "trademark": views.dim_trademark,
+    }
+    pairs = wide.order_wide(wide.order_pairs(views.order_info, views.order_detail, timedelta(days=180)), **dims)
+    paid = wide.payment_wide(views.payment_info, pairs, timedelta(days=180))
+    topics = [df.drop("create_ts") for df in (views.favor, views.cart, views.refund, views.comment)]
+    got = jobs.product_rows(pages, pairs, paid, *map(as_json, topics))
+    want = measures.product_measures(pages, pairs, paid, *topics)
+    assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0

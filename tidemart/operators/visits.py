@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions import day_of_millis
@@ -11,15 +11,29 @@ from tidemart.operators.logs import entry_pages, is_entry
 BOUNCE_TIMEOUT_MS = 10_000
 
 
+def visit_order(pages: DataFrame, tie: tuple[str, ...] = ()) -> dict[str, Column]:
+    """Named columns that order a device's pages: time, then ``tie``.
+
+    Without ``tie`` the content decides between pages of one millisecond, so that every run gives the same: first what
+    metrics read, then all columns (maps can't be hashed and are left out).
+    """
+    if tie:
+        return {c: F.col(c) for c in ("ts", *tie)}
+    plain = [f.name for f in pages.schema.fields if "map<" not in f.dataType.simpleString()]
+    read = F.xxhash64("common.vc", "common.ch", "common.ar", "page.last_page_id")
+    return {"ts": F.col("ts"), "_read": read, "_content": F.xxhash64(*plain)}
+
+
 def unique_visits(pages: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
-    """The first entry page of each device and day, from a batch table.
+    """The first entry page of each device and day, from a batch table; pages without time belong to no day.
 
     Spark cuts each task's rows to one per (device, day) before the shuffle, so a hot device is no hot group. The
     streaming form is ``tidemart.streaming.unique_visits``.
     """
-    first = Window.partitionBy("common.mid", "_day").orderBy("ts", *tie)
+    first = Window.partitionBy("common.mid", "_day").orderBy(*visit_order(pages, tie).values())
     return (
         entry_pages(pages)
+        .filter(F.col("ts").isNotNull())
         .withColumn("_day", day_of_millis(F.col("ts")))
         .withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") == 1)
@@ -43,7 +57,8 @@ def bounces(
     A report about a slot is filed one slot later, where the next slot's reports are filed too. On a stream that is
     the window in which the last of them can arrive; the watermark, ``delay_ms`` behind the pages, closes it.
     """
-    order, page = F.struct("ts", *tie), F.struct(*pages.columns)
+    order = F.struct(*[value.alias(name) for name, value in visit_order(pages, tie).items()])
+    page = F.struct(*pages.columns)
     # only entry pages take their columns along; the other reports are times alone
     own = F.struct(
         (F.col("ts") + timeout_ms).alias("filed"),

@@ -20,14 +20,15 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*others, F.inline(F.array(F.struct(value.alias(name)))))
 
 
-def _parsed(df: DataFrame, ddl: str, value: str) -> DataFrame:
+def parsed(df: DataFrame, ddl: str, value: str) -> DataFrame:
+    """``df`` with the record as ``_row``, null or with its text in :data:`CORRUPT` where it can't be read."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return computed_once(df, "_row", F.from_json(F.col(value), f"{ddl}, {CORRUPT} string", options))
 
 
 def parse_rows(df: DataFrame, ddl: str, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows that could be read, as the columns of ``ddl`` (plus the ``keep`` columns of the input)."""
-    good = _parsed(df, ddl, value).filter(F.col("_row").isNotNull() & F.col(f"_row.{CORRUPT}").isNull())
+    good = parsed(df, ddl, value).filter(F.col("_row").isNotNull() & F.col(f"_row.{CORRUPT}").isNull())
     return good.select(*keep, "_row.*").drop(CORRUPT)
 
 
@@ -35,7 +36,7 @@ def parse_records(
     df: DataFrame, ddl: str, value: str = "value", keep: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, dead letters)``: a bad record lands in the second frame instead of failing the job."""
-    dead = _parsed(df, ddl, value).filter(F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull())
+    dead = parsed(df, ddl, value).filter(F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull())
     return parse_rows(df, ddl, value, keep), dead.select(*keep, value)
 
 

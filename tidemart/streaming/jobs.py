@@ -1,6 +1,7 @@
 """The warehouse's streaming jobs: operators between record streams and Parquet datasets.
 
-Each job takes streaming frames and returns a started query. Jobs hand over through datasets, as topics would, so each
+Each job takes streaming frames and returns a started query. ``sources.feed_rows`` makes such frames from a topic's
+records; :func:`dead_letters` beside it keeps the records it leaves out. Jobs hand over through datasets, as topics would, so each
 can restart alone. Frames a job reads beside its streams (dimensions, routing) come from functions called in every
 micro-batch, so new versions are seen.
 """
@@ -23,7 +24,7 @@ from tidemart.schemas import (
     PROVINCE_STATS_COLUMNS,
     VISITOR_STATS_COLUMNS,
 )
-from tidemart.sources import parse_cdc
+from tidemart.sources import Feed, feed_letters, feed_rows, feeds, parse_cdc
 from tidemart.streaming import stateful
 from tidemart.streaming.dim_table import DimTable
 from tidemart.streaming.sinks import append_batch, append_metrics, start_batches, topic_records
@@ -36,6 +37,17 @@ def _stamped(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return (df if "ts" in df.columns else df.withColumn("ts", processing_time_millis())).select(*columns)
 
 
+def dead_letters(
+    records: DataFrame, feed: Feed, out: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the records of a topic that ``sources.feed_rows`` leaves out, with the reason.
+
+    A query of its own, so that jobs with state need no second output; one serves all jobs that read the topic.
+    """
+    letters = feed_letters(records, feed)
+    return start_batches(letters, lambda b, i: append_batch(b, out, i), checkpoint, None, trigger)
+
+
 def base_log(log: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Repair the new flag and split into ``start``, ``page`` and ``display`` datasets below ``out``."""
 
@@ -171,6 +183,27 @@ def visitor_stats(
     return start_batches(stats.visitor_stats(rows, size), write, checkpoint, "visitor_stats", trigger)
 
 
+def product_rows(
+    pages: DataFrame,
+    orders: DataFrame,
+    payments: DataFrame,
+    favors: DataFrame,
+    carts: DataFrame,
+    refunds: DataFrame,
+    comments: DataFrame,
+) -> DataFrame:
+    """The rows of :func:`product_stats`: page, wide order and wide payment datasets, and four topics' records."""
+    return measures.product_measures(
+        pages,
+        orders,
+        payments,
+        feed_rows(favors, feeds.FAVORS),
+        feed_rows(carts, feeds.CARTS),
+        feed_rows(refunds, feeds.REFUNDS),
+        feed_rows(comments, feeds.COMMENTS),
+    )
+
+
 def product_stats(
     rows: DataFrame,
     dims: Callable[[], dict[str, DataFrame]],
@@ -181,7 +214,7 @@ def product_stats(
     delay: str = "0 seconds",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """``rows`` is the streaming ``measures.product_measures``; writes metric rows and the same rows as JSON records."""
+    """``rows`` come from :func:`product_rows`; writes metric rows and the same rows as JSON records."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         names = {k: v for k, v in dims().items() if k in ("sku", "spu", "category3", "trademark")}

@@ -1,7 +1,8 @@
 """Operators that must answer at once and remember: new-visitor repair and daily unique visits.
 
-State lives in the RocksDB store, one small value per key. Rows pass through one by one; only the repair waits, with
-the new-flagged rows of a device it has never seen, for the end of that one micro-batch, which the source bounds.
+State lives in the RocksDB store, one small value per key. Only rows that can read or set state reach Python: new-flagged
+rows for the repair, entry pages for visits. Rows pass through one by one; only the repair waits, with the new-flagged
+rows of a device it has never seen, for the end of that one micro-batch.
 """
 
 from __future__ import annotations
@@ -15,41 +16,37 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemart.functions import day_of_millis
 from tidemart.operators.logs import entry_pages, repaired_flag
+from tidemart.operators.visits import visit_order
 
 
 class FirstDay(StatefulProcessor):
-    """Appends the device's first new day to each of its records."""
+    """Appends the device's first new day to each of its new-flagged records."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._first = handle.getValueState("first_day", "first_day string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first = self._first.get()[0] if self._first.exists() else None
-        waiting = []
+        if self._first.exists():
+            first = self._first.get()[0]
+        else:
+            rows = list(rows)
+            first = min((row["_day"] for row in rows if row["_day"]), default=None)
+            if first:
+                self._first.update((first,))
         for row in rows:
-            if first is None and row["_new"]:
-                waiting.append(row)
-            else:
-                yield self._with_first(row, first)
-        if waiting:
-            first = min(row["_day"] for row in waiting)
-            self._first.update((first,))
-            for row in waiting:
-                yield self._with_first(row, first)
-
-    @staticmethod
-    def _with_first(row: Row, first: str | None) -> Row:
-        return Row(**{**row.asDict(recursive=False), "first_day": first})
+            yield Row(**{**row.asDict(recursive=False), "first_day": first})
 
     def close(self) -> None:
         pass
 
 
 def repair_new_visitors(log: DataFrame) -> DataFrame:
-    """Streaming form of ``operators.logs.repair_new_visitors``; a device's first day is kept for good."""
-    tagged = log.withColumns(
-        {"_day": day_of_millis(F.col("ts"), "yyyyMMdd"), "_new": F.coalesce(F.col("common.is_new") == "1", F.lit(False))}
-    )
+    """Streaming form of ``operators.logs.repair_new_visitors``; a device's first day is kept for good.
+
+    Records that aren't flagged new can't change: they pass beside the state, unshuffled.
+    """
+    flagged = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
+    tagged = log.filter(flagged).withColumn("_day", day_of_millis(F.col("ts"), "yyyyMMdd"))
     schema = StructType(tagged.schema.fields + [StructField("first_day", StringType())])
     seen = (
         tagged.withColumn("_mid", F.col("common.mid"))
@@ -57,7 +54,8 @@ def repair_new_visitors(log: DataFrame) -> DataFrame:
         .transformWithState(FirstDay(), _with_key(schema), "append", "none")
     )
     flag = repaired_flag(F.col("common.is_new"), F.col("ts"), F.col("first_day"))
-    return seen.withColumn("common", F.col("common").withField("is_new", flag)).select(*log.columns)
+    repaired = seen.withColumn("common", F.col("common").withField("is_new", flag)).select(*log.columns)
+    return repaired.union(log.filter(~flagged))
 
 
 def _with_key(schema: StructType) -> StructType:
@@ -79,7 +77,8 @@ class FirstOfDay(StatefulProcessor):
             for _ in rows:
                 pass
             return
-        first = min(rows, key=lambda r: tuple(r[c] for c in self._order))
+        # nulls first, as in sorts
+        first = min(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in self._order))
         self._seen.update((True,))
         self._handle.registerTimer(first["_day_end"])
         yield first
@@ -98,8 +97,11 @@ def unique_visits(pages: DataFrame, delay: str = "0 seconds", tie: tuple[str, ..
     State is keyed by device and day and dropped at the day's end, when the watermark rules out further rows.
     """
     day_end = F.unix_millis(F.date_trunc("day", F.timestamp_millis("ts")) + F.expr("interval 1 day"))
+    order = visit_order(pages, tie)
     entries = (
         entry_pages(pages)
+        .filter(F.col("ts").isNotNull())
+        .withColumns(order)
         .withColumns(
             {
                 "_mid": F.col("common.mid"),
@@ -111,6 +113,6 @@ def unique_visits(pages: DataFrame, delay: str = "0 seconds", tie: tuple[str, ..
         .withWatermark("_time", delay)
     )
     kept = entries.groupBy("_mid", "_day").transformWithState(
-        FirstOfDay(("ts", *tie)), entries.schema, "append", "eventTime"
+        FirstOfDay(tuple(order)), entries.schema, "append", "eventTime"
     )
     return kept.select(*pages.columns)
