@@ -173,6 +173,26 @@ def test_one_document_of_each_group_stays(spark, documents):
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 3, 7]
 
 
+def test_one_row_of_each_group_stays_whatever_its_identifier(spark, documents, clashing):
+    base = " ".join(f"word{i}" for i in range(300))
+    other, third = (" ".join(f"{w}{i}" for i in range(60)) for w in ("other", "third"))
+    rows = [
+        (1, base), (1, other), (1, third), (2, base + " end"),  # one identifier, three texts
+        (None, "no name here at all " * 3), (None, "no name here at all " * 3),  # copies without identifiers
+        (None, other + " end"), (4, third + " end"),
+        (None, None), (9, " "),
+    ]
+    docs = documents(rows, clashing)
+    kept = simhash_trees.one_per_component(docs)
+    assert kept.columns == docs.columns
+    prints = {n: plain_simhash(t) for n, (_, t) in enumerate(rows)}
+    groups = {}
+    for n, label in plain_components(prints, 4).items():
+        groups.setdefault(label, []).append(n)
+    want = [rows[min(g, key=lambda n: (rows[n][0] is None, rows[n][0], n))] for g in groups.values()]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(200)]
     star = [(1000, 1000 + i) for i in range(1, 300)]

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.components import components
@@ -60,17 +60,17 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(begins), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id") -> DataFrame:
+    """``key, fp``: the fingerprint's 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([simhash(t, shingle) for t in batch.column("text").to_pylist()], "u8")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view("i8"))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found.view("i8"))], [key, "fp"])
 
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lower_ascii(text_of()).cast("binary").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    texts = docs.select(F.col(key).cast("long").alias(key), lower_ascii(text_of()).cast("binary").alias("text"))
+    return texts.mapInArrow(run, f"{key} long, fp long")
 
 
 # --- trees
@@ -297,37 +297,49 @@ def links(distinct: DataFrame, radius: int = RADIUS, trees: int = TREES) -> Data
     return dealt.groupBy("tree", "leaf", "task").applyInPandas(join, "a long, b long")
 
 
-def near_components(docs: DataFrame, radius: int = RADIUS, trees: int = TREES, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest ``doc_id`` reachable over links of at most ``radius`` bits."""
-    prints = staged(fingerprints(docs, shingle), "prints")
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+def near_components(
+    docs: DataFrame, radius: int = RADIUS, trees: int = TREES, shingle: int = SHINGLE, key: str = "doc_id"
+) -> DataFrame:
+    """``key, fp, component_id``: the smallest ``key`` reachable over links of at most ``radius`` bits."""
+    prints = staged(fingerprints(docs, shingle, key), "prints")
+    distinct = staged(prints.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
     label = components(links(distinct, radius, trees)).withColumnRenamed("node", "fp")
     joined = staged(
         distinct.join(label, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label")), "joined"
     )
     named = joined.groupBy("label").agg(F.min("first").alias("component_id"))
-    return prints.join(joined.join(named, "label").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id"
-    )
+    return prints.join(joined.join(named, "label").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
 
 
 def hex_print(column: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def one_per_component(docs: DataFrame, **settings: int) -> DataFrame:
-    """The rows of ``docs`` that name their component: one document of each group of near copies.
+# --- one row of each group
+
 
-    Of rows that repeat such a ``doc_id`` one stays. Rows without ``doc_id`` can't be named and all stay.
+def keyed(docs: DataFrame) -> DataFrame:
+    """``_row, _key``: the rows of ``docs`` as structures, with a number that tells every row from all others.
+
+    Numbers depend on how a table is cut into tasks, so they are written once.
     """
-    keep = (
-        near_components(docs, **settings)
-        .where(F.col("doc_id") == F.col("component_id"))
-        .select(F.col("doc_id").alias("_keep"))
-        .distinct()
-    )
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"))
-    first = Window.partitionBy("_id").orderBy(F.xxhash64("_row.text"))
-    named = rows.join(keep, F.col("_id") == F.col("_keep"), "left_semi").withColumn("_nth", F.row_number().over(first))
-    nameless = rows.where("_id IS NULL")
-    return named.where("_nth = 1").select("_row.*").unionByName(nameless.select("_row.*"))
+    return staged(docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_key")), "keyed")
+
+
+def texts_of(rows: DataFrame) -> DataFrame:
+    return rows.select("_key", F.col("_row.text").alias("text"))
+
+
+def first_of_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of the rows of each group (``_key, _group``) the one with the smallest ``doc_id`` (null last), then number."""
+    doc_id = F.col("_row.doc_id").cast("long")
+    place = rows.select("_key", F.struct(doc_id.isNull().alias("nameless"), doc_id.alias("doc_id"), "_key").alias("_place"))
+    first = groups.join(place, "_key").groupBy("_group").agg(F.min("_place").alias("_first"))
+    return rows.join(first.select(F.col("_first._key").alias("_key")), "_key", "left_semi").select("_row.*")
+
+
+def one_per_component(docs: DataFrame, **settings: int) -> DataFrame:
+    """One row of each group of near copies, whatever identifiers its rows have: the first by ``doc_id``, null last."""
+    rows = keyed(docs)
+    found = near_components(texts_of(rows), key="_key", **settings)
+    return first_of_groups(rows, found.select("_key", F.col("component_id").alias("_group")))
