@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import exact_dedup, mixing, packing, simhash_trees, toxicity
+from tidemart.llm import exact_dedup, mixing, near_copies, packing, toxicity
 from tidemart.llm.work import staged, table
 
 
@@ -23,8 +23,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash_trees.one_per_component(docs)
+    """One row of each group of near copies: five-word shingles, four in five alike."""
+    return near_copies.one_per_group(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -45,7 +45,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-# the classifier, the fingerprints' forest and the packing can't be said in SQL
+# the classifier, the forests of near copies and the packing can't be said in SQL
 ORACLE_SQL = None
 
 

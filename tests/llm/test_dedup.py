@@ -7,7 +7,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, simhash_trees
+import corpus_pipeline
+from tidemart.llm import exact_dedup, near_copies, simhash_trees
 from tidemart.llm.components import components
 
 TEXTS = [
@@ -193,6 +194,54 @@ def test_one_row_of_each_group_stays_whatever_its_identifier(spark, documents, c
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
 
 
+# --- the pipeline's stage
+
+
+def plain_shingles(text, size=5):
+    words = lowered(text).encode().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+def plain_groups(rows):
+    """Smallest place reachable over pairs of at least four shared shingles in five, by comparing all pairs."""
+    sets, label = [plain_shingles(t) for _, t in rows], list(range(len(rows)))
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in pairs:
+            if label[i] != label[j]:
+                label[i] = label[j] = min(label[i], label[j])
+                changed = True
+    return label
+
+
+@pytest.mark.parametrize("block", [near_copies.BLOCK_BYTES, 2000])
+def test_near_dedup_stage_equals_all_pairs(spark, documents, clashing, monkeypatch, block):
+    """Copies with one to five edited words, likeness on both sides of 0.8, identifiers repeated or missing."""
+    monkeypatch.setattr(near_copies, "BLOCK_BYTES", block)
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(800)]
+    rows = []
+    for n in range(30):
+        words = rng.choices(vocabulary, k=rng.randint(60, 220))
+        for _ in range(rng.randint(1, 12)):
+            changed = list(words)
+            for _ in range(rng.randint(0, 5)):
+                changed[rng.randrange(len(changed))] = rng.choice(vocabulary)
+            rows.append((rng.choice([None, n, len(rows), len(rows), len(rows)]), " ".join(changed)))
+    rows += [(500, None), (501, ""), (502, " \n"), (503, "One two"), (504, "one  TWO"), (505, "one two three"), (None, "one two")]
+    docs = documents(rows, clashing)
+    kept = corpus_pipeline.without_near_copies(spark, docs, "unused")
+    assert kept.columns == docs.columns
+    members = {}
+    for n, label in enumerate(plain_groups(rows)):
+        members.setdefault(label, []).append(n)
+    want = [rows[min(g, key=lambda n: (rows[n][0] is None, rows[n][0], n))] for g in members.values()]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert corpus_pipeline.without_near_copies(spark, docs.where("false"), "unused").count() == 0
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(200)]
     star = [(1000, 1000 + i) for i in range(1, 300)]
