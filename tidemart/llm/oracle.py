@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemart.llm.chat import CLOSE, CONTROL, END, LEARNED, OPEN
+from tidemart.llm.sharding import DIGITS, SHARDS
 from tidemart.llm.url_reputation import DEVIATIONS, LIMIT, PRIOR, RULES, STRONGEST, WEAKEST
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -143,4 +144,151 @@ SELECT page_id, host, path, {_rule("rule")} AS rule,
 FROM p LEFT JOIN low USING (host)
 """
 
-ORACLE_SQL = {"op3_mixing": MIXING, "op6_chat": CHAT, "op7_exact_dedup": EXACT_DEDUP, "op9_urls": URLS}
+# CRC-32 over half bytes, low half first; the table holds the remainders of the 16 half bytes
+CRC_TABLE = """
+  SELECT list_transform(range(16), lambda n: list_reduce(list_prepend(n, range(4)),
+    lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS halves"""
+
+
+def _crc32(digits: str) -> str:
+    """``digits`` is a column of the text's hexadecimal digits; needs the table's column ``halves``."""
+    nibble = f"instr('0123456789ABCDEF', substr({digits}, xor(i, 1)::BIGINT + 1, 1)) - 1"
+    nibbles = f"list_transform(range(length({digits})), lambda i: {nibble})"
+    return (
+        f"xor(4294967295, list_reduce(list_prepend(4294967295, {nibbles}), "
+        "lambda c, x: xor(c >> 4, halves[(xor(c, x) & 15) + 1])))"
+    )
+
+
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents
+),
+t AS (
+  SELECT n, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'UPPER', 'LOWER') AS term
+  FROM d
+),
+k AS (SELECT lang, term, count(*)::HUGEINT AS total FROM t GROUP BY lang, term HAVING count(DISTINCT n) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+gs AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS of FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source),
+ls AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS of FROM k GROUP BY lang),
+p AS (
+  SELECT lang, gs.source, k.term, coalesce(c.n, 0) AS n, total, ls.of AS lang_of, v,
+         1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (gs.of + v) AS p
+  FROM gs JOIN ls USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // y.p)
+                   FROM p x JOIN p y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+),
+told AS (
+  SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+  FROM (SELECT *, 1 + (1000000000 * (total + 1)) // (lang_of + v) AS q FROM p)
+  WHERE n > 0 AND p > q
+),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM told)
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200
+""".replace("UPPER", UPPER).replace("LOWER", LOWER)
+
+
+def _field(column: str) -> str:
+    text = f"{column}::VARCHAR"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All levels of the trees of ``leaves`` (``tree``, ``nodes``), from level 0 to the one with a single node."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS level, nodes FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, list_transform(range((len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM {name} WHERE len(nodes) > 1
+)"""
+
+
+def _steps(rows: str, levels: str) -> str:
+    """The siblings on the way up, with their side."""
+    other = "nodes[xor(place >> level, 1) + 1]"
+    return f"""
+  SELECT {rows}.tree, place,
+    list(CASE WHEN (place >> level) & 1 = 1 THEN 'L' ELSE 'R' END || coalesce({other}, '') ORDER BY level) AS path
+  FROM {rows} JOIN {levels} ON {rows}.tree = {levels}.tree AND len(nodes) > 1
+  GROUP BY {rows}.tree, place"""
+
+
+MANIFEST = f"""
+WITH RECURSIVE h AS ({CRC_TABLE}),
+d AS (
+  SELECT doc_id, coalesce('+' || lang, '') AS tree, {_leaf('n_chars')} AS leaf,
+         CASE WHEN {_crc32("digits")} % 7 = 0 THEN {_leaf('(n_chars + 1)')} END AS changed
+  FROM (SELECT *, hex(encode(doc_id::VARCHAR)) AS digits FROM documents), h
+),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM d),
+below AS (SELECT tree, list(leaf ORDER BY place) AS nodes FROM l GROUP BY tree),
+{_tree("levels", "below")},
+s AS (
+  SELECT '' AS tree, tree AS name, nodes[1] AS node, row_number() OVER (ORDER BY tree) - 1 AS place
+  FROM levels WHERE len(nodes) = 1
+),
+top AS (SELECT '' AS tree, list(node ORDER BY place) AS nodes FROM s),
+{_tree("upper_levels", "top")},
+inner_steps AS ({_steps("l", "levels")}),
+outer_steps AS ({_steps("s", "upper_levels")}),
+proofs AS (
+  SELECT l.doc_id, l.leaf, s.node AS subroot, (SELECT nodes[1] FROM upper_levels WHERE len(nodes) = 1) AS root,
+         list_concat(coalesce(i.path, []), coalesce(o.path, [])) AS path, coalesce(l.changed, l.leaf) AS start
+  FROM l JOIN s ON l.tree = s.name
+  LEFT JOIN inner_steps i ON i.tree = l.tree AND i.place = l.place
+  LEFT JOIN outer_steps o ON o.place = s.place
+),
+folded AS (
+  SELECT *, list_reduce(list_prepend(start, path), lambda node, step:
+    sha256(CASE WHEN step[1] = 'L' THEN step[2:] || node ELSE node || step[2:] END)) AS folded_root
+  FROM proofs
+)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_prepend('', list_transform(path, lambda s: s[2:])), 'string_agg', '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""
+
+
+def _lot(shard: int) -> str:
+    number = f"('0x' || substr(sha256(coalesce(doc_id::VARCHAR, '') || ':{shard}'), 1, {DIGITS}))::BIGINT"
+    return f"{{'lot': -ln(({number} + 0.5::DOUBLE) / {16**DIGITS}::DOUBLE), 'shard': {shard}}}"
+
+
+def _winner(shards: int) -> str:
+    return f"list_min([{', '.join(map(_lot, range(shards)))}]).shard"
+
+
+SHARDING = f"""
+WITH h AS ({CRC_TABLE}),
+d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, {_crc32("digits")} AS text_crc32,
+         {_winner(SHARDS)} AS shard, {_winner(SHARDS + 1)} AS grown_shard
+  FROM (SELECT *, hex(encode(coalesce(text, ''))) AS digits FROM documents), h
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST) - 1 AS slot
+FROM d
+"""
+
+ORACLE_SQL = {
+    "op3_mixing": MIXING, "op6_chat": CHAT, "op7_exact_dedup": EXACT_DEDUP, "op9_urls": URLS,
+    "op11_divergence": DIVERGENCE, "op12_manifest": MANIFEST, "op13_sharding": SHARDING,
+}

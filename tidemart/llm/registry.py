@@ -10,18 +10,21 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import (
     chat,
+    divergence,
     exact_dedup,
     fingerprints,
     licenses,
+    merkle,
     mixing,
     packing,
+    sharding,
     simhash_trees,
     token_files,
     toxicity,
     url_reputation,
 )
 from tidemart.llm.oracle import ORACLE_SQL
-from tidemart.llm.work import table
+from tidemart.llm.work import table, text_of
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -110,10 +113,40 @@ def op10_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    docs = table(spark, folder, "documents")
+    found = merkle.manifest(docs, changed={"n_chars": F.try_add("n_chars", F.lit(1))}, where=altered)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+        "verified",
+    )
+
+
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    weights = (1,) * sharding.SHARDS
+    placed = sharding.read(spark, sharding.write(docs, weights), docs.schema)
+    text = text_of().cast("binary")
+    return placed.select(
+        "doc_id",
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        sharding.shard_of(sharding.key_of(), (*weights, 1)).alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
     for fn in (
         op1_toxicity, op2_licenses, op3_mixing, op4_fingerprints, op5_packing, op6_chat, op7_exact_dedup,
-        op8_token_files, op9_urls, op10_simhash_trees,
+        op8_token_files, op9_urls, op10_simhash_trees, op11_divergence, op12_manifest, op13_sharding,
     )
 }
