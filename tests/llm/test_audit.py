@@ -95,7 +95,7 @@ def test_rare_prefixes_are_discarded(spark):
     rows = [(b"en", b"alphabet alphas alpine"), (b"en", b"alphabet beta"), (b"en", b"alphorn"), (b"de", b"alphabet")]
     docs = spark.createDataFrame(rows, "lang binary, text binary")
     settings = divergence.Settings()
-    first = divergence.prefix_counts(docs, settings, None, 0, 4).groupBy("lang", "prefix").agg(F.sum("docs").alias("docs"))
+    first = divergence.prefix_counts(docs, settings, None, None, 4).groupBy("lang", "prefix").agg(F.sum("docs").alias("docs"))
     assert {(bytes(r.lang), bytes(r.prefix)): r.docs for r in first.collect()} == {
         (b"en", b"alph"): 3, (b"en", b"alpi"): 1, (b"en", b"beta"): 1, (b"de", b"alph"): 1,
     }

@@ -20,7 +20,6 @@ rows gives none; other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +33,8 @@ from tidemart.llm.work import small_batches, staged
 
 SCALE = 1_000_000_000
 BITS_A_ROW = 8 * 4096
+# bytes of rows whose terms are coded together
+CHUNK_BYTES = 24 << 20
 
 
 @dataclass(frozen=True)
@@ -43,11 +44,11 @@ class Settings:
     least: int = 3
     told: int = 200
     # lengths of prefixes in bytes, before the complete terms
-    prefixes: tuple[int, ...] = (4, 8, 16)
+    prefixes: tuple[int, ...] = (4, 8)
     # bits of a level's table: 4 MB
     bits: int = 1 << 25
     # entries that a task holds before it hands them on
-    held: int = 400_000
+    held: int = 1_000_000
     # terms of a block, sources of a tile
     block: int = 4096
     tile: int = 64
@@ -57,90 +58,171 @@ class Settings:
 SPACED = bytes(c if c >= 0x80 else ord(chr(c).lower()) if chr(c).isalpha() else 0x20 for c in range(256))
 
 
-def terms(text: bytes) -> list[bytes]:
-    return text.translate(SPACED).split()
-
-
-# --- which terms are kept
+class Terms:
+    """The terms of some texts: ``row``, the text of each occurrence, and ``code``, its place among the ``distinct`` ones."""
+
+    def __init__(self, texts: pa.LargeBinaryArray):
+        offsets = np.frombuffer(texts.buffers()[1], "i8")[texts.offset : texts.offset + len(texts) + 1]
+        data = texts.buffers()[2]
+        raw = bytes(data[offsets[0] : offsets[-1]]) if data else b""
+        raw, offsets = np.frombuffer(raw.translate(SPACED), "u1"), offsets - offsets[0]
+        letter = raw != 0x20
+        first, last = letter.copy(), letter.copy()
+        first[1:] &= ~letter[:-1]
+        last[:-1] &= ~letter[1:]
+        # a term ends with its text
+        cuts = offsets[1:-1]
+        cuts = cuts[(cuts > 0) & (cuts < len(raw))]
+        first[cuts], last[cuts - 1] = letter[cuts], letter[cuts - 1]
+        at, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
+        ends = np.concatenate(([0], np.cumsum(stop - at)))
+        buffers = [None, pa.py_buffer(ends), pa.py_buffer(raw[letter])]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(at), buffers).dictionary_encode()
+        # how many terms begin before each text's end
+        n = np.diff(np.searchsorted(at, offsets))
+        self.row, self.code = np.repeat(np.arange(len(texts)), n), coded.indices.to_numpy()
+        self.distinct = coded.dictionary
+
+    def prefixes(self, size: int | None) -> list[bytes]:
+        """The first bytes of the distinct terms."""
+        if not len(self.distinct):
+            return []
+        offsets = np.frombuffer(self.distinct.buffers()[1], "i8")[: len(self.distinct) + 1]
+        data = bytes(self.distinct.buffers()[2])
+        ends = offsets[1:] if size is None else np.minimum(offsets[1:], offsets[:-1] + size)
+        return [data[a:b] for a, b in zip(offsets[:-1].tolist(), ends.tolist(), strict=True)]
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before."""
+    return np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1]))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, pa.Table]]:
+    """The rows of each language, some megabytes of texts at a time."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.nbytes
+        if size > CHUNK_BYTES:
+            yield from _by_lang(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield from _by_lang(waiting)
+
+
+def _by_lang(batches: list[pa.RecordBatch]) -> Iterator[tuple[bytes, pa.Table]]:
+    """The rows of each language, in order of their sources."""
+    rows = pa.Table.from_batches(batches)
+    rows = rows.cast(pa.schema([(c, pa.large_binary()) for c in rows.column_names]))
+    lang = rows["lang"].combine_chunks().dictionary_encode()
+    codes = lang.indices.to_numpy()
+    others = [rows[c].combine_chunks().dictionary_encode().indices.to_numpy() for c in rows.column_names if c == "source"]
+    order = np.lexsort((*others, codes))
+    cuts = np.cumsum(np.bincount(codes, minlength=len(lang.dictionary)))[:-1]
+    for name, at in zip(lang.dictionary.to_pylist(), np.split(order, cuts), strict=True):
+        yield name, rows.take(at).combine_chunks()
+
+
+class Sums:
+    """Counts of a task by their keys, handed on when there are too many of them."""
+
+    def __init__(self, keys: list[str], values: list[str], held: int):
+        self.keys, self.values, self.held, self.parts, self.n = keys, values, held, [], 0
+        self.schema = pa.schema([(k, pa.binary()) for k in keys] + [(v, pa.int64()) for v in values])
+
+    def add(self, *columns: pa.Array) -> Iterator[pa.RecordBatch]:
+        """Counts by keys that differ from each other."""
+        self.parts.append(pa.table(columns, [*self.keys, *self.values]))
+        self.n += len(columns[0])
+        if self.n > 2 * self.held:
+            self.join()
+            if self.n > self.held:
+                yield from self.told()
+
+    def join(self) -> None:
+        if len(self.parts) > 1:
+            every = pa.concat_tables(self.parts).group_by(self.keys, use_threads=False)
+            sums = every.aggregate([(v, "sum") for v in self.values])
+            self.parts = [sums.select([*self.keys, *[f"{v}_sum" for v in self.values]]).rename_columns(self.schema.names)]
+            self.n = sums.num_rows
+
+    def told(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            self.join()
+            yield from self.parts[0].cast(self.schema).to_batches(max_chunksize=50_000)
+        self.parts, self.n = [], 0
 
 
 class Kept:
-    """Tells for terms of a language whether their prefix of the last level was kept; remembers what it was asked."""
-
-    def __init__(self, settings: Settings, bits, before: int, size: int | None):
-        self.settings, self.bits, self.before, self.size = settings, bits.value if bits else None, before, size
-        self.known: dict[bytes, dict[bytes, bytes | None]] = {}
+    """Tells whether the last level kept a term's prefix, by the table of bits."""
 
-    def of(self, lang: bytes, found: set[bytes]) -> dict[bytes, bytes | None]:
-        """For each term its next prefix (the term itself on the last level), or None where the last one was discarded."""
-        known = self.known.setdefault(lang, {})
-        new = found.difference(known)
-        if len(known) + len(new) > self.settings.held:
-            known.clear()
-            new = found
-        if self.bits is None:
-            known |= {t: t[: self.size] for t in new}
-        else:
-            bits, seed, n, size = self.bits, zlib.crc32(lang + b"\0"), self.before, self.settings.bits
-            for term in new:
-                place = zlib.crc32(term[:n], seed) % size
-                known[term] = term[: self.size] if bits[place >> 3] >> (place & 7) & 1 else None
-        return known
+    def __init__(self, settings: Settings, bits, before: int | None):
+        self.table, self.size, self.before = bits.value if bits else None, settings.bits, before
 
+    def places(self, lang: bytes, found: Terms) -> np.ndarray:
+        """Which of the distinct terms ``found`` in a language have a prefix that was kept."""
+        if self.table is None:
+            return np.ones(len(found.distinct), bool)
+        seed, crc32 = zlib.crc32(lang + b"\0"), zlib.crc32
+        place = np.array([crc32(p, seed) for p in found.prefixes(self.before)], "i8") % self.size
+        table = np.frombuffer(self.table, "u1")
+        return (table[place >> 3] >> (place & 7).astype("u1") & 1).astype(bool)
 
-def _rows(names: list[str], columns: list[list], types: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
+def prefix_counts(docs: DataFrame, settings: Settings, bits, before: int | None, size: int) -> DataFrame:
+    """``lang, prefix, docs``: distinct documents that hold a term of this prefix, summed up inside each task."""
 
-def prefix_counts(docs: DataFrame, settings: Settings, bits, before: int, size: int) -> DataFrame:
-    """``lang, prefix, docs``: documents that hold a term of this prefix, summed up inside each task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, sums = Kept(settings, bits, before), Sums(["lang", "prefix"], ["docs"], settings.held)
+        for lang, rows in _chunks(batches):
+            found = Terms(rows["text"].combine_chunks())
+            alive, n = kept.places(lang, found)[found.code], len(rows)
+            prefixes = pa.array(found.prefixes(size), pa.large_binary()).dictionary_encode()
+            of_term = prefixes.indices.to_numpy().astype("i8")
+            keys = np.sort(of_term[found.code[alive]] * n + found.row[alive])
+            # a document counts once for a prefix
+            counts = np.bincount(keys[_changes(keys)] // n, minlength=1)
+            at = np.flatnonzero(counts)
+            names = prefixes.dictionary.take(pa.array(at))
+            yield from sums.add(_same(lang, at), names, pa.array(counts[at], pa.int64()))
+        yield from sums.told()
 
-    def told(counts: dict[bytes, Counter]) -> pa.RecordBatch:
-        keys = [(lang, p, n) for lang, c in counts.items() for p, n in c.items() if p is not None]
-        return _rows(["lang", "prefix", "docs"], list(zip(*keys, strict=True)) or [[], [], []],
-                     [pa.binary(), pa.binary(), pa.int64()])
+    return docs.select("lang", "text").mapInArrow(run, "lang binary, prefix binary, docs long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, counts = Kept(settings, bits, before, size), {}
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = set(terms(text))
-                known = kept.of(lang, found)
-                # a document counts once for a prefix
-                counts.setdefault(lang, Counter()).update(set(map(known.__getitem__, found)))
-            if sum(map(len, counts.values())) > settings.held:
-                yield told(counts)
-                counts.clear()
-        yield told(counts)
 
-    return docs.mapInArrow(run, "lang binary, prefix binary, docs long")
+def _same(value: bytes, places: np.ndarray) -> pa.Array:
+    return pa.repeat(pa.scalar(value, pa.large_binary()), len(places))
 
 
 def term_counts(docs: DataFrame, settings: Settings, bits, before: int) -> DataFrame:
     """``lang, source, term, n, docs``: occurrences and documents of complete terms, summed up inside each task."""
 
-    def told(counts: dict[tuple, tuple[Counter, Counter]]) -> pa.RecordBatch:
-        keys = [(*k, t, n, held[t]) for k, (all_of, held) in counts.items() for t, n in all_of.items() if t is not None]
-        return _rows(["lang", "source", "term", "n", "docs"], list(zip(*keys, strict=True)) or [[]] * 5,
-                     [pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, counts = Kept(settings, bits, before, None), {}
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("lang", "source", "text")]
-            for lang, source, text in zip(*columns, strict=True):
-                every = terms(text)
-                found = set(every)
-                known = kept.of(lang, found)
-                all_of, held = counts.setdefault((lang, source), (Counter(), Counter()))
-                all_of.update(map(known.__getitem__, every))
-                held.update(map(known.__getitem__, found))
-            if sum(len(held) for _, held in counts.values()) > settings.held:
-                yield told(counts)
-                counts.clear()
-        yield told(counts)
-
-    return docs.mapInArrow(run, "lang binary, source binary, term binary, n long, docs long")
+        kept, sums = Kept(settings, bits, before), Sums(["lang", "source", "term"], ["n", "docs"], settings.held)
+        for lang, rows in _chunks(batches):
+            found, n = Terms(rows["text"].combine_chunks()), len(rows)
+            alive = kept.places(lang, found)[found.code]
+            sources = rows["source"].combine_chunks().dictionary_encode()
+            of_row = sources.indices.to_numpy()
+            # by term, then by row, and so by source
+            keys = np.sort(found.code[alive].astype("i8") * n + found.row[alive])
+            code, row = keys // n, keys % n
+            first_of_doc = _changes(keys)
+            at = np.flatnonzero(_changes(code) | _changes(of_row[row]))
+            docs_before = np.append(np.cumsum(first_of_doc) - first_of_doc, first_of_doc.sum())
+            yield from sums.add(
+                _same(lang, at),
+                sources.dictionary.take(pa.array(of_row[row[at]])),
+                found.distinct.take(pa.array(code[at])),
+                pa.array(np.diff(np.append(at, len(keys))), pa.int64()),
+                pa.array(np.diff(np.append(docs_before[at], docs_before[-1])), pa.int64()),
+            )
+        yield from sums.told()
+
+    return docs.select("lang", "source", "text").mapInArrow(
+        run, "lang binary, source binary, term binary, n long, docs long"
+    )
 
 
 def bits_of(found: DataFrame, settings: Settings) -> bytes:
@@ -160,35 +242,43 @@ def bits_of(found: DataFrame, settings: Settings) -> bytes:
 
 
 def kept_counts(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``lang, source, term, n, total``: occurrences of the kept terms in each group and in the language (all binary keys)."""
-    spark, bits, before = docs.sparkSession, None, 0
+    """``lang, source, term, n, total, id, first``: occurrences of the kept terms in each group and in the language.
+
+    Names are binary. ``id`` stands for the term; ``first`` is 1 in one of a term's rows and 0 in the others.
+    """
+    spark, bits, before = docs.sparkSession, None, None
     for size in settings.prefixes:
-        found = prefix_counts(docs, settings, bits, before, size).groupBy("lang", "prefix").agg(F.sum("docs").alias("docs"))
-        table = bits_of(found.where(F.col("docs") >= settings.least), settings)
-        bits, before = spark.sparkContext.broadcast(table), size
-    counts = staged(
-        term_counts(docs, settings, bits, before)
-        .groupBy("lang", "source", "term")
-        .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")),
-        "terms",
+        # tasks have summed up already
+        dealt = prefix_counts(docs, settings, bits, before, size).repartition("lang", "prefix")
+        found = dealt.groupBy("lang", "prefix").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= settings.least)
+        bits, before = spark.sparkContext.broadcast(bits_of(found, settings)), size
+    # one exchange by term serves for the groups' counts and the languages'
+    dealt = term_counts(docs, settings, bits, before).repartition("lang", "term")
+    counts = dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    every = Window.partitionBy("lang", "term")
+    whole = (
+        counts.withColumn("id", F.monotonically_increasing_id())
+        .withColumn("total", F.sum("n").over(every))
+        .withColumn("docs", F.sum("docs").over(every))
+        .withColumn("least", F.min("id").over(every))
     )
-    # a table of its own, so that a term of very many sources can be split over tasks in the join
-    kept = staged(
-        counts.groupBy("lang", "term")
-        .agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"))
-        .where(F.col("docs") >= settings.least)
-        .drop("docs"),
-        "kept",
+    return staged(
+        whole.where(F.col("docs") >= settings.least).select(
+            "lang", "source", "term", "n", "total", F.col("least").alias("id"),
+            (F.col("id") == F.col("least")).cast("int").alias("first"),
+        ),
+        "counts",
     )
-    return counts.drop("docs").join(kept, ["lang", "term"])
 
 
 # --- shares and distances
 
 
-def share(n: str, of: str, kinds: str) -> Column:
-    """Exact beyond 64 bits."""
-    return F.expr(f"1 + (cast({SCALE} AS decimal(10, 0)) * cast({n} + 1 AS decimal(19, 0)) div cast({of} + {kinds} AS decimal(19, 0)))")
+def share(n: str, words: str, kinds: str) -> Column:
+    """Exact also where the product exceeds 64 bits."""
+    wide = f"cast({SCALE} AS decimal(10, 0)) * cast({n} + 1 AS decimal(19, 0)) div cast({words} + {kinds} AS decimal(19, 0))"
+    narrow = f"cast({SCALE} AS bigint) * ({n} + 1) div ({words} + {kinds})"
+    return F.expr(f"1 + CASE WHEN {n} < {SCALE} THEN {narrow} ELSE {wide} END")
 
 
 def distance(p: str, q: str) -> Column:
@@ -200,8 +290,8 @@ def _tile_sums(key: tuple, groups: pd.DataFrame, found: pd.DataFrame, n_terms: i
     groups = groups.sort_values("number")
     row_of = dict(zip(groups["number"], range(len(groups)), strict=True))
     shares = np.repeat(groups["p0"].to_numpy("i8")[:, None], n_terms, axis=1)
-    column = pd.factorize(found["term"])[0]
-    shares[found["number"].map(row_of).to_numpy("i8"), column] = found["p"].to_numpy("i8")
+    column = pd.factorize(found["id"])[0]
+    shares[found["at"].map(row_of).to_numpy("i8"), column] = found["p"].to_numpy("i8")
     i, j = key[2], key[3]
     tile = groups["number"].to_numpy() // size
     left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
@@ -228,12 +318,12 @@ def pair_distances(counts: DataFrame, groups: DataFrame, settings: Settings) ->
     own = F.expr(f"number div {settings.tile}")
     other = F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)).alias("other")
     i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    block = F.pmod(F.xxhash64("term"), blocks).alias("block")
-    found = counts.select("lang", block, "term", "number", "p", own.alias("own"), other).select("*", i, j)
+    block = F.pmod(F.xxhash64("id"), blocks).alias("block")
+    found = counts.select("lang", block, "id", F.col("number").alias("at"), "p", own.alias("own"), other).select("*", i, j)
     dealt = groups.select("lang", "source", "number", "p0", "kinds", own.alias("own"), other).select("*", i, j)
     dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     # sources may lack a term, so a block's terms are counted over all tiles
-    sizes = counts.groupBy("lang", block).agg(F.count_distinct("term").alias("n_terms"))
+    sizes = counts.groupBy("lang", block).agg(F.sum("first").alias("n_terms"))
     dealt = dealt.join(sizes, ["lang", "block"], "left").fillna(0, ["n_terms"])
 
     def run(key: tuple, own_groups: pd.DataFrame, own_found: pd.DataFrame) -> pd.DataFrame:
@@ -253,21 +343,16 @@ def audit(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     small_batches(docs.sparkSession)
     binary = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary").alias(c)
     read = docs.select(binary("lang"), binary("source"), binary("text"))
-    counts = staged(kept_counts(read, settings), "counts")
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("words"))
-    # distinct terms: one more grouping level
-    langs = (
-        counts.groupBy("lang", "term")
-        .agg(F.max("total").alias("total"))
-        .groupBy("lang")
-        .agg(F.count("*").alias("kinds"), F.sum("total").alias("lang_words"))
-    )
+    counts = kept_counts(read, settings)
+    of_groups = counts.groupBy("lang", "source").agg(F.sum("n").alias("words"), F.sum("first").alias("firsts"))
+    of_groups = staged(of_groups, "words")
+    langs = of_groups.groupBy("lang").agg(F.sum("firsts").alias("kinds"), F.sum("words").alias("lang_words"))
     every = Window.partitionBy("lang")
     p0 = F.expr("CASE WHEN kinds > 0 THEN 1 + cast(%d AS bigint) div (words + kinds) ELSE 1 END" % SCALE)
     groups = staged(
         read.select("lang", "source")
         .distinct()
-        .join(totals, ["lang", "source"], "left")
+        .join(of_groups.drop("firsts"), ["lang", "source"], "left")
         .join(langs, "lang", "left")
         .fillna(0, ["words", "kinds", "lang_words"])
         .withColumn("number", F.row_number().over(every.orderBy("source")).cast("long") - 1)
@@ -275,11 +360,10 @@ def audit(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         .withColumn("p0", p0),
         "groups",
     )
-    shares = staged(
+    shares = (
         counts.join(groups, ["lang", "source"])
         .withColumn("p", share("n", "words", "kinds"))
-        .withColumn("q", share("total", "lang_words", "kinds")),
-        "shares",
+        .withColumn("q", share("total", "lang_words", "kinds"))
     )
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     told = (
