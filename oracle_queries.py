@@ -238,6 +238,19 @@ TOP = """
     WHERE substr(stt, 1, 10) = '1998-05-04' GROUP BY {keys} HAVING sum(order_amount) > 0
     ORDER BY order_amount DESC, {keys} LIMIT 10"""
 
+DIM_COLUMNS = """
+    WITH c AS (
+        SELECT c_custkey::varchar AS id, c_name AS name, NULL AS status, c_mktsegment AS label, -1 AS seq, false AS gone
+        FROM customer
+        UNION ALL
+        SELECT o_custkey::varchar, NULL, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END,
+               o_orderkey, o_orderkey % 97 = 0 FROM orders),
+    d AS (SELECT *, coalesce(max(CASE WHEN gone THEN seq END) OVER (PARTITION BY id), -2) AS last_gone FROM c)
+    SELECT id, arg_max(name, seq) FILTER (WHERE name IS NOT NULL) AS name,
+           arg_max(status, seq) FILTER (WHERE status IS NOT NULL) AS status,
+           arg_max(label, seq) FILTER (WHERE label IS NOT NULL) AS label
+    FROM d WHERE seq > last_gone GROUP BY id"""
+
 STATEMENTS = {
     "json_parse_log": f"""
         SELECT {FLAT}, CASE WHEN is_start THEN 'icon' ELSE '' END AS start_entry, n_displays
@@ -275,18 +288,8 @@ STATEMENTS = {
                        cast(-1 AS bigint) AS "offset" FROM customer
                 UNION ALL
                 SELECT o_custkey, o_orderstatus, o_orderpriority, o_orderdate, o_orderkey FROM orders)) WHERE rn = 1""",
-    "dim_upsert_columns": """
-        WITH c AS (
-            SELECT c_custkey::varchar AS id, c_name AS name, NULL AS status, c_mktsegment AS label, -1 AS seq, false AS gone
-            FROM customer
-            UNION ALL
-            SELECT o_custkey::varchar, NULL, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END,
-                   o_orderkey, o_orderkey % 97 = 0 FROM orders),
-        d AS (SELECT *, coalesce(max(CASE WHEN gone THEN seq END) OVER (PARTITION BY id), -2) AS last_gone FROM c)
-        SELECT id, arg_max(name, seq) FILTER (WHERE name IS NOT NULL) AS name,
-               arg_max(status, seq) FILTER (WHERE status IS NOT NULL) AS status,
-               arg_max(label, seq) FILTER (WHERE label IS NOT NULL) AS label
-        FROM d WHERE seq > last_gone GROUP BY id""",
+    "dim_upsert_columns": DIM_COLUMNS,
+    "dim_change_log": DIM_COLUMNS,
     "cdc_dead_letters": """
         SELECT 'not json ' || o_orderkey AS value, 'record' AS reason FROM orders WHERE o_orderkey % 50 = 0
         UNION ALL SELECT '[100' || o_orderkey || ']', 'data' FROM orders WHERE o_orderkey % 50 = 1""",
@@ -410,6 +413,40 @@ STATEMENTS = {
             SELECT doc_id, unnest(regexp_extract_all(regexp_replace(t, '\p{Han}+', ' ', 'g'), '[\p{L}\p{N}]+'))
             FROM han)
         GROUP BY doc_id, keyword""",
+    "tokenize_smart": r"""
+        WITH RECURSIVE han AS (
+            SELECT doc_id, translate(lower(text), 'abcdefghijklmnopqrstuvwxyz',
+                                     '天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余') AS t FROM documents),
+        run_of AS (SELECT doc_id, unnest(regexp_extract_all(t, '\p{Han}+')) AS run FROM han),
+        runs AS (SELECT DISTINCT run FROM run_of),
+        known AS (SELECT run AS word FROM runs WHERE length(run) BETWEEN 2 AND 4),
+        -- the best covers up to a place and the three before: covered, - words, - squares, late words, last piece
+        cover AS (
+            SELECT run, 0 AS place, [[0, 0, 0, 0, 0]] AS best FROM runs
+            UNION ALL
+            SELECT run, place + 1, list_prepend(list_max(list_filter([
+                       list_concat(best[1][1:4], [0]),
+                       CASE WHEN w2 THEN [best[2][1] + 2, best[2][2] - 1, best[2][3] - 4, best[2][4] + 2 * (1 - best[2][2]), 2] END,
+                       CASE WHEN w3 THEN [best[3][1] + 3, best[3][2] - 1, best[3][3] - 9, best[3][4] + 3 * (1 - best[3][2]), 3] END,
+                       CASE WHEN w4 THEN [best[4][1] + 4, best[4][2] - 1, best[4][3] - 16, best[4][4] + 4 * (1 - best[4][2]), 4] END
+                   ], lambda x: x IS NOT NULL)), best[1:3])
+            FROM (
+                SELECT *, place >= 1 AND substr(run, place, 2) IN (SELECT word FROM known) AS w2,
+                       place >= 2 AND substr(run, place - 1, 3) IN (SELECT word FROM known) AS w3,
+                       place >= 3 AND substr(run, place - 2, 4) IN (SELECT word FROM known) AS w4
+                FROM cover WHERE place < length(run))),
+        last AS (SELECT run, place, greatest(best[1][5], 1) AS size FROM cover),
+        back AS (
+            SELECT run, length(run) AS place, CAST(NULL AS varchar) AS piece FROM runs
+            UNION ALL
+            SELECT b.run, b.place - l.size, substr(b.run, (b.place - l.size + 1)::BIGINT, l.size::BIGINT)
+            FROM back b JOIN last l ON b.run = l.run AND b.place = l.place WHERE b.place > 0)
+        SELECT doc_id, keyword, count(*) AS ct FROM (
+            SELECT doc_id, piece AS keyword FROM run_of JOIN back USING (run) WHERE piece IS NOT NULL
+            UNION ALL
+            SELECT doc_id, unnest(regexp_extract_all(regexp_replace(t, '\p{Han}+', ' ', 'g'), '[\p{L}\p{N}]+'))
+            FROM han)
+        GROUP BY doc_id, keyword""",
     "product_keywords": r"""
         SELECT id, unnest(regexp_extract_all(lower(spu_name), '[\p{L}\p{N}]+')) AS keyword FROM d_spu""",
     "product_keyword_sources": "SELECT stt, sku_id, ct, source FROM product_source",

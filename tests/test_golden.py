@@ -14,7 +14,7 @@ from tidemart.plans import Backfill
 from tidemart.plans.views import ROUTES
 from tidemart.session import shared_dir
 from tidemart.sources import parse_cdc, parse_records, read_routing
-from tidemart.streaming import DimTable
+from tidemart.streaming import DimLog
 from tidemart.streaming.sinks import append_metrics, topic_records
 
 DAY = 86_400_000
@@ -321,6 +321,71 @@ def test_longest_match_equals_brute_force(spark):
     assert {n: sorted(w) for n, w in got.items()} == {n: sorted(w) for n, w in want.items()}
 
 
+def covers(run, known):
+    """All ways to choose words of ``known`` in ``run`` that don't overlap, as (place, size) lists."""
+    if not run:
+        return [[]]
+    later = lambda n: [[(at + n, s) for at, s in rest] for rest in covers(run[n:], known)]
+    sizes = [n for n in range(2, len(run) + 1) if run[:n] in known]
+    return later(1) + [[(0, n), *rest] for n in sizes for rest in later(n)]
+
+
+def worth(cover):
+    sizes = [s for _, s in cover]
+    late = sum(n * s for n, s in enumerate(sizes, 1))
+    # of covers alike in all else, the longer last piece, then the last but one, and so on
+    last = [(at + s, s) for at, s in reversed(cover)]
+    return (sum(sizes), -len(sizes), -sum(s * s for s in sizes), late), last
+
+
+def pieces_of(run, cover):
+    ends, out, at = dict(cover), [], 0
+    while at < len(run):
+        out.append(run[at : at + ends.get(at, 1)])
+        at += ends.get(at, 1)
+    return out
+
+
+def test_smart_cut_resolves_overlaps(spark):
+    """研究生命起源: the longest word first leaves characters over, the best cover doesn't."""
+    dictionary = spark.createDataFrame([(w,) for w in ("研究", "研究生", "生命", "命", "起源", "中华", "华人", "人民")], "word string")
+    runs = spark.createDataFrame([("研究生命起源",), ("中华人民",), ("研究生",), ("无",)], "run string")
+    got = {r.run: r.pieces for r in keywords.cut_runs(runs, dictionary, smart=True).collect()}
+    assert got == {
+        "研究生命起源": ["研究", "生命", "起源"], "中华人民": ["中华", "人民"], "研究生": ["研究生"], "无": ["无"],
+    }
+    plain = {r.run: r.pieces for r in keywords.cut_runs(runs, dictionary).collect()}
+    assert plain["研究生命起源"] == ["研究生", "命", "起源"]
+
+
+def test_smart_cut_equals_brute_force(spark):
+    rng = random.Random(7)
+    text = lambda low, high: "".join(rng.choice("天地玄黄𠀀") for _ in range(rng.randint(low, high)))
+    known = {text(2, 5) for _ in range(40)}
+    runs = sorted({text(1, 12) for _ in range(120)})
+    dictionary = spark.createDataFrame([(w,) for w in known], "word string")
+    rows = spark.createDataFrame([(r,) for r in runs], "run string")
+    got = {r.run: r.pieces for r in keywords.cut_runs(rows, dictionary, smart=True).collect()}
+    for run in runs:
+        every = covers(run, known)
+        best = max(worth(c)[0] for c in every)
+        allowed = [pieces_of(run, c) for c in every if worth(c)[0] == best]
+        assert got[run] in allowed, run
+
+
+def test_smart_cut_of_a_long_chain_is_linear(spark):
+    import time
+
+    words = ["天地", "地玄", "玄天", "天地玄", "地玄天地"]
+    dictionary = spark.createDataFrame([(w,) for w in words], "word string")
+    run = "天地玄" * 33_334
+    start = time.perf_counter()
+    (row,) = keywords.cut_runs(spark.createDataFrame([(run,)], "run string"), dictionary, smart=True).collect()
+    assert "".join(row.pieces) == run and time.perf_counter() - start < 60
+    # every character is covered, by as few words as that takes
+    assert all(len(p) > 1 for p in row.pieces) and len(row.pieces) <= 33_334
+
+
 def test_payment_overwrites_the_wide_row(spark, views):
     pairs = wide.order_pairs(views.order_info, views.order_detail, timedelta(days=5))
     names = (views.dim_user, views.dim_province, views.dim_sku, views.dim_spu, views.dim_category3, views.dim_trademark)
@@ -338,33 +403,63 @@ def test_scalar_functions(spark):
     assert tuple(got) == (1_619_863_872_000, None, 1)
 
 
-def test_dim_table_versions(spark, tmp_path):
-    ddl = "id string, name string, _seq bigint, _type string"
-    table_ = DimTable(str(tmp_path / "dim"), "id", ("id", "name"), buckets=4)
-    assert table_.read(spark).count() == 0
-    state = lambda t: {r["id"]: r["name"] for r in t.read(spark).collect()}
-    first = spark.createDataFrame([("1", "a", 1, "insert"), ("2", "b", 2, "insert"), ("1", "a2", 3, "update")], ddl)
-    table_.upsert(first, 0)
-    assert state(table_) == {"1": "a2", "2": "b"}
-    second = spark.createDataFrame([("2", "b2", 5, "delete"), ("3", "c", 4, "insert"), ("1", "old", 2, "update")], ddl)
-    for _ in range(2):  # a repeated micro-batch changes nothing
-        table_.upsert(second, 1)
-        assert state(table_) == {"1": "a2", "2": "b2", "3": "c"}
-    removing = DimTable(str(tmp_path / "dim2"), "id", ("id", "name"), buckets=4, apply_deletes=True)
-    removing.upsert(first, 0)
-    removing.upsert(second, 1)
-    assert state(removing) == {"1": "a2", "3": "c"}
-
-
-def test_an_unfinished_upsert_is_not_seen(spark, tmp_path):
-    ddl = "id string, name string, _seq bigint, _type string"
-    table_ = DimTable(str(tmp_path / "dim"), "id", ("id", "name"), buckets=2)
-    table_.upsert(spark.createDataFrame([("1", "a", 1, "insert"), ("2", "b", 1, "insert")], ddl), 0)
-    # rows of a next version without its record: the writer died in between
-    spark.createDataFrame([("1", "half", 9, "update", 0)], f"{ddl}, _bucket int").write.partitionBy("_bucket").parquet(
-        str(tmp_path / "dim" / "rows" / "_version=1")
-    )
-    assert sorted(map(tuple, table_.read(spark).collect())) == [("1", "a"), ("2", "b")]
+CHANGES = "id string, name string, _seq bigint, _type string"
+
+
+def test_dim_log_and_snapshots(spark, tmp_path):
+    state = lambda d: {r["id"]: r["name"] for r in d.read(spark).collect()}
+    first = spark.createDataFrame([("1", "a", 1, "insert"), ("2", "b", 2, "insert"), ("1", "a2", 3, "update")], CHANGES)
+    second = spark.createDataFrame([("2", "b2", 5, "delete"), ("3", "c", 4, "insert"), ("1", "old", 2, "update")], CHANGES)
+    for name, removes, want in (("all", False, {"1": "a2", "2": "b2", "3": "c"}), ("alive", True, {"1": "a2", "3": "c"})):
+        dim = DimLog(str(tmp_path / name), "id", ("id", "name"), removes)
+        assert state(dim) == {} and dim.compact(spark) is None
+        dim.append(first, 0)
+        assert state(dim) == {"1": "a2", "2": "b"}
+        for _ in range(2):  # a repeated micro-batch changes nothing, before and after a snapshot
+            dim.append(second, 1)
+            assert state(dim) == want
+            assert dim.compact(spark) == 1
+            assert state(dim) == want
+        dim.append(spark.createDataFrame([("2", "b3", 9, "update")], CHANGES), 2)
+        assert state(dim) == {**want, "2": "b3"}
+
+
+def test_snapshots_equal_the_whole_log(spark, tmp_path):
+    """Random changes in micro-batches with a hot key, snapshots at random places, late changes."""
+    rng = random.Random(5)
+    dim = DimLog(str(tmp_path / "dim"), "id", ("id", "name", "city"), apply_deletes=True)
+    every = []
+    for batch in range(8):
+        sent = []
+        for _ in range(120):
+            seq = rng.randint(0, 10_000)
+            key = rng.choice(["hot", "hot", str(rng.randint(0, 30))])
+            data = {"id": key} | {c: f"{c}{seq}" for c in ("name", "city") if rng.random() < 0.6}
+            sent.append((data, seq, rng.choices(["update", "delete"], [20, 1])[0]))
+        every += sent
+        dim.append(spark.createDataFrame(sent, "data map<string,string>, _seq bigint, _type string"), batch)
+        if rng.random() < 0.4:
+            dim.compact(spark)
+    want = {}
+    for key in {d["id"] for d, *_ in every}:
+        gone = max((s for d, s, k in every if d["id"] == key and k == "delete"), default=-1)
+        row = {c: max(((s, d[c]) for d, s, _ in every if d["id"] == key and c in d and s > gone), default=(0, None))[1]
+               for c in ("id", "name", "city")}
+        if any(row.values()):
+            want[key] = (row["name"], row["city"])
+    assert {r.id: (r.name, r.city) for r in dim.read(spark).collect()} == want
+
+
+def test_an_unfinished_batch_is_not_seen(spark, tmp_path):
+    dim = DimLog(str(tmp_path / "dim"), "id", ("id", "name"))
+    rows = spark.createDataFrame([("1", "a", 1, "insert"), ("2", "b", 1, "insert")], CHANGES)
+    dim.append(rows, 0)
+    # files of a next micro-batch and a snapshot without their marks: the writers died in between
+    for folder in ("log", "snapshots"):
+        half = tmp_path / "dim" / folder / "batch_id=1"
+        dim.states(spark).write.parquet(str(half))
+        (half / "_SUCCESS").unlink()
+    assert sorted(map(tuple, dim.read(spark).collect())) == [("1", "a"), ("2", "b")]
 
 
 def test_routing_sources_and_shared_folder(spark, tmp_path):

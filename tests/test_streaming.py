@@ -1,5 +1,6 @@
 """Streaming forms against their batch forms, restarts, repeats and late rows."""
 
+import random
 from datetime import timedelta
 from pathlib import Path
 
@@ -9,7 +10,7 @@ from tidemart.operators import logs, measures, stats, visits, wide
 from tidemart.plans.views import ROUTES
 from tidemart.schemas import TABLE_PROCESS_DDL
 from tidemart.sources import feed_rows, feeds, topic_view
-from tidemart.streaming import jobs, repair_new_visitors, stateful
+from tidemart.streaming import DimLog, jobs, repair_new_visitors, stateful
 from tidemart.streaming.sinks import append_batch, start_batches
 
 NOW = {"availableNow": True}
@@ -77,6 +78,66 @@ def test_bounces_out_of_order_within_delay(spark, views, replay, table_of, tmp_p
     assert rows(got, "event_id", "ts") == rows(want, "event_id", "ts")
 
 
+def test_bounces_by_timers(spark, views, replay, table_of, tmp_path):
+    pages = logs.page_log(views.page_log)
+    got = table_of(stateful.bounces(feed_log(replay, pages), 600_000, ("event_id",)), tmp_path / "ck")
+    want = visits.bounces(pages, 600_000, ("event_id",))
+    assert rows(got, "event_id", "common.mid", "ts") == rows(want, "event_id", "common.mid", "ts")
+    # the pages come back whole
+    of = lambda df: {r.event_id: str(r) for r in df.select(*pages.columns).collect()}
+    assert of(got) == of(want)
+
+
+def test_bounces_by_timers_out_of_order(spark, views, replay, table_of, tmp_path):
+    pages = logs.page_log(views.page_log)
+    stream = feed_log(replay, pages, shuffled=True)
+    got = table_of(stateful.bounces(stream, 600_000, ("event_id",), "35 days"), tmp_path / "ck")
+    want = visits.bounces(pages, 600_000, ("event_id",))
+    assert rows(got, "event_id") == rows(want, "event_id")
+
+
+def page_at(event_id, mid, ts, last_page_id=None):
+    common = (mid, "v", "c", "a", "1")
+    return (event_id, common, ("home", last_page_id, None, 1), None, None, ts)
+
+
+PAGE_DDL = (
+    "event_id bigint, common struct<mid string, vc string, ch string, ar string, is_new string>, "
+    "page struct<page_id string, last_page_id string, item string, during_time bigint>, "
+    "start map<string,string>, displays array<struct<item string, item_type string>>, ts bigint"
+)
+
+
+def test_random_bounces_by_timers_with_restarts(spark, replay, tmp_path):
+    """Random logs of few devices, pages near each other and on slot edges; the job ends and goes on after each part."""
+    rng = random.Random(3)
+    made, ts = [], 1_000_000
+    for n in range(240):
+        ts += rng.choice([0, 1, 400, 999, 1_000, 1_001, 2_500])
+        made.append(page_at(n, rng.choice("abc"), ts, rng.choice([None, "", "home"])))
+    log = spark.createDataFrame(made, PAGE_DDL)
+    source, out = replay("log"), str(tmp_path / "out")
+    for part in (made[:70], made[70:71], made[71:160], made[160:], [page_at(-1, "closing", ts + 10_000, "home")], [page_at(-2, "closing", ts + 20_000, "home")]):
+        source.add(spark.createDataFrame(part, PAGE_DDL))
+        job = jobs.bounce(source.stream(log.schema), out, str(tmp_path / "ck"), 1_000, ("event_id",), trigger=NOW)
+        job.awaitTermination()
+    got = spark.read.parquet(out)
+    assert rows(got, "event_id") == rows(visits.bounces(log, 1_000, ("event_id",)), "event_id")
+
+
+def test_a_bounce_is_known_when_the_watermark_passes_its_timeout(spark, replay, tmp_path):
+    """One page a part: the bounce of the first is out as soon as the watermark is behind its end."""
+    source, seen = replay("log"), []
+    first, timeout = 1_000_000, 10_000
+    times = [first, first + 4_000, first + 9_000, first + 10_001, first + 10_500, first + 40_000]
+    for n, ts in enumerate(times):
+        source.add(spark.createDataFrame([page_at(n, f"m{n}", ts)], PAGE_DDL))
+        found = stateful.bounces(source.stream(PAGE_DDL), timeout, ("event_id",))
+        start_batches(found, lambda b, i, n=n: seen.extend((n, r.event_id) for r in b.collect()), str(tmp_path / "ck"), None, NOW).awaitTermination()
+    # part 3 moves the watermark past first + 10 s; the run that reads it emits the page before it ends
+    assert (3, 0) in seen and {e for _, e in seen} == {0, 1, 2, 3, 4}
+
+
 def test_late_rows_are_dropped_and_counted(spark, views, replay, tmp_path):
     pages = logs.page_log(views.page_log).select("event_id", F.timestamp_millis("ts").alias("event_time"))
     source = replay("late")
@@ -211,13 +272,10 @@ def test_base_db_job(spark, replay, tmp_path):
         facts,
         dims,
         str(tmp_path / "ck"),
-        buckets=4,
         trigger=NOW,
     ).awaitTermination()
-    from tidemart.streaming import DimTable
-
-    table = DimTable(f"{dims}/DIM_CUSTOMER", "c_custkey", ("c_custkey", "c_name", "c_nationkey"), 4)
-    assert rows(table.read(spark), "c_custkey", "c_name") == [("1", "a3"), ("2", "b"), ("3", "c")]
+    dim = DimLog(f"{dims}/DIM_CUSTOMER", "c_custkey", ("c_custkey", "c_name", "c_nationkey"))
+    assert rows(dim.read(spark), "c_custkey", "c_name") == [("1", "a3"), ("2", "b"), ("3", "c")]
     written = spark.read.parquet(facts)
     assert rows(written, "sink_table", "value") == [
         ("dwd_order_insert", '{"o_orderkey":"7"}'),
@@ -244,12 +302,10 @@ def test_every_change_is_stored_or_a_dead_letter(spark, replay, tmp_path):
     jobs.base_db(
         source.stream("value string, seq bigint", files_per_batch=2),
         lambda: spark.createDataFrame(routes, TABLE_PROCESS_DDL),
-        facts, dims, str(tmp_path / "ck"), buckets=2, trigger=NOW, dead=dead,
+        facts, dims, str(tmp_path / "ck"), trigger=NOW, dead=dead,
     ).awaitTermination()
-    from tidemart.streaming import DimTable
-
-    table = DimTable(f"{dims}/DIM_T", "id", ("id", "name", "city"), 2)
-    assert rows(table.read(spark), "id", "name", "city") == [("1", "a2", "x"), ("2", "b", "y")]
+    dim = DimLog(f"{dims}/DIM_T", "id", ("id", "name", "city"))
+    assert rows(dim.read(spark), "id", "name", "city") == [("1", "a2", "x"), ("2", "b", "y")]
     assert sorted(r.reason for r in spark.read.parquet(dead).collect()) == ["data", "key", "record"]
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tidemart.operators.sizing import own_exchange
 from tidemart.sources.parsing import computed_once
@@ -33,8 +35,47 @@ def _taken(matches: Column) -> Column:
     return F.aggregate(matches, start, step, lambda done: done["found"])
 
 
-def _longest_matches(chars: DataFrame, known: DataFrame, lengths: list[int]) -> DataFrame:
-    """``_id, at, size``: the longest dictionary word beginning at each place of each run.
+def best_cover(at: list[int], size: list[int]) -> list[int]:
+    """Of matches sorted by place, the numbers of those that cover most characters without overlap.
+
+    Of covers alike in that, the one of fewest words, then of most even words (least sum of squared lengths), then of
+    long words late (largest sum of length times number); where all that is equal, the one with the longer last piece.
+    One step for each place and match: a place needs the best cover up to it alone.
+    """
+    first = at[0]
+    n = max(a + s for a, s in zip(at, size, strict=True)) - first
+    # covered, - words, - squares, late words; the last piece's length only decides between covers of one place
+    best: list[tuple | None] = [None] * (n + 1)
+    chosen = [-1] * (n + 1)
+    best[0] = (0, 0, 0, 0, 0)
+    number = 0
+    for place in range(n):
+        covered, words, squares, late, _ = best[place]
+        left = (covered, words, squares, late, 0)
+        if best[place + 1] is None or left > best[place + 1]:
+            best[place + 1], chosen[place + 1] = left, -1
+        while number < len(at) and at[number] == first + place:
+            s = size[number]
+            taken = (covered + s, words - 1, squares - s * s, late + s * (1 - words), s)
+            if best[place + s] is None or taken > best[place + s]:
+                best[place + s], chosen[place + s] = taken, number
+            number += 1
+    numbers, place = [], n
+    while place:
+        m = chosen[place]
+        if m >= 0:
+            numbers.append(m)
+        place -= size[m] if m >= 0 else 1
+    return numbers[::-1]
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def _best_covers(at: pd.Series, size: pd.Series) -> pd.Series:
+    return pd.Series([best_cover(a.tolist(), s.tolist()) for a, s in zip(at, size, strict=True)])
+
+
+def _matches(chars: DataFrame, known: DataFrame, lengths: list[int]) -> DataFrame:
+    """``_id, at, size``: every dictionary word at every place of each run.
 
     Runs are looked at in overlapping stretches, so that the work grows with their length and not with its square.
     Candidates have only the ``lengths`` of dictionary words, so one long word adds one candidate at each place.
@@ -57,14 +98,14 @@ def _longest_matches(chars: DataFrame, known: DataFrame, lengths: list[int]) ->
         lambda size: F.struct(size.alias("size"), F.col("text").substr(F.col("place"), size).alias("_word")),
     )
     candidates = places.select("_id", (F.col("base") + F.col("place")).alias("at"), F.inline(words_here))
-    found = candidates.join(own_exchange(known, "_word"), "_word", "left_semi")
-    return found.groupBy("_id", "at").agg(F.max("size").alias("size"))
+    return candidates.join(own_exchange(known, "_word"), "_word", "left_semi")
 
 
-def cut_runs(runs: DataFrame, dictionary: DataFrame) -> DataFrame:
+def cut_runs(runs: DataFrame, dictionary: DataFrame, smart: bool = False) -> DataFrame:
     """``run -> pieces`` for distinct Han runs, by longest match against ``dictionary(word)`` from the left.
 
-    Candidates are as long as some dictionary word, so no word can be missed. Matches that overlap form
+    ``smart`` weighs all matches that overlap against each other instead (:func:`best_cover`), at a cost that grows
+    with their number. Candidates are as long as some dictionary word, so no word can be missed. Matches that overlap form
     islands; a match that begins where all earlier ones have ended begins a new island whatever was taken before, so
     each island is walked on its own.
     """
@@ -79,17 +120,25 @@ def cut_runs(runs: DataFrame, dictionary: DataFrame) -> DataFrame:
     if not lengths:
         return chars.select("run", F.col("_chars").alias("pieces"))
 
-    place = Window.partitionBy("_id").orderBy("at")
+    # words of one place belong together
+    place = Window.partitionBy("_id").orderBy("at", "size")
     reach = F.max(F.col("at") + F.col("size")).over(place.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.when(F.coalesce(F.col("at") < reach, F.lit(False)), 0).otherwise(1)
+    matches = _matches(chars, known, lengths)
+    if not smart:
+        matches = matches.groupBy("_id", "at").agg(F.max("size").alias("size"))
     islands = (
-        _longest_matches(chars, known, lengths)
+        matches
         .withColumn("_begins", begins)
         .withColumn("_island", F.sum("_begins").over(place))
     )
-    taken = islands.groupBy("_id", "_island").agg(
-        _taken(F.array_sort(F.collect_list(F.struct("at", "size")))).alias("taken")
-    )
+    listed = islands.groupBy("_id", "_island").agg(F.array_sort(F.collect_list(F.struct("at", "size"))).alias("found"))
+    if smart:
+        numbers = _best_covers(F.col("found.at"), F.col("found.size"))
+        chosen_of = F.transform("_numbers", lambda n: F.get("found", n))
+        taken = listed.withColumn("_numbers", numbers).select("_id", "_island", chosen_of.alias("taken"))
+    else:
+        taken = listed.select("_id", "_island", _taken(F.col("found")).alias("taken"))
     chosen = taken.groupBy("_id").agg(F.array_sort(F.flatten(F.collect_list("taken"))).alias("taken"))
 
     def piece_and_gap(m: Column, number: Column) -> Column:
@@ -111,10 +160,11 @@ def tokenize(
     out: str = "keyword",
     dictionary: DataFrame | None = None,
     stop_words: tuple[str, ...] = (),
+    smart: bool = False,
 ) -> DataFrame:
     """One row per word of ``text``; a text without words gives none.
 
-    With a ``dictionary`` Han runs are cut further. A run's pieces depend on the run alone, so each distinct run is
+    With a ``dictionary`` Han runs are cut further, with ``smart`` by the best cover instead of longest match. A run's pieces depend on the run alone, so each distinct run is
     cut once, however many rows repeat it, and the pieces are joined back. On a stream call that form inside
     ``foreachBatch``.
     """
@@ -124,7 +174,7 @@ def tokenize(
             raise ValueError("use a dictionary inside foreachBatch, where each batch is a plain frame")
         long_han = F.col(out).rlike(HAN_PATTERN) & (F.length(out) > 1)
         runs = found.filter(long_han).select(F.col(out).alias("run")).distinct()
-        pieces = own_exchange(cut_runs(runs, dictionary), "run")
+        pieces = own_exchange(cut_runs(runs, dictionary, smart), "run")
         found = (
             found.join(pieces, F.col(out) == F.col("run"), "left")
             .withColumn(out, F.explode(F.coalesce(F.col("pieces"), F.array(F.col(out)))))
@@ -146,10 +196,13 @@ def keyword_sources(df: DataFrame) -> DataFrame:
 
 
 def product_keywords(
-    stats: DataFrame, dictionary: DataFrame | None = None, stop_words: tuple[str, ...] = ()
+    stats: DataFrame,
+    dictionary: DataFrame | None = None,
+    stop_words: tuple[str, ...] = (),
+    smart: bool = False,
 ) -> DataFrame:
     """``keyword, ct, source, stt, edt``: every word of the spu name times every positive counter."""
     rows = keyword_sources(stats.select("spu_name", *PRODUCT_SOURCES, "stt", "edt"))
-    return tokenize(rows, "spu_name", "keyword", dictionary, stop_words).select(
+    return tokenize(rows, "spu_name", "keyword", dictionary, stop_words, smart).select(
         "keyword", "ct", "source", "stt", "edt"
     )

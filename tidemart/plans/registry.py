@@ -6,6 +6,7 @@ tables' sparse times (FIXTURES.md, section 5).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -17,8 +18,9 @@ from tidemart.operators import cdc, dims, keywords, logs, measures, serving, sta
 from tidemart.plans.pipelines import visitor_stats_from_log
 from tidemart.plans.views import Views
 from tidemart.schemas import ORDER_INFO_DDL, ORDER_WIDE_COLUMNS, PAGE_LOG_DDL, PAYMENT_WIDE_COLUMNS
-from tidemart.session import apply_runtime_conf
+from tidemart.session import apply_runtime_conf, shared_dir
 from tidemart.sources import parse_cdc, parse_records, parse_rows
+from tidemart.streaming.dim_log import DimLog
 
 NEAR = timedelta(days=5)
 FAR = timedelta(days=180)
@@ -202,9 +204,8 @@ def dim_upsert_latest(v: Views) -> DataFrame:
     return cdc.latest_rows(current.unionByName(changes), ["id"], newest).select("id", "status", "label", "offset")
 
 
-@query
-def dim_upsert_columns(v: Views) -> DataFrame:
-    """Inserts, updates that carry fewer columns, and deletes: each column keeps its newest value."""
+def _customer_changes(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Inserts, and updates and deletes after them."""
     entry = lambda *pairs: F.create_map(*[x for n, c in pairs for x in (F.lit(n), c)])
     current = v.table("customer").select(
         entry(("id", F.col("c_custkey").cast("string")), ("name", F.col("c_name")), ("label", F.col("c_mktsegment"))).alias("data"),
@@ -219,8 +220,33 @@ def dim_upsert_columns(v: Views) -> DataFrame:
         F.col("o_orderkey").cast("bigint").alias("_seq"),
         F.when(F.col("o_orderkey") % 97 == 0, "delete").otherwise("update").alias("_type"),
     )
-    columns = ("id", "name", "status", "label")
-    return cdc.rows_of_states(cdc.column_states(current.unionByName(changes), "id", columns), columns, apply_deletes=True)
+    return current, changes
+
+
+CUSTOMER_COLUMNS = ("id", "name", "status", "label")
+
+
+@query
+def dim_upsert_columns(v: Views) -> DataFrame:
+    """Inserts, updates that carry fewer columns, and deletes: each column keeps its newest value."""
+    current, changes = _customer_changes(v)
+    states = cdc.column_states(current.unionByName(changes), "id", CUSTOMER_COLUMNS)
+    return cdc.rows_of_states(states, CUSTOMER_COLUMNS, apply_deletes=True)
+
+
+@query
+def dim_change_log(v: Views) -> DataFrame:
+    """The same changes as three micro-batches of a change log, the first two brought into a snapshot, one of them again."""
+    current, changes = _customer_changes(v)
+    path = f"{shared_dir(v.spark)}/dims/customer-{uuid.uuid4().hex}"
+    dim = DimLog(path, "id", CUSTOMER_COLUMNS, apply_deletes=True)
+    odd = F.col("_seq") % 2 == 1
+    dim.append(current, 0)
+    dim.append(changes.filter(odd), 1)
+    dim.compact(v.spark)
+    dim.append(changes.filter(odd), 1)
+    dim.append(changes.filter(~odd), 2)
+    return dim.read(v.spark)
 
 
 @query
@@ -559,13 +585,24 @@ def product_keywords(v: Views) -> DataFrame:
     return keywords.tokenize(v.dim_spu, "spu_name").select("id", "keyword")
 
 
-@query
-def tokenize_dictionary(v: Views) -> DataFrame:
-    """Documents in Han characters, one for each letter, cut by the words of two to four characters among them."""
+def _dictionary_words(v: Views, smart: bool) -> DataFrame:
     han = v.table("documents").select("doc_id", F.translate(F.lower("text"), LETTERS, HAN_LETTERS).alias("text"))
     whole = keywords.tokenize(han, "text", "word").select("word").distinct()
     known = whole.filter(F.col("word").rlike(keywords.HAN_PATTERN) & F.length("word").between(2, 4))
-    return keywords.tokenize(han, "text", dictionary=known).groupBy("doc_id", "keyword").agg(F.count(F.lit(1)).alias("ct"))
+    words = keywords.tokenize(han, "text", dictionary=known, smart=smart)
+    return words.groupBy("doc_id", "keyword").agg(F.count(F.lit(1)).alias("ct"))
+
+
+@query
+def tokenize_dictionary(v: Views) -> DataFrame:
+    """Documents in Han characters, one for each letter, cut by the words of two to four characters among them."""
+    return _dictionary_words(v, smart=False)
+
+
+@query
+def tokenize_smart(v: Views) -> DataFrame:
+    """The same documents and words, overlapping matches weighed against each other."""
+    return _dictionary_words(v, smart=True)
 
 
 def _counted_sums(v: Views, orders_later: timedelta = timedelta(0)) -> DataFrame:

@@ -1,4 +1,4 @@
-from tidemart.streaming.dim_table import DimTable
-from tidemart.streaming.stateful import repair_new_visitors, unique_visits
+from tidemart.streaming.dim_log import DimLog
+from tidemart.streaming.stateful import bounces, repair_new_visitors, unique_visits
 
-__all__ = ["DimTable", "repair_new_visitors", "unique_visits"]
+__all__ = ["DimLog", "bounces", "repair_new_visitors", "unique_visits"]

@@ -26,7 +26,7 @@ from tidemart.schemas import (
 )
 from tidemart.sources import Feed, feed_letters, feed_rows, feeds, parse_cdc
 from tidemart.streaming import stateful
-from tidemart.streaming.dim_table import DimTable
+from tidemart.streaming.dim_log import DimLog
 from tidemart.streaming.sinks import append_batch, append_metrics, start_batches, topic_records
 
 Reader = Callable[[], DataFrame]
@@ -68,14 +68,13 @@ def base_db(
     dims: str,
     checkpoint: str,
     order: str = "seq",
-    buckets: int = 64,
     trigger: dict | None = None,
     dead: str | None = None,
 ) -> StreamingQuery:
     """Route change records (``value`` and an increasing ``order`` column).
 
-    Facts go to ``facts`` as JSON text partitioned by ``sink_table``; each dimension is upserted below ``dims``, column
-    by column. Records that can't be read and dimension changes without a key go to ``dead`` (default: ``facts`` with
+    Facts go to ``facts`` as JSON text partitioned by ``sink_table``; each dimension's changes go to its ``DimLog`` below
+    ``dims``, which ``DimLog.compact`` shortens from time to time. Records that can't be read and dimension changes without a key go to ``dead`` (default: ``facts`` with
     ``-dead`` added) with a reason.
     """
 
@@ -93,12 +92,12 @@ def base_db(
             pk, names = wanted.setdefault(r.sink_table.upper(), (r.sink_pk or "id", []))
             names += [c for c in r.sink_columns.split(",") if c not in names]
         for sink_table, (pk, names) in wanted.items():
-            table = DimTable(f"{dims}/{sink_table}", pk, tuple(names), buckets)
+            dim = DimLog(f"{dims}/{sink_table}", pk, tuple(names))
             changes = dimensions.filter(F.col("sink_table") == sink_table).select(
                 "data", F.col(order).alias("_seq"), F.col("type").alias("_type")
             )
-            table.upsert(changes, batch_id)
-            keyless = table.without_key(changes).select(F.to_json("data").alias("value"), F.lit("key").alias("reason"))
+            dim.append(changes, batch_id)
+            keyless = dim.without_key(changes).select(F.to_json("data").alias("value"), F.lit("key").alias("reason"))
             letters = letters.unionByName(keyless)
         append_batch(letters, dead or f"{facts}-dead", batch_id)
         routed.unpersist()
@@ -120,9 +119,10 @@ def bounce(
     checkpoint: str,
     timeout_ms: int = visits.BOUNCE_TIMEOUT_MS,
     tie: tuple[str, ...] = (),
+    delay: str = "0 seconds",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    found = visits.bounces(pages, timeout_ms, tie)
+    found = stateful.bounces(pages, timeout_ms, tie, delay)
     return start_batches(found, lambda b, i: append_batch(b, out, i), checkpoint, "bounce", trigger)
 
 

@@ -16,6 +16,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def published_batches(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the micro-batches that :func:`append_batch` has published below ``path``, in ascending order."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or [])
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ()) -> None:
     """Publish one micro-batch once, as its own ``batch_id`` folder with the ``by`` partitions below.
 
