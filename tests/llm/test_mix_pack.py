@@ -165,9 +165,7 @@ TRICKY = [
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(VOCABULARY)
 
 
 def test_token_files_hold_the_ids_of_whole_texts(spark, documents, clashing, tokenizer, monkeypatch):
@@ -191,12 +189,28 @@ def test_token_files_hold_the_ids_of_whole_texts(spark, documents, clashing, tok
     assert {(r.doc_id, r.start) for r in token_files.starts(spark, path).collect()} == {(r.doc_id, r.start) for r in got}
 
 
+ODD = [
+    "a b c d e f g", "H i. j, k", "a b c. d e f g", "x. y.. é. it's. 5. .", "ÉCOLE École éà í\xadx ÿ Ÿ ǅ ﬁ µ ª", "÷×", "a.b, c.,",
+    "<|endoftext|> x<|endoftext|>", "a<|ENDOFTEXT|>", "<", "İ i̇ ẞ ß", "e\u0301cole Café cafe\u0301", "\x00 \x1f", "don't DON'T l'été",
+]
+
+
 def test_pieces_table_may_overflow(tokenizer, monkeypatch):
     monkeypatch.setattr(token_files, "PIECES_KEPT", 3)
     encoder = token_files.Encoder(VOCABULARY, 1)
-    for text in ["a b c d e f g", "H i. j, k", "a b c. d e f g", *filter(None, TRICKY), "x. y.. é. it's. 5. ."]:
-        (ids,) = encoder.batch([text])
-        assert list(np.frombuffer(ids, "<u4")) == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    assert encoder.direct
+    texts = [*ODD, *[t or "" for t in TRICKY]]
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert encoder.batch(texts).to_pylist() == want
+    assert [encoder.batch([t]).to_pylist()[0] for t in texts] == want
+    assert encoder.batch([]).to_pylist() == []
+
+
+def test_ids_of_the_test_documents_are_the_library_s(spark, sf, tokenizer):
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    coded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert token_files.Encoder(VOCABULARY, 1).batch(texts).to_pylist() == [[*c.ids, 1] for c in coded]
+
 
 
 def test_files_are_coded_and_indexed(spark, sf):

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemart.llm.pieces import Pieces
 from tidemart.llm.work import small_batches, staged
 
 SCALE = 1_000_000_000
@@ -58,41 +59,6 @@ class Settings:
 SPACED = bytes(c if c >= 0x80 else ord(chr(c).lower()) if chr(c).isalpha() else 0x20 for c in range(256))
 
 
-class Terms:
-    """The terms of some texts: ``row``, the text of each occurrence, and ``code``, its place among the ``distinct`` ones."""
-
-    def __init__(self, texts: pa.LargeBinaryArray):
-        offsets = np.frombuffer(texts.buffers()[1], "i8")[texts.offset : texts.offset + len(texts) + 1]
-        data = texts.buffers()[2]
-        raw = bytes(data[offsets[0] : offsets[-1]]) if data else b""
-        raw, offsets = np.frombuffer(raw.translate(SPACED), "u1"), offsets - offsets[0]
-        letter = raw != 0x20
-        first, last = letter.copy(), letter.copy()
-        first[1:] &= ~letter[:-1]
-        last[:-1] &= ~letter[1:]
-        # a term ends with its text
-        cuts = offsets[1:-1]
-        cuts = cuts[(cuts > 0) & (cuts < len(raw))]
-        first[cuts], last[cuts - 1] = letter[cuts], letter[cuts - 1]
-        at, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
-        ends = np.concatenate(([0], np.cumsum(stop - at)))
-        buffers = [None, pa.py_buffer(ends), pa.py_buffer(raw[letter])]
-        coded = pa.Array.from_buffers(pa.large_binary(), len(at), buffers).dictionary_encode()
-        # how many terms begin before each text's end
-        n = np.diff(np.searchsorted(at, offsets))
-        self.row, self.code = np.repeat(np.arange(len(texts)), n), coded.indices.to_numpy()
-        self.distinct = coded.dictionary
-
-    def prefixes(self, size: int | None) -> list[bytes]:
-        """The first bytes of the distinct terms."""
-        if not len(self.distinct):
-            return []
-        offsets = np.frombuffer(self.distinct.buffers()[1], "i8")[: len(self.distinct) + 1]
-        data = bytes(self.distinct.buffers()[2])
-        ends = offsets[1:] if size is None else np.minimum(offsets[1:], offsets[:-1] + size)
-        return [data[a:b] for a, b in zip(offsets[:-1].tolist(), ends.tolist(), strict=True)]
-
-
 def _changes(values: np.ndarray) -> np.ndarray:
     """Whether each value differs from the one before."""
     return np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1]))
@@ -160,12 +126,12 @@ class Kept:
     def __init__(self, settings: Settings, bits, before: int | None):
         self.table, self.size, self.before = bits.value if bits else None, settings.bits, before
 
-    def places(self, lang: bytes, found: Terms) -> np.ndarray:
+    def places(self, lang: bytes, found: Pieces) -> np.ndarray:
         """Which of the distinct terms ``found`` in a language have a prefix that was kept."""
         if self.table is None:
             return np.ones(len(found.distinct), bool)
         seed, crc32 = zlib.crc32(lang + b"\0"), zlib.crc32
-        place = np.array([crc32(p, seed) for p in found.prefixes(self.before)], "i8") % self.size
+        place = np.array([crc32(p, seed) for p in found.firsts(self.before)], "i8") % self.size
         table = np.frombuffer(self.table, "u1")
         return (table[place >> 3] >> (place & 7).astype("u1") & 1).astype(bool)
 
@@ -176,9 +142,9 @@ def prefix_counts(docs: DataFrame, settings: Settings, bits, before: int | None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, sums = Kept(settings, bits, before), Sums(["lang", "prefix"], ["docs"], settings.held)
         for lang, rows in _chunks(batches):
-            found = Terms(rows["text"].combine_chunks())
+            found = Pieces(rows["text"].combine_chunks(), SPACED)
             alive, n = kept.places(lang, found)[found.code], len(rows)
-            prefixes = pa.array(found.prefixes(size), pa.large_binary()).dictionary_encode()
+            prefixes = pa.array(found.firsts(size), pa.large_binary()).dictionary_encode()
             of_term = prefixes.indices.to_numpy().astype("i8")
             keys = np.sort(of_term[found.code[alive]] * n + found.row[alive])
             # a document counts once for a prefix
@@ -201,7 +167,7 @@ def term_counts(docs: DataFrame, settings: Settings, bits, before: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, sums = Kept(settings, bits, before), Sums(["lang", "source", "term"], ["n", "docs"], settings.held)
         for lang, rows in _chunks(batches):
-            found, n = Terms(rows["text"].combine_chunks()), len(rows)
+            found, n = Pieces(rows["text"].combine_chunks(), SPACED), len(rows)
             alive = kept.places(lang, found)[found.code]
             sources = rows["source"].combine_chunks().dictionary_encode()
             of_row = sources.indices.to_numpy()

@@ -4,8 +4,9 @@ Files hold ``doc_id, n_tokens, ids`` (``ids`` a list of integers that ends with
 this small are dictionary-coded, other integer columns delta-coded (Parquet version 2 pages); row groups and pages are
 limited, and page indexes let a reader fetch the lists of a few documents, or the counts of all, without the rest.
 
-Texts are cut at spaces and line feeds, and the tokenizer encodes each distinct piece once: it cuts there itself, so ids
-are those of the whole text. A worker process keeps its pieces for its next tasks, in a table of bounded size.
+Texts are cut at spaces and line feeds, and each distinct piece is encoded once: the tokenizer cuts there itself, so ids
+are those of the whole text. Words of letters go to the tokenizer's model without its other steps. Strings of special
+tokens are what the tokenizer takes them for: texts that hold one are encoded as a whole. A worker process keeps its pieces for its next tasks, in a table of bounded size.
 
 Defined cases: null text is the empty text (the end id alone); rows without ``doc_id`` come last; repeated rows are
 documents of their own; a table without rows gives none; other columns are not read.
@@ -14,7 +15,9 @@ documents of their own; a table without rows gives none; other columns are not r
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -23,11 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemart.llm.pieces import Pieces
 from tidemart.llm.work import small_batches, text_of, work_path
 
 PIECES_KEPT = 500_000
-# fixed value: how the vocabulary marks the last token of a word
-WORD_END = "</w>"
+# characters of texts whose pieces are coded together
+CHUNK_CHARS = 8 << 20
+# letters end a piece's tokens as one word; beyond ASCII those of two bytes whose lower case is the next block's
+WORD = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# A-Z to lower case, line feeds to spaces: the tokenizer does so too
+LOWERED = bytes(c + 0x20 if 0x41 <= c <= 0x5A else 0x20 if c == 0x0A else c for c in range(256))
+# the tokenizer's characters for bytes that are not printable
+UNPRINTABLE = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+BYTE_CHARS = {c: 0x100 + n for n, c in enumerate(UNPRINTABLE)}
 WRITE_OPTIONS = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "true",
@@ -40,7 +51,7 @@ FILE_SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers.
+    """Ids of whole texts.
 
     Pieces are kept in two generations: when the younger is full it becomes the older, and pieces met again move over.
     """
@@ -49,58 +60,84 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # the strings of special tokens are ordinary text inside a document
-        self.tokenizer.encode_special_tokens = True
-        self.end = np.array([end_id], "<u4").tobytes()
+        self.model = self.tokenizer.model
+        self.end_id = end_id
+        # texts that hold a special token go through the tokenizer as they are
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.word_ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.word_ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.stops = dict(zip(b".,", self._encode([b".", b","]), strict=True))
-
-    def _encode(self, pieces: list[bytes]) -> list[bytes]:
-        """Pieces of letters are one word each and go through the tokenizer as one text, cut again at word ends."""
-        words = [p for p in pieces if p.decode().isalpha()]
-        if len(words) > 1 and self.word_ends.any():
-            (coded,) = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4")
-            ends = (np.flatnonzero(self.word_ends[ids]) + 1) * 4
-            if len(ends) == len(words):
-                flat, cuts = ids.tobytes(), ends.tolist()
-                found = {w: flat[a:b] for w, a, b in zip(words, [0, *cuts[:-1]], cuts, strict=True)}
-                rest = [p for p in pieces if p not in found]
-                found |= zip(rest, self._encode_each(rest), strict=True)
-                return [found[p] for p in pieces]
-        return self._encode_each(pieces)
+        self.stops = dict(zip(b".,", self._encode_each([b".", b","]), strict=True))
+        # whether words of letters may go to the model itself, as the tokenizer would hand them over
+        trial = "the Über-naïve façade Straße ÿ à í".replace("-", " ").split()
+        self.direct = [self._word(w.lower().encode()) for w in trial] == self._encode_each([w.encode() for w in trial])
+
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a word of letters."""
+        text = word.decode()
+        if not word.isascii():
+            text = text.lower().encode().decode("latin-1").translate(BYTE_CHARS)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def _encode_each(self, pieces: list[bytes]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+        return [array("I", c.ids).tobytes() for c in coded]
 
-    def _learn(self, new: set[bytes]) -> None:
-        """Add pieces; a stop after a letter is a token of its own, so the word before it serves for both."""
-        if len(self.pieces) + len(new) > PIECES_KEPT:
+    def _encode(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        words = [p for p in pieces if self.direct and WORD.fullmatch(p)]
+        found = {w: self._word(w) for w in words}
+        rest = [p for p in pieces if p not in found]
+        return found | dict(zip(rest, self._encode_each(rest), strict=True))
+
+    def _known(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces that differ from each other; a stop after a word is a token of its own."""
+        if len(self.pieces) + len(pieces) > PIECES_KEPT:
             self.older, self.pieces = self.pieces, {}
-        pieces, older = self.pieces, self.older
-        bases = {p: p[:-1] if len(p) > 1 and p[-1] in self.stops and p[-2:-1].isalpha() else p for p in new}
-        unknown = list({b for b in bases.values() if b not in pieces and b not in older})
-        known = dict(zip(unknown, self._encode(unknown), strict=True))
-        for piece, base in bases.items():
-            ids = known.get(base) or pieces.get(base) or older.get(base, b"")
-            pieces[piece] = ids if base is piece else ids + self.stops[piece[-1]]
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        # the tokenizer lower-cases too, and letters of ASCII are the same before and after
-        parts = [t.encode().lower().replace(b"\n", b" ").split(b" ") for t in texts]
-        met = set().union(*parts)
-        new = met.difference(self.pieces)
+        kept, older = self.pieces, self.older
+        new = [p for p in pieces if p not in kept]
         if new:
-            if len(self.pieces) + len(new) > PIECES_KEPT:
-                new = met
-            self._learn(new)
-        ids = self.pieces.__getitem__
-        return [b"".join(map(ids, p)) + self.end for p in parts]
+            kept.update((p, older[p]) for p in new if p in older)
+            new = [p for p in new if p not in kept]
+            bases = [p[:-1] if p[-1] in self.stops and WORD.fullmatch(p, 0, len(p) - 1) else p for p in new]
+            unknown = {b for b in bases if b not in kept}
+            from_older = {b: older[b] for b in unknown if b in older}
+            known = from_older | self._encode([b for b in unknown if b not in from_older])
+            for piece, base in zip(new, bases, strict=True):
+                ids = known[base] if base in known else kept[base]
+                kept[piece] = ids if base is piece else ids + self.stops[piece[-1]]
+        return [kept[p] for p in pieces]
+
+    def _whole(self, text: str) -> bool:
+        """Whether a special token, in any case, may be in a text."""
+        if not any(s[0] in text for s in self.special):
+            return False
+        lowered = text.lower()
+        return any(s in lowered for s in self.special)
+
+    def batch(self, texts: list[str]) -> pa.ListArray:
+        """The ids of each text, with the end id."""
+        whole = {n: text for n, text in enumerate(texts) if self._whole(text)}
+        plain = pa.array([b"" if n in whole else t.encode() for n, t in enumerate(texts)], pa.large_binary())
+        found = Pieces(plain, LOWERED)
+        ids = self._known(found.firsts())
+        sizes = np.array([len(i) // 4 for i in ids], "i8")
+        flat, begins = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[found.code]
+        # each text has one more place, for its end id
+        counts = np.bincount(found.row, n, len(texts)).astype("i8") + 1
+        out = np.full(counts.sum(), self.end_id, "<u4")
+        inside = np.ones(len(out), bool)
+        inside[np.cumsum(counts) - 1] = False
+        out[inside] = flat[np.repeat(begins[found.code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        if whole:
+            return self._with_whole(out, counts, whole)
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(out.view("<i4")))
+
+    def _with_whole(self, out: np.ndarray, counts: np.ndarray, whole: dict[int, str]) -> pa.ListArray:
+        lists = np.split(out.view("<i4"), np.cumsum(counts)[:-1])
+        for n, text in whole.items():
+            lists[n] = np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, self.end_id], "<i4")
+        ends = np.append(0, np.cumsum([len(x) for x in lists]))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))
 
 
 @cache
@@ -118,17 +155,10 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer, end_id)
         for batch in batches:
-            # few documents at a time: lists are several times as large as their texts
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                coded = own.batch(part.column("text").to_pylist())
-                counts = np.array([len(c) // 4 for c in coded], "i8")
-                flat = np.frombuffer(b"".join(coded), "<i4")
-                offsets = np.concatenate(([0], counts.cumsum())).astype("i4")
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(counts), lists], ["doc_id", "n_tokens", "ids"]
-                )
+            for ids, texts in _chunks(batch):
+                lists = own.batch(texts)
+                counts = pa.array(np.diff(lists.offsets.to_numpy()).astype("i8"))
+                yield pa.RecordBatch.from_arrays([ids, counts, lists], ["doc_id", "n_tokens", "ids"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     ordered = texts.repartitionByRange(F.asc_nulls_last("doc_id")).sortWithinPartitions(
@@ -137,6 +167,17 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return ordered.mapInArrow(run, FILE_SCHEMA)
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Identifiers and texts of a batch, some megabytes at a time."""
+    texts = batch.column("text").to_pylist()
+    begin, size = 0, 0
+    for n, text in enumerate(texts):
+        size += len(text)
+        if size > CHUNK_CHARS or n == len(texts) - 1:
+            yield batch.column("doc_id").slice(begin, n + 1 - begin), texts[begin : n + 1]
+            begin, size = n + 1, 0
+
+
 def write(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = None) -> str:
     """Write token files; returns their folder (new below the shared folder by default)."""
     path = path or work_path(docs.sparkSession, "tokens")
