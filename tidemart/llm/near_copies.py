@@ -149,7 +149,9 @@ def groups(rows: DataFrame) -> DataFrame:
     first = staged(
         met.groupBy("bucket").agg(F.min("_key").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts"
     )
-    by_band = met.join(first, "bucket").where("a != _key").select("a", F.col("_key").alias("b"))
+    # a document and the firsts of its buckets are linked to the least of them only: edges follow documents, not bands
+    firsts = met.join(first, "bucket").groupBy("_key").agg(F.min("a").alias("a"), F.collect_set("a").alias("firsts"))
+    by_band = firsts.select("a", F.explode(F.array_union(F.array("_key"), "firsts")).alias("b")).where("a != b")
     trees = near_components(texts, shingle=SHINGLE, key="_key").where("component_id != _key")
     candidates = components(by_band.union(trees.select(F.col("component_id").alias("a"), F.col("_key").alias("b"))))
     label = components(links(texts, candidates)).withColumnRenamed("node", "_key")
