@@ -62,6 +62,31 @@ def test_repeated_rows_keep_one(spark, documents):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, "A"), (3, "b")]
 
 
+def test_rows_kept_do_not_follow_the_layout(spark, documents):
+    rows = [(1, "a", s, la) for s in "xyz" for la in ("en", "de")] + [(None, "b", s, "en") for s in "pqr"] + [(2, "A", "x", "en")]
+    docs = documents(rows)
+    kept = [sorted(map(str, exact_dedup.kept_documents(docs.orderBy(F.rand(n)).repartition(n)).collect())) for n in (1, 3, 5)]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
+
+
+def test_edges_of_near_copies_follow_documents(spark, documents, monkeypatch):
+    """One large group of near copies: candidate edges grow with its documents."""
+    rng = random.Random(2)
+    base = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(150)]
+    counted = {}
+    for n in (60, 240):
+        rows = []
+        for i in range(n):
+            words = list(base)
+            words[rng.randrange(150)] = "".join(rng.choices("abcdefgh", k=6))
+            rows.append((i, " ".join(words)))
+        edges = []
+        monkeypatch.setattr(near_copies, "components", lambda e, edges=edges: edges.append(e.distinct().count()) or components(e))
+        assert near_copies.one_per_group(documents(rows)).count() == 1
+        counted[n] = edges[0]
+    assert counted[240] <= 6 * counted[60] and counted[240] <= 3 * 240
+
+
 def test_empty_tables(spark, documents):
     none = documents([(1, "a")]).where("false")
     assert exact_dedup.kept_documents(none).count() == 0

@@ -101,6 +101,17 @@ def test_whole_documents_come_near_the_targets(spark, documents, clashing):
         assert sum(len(words(r.text)) for r in got if r.source == s) == pytest.approx(want, abs=45)
 
 
+def test_mixed_documents_do_not_follow_the_layout(spark, documents):
+    """One identifier on a third of the rows, null identifiers, repeated rows: one table dealt in three ways."""
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randint(1, 9), rng.choice("abc"), "en") for i in range(60)]
+    rows += [(None, f"null {i} " * 3, "a", "en") for i in range(40)] + [(7, f"hot {i} " * 2, "b", "en") for i in range(50)]
+    rows += [(8, "same text", "c", "en")] * 12
+    docs = documents(rows)
+    dealt = [sorted(map(str, mixing.mixed_documents(docs.orderBy(F.rand(n)).repartition(n)).collect())) for n in (1, 3, 8)]
+    assert dealt[0] == dealt[1] == dealt[2]
+
+
 def test_mix_of_nothing(spark, documents):
     none = documents([(1, "a")]).where("false")
     assert mixing.taken_words(mixing.schedule(none)).count() == 0 and mixing.mixed_documents(none).count() == 0

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.work import lower_ascii, staged, text_of, work_path
+from tidemart.llm.work import content_hash, lower_ascii, staged, text_of, work_path
 from tidemart.session import ROCKSDB
 
 # rows of a group that one task compares with the kept text
@@ -156,9 +156,11 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     dedup.feed(docs)
     stay = dedup.decisions(docs).where("kept").select("doc_id", "digest")
     text = F.sha2(lower_ascii(text_of()), 256)
-    marked = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), text.alias("_digest"))
-    first = Window.partitionBy("_id", "_digest").orderBy("_digest")
-    # rows that repeat identifier and text are alike: one of them stays
+    marked = docs.select(
+        F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), text.alias("_digest"), content_hash(docs).alias("_content")
+    )
+    # of rows that repeat identifier and text one stays: by content, not by place
+    first = Window.partitionBy("_id", "_digest").orderBy("_content")
     once = marked.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
     same = once["_id"].eqNullSafe(stay["doc_id"]) & (once["_digest"] == stay["digest"])
     return once.join(stay, same, "left_semi").select("_row.*")

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.work import staged, text_of, word_count
+from tidemart.llm.work import content_hash, staged, text_of, word_count
 
 # hexadecimal digits of the shuffle key that split a source for its running sum
 SLICE_DIGITS = 3
@@ -51,17 +51,26 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, lim
 
 
 def schedule(
-    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, limit: float = 2, whole: bool = False
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.5,
+    limit: float = 2,
+    whole: bool = False,
+    tie: Column | None = None,
 ) -> DataFrame:
     """Every service of every document up to ``limit`` times: ``row, doc_id, flow, round, size, source_size, target,
     finish, taken``. ``row`` numbers the documents, ``finish`` is the virtual finish time, ``taken`` the words the mix takes.
 
+    ``tie`` orders documents of one identifier and size, and comes back as ``tie``; without it their place does.
+
     A source's running sum is made in slices of the shuffle key, so that no task holds a whole source.
     """
     flow = F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit(""))
     key = F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256)
+    ties = [] if tie is None else ["tie"]
+    columns = [flow.alias("flow"), word_count(text_of()).alias("size"), key.alias("key")]
     rows = staged(
-        docs.select("doc_id", flow.alias("flow"), word_count(text_of()).alias("size"), key.alias("key"))
+        docs.select("doc_id", *columns, *([] if tie is None else [tie.alias("tie")]))
         .withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
         .withColumn("row", F.monotonically_increasing_id()),
         "mix",
@@ -72,7 +81,7 @@ def schedule(
     begins = slices.withColumn("begin", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(targets, "flow")
     inside = (
         Window.partitionBy("flow", "slice")
-        .orderBy("key", "size", "row")
+        .orderBy("key", "size", *ties, "row")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
@@ -85,7 +94,7 @@ def schedule(
         .withColumn("start", begin)
         .withColumn("taken", _served(F.col("start"), F.col("size"), F.col("target"), whole))
         .select(
-            "row", "doc_id", "flow", "round", "size", "source_size", "target",
+            "row", "doc_id", "flow", "round", "size", "source_size", "target", *ties,
             F.when(F.col("target") > 0, (F.col("start") + F.col("size")) / F.col("target")).alias("finish"), "taken",
         )
     )
@@ -115,14 +124,17 @@ def mixed_documents(docs: DataFrame, **settings: object) -> DataFrame:
     """The documents of the mix, whole, each as often as it is taken; the columns of ``docs``.
 
     Documents without words have nothing to mix and stay once. Rows of one identifier, size and source are told apart
-    by number, so repeated rows are taken as often as each was served.
+    by their content, rows alike in all by number, so which text is taken how often does not depend on their places.
     """
-    keys = ["_id", "_size", "_flow", "_nth"]
-    numbered = Window.partitionBy("_id", "_size", "_flow")
-    scheduled = schedule(docs, whole=True, **settings)
+    keys = ["_id", "_size", "_flow", "_content", "_nth"]
+    numbered = Window.partitionBy("_id", "_size", "_flow", "_content")
+    scheduled = schedule(docs, whole=True, tie=content_hash(docs), **settings)
     served = (
         scheduled.where("round = 0")
-        .select("row", F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("flow").alias("_flow"))
+        .select(
+            "row", F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("flow").alias("_flow"),
+            F.col("tie").alias("_content"),
+        )
         .withColumn("_nth", F.row_number().over(numbered.orderBy("row")))
         .join(mix(scheduled).groupBy("row").agg(F.count("*").alias("_times")), "row")
         .drop("row")
@@ -130,7 +142,7 @@ def mixed_documents(docs: DataFrame, **settings: object) -> DataFrame:
     flow = F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit(""))
     marked = docs.select(
         F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), word_count(text_of()).alias("_size"),
-        flow.alias("_flow"),
+        flow.alias("_flow"), content_hash(docs).alias("_content"),
     ).withColumn("_nth", F.row_number().over(numbered.orderBy("_id")))
     same = [marked[k].eqNullSafe(served[k]) for k in keys]
     times = F.when(marked["_size"] == 0, 1).otherwise(F.coalesce(served["_times"], F.lit(0)))

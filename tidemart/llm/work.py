@@ -41,6 +41,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def content_hash(docs: DataFrame) -> Column:
+    """A hash of all columns, so that rows that differ have an order of their own; maps can't be hashed and are left out."""
+    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of 1,000 rows where the session has Spark's default of 10,000: texts may be long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
