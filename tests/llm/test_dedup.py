@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -273,3 +274,14 @@ def test_components_of_chains_and_stars(spark):
     edges = spark.createDataFrame([*chain, *star, (7, 7)], "a long, b long")
     label = {r.node: r.label for r in components(edges).collect()}
     assert set(label.values()) == {0, 1000} and len(label) == 201 + 300
+
+
+def test_components_read_their_edges_once(spark):
+    """Forests that differ each time they are made: a task may meet its rows in another order."""
+    def forest(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        nodes = rows["id"].sample(frac=1).tolist()
+        return pd.DataFrame({"a": nodes[:-1], "b": nodes[1:]})
+
+    for _ in range(3):
+        edges = spark.range(60).groupBy((F.col("id") % 3).alias("k")).applyInPandas(forest, "a long, b long")
+        assert {(r.node % 3, r.label) for r in components(edges).collect()} == {(0, 0), (1, 1), (2, 2)}

@@ -17,9 +17,9 @@ def components(edges: DataFrame) -> DataFrame:
     chains shorten to about half and stars end in one round. Each round's labels are written to the shared folder. Ends
     when a round changes nothing; raises beyond :data:`MAX_ROUNDS` instead of returning half-joined components.
     """
-    both = staged(
-        edges.where("a != b").select("a", "b").union(edges.where("a != b").select("b", "a")).distinct(), "edges"
-    )
+    # both directions from one reading: edges made by Python may be others (of the same components) when made again
+    there, back = F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = staged(edges.where("a != b").select(F.inline(F.array(there, back))).distinct(), "edges")
     labels = staged(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     for _ in range(MAX_ROUNDS):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
