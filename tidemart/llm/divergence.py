@@ -35,7 +35,7 @@ from tidemart.llm.work import small_batches, staged
 SCALE = 1_000_000_000
 BITS_A_ROW = 8 * 4096
 # bytes of rows whose terms are coded together
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 10 << 20
 
 
 @dataclass(frozen=True)
