@@ -274,6 +274,15 @@ STATEMENTS = {
         FROM v_change""",
     "cdc_route": """SELECT "table", type, sink_type, sink_table, sink_pk, key FROM v_routed""",
     "cdc_prune_columns": """SELECT "table", type, sink_table, key, name, value FROM v_kept""",
+    "cdc_route_as_of": """
+        SELECT "table", type, sink_type, key::bigint AS key,
+               CASE WHEN sink_table = 'dwd_order_insert' AND key::bigint >= 1000 AND key::bigint < 4000 THEN 'dwd_order'
+                    ELSE sink_table END AS sink_table,
+               CASE WHEN "table" = 'customer' AND type = 'update' AND key::bigint >= 60 THEN 'c_custkey,c_mktsegment'
+                    WHEN "table" = 'customer' THEN 'c_custkey,c_name,c_nationkey'
+                    WHEN type = 'insert' AND key::bigint >= 1000 AND key::bigint < 4000 THEN 'o_custkey,o_orderkey'
+                    ELSE 'o_custkey,o_orderdate,o_orderkey,o_totalprice' END AS columns
+        FROM v_routed WHERE NOT ("table" = 'orders' AND type = 'update' AND key::bigint >= 2000)""",
     "cdc_split_dim": """
         SELECT "table", type, upper(sink_table) AS sink_table, key, name, value FROM v_kept WHERE sink_type = 'hbase'""",
     "cdc_split_fact": """
@@ -375,6 +384,12 @@ STATEMENTS = {
     "top_trademark": TOP.format(keys="tm_id, tm_name", more=""),
     "top_category3": TOP.format(keys="category3_id, category3_name", more=""),
     "top_spu": TOP.format(keys="spu_id, spu_name", more=", cast(sum(order_ct) AS bigint) AS order_ct"),
+    "spu_orders_by_year": f"""
+        SELECT substr(stt, 1, 4) AS year, spu_id, count(DISTINCT order_id) AS order_ct,
+               count(DISTINCT paid_id) AS paid_order_ct, count(DISTINCT refund_id) AS refund_order_ct
+        FROM (SELECT {window('us', MONTH_US)}, sku_id, order_id, paid_id, refund_id FROM p_rows
+              WHERE order_id IS NOT NULL OR paid_id IS NOT NULL OR refund_id IS NOT NULL)
+        JOIN d_sku s ON s.id = sku_id GROUP BY year, spu_id""",
     "trademark_series": f"""
         SELECT cast(row_number() OVER (ORDER BY order_amount DESC, tm_name) - 1 AS integer) AS pos, tm_name AS name,
                order_amount AS value FROM ({TOP.format(keys='tm_id, tm_name', more='')})""",

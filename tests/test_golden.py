@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import age_years, millis_of_text
 from tidemart.operators import cdc, dims, keywords, logs, measures, serving, stats, visits, wide
-from tidemart.schemas import PAGE_LOG_DDL, VISITOR_STATS_COLUMNS
+from tidemart.schemas import PAGE_LOG_DDL, TABLE_PROCESS_LOG_DDL, VISITOR_STATS_COLUMNS
 from tidemart.plans import Backfill
 from tidemart.plans.views import ROUTES
 from tidemart.session import shared_dir
@@ -152,6 +152,61 @@ def test_cdc_validity_and_pruning(spark):
     assert [tuple(r) for r in cdc.fact_records(routed).collect()] == [("dwd_u", '{"id":"3","a":"y"}')]
 
 
+def test_routes_hold_from_their_place_on(spark):
+    changes = spark.createDataFrame(
+        [(name, "insert", '{"id":"1","a":"x"}', place) for name in ("t", "gone") for place in (None, 1, 5, 9, 10)],
+        "table string, type string, data string, place bigint",
+    )
+    log = spark.createDataFrame(
+        [
+            ("t", "insert", "kafka", "first", "id", None, None, None, None),
+            ("t", "insert", "kafka", "second", "id,a", "k", None, 5, False),
+            ("t", "insert", "kafka", "also second", "id,a", "k", None, 5, False),
+            ("t", "insert", None, None, None, None, None, 9, True),
+            ("t", "insert", "HBASE", "third", None, None, None, 10, None),
+            ("t", "update", "kafka", "other", "", None, None, 1, None),
+            ("gone", "insert", "kafka", "g", "", None, None, 5, False),
+            ("gone", "insert", "kafka", "g", "", None, None, 9, True),
+        ],
+        TABLE_PROCESS_LOG_DDL,
+    )
+    routed = cdc.route_as_of(changes, log, "place").select("table", "place", "sink_type", "sink_table", "sink_pk", "data")
+    both, pruned = {"id": "1", "a": "x"}, {"id": "1"}
+    assert sorted((tuple(r) for r in routed.collect()), key=str) == [
+        ("gone", 5, "kafka", "g", "id", both),
+        ("t", 1, "kafka", "first", "id", pruned),
+        ("t", 10, "hbase", "third", "id", both),
+        ("t", 5, "kafka", "second", "k", both),
+        ("t", None, "kafka", "first", "id", pruned),
+    ]
+    assert cdc.route_as_of(changes, log.limit(0), "place").count() == 0
+
+
+def test_distinct_orders_add_up_over_windows(spark):
+    rng = random.Random(5)
+    ids_ = [*range(-3, 40), 32_767, 32_768, 32_769, 2**40]
+    rows = [
+        (rng.choice([1, 2, 3]), rng.choice(["order", "paid", "refund", None]), rng.choice([*ids_, None]), day, hour)
+        for day in (1, 2) for hour in range(24) for _ in range(20)
+    ]
+    frame = spark.createDataFrame(
+        [(s, k, i, datetime(2024, 1, d, h, 30)) for s, k, i, d, h in rows],
+        "sku_id bigint, order_kind string, kind_order_id bigint, event_time timestamp",
+    ).replace({"order": measures.ORDER, "paid": measures.PAID, "refund": measures.REFUND}, subset=["order_kind"])
+    bits = stats.order_bits(frame, "1 hour")
+    got = serving.distinct_orders(bits, F.substring("stt", 1, 10).alias("day"), "sku_id")
+    want = {}
+    for sku, kind, number, day, _ in rows:
+        if kind and number is not None:
+            want.setdefault((f"2024-01-0{day}", sku), {}).setdefault(kind, set()).add(number)
+    counted = {(r["day"], r["sku_id"]): (r["order_ct"], r["paid_order_ct"], r["refund_order_ct"]) for r in got.collect()}
+    assert counted == {k: tuple(len(v.get(n, ())) for n in ("order", "paid", "refund")) for k, v in want.items()}
+    # over everything, and over nothing
+    total = serving.distinct_orders(bits).first()["order_ct"]
+    assert total == len({n for _, kind, n, _, _ in rows if kind == "order" and n is not None})
+    assert serving.distinct_orders(bits.limit(0), "sku_id").count() == 0
+
+
 def test_dim_join_keeps_unmatched_rows_and_never_multiplies(spark):
     rows = spark.createDataFrame([(1, "own"), (2, "own"), (None, "own")], "k bigint, name string")
     dim = spark.createDataFrame([(1, "b", 2), (1, None, 1), (3, "c", 1)], "id bigint, name string, rank int")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators import logs, measures, stats, visits, wide
 from tidemart.plans.views import ROUTES
-from tidemart.schemas import TABLE_PROCESS_DDL
+from tidemart.schemas import TABLE_PROCESS_DDL, TABLE_PROCESS_LOG_DDL
 from tidemart.sources import feed_rows, feeds, topic_view
 from tidemart.streaming import DimLog, jobs, repair_new_visitors, stateful
 from tidemart.streaming.sinks import append_batch, start_batches
@@ -331,6 +331,39 @@ def test_routing_is_read_again_for_every_batch(spark, replay, tmp_path):
     assert rows(spark.read.parquet(facts), "value") == [('{"o_orderkey":"1"}',), ('{"o_orderkey":"3"}',)]
 
 
+def test_replay_after_a_configuration_change_routes_alike(spark, replay, tmp_path):
+    """With a log of routes, what was routed by an old version is routed by it again, dimension columns included."""
+    source = replay("cdc")
+    record = lambda table, n: (f'{{"table":"{table}","type":"insert","data":{{"id":"{n}","a":"x","b":"y"}}}}', n)
+    log = [
+        ("orders", "insert", "kafka", "old", "id", None, None, None, False),
+        ("user", "insert", "hbase", "dim_user", "id,a", "id", None, None, False),
+    ]
+    later = [
+        ("orders", "insert", "kafka", "new", "id,a", None, None, 5, False),
+        ("user", "insert", "hbase", "dim_user", "id,b", "id", None, 5, False),
+    ]
+
+    def run(name):
+        paths = [str(tmp_path / f"{name}-{part}") for part in ("facts", "dims", "ck")]
+        stream = source.stream("value string, seq bigint")
+        jobs.base_db(
+            stream, lambda: spark.createDataFrame(log, TABLE_PROCESS_LOG_DDL), *paths, trigger=NOW
+        ).awaitTermination()
+        dim = DimLog(f"{paths[1]}/DIM_USER", "id", ("id", "a", "b")[: 2 + (len(log) > 2)])
+        return rows(spark.read.parquet(paths[0]), "sink_table", "value"), rows(dim.read(spark), "id", "a")
+
+    source.add(spark.createDataFrame([record("orders", 1), record("user", 2)], "value string, seq bigint"))
+    first = run("first")
+    assert first == ([("old", '{"id":"1"}')], [("2", "x")])
+    log += later
+    assert run("same") == first
+    source.add(spark.createDataFrame([record("orders", 6), record("user", 7)], "value string, seq bigint"))
+    assert run("all") == (
+        [("new", '{"id":"6","a":"x"}'), ("old", '{"id":"1"}')], [("2", "x"), ("7", None)]
+    )
+
+
 def test_keyword_and_payment_jobs(spark, views, replay, tmp_path):
     pages = logs.page_log(views.page_log)
     out = str(tmp_path / "kw")

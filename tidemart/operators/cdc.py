@@ -28,14 +28,12 @@ def dead_letters(records: DataFrame, value: str = "value", keep: tuple[str, ...]
     )
 
 
-def _is_kept(name: Column, columns: Column) -> Column:
-    keep_all = F.coalesce(F.length(columns), F.lit(0)) == 0
-    return keep_all | F.array_contains(F.split(columns, ","), name)
-
-
 def prune_columns(df: DataFrame, data: str = "data", columns: str = "sink_columns") -> DataFrame:
     """Keep the ``data`` entries named in the comma list; an empty list keeps all of them."""
-    return df.withColumn(data, F.map_filter(F.col(data), lambda name, _: _is_kept(name, F.col(columns))))
+    keep_all = F.coalesce(F.length(columns), F.lit(0)) == 0
+    split = df.withColumn("_names", F.split(columns, ","))
+    kept = F.map_filter(F.col(data), lambda name, _: F.array_contains("_names", name))
+    return split.withColumn(data, F.when(keep_all, F.col(data)).otherwise(kept)).drop("_names")
 
 
 def one_route_per_key(routing: DataFrame) -> DataFrame:
@@ -45,24 +43,68 @@ def one_route_per_key(routing: DataFrame) -> DataFrame:
     return routing.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_conf")).select(*key, "_conf.*")
 
 
-def route(cdc: DataFrame, routing: DataFrame, prune: bool = True) -> DataFrame:
-    """Attach sink table and sink type to valid changes; changes without a route are dropped.
+def versions(log: DataFrame, keys: list[str], at: str = "valid_from") -> DataFrame:
+    """One row per key of a log of versions: ``keys`` and ``_versions``, an array of structs that begin with ``at``.
 
-    Adds ``sink_type`` (lower case), ``sink_table``, ``sink_columns``, ``sink_pk``; ``data`` becomes a map.
+    For logs of few versions a key, such as configuration. A row without ``at`` holds from the beginning.
     """
+    rest = [c for c in log.columns if c not in (*keys, at)]
+    return log.groupBy(*keys).agg(F.collect_set(F.struct(at, *rest)).alias("_versions"))
+
+
+def version_at(moment: Column, at: str = "valid_from", versions_: str = "_versions") -> Column:
+    """The version that holds at ``moment``: the last that began by then, of several at one time the greatest."""
+    begun = F.filter(versions_, lambda v: v[at].isNull() | (v[at] <= moment))
+    return F.array_max(begun)
+
+
+def _changes(cdc: DataFrame) -> DataFrame:
     kind = F.when(F.col("type") == "bootstrap-insert", F.lit("insert")).otherwise(F.col("type"))
-    changes = computed_once(
+    return computed_once(
         valid_changes(cdc).withColumn("type", kind), "data", F.from_json("data", "map<string,string>")
     ).filter(F.col("data").isNotNull())
-    conf = own_exchange(one_route_per_key(routing), "source_table", "operate_type").select(
-        F.col("source_table").alias("table"),
-        F.col("operate_type").alias("type"),
-        F.lower("sink_type").alias("sink_type"),
-        "sink_table",
-        "sink_columns",
-        F.coalesce("sink_pk", F.lit("id")).alias("sink_pk"),
-    )
-    routed = changes.join(conf, ["table", "type"], "inner")
+
+
+def _route_columns(prefix: str = "") -> list[Column]:
+    return [
+        F.lower(f"{prefix}sink_type").alias("sink_type"),
+        F.col(f"{prefix}sink_table").alias("sink_table"),
+        F.col(f"{prefix}sink_columns").alias("sink_columns"),
+        F.coalesce(f"{prefix}sink_pk", F.lit("id")).alias("sink_pk"),
+    ]
+
+
+def _route_key() -> list[Column]:
+    return [F.col("source_table").alias("table"), F.col("operate_type").alias("type")]
+
+
+def route(cdc: DataFrame, routing: DataFrame, prune: bool = True) -> DataFrame:
+    """Attach sink table and sink type to valid changes; changes without a route are dropped.
+
+    Adds ``sink_type`` (lower case), ``sink_table``, ``sink_columns``, ``sink_pk``; ``data`` becomes a map.
+    """
+    conf = own_exchange(one_route_per_key(routing), "source_table", "operate_type").select(*_route_key(), *_route_columns())
+    routed = _changes(cdc).join(conf, ["table", "type"], "inner")
+    return prune_columns(routed) if prune else routed
+
+
+def route_as_of(cdc: DataFrame, routing_log: DataFrame, order: str, prune: bool = True) -> DataFrame:
+    """:func:`route` with the configuration that held at each change, so that a replay routes as the first run did.
+
+    ``routing_log`` is the configuration with two columns more: ``valid_from``, comparable with the changes' column
+    ``order`` (null: from the beginning), and ``deleted``. A row holds until the next of its table and operation begins;
+    a deleted one ends the route. Changes without ``order`` meet only routes from the beginning.
+
+    The versions of a route are one row of the join, so a change is compared with its own route only and never
+    multiplied, and a hot table is split or its configuration broadcast as in :func:`route`.
+    """
+    log = routing_log.withColumn("deleted", F.coalesce("deleted", F.lit(False)))
+    every = versions(log, ["source_table", "operate_type"])
+    conf = own_exchange(every, "source_table", "operate_type").select(*_route_key(), "_versions")
+    changes = _changes(cdc)
+    found = changes.join(conf, ["table", "type"], "inner").withColumn("_route", version_at(F.col(order)))
+    kept = found.filter(~F.col("_route.deleted"))
+    routed = kept.select(*[F.col(f"`{c}`") for c in changes.columns], *_route_columns("_route."))
     return prune_columns(routed) if prune else routed
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import dur_per_sv, pv_per_sv, uj_rate
+from tidemart.operators.measures import ORDER, PAID, REFUND
 from tidemart.schemas import MONEY_SUM
 
 # fixed values: the weight of each keyword source, any other source weighs 0
@@ -103,6 +104,28 @@ def top_spu(product_stats: DataFrame, date: int | str | None = None, limit: int
     return _top(product_stats, ("spu_id", "spu_name"), date, limit, _total("order_ct"))
 
 
+def distinct_orders(order_bits: DataFrame, *keys: str | Column) -> DataFrame:
+    """``keys, order_ct, paid_order_ct, refund_order_ct`` over any windows and skus, from ``stats.order_bits`` rows.
+
+    Exact, where sums of window counts take an order of two windows or skus twice. Bitmaps of a bucket are united before
+    the shuffle, so a key is at most its buckets' rows from each task.
+    """
+    names = [f"_key{n}" for n in range(len(keys))]
+    titles = order_bits.select(*keys).columns
+    named = [F.col(k) if isinstance(k, str) else k for k in keys]
+    united = (
+        order_bits.select(*[k.alias(n) for k, n in zip(named, names)], "order_kind", "bucket", "bits")
+        .groupBy(*names, "order_kind", "bucket")
+        .agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("_ids"))
+    )
+    counts = {"order_ct": ORDER, "paid_order_ct": PAID, "refund_order_ct": REFUND}
+    sums = [
+        F.coalesce(F.sum(F.when(F.col("order_kind") == kind, F.col("_ids"))), F.lit(0)).alias(name)
+        for name, kind in counts.items()
+    ]
+    return united.groupBy(*[F.col(n).alias(t) for n, t in zip(names, titles)]).agg(*sums)
+
+
 def province_amount(province_stats: DataFrame, date: int | str | None = None) -> DataFrame:
     summed = of_day(province_stats, date).groupBy("province_id", "province_name")
     return summed.agg(_total("order_amount", MONEY_SUM)).select("province_name", "order_amount")

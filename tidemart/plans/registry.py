@@ -166,6 +166,18 @@ def cdc_prune_columns(v: Views) -> DataFrame:
     return _entries(_routed(v).withColumn("key", _key()))
 
 
+@query
+def cdc_route_as_of(v: Views) -> DataFrame:
+    """Routes that change along the change log; a change's key stands for its place in it."""
+    changes = parse_cdc(v.raw_cdc)
+    place = F.coalesce(F.get_json_object("data", "$.c_custkey"), F.get_json_object("data", "$.o_orderkey"))
+    routed = cdc.route_as_of(changes.withColumn("place", place.cast("bigint")), v.table_process_log, "place")
+    return routed.select(
+        "table", "type", "sink_type", "sink_table", F.col("place").alias("key"),
+        F.array_join(F.array_sort(F.map_keys("data")), ",").alias("columns"),
+    )
+
+
 @query
 def cdc_split_dim(v: Views) -> DataFrame:
     return _entries(cdc.dimension_changes(_routed(v)).withColumn("key", _key()))
@@ -532,6 +544,18 @@ def top_spu(v: Views) -> DataFrame:
     return serving.top_spu(_named_order_sums(_order_day(v)), ORDER_DAY)
 
 
+@query
+def spu_orders_by_year(v: Views) -> DataFrame:
+    """Distinct orders of each spu and year, from the bitmaps of its skus' windows."""
+    pairs = _pairs(v)
+    rows = measures.unified(
+        measures.order_product_measures(pairs), measures.payment_measures(_payments(v, pairs)),
+        measures.refund_measures(v.refund),
+    )
+    bits = stats.order_bits(rows, MONTH).join(v.dim_sku.select(F.col("id").alias("sku_id"), "spu_id"), "sku_id")
+    return serving.distinct_orders(bits, F.substring("stt", 1, 4).alias("year"), "spu_id")
+
+
 @query
 def trademark_series(v: Views) -> DataFrame:
     ranked = serving.top_trademark(_named_order_sums(_order_day(v)), ORDER_DAY)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions import time_text
-from tidemart.schemas import MONEY, TABLE_PROCESS_DDL
+from tidemart.schemas import MONEY, TABLE_PROCESS_DDL, TABLE_PROCESS_LOG_DDL
 from tidemart.sources import table
 
 
@@ -40,6 +40,14 @@ ROUTES = [
     ("refund", "insert", "kafka", "dwd_refund", "", "id", None),
 ]
 
+# later versions of them, by the key of the first change that meets them; the last column takes a route away
+ROUTE_CHANGES = [
+    ("customer", "update", "hbase", "dim_customer", "c_custkey,c_mktsegment", "c_custkey", None, 60, False),
+    ("orders", "insert", "kafka", "dwd_order", "o_orderkey,o_custkey", "o_orderkey", None, 1000, False),
+    ("orders", "insert", "kafka", "dwd_order_insert", None, "o_orderkey", None, 4000, False),
+    ("orders", "update", None, None, None, None, None, 2000, True),
+]
+
 
 class Views:
     def __init__(self, spark: SparkSession, folder: str, only: dict[str, Column] | None = None):
@@ -282,3 +290,8 @@ class Views:
     @cached_property
     def table_process(self) -> DataFrame:
         return self.spark.createDataFrame(ROUTES, TABLE_PROCESS_DDL)
+
+    @cached_property
+    def table_process_log(self) -> DataFrame:
+        first = [(*route, None, False) for route in ROUTES]
+        return self.spark.createDataFrame(first + ROUTE_CHANGES, TABLE_PROCESS_LOG_DDL)

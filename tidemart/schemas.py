@@ -42,6 +42,8 @@ TABLE_PROCESS_DDL = (
     "source_table string, operate_type string, sink_type string, sink_table string,"
     "sink_columns string, sink_pk string, sink_extend string"
 )
+# the same as a log: each row holds from its place in the change log on
+TABLE_PROCESS_LOG_DDL = f"{TABLE_PROCESS_DDL}, valid_from bigint, deleted boolean"
 
 # Column order of the two wide datasets and the four metric tables (fixed by their consumers).
 ORDER_WIDE_COLUMNS = (

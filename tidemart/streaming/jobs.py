@@ -73,14 +73,24 @@ def base_db(
 ) -> StreamingQuery:
     """Route change records (``value`` and an increasing ``order`` column).
 
+    ``routing`` reads the configuration at the start of each micro-batch: its newest state, which holds for the whole
+    batch, or a log with ``valid_from`` (as ``cdc.route_as_of``), of which each record meets the version of its own
+    ``order``. Only the log makes a replay route alike; new versions must begin after the records already read.
+
     Facts go to ``facts`` as JSON text partitioned by ``sink_table``; each dimension's changes go to its ``DimLog`` below
     ``dims``, which ``DimLog.compact`` shortens from time to time. Records that can't be read and dimension changes without a key go to ``dead`` (default: ``facts`` with
     ``-dead`` added) with a reason.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        conf = cdc.one_route_per_key(routing()).persist()
-        routed = cdc.route(parse_cdc(batch, keep=(order,)), conf).persist()
+        conf, changes = routing(), parse_cdc(batch, keep=(order,))
+        if "valid_from" in conf.columns:
+            conf = conf.persist()
+            routed = cdc.route_as_of(changes, conf, order).persist()
+            conf = conf.filter(~F.coalesce("deleted", F.lit(False)))
+        else:
+            conf = cdc.one_route_per_key(conf).persist()
+            routed = cdc.route(changes, conf).persist()
         changed = cdc.fact_changes(routed).select("sink_table", F.to_json("data").alias("value"))
         append_batch(changed, facts, batch_id, ("sink_table",))
         letters = cdc.dead_letters(batch, keep=(order,)).drop(order)
