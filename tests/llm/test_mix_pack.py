@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemart.llm import mixing, packing, token_files
+from tidemart.llm.work import staged
 
 
 def words(text):
@@ -85,6 +86,60 @@ def test_mix_is_in_order_of_virtual_time_and_repeats_itself(spark, documents):
     assert [x[1] for x in first] == [r.doc_id for r in again]
 
 
+def test_the_cut_of_the_order_is_the_mix(spark, documents):
+    """At every point of the order each source has had its share, and the order ends where the budget does."""
+    rows = [(i, "w " * (1 + i * 7 % 30), "abc"[i % 3], "en") for i in range(600)]
+    order = mixing.mix(mixing.schedule(documents(rows))).collect()
+    target = {r.flow: r.target for r in order}
+    assert sum(r.taken for r in order) == sum(int(t + 1e-6) for t in target.values())
+    had = Counter()
+    for r in order:
+        had[r.flow] += r.taken
+        assert had[r.flow] / target[r.flow] == pytest.approx(r.finish)
+        assert all(had[f] <= r.finish * t + 1e-6 and had[f] + 30 >= r.finish * t for f, t in target.items())
+
+
+def test_the_order_is_a_range_exchange(spark, documents, monkeypatch):
+    """The cut is read from ranges that were sorted by finish time, whatever number of them."""
+    docs, plans = documents([(i, t, s, "en") for i, t, s in corpus(5, 400)]), []
+
+    def keep(df, name):
+        if name == "mix-order":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, name)
+
+    monkeypatch.setattr(mixing, "staged", keep)
+    scheduled = mixing.schedule(docs)
+    taken = []
+    for n in ("2", "7", "50"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        shuffled = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            taken.append(sorted((r.doc_id, r.taken) for r in mixing.taken_words(scheduled).collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert taken[0] == taken[1] == taken[2]
+    assert all("rangepartitioning(finish" in p for p in plans) and len(plans) == 3
+
+
+def test_mixed_documents_in_order(spark, documents):
+    rows = [(i, "w " * (1 + i * 7 % 30), "abc"[i % 3], "en") for i in range(300)] + [(900, "", "a", "en")]
+    docs = documents(rows)
+    order = mixing.mix(mixing.schedule(docs)).where("2 * taken >= size").collect()
+    got = [r.doc_id for r in mixing.mixed_documents(docs, in_order=True).collect()]
+    assert got[0] == 900 and got[1:] == [r.doc_id for r in order]
+    assert sorted(got) == sorted(r.doc_id for r in mixing.mixed_documents(docs).collect())
+
+
+def test_rows_that_differ_in_a_map_alone_stay_apart(spark):
+    rows = [(1, "one text of five words", "a", {"k": n}) for n in (1, 2, 2)] + [(2, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, more map<string,int>")
+    got = mixing.mixed_documents(docs, share=1, limit=1).collect()
+    assert sorted((r.doc_id, (r.more or {}).get("k", 0)) for r in got) == [(1, 1), (1, 2), (1, 2), (2, 0)]
+
+
 def test_whole_documents_come_near_the_targets(spark, documents, clashing):
     rng = random.Random(1)
     rows = [(i, "w " * rng.randint(1, 40), rng.choice("ab"), "en") for i in range(300)]

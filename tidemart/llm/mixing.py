@@ -1,10 +1,11 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every source is a flow served in shuffled order, again from its start when it is used up. A document's virtual finish
-time is the number of its source's words served up to its end, divided by the source's share of the budget; one global
-order by that time interleaves the sources in proportion at every point. All flows reach their shares at virtual time
-1, where the mix is cut: a document then in service gives the part served so far (``whole=False``), or stays whole if
-at least half of it was served (``whole=True``).
+time is the number of its source's words served up to its end, divided by the source's share of the budget. All services
+are range-sorted by that time, which interleaves the sources in proportion at every point, and the order is cut where the
+words of all sources together reach the budget. A document in service when its source reaches its share is two parts, one
+that ends there and the rest, so that the cut meets every share to the word: it gives the part before the cut, or
+(:func:`mixed_documents`) stays whole if that part is at least half of it.
 
 Defined cases: null text has no words; a null source is a source, last in order; documents without words take nothing;
 repeated rows are documents of their own; a table without rows gives none; other columns are not read.
@@ -55,11 +56,10 @@ def schedule(
     weights: Sequence[float] = (5, 2, 1),
     share: float = 1.5,
     limit: float = 2,
-    whole: bool = False,
     tie: Column | None = None,
 ) -> DataFrame:
     """Every service of every document up to ``limit`` times: ``row, doc_id, flow, round, size, source_size, target,
-    finish, taken``. ``row`` numbers the documents, ``finish`` is the virtual finish time, ``taken`` the words the mix takes.
+    start``. ``row`` numbers the documents, ``start`` counts the words of the source served before.
 
     ``tie`` orders documents of one identifier and size, and comes back as ``tie``; without it their place does.
 
@@ -89,65 +89,87 @@ def schedule(
     )
     rounds = F.sequence(F.lit(0), F.lit(-int(-limit // 1) - 1))
     begin = F.col("begin") + F.col("before") + F.col("round") * F.col("source_size")
-    return (
-        placed.withColumn("round", F.explode(rounds))
-        .withColumn("start", begin)
-        .withColumn("taken", _served(F.col("start"), F.col("size"), F.col("target"), whole))
-        .select(
-            "row", "doc_id", "flow", "round", "size", "source_size", "target", *ties,
-            F.when(F.col("target") > 0, (F.col("start") + F.col("size")) / F.col("target")).alias("finish"), "taken",
-        )
+    return placed.withColumn("round", F.explode(rounds)).select(
+        "row", "doc_id", "flow", "round", "size", "source_size", "target", *ties, begin.cast("long").alias("start")
     )
 
 
-def _served(start: Column, size: Column, target: Column, whole: bool) -> Column:
-    if whole:
-        return F.when(start + size / 2 <= target, size).otherwise(F.lit(0)).cast("long")
-    return F.greatest(F.lit(0), F.least(start + size, F.floor(target)) - start).cast("long")
+ORDER = ("finish", "beyond", "flow", "start", "row")
+
+
+def served(scheduled: DataFrame) -> DataFrame:
+    """Services in parts up to the source's share and ``beyond`` it, with their ``words`` and virtual ``finish`` time.
+
+    A document without words is one part at time 0.
+    """
+    size, start = F.col("size"), F.col("start")
+    first = F.greatest(F.lit(0), F.least(start + size, F.floor("target")) - start).cast("long")
+    part = lambda beyond, begin, words: F.struct(
+        F.lit(beyond).alias("beyond"), begin.alias("start"), words.alias("words"),
+        F.when(size > 0, (begin + words) / F.col("target")).otherwise(F.lit(0.0)).alias("finish"),
+    )
+    parts = F.filter(F.array(part(0, start, first), part(1, start + first, size - first)), lambda p: p["words"] > 0)
+    wordless = F.when(F.col("round") == 0, F.array(part(0, start, size))).otherwise(F.array_repeat(part(0, start, size), 0))
+    each = F.explode(F.when(size > 0, parts).otherwise(wordless)).alias("_p")
+    return scheduled.select(*[c for c in scheduled.columns if c != "start"], each).select("*", "_p.*").drop("_p")
+
+
+def cut(scheduled: DataFrame) -> DataFrame:
+    """The parts served within the budget, ``taken`` words of each: all before the cut of the global order.
+
+    The order is written once, range by range. Sums of the ranges tell in which of them the budget is reached; only that
+    one is summed up row by row.
+    """
+    ranges = served(scheduled).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+    ordered = staged(ranges.withColumn("range", F.spark_partition_id()), "mix-order")
+    shares = ordered.groupBy("flow").agg(F.max("target").alias("target"))
+    budget = shares.agg(F.coalesce(F.sum(F.floor("target")), F.lit(0))).first()[0]
+    sums = ordered.groupBy("range").agg(F.sum("words").alias("words"))
+    upto = sums.withColumn("end", F.sum("words").over(Window.orderBy("range")))
+    # one row: the range in which the budget is reached
+    edge = upto.where(F.col("end") > budget).orderBy("range").first()
+    if edge is None:
+        return ordered.withColumn("taken", F.col("words")).drop("range")
+    left = budget - (edge["end"] - edge["words"])
+    earlier = Window.partitionBy("range").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("words").over(earlier), F.lit(0))
+    taken = F.greatest(F.lit(0), F.least(F.col("words"), F.lit(left) - before)).cast("long")
+    whole = ordered.where(F.col("range") < edge["range"]).withColumn("taken", F.col("words"))
+    partly = ordered.where(F.col("range") == edge["range"]).withColumn("taken", taken)
+    return whole.unionByName(partly).drop("range")
 
 
 def mix(scheduled: DataFrame) -> DataFrame:
-    """The mix in order: services cut at the budget, range-sorted by virtual finish time."""
-    return scheduled.where("taken > 0").orderBy("finish", "row")
+    """The mix in order: parts served within the budget, by virtual finish time."""
+    return cut(scheduled).where("taken > 0").orderBy(*ORDER)
 
 
 def taken_words(scheduled: DataFrame) -> DataFrame:
     """``doc_id, size, source_size, target, taken``: one row per document, with the words the mix takes of it."""
     documents = scheduled.where("round = 0").select("row", "doc_id", "size", "source_size", "target")
-    taken = mix(scheduled).groupBy("row").agg(F.sum("taken").alias("taken"))
+    taken = cut(scheduled).groupBy("row").agg(F.sum("taken").alias("taken"))
     return documents.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
     )
 
 
-def mixed_documents(docs: DataFrame, **settings: object) -> DataFrame:
+def mixed_documents(docs: DataFrame, in_order: bool = False, **settings: object) -> DataFrame:
     """The documents of the mix, whole, each as often as it is taken; the columns of ``docs``.
 
-    Documents without words have nothing to mix and stay once. Rows of one identifier, size and source are told apart
-    by their content, rows alike in all by number, so which text is taken how often does not depend on their places.
+    Documents without words have nothing to mix and stay once. ``in_order`` sorts the rows by virtual finish time, which
+    moves the texts once more. Texts meet their services by a digest of all columns: rows alike in all columns are one
+    text served as often as all of them, so nothing depends on places.
     """
-    keys = ["_id", "_size", "_flow", "_content", "_nth"]
-    numbered = Window.partitionBy("_id", "_size", "_flow", "_content")
-    scheduled = schedule(docs, whole=True, tie=content_hash(docs), **settings)
-    served = (
-        scheduled.where("round = 0")
-        .select(
-            "row", F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("flow").alias("_flow"),
-            F.col("tie").alias("_content"),
-        )
-        .withColumn("_nth", F.row_number().over(numbered.orderBy("row")))
-        .join(mix(scheduled).groupBy("row").agg(F.count("*").alias("_times")), "row")
-        .drop("row")
+    digest = F.struct(content_hash(docs).alias("a"), content_hash(docs, "again").alias("b"))
+    kept = cut(schedule(docs, tie=digest, **settings)).where("2 * taken >= size")
+    services = kept.select(
+        F.col("tie.a").alias("_a"), F.col("tie.b").alias("_b"),
+        *[F.col(c).alias(f"_by_{c}") for c in (ORDER if in_order else ())],
     )
-    flow = F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit(""))
-    marked = docs.select(
-        F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), word_count(text_of()).alias("_size"),
-        flow.alias("_flow"), content_hash(docs).alias("_content"),
-    ).withColumn("_nth", F.row_number().over(numbered.orderBy("_id")))
-    same = [marked[k].eqNullSafe(served[k]) for k in keys]
-    times = F.when(marked["_size"] == 0, 1).otherwise(F.coalesce(served["_times"], F.lit(0)))
-    return (
-        marked.join(served, same, "left")
-        .select("_row", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
-        .select("_row.*")
+    texts = (
+        docs.select(F.struct("*").alias("_row"), digest.alias("_digest"))
+        .groupBy(F.col("_digest.a").alias("_a"), F.col("_digest.b").alias("_b"))
+        .agg(F.any_value("_row").alias("_row"))
     )
+    mixed = services.join(texts, ["_a", "_b"])
+    return (mixed.orderBy(*[f"_by_{c}" for c in ORDER]) if in_order else mixed).select("_row.*")

@@ -41,10 +41,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def content_hash(docs: DataFrame) -> Column:
-    """A hash of all columns, so that rows that differ have an order of their own; maps can't be hashed and are left out."""
-    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
+def content_hash(docs: DataFrame, salt: str | None = None) -> Column:
+    """A hash of all columns, so that rows that differ have an order of their own; maps, which can't be hashed, as JSON."""
+    maps = [f.name for f in docs.schema.fields if "map<" in f.dataType.simpleString()]
+    plain = [F.col(f"`{c}`") for c in docs.columns if c not in maps]
+    text = [F.to_json(F.struct(*[F.col(f"`{c}`") for c in maps]))] if maps else []
+    return F.xxhash64(*([F.lit(salt)] if salt else []), *plain, *text)
 
 
 def small_batches(spark: SparkSession) -> None:
