@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import cdc, dims, keywords, logs, measures, serving, stats, visits, wide
 from tidemart.plans import Backfill, Settings, registry
 from tidemart.plans.views import Views
+from tidemart.schemas import TABLE_PROCESS_LOG_DDL
 
 
 def plan(df):
@@ -60,6 +61,27 @@ def test_new_visitor_repair_splits_a_hot_device(spark, shuffled):
     assert "skew=true" in plan(repaired)
 
 
+def test_versioned_routes_split_a_hot_table(spark, shuffled):
+    """Half of all changes are of one table, whose route has many versions: split, and never multiplied."""
+    table = F.concat(F.lit("t"), F.col("k"))
+    data = F.to_json(F.struct(F.col("n").cast("string").alias("id"), F.col("payload").alias("p")))
+    changes = hot(spark).select(table.alias("table"), F.lit("insert").alias("type"), data.alias("data"), F.col("n").alias("seq"))
+    later = [("t0", "insert", "kafka", f"v{n}", "", "id", None, n * 1000, False) for n in range(1, 20)]
+    first = [(f"t{k}", "insert", "kafka", "v0", "", "id", None, None, False) for k in range(97)]
+    routed = cdc.route_as_of(changes, spark.createDataFrame(first + later, TABLE_PROCESS_LOG_DDL), "seq")
+    routed.collect()
+    assert "skew=true" in plan(routed) and plan(routed).count("from_json") <= 2
+    expected = F.when(F.col("table") == "t0", F.concat(F.lit("v"), F.floor(F.col("seq") / 1000))).otherwise(F.lit("v0"))
+    assert routed.count() == 20_000 and routed.where(F.col("sink_table") != expected).count() == 0
+
+
+def test_order_bitmaps_combine_before_the_shuffle(views):
+    pairs = wide.order_pairs(views.order_info, views.order_detail, timedelta(days=180))
+    bits = stats.order_bits(measures.unified(measures.order_product_measures(pairs)), "30 days")
+    text = plan(serving.distinct_orders(bits, "sku_id"))
+    assert "partial_bitmap_construct_agg" in text and "partial_bitmap_or_agg" in text and "collect_" not in text
+
+
 def test_interval_join_meets_only_rows_near_in_time(spark, shuffled):
     """One order id for everything: the pairs looked at grow with the pairs found, not with the square."""
     start = datetime(2024, 1, 1)
