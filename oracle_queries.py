@@ -309,6 +309,19 @@ STATEMENTS = {
         SELECT c_custkey, c_nationkey, c_mktsegment,
                first_value(c_name) OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS first_name
         FROM customer""",
+    "dim_lookup_as_of": """
+        WITH named AS (
+            SELECT l_partkey AS k, l_shipdate AS valid_from, l_orderkey * 10 + l_linenumber AS return_id,
+                   l_linestatus AS status, l_orderkey % 10 = 0 AS deleted
+            FROM lineitem WHERE l_returnflag = 'R'
+            QUALIFY row_number() OVER (
+                PARTITION BY k, valid_from ORDER BY return_id DESC, status DESC, deleted DESC) = 1
+        )
+        SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS sku_id,
+               CASE WHEN NOT deleted THEN return_id END AS return_id,
+               CASE WHEN NOT deleted THEN status ELSE 'none' END AS status
+        FROM (SELECT * FROM lineitem WHERE l_returnflag <> 'R') d
+        ASOF LEFT JOIN named n ON n.k = d.l_partkey AND n.valid_from <= d.l_shipdate""",
     "order_interval_join": f"""
         SELECT order_id, detail_id, sku_id, {text('create_ts')} AS create_time, split_total_amount FROM pairs_near""",
     "order_wide_user": """

@@ -216,6 +216,40 @@ def test_dim_join_keeps_unmatched_rows_and_never_multiplies(spark):
     assert got == {1: (None, 1), 2: ("own", None), None: ("own", None)}
 
 
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_versions_valid_at_a_moment_equal_brute_force(spark, step):
+    """Numbers as moments, before zero too; ties, ends, versions from the beginning, null keys and moments."""
+    rng = random.Random(step)
+    moments = [None, *range(-30, 31)]
+    log = [(rng.choice("abc"), rng.choice(moments), rng.choice("pqr"), rng.choice([True, False, None])) for _ in range(60)]
+    log += [(None, 1, "p", False), ("d", 5, None, False)]
+    facts = [(n, rng.choice([None, *"abcdz"]), rng.choice(moments), "own") for n in range(400)]
+    dim = spark.createDataFrame(log, "id string, valid_from bigint, name string, deleted boolean")
+    rows = spark.createDataFrame(facts, "n int, k string, at bigint, name string")
+    spec = dims.DimSpec({"id": "k"}, {"name": "name"})
+    got = {r["n"]: r["name"] for r in dims.dim_join_as_of(rows, dim, spec, "at", step=step).collect()}
+
+    def held(k, at):
+        by_then = [
+            (-99 if begin is None else begin, name or "", bool(gone), name)
+            for key, begin, name, gone in log
+            if key == k and (begin is None or (at is not None and begin <= at))
+        ]
+        return max(by_then, default=None)
+
+    want = {}
+    for n, k, at, own in facts:
+        version = held(k, at) if k is not None and at is not None else None
+        want[n] = own if version is None or version[2] else version[3]
+    assert got == want and len(got) == 400
+    none = dims.dim_join_as_of(rows, dim.limit(0), spec, "at", step=step)
+    assert none.filter("name = 'own'").count() == 400
+    # a dimension without times holds always, one row for each key
+    plain = dims.dim_join_as_of(rows, dim.drop("valid_from", "deleted"), spec, "at", step=step)
+    best = {k: max((r[2] or "" for r in log if r[0] == k)) or None for k in "abcd"}
+    assert {r["n"]: r["name"] for r in plain.collect()} == {n: best.get(k, own) if at is not None else own for n, k, at, own in facts}
+
+
 def test_interval_join_equals_brute_force(spark):
     rng = random.Random(3)
     start = datetime(2024, 1, 1)

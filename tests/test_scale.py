@@ -53,6 +53,21 @@ def test_lookup_splits_a_hot_key(spark, shuffled, unique):
     assert "skew=true" in plan(joined)
 
 
+def test_lookup_as_of_splits_a_hot_key(spark, shuffled):
+    """Half of all rows ask for one key in one slot, whose versions are few; the rows are split, the versions follow them."""
+    log = spark.range(97 * 3).select(
+        (F.col("id") % 97).alias("id"),
+        F.call_function("div", F.col("id"), F.lit(97)).alias("valid_from"),
+        F.concat(F.lit("d"), F.col("id")).alias("name"),
+    )
+    spec = dims.DimSpec({"id": "k"}, {"name": "name"})
+    joined = dims.dim_join_as_of(hot(spark).withColumn("at", F.col("n") % 3), log, spec, "at", step=1_000)
+    want = F.concat(F.lit("d"), F.col("k") + F.col("at") * 97)
+    assert joined.filter(~F.col("name").eqNullSafe(want)).count() == 0
+    assert len(joined.collect()) == 20_000
+    assert "skew=true" in plan(joined)
+
+
 def test_new_visitor_repair_splits_a_hot_device(spark, shuffled):
     common = F.struct(*[F.col("k").cast("string").alias(c) for c in ("mid", "vc", "ch", "ar")], F.lit("1").alias("is_new"))
     log = hot(spark).select(common.alias("common"), F.col("n").alias("ts"), "payload")
@@ -230,3 +245,34 @@ def test_backfill_equals_the_direct_plans(spark, views, tmp_path):
     both = job.read("keyword_stats")
     scored = serving.keyword_score(both, registry.KEYWORD_DAY)
     assert as_text(scored, ["keyword", "ct"]) == as_text(registry.keyword_score(views), ["keyword", "ct"])
+
+
+def test_backfill_finds_the_dimension_rows_of_the_time(spark, views, tmp_path):
+    """A rebuild after dimension changes names orders as they were named when they were made."""
+    job = Backfill(spark, str(tmp_path / "warehouse"), Settings(order_bound=timedelta(days=180)))
+    turn = F.lit("1998-01-01").cast("timestamp")
+    # an older and a newer state of two dimensions; the newer sku rows hang on other names
+    old = views.dim_sku.withColumn("valid_from", F.lit(None).cast("timestamp"))
+    new = views.dim_sku.withColumns({"tm_id": (F.col("tm_id") + 1) % 30, "valid_from": turn})
+    gone = views.dim_trademark.withColumns({"valid_from": turn, "deleted": F.lit(True)}).filter("id % 2 = 0")
+    marks = views.dim_trademark.withColumns({"valid_from": F.lit(None).cast("timestamp"), "deleted": F.lit(False)})
+    plain = {
+        "user": views.dim_user, "province": views.dim_province, "spu": views.dim_spu, "category3": views.dim_category3,
+    }
+    age = F.lit("2024-01-01").cast("date")
+    versioned = plain | {"sku": old.unionByName(new), "trademark": marks.unionByName(gone)}
+    job.orders(views.order_info, views.order_detail, views.payment_info, versioned, age)
+    got = job.read("dwm_order_wide").drop("dt")
+
+    pairs = wide.order_pairs(views.order_info, views.order_detail, timedelta(days=180))
+    later = F.col("create_ts") >= turn
+    left = views.dim_trademark.filter("id % 2 = 1")
+    before = wide.order_wide(pairs.filter(~later), **plain, sku=views.dim_sku, trademark=views.dim_trademark, as_of=age)
+    after = wide.order_wide(pairs.filter(later), **plain, sku=new.drop("valid_from"), trademark=left, as_of=age)
+    want = before.unionByName(after)
+    as_text = lambda df: sorted(str(tuple(r)) for r in df.select(*want.columns).collect())
+    assert as_text(got) == as_text(want)
+    assert before.count() and after.filter("tm_name IS NULL").count() and after.filter("tm_name IS NOT NULL").count()
+    newest = dims.current_rows(versioned["sku"]).collect()
+    assert sorted(newest) == sorted(new.select(*dims.current_rows(versioned["sku"]).columns).collect())
+    assert dims.current_rows(versioned["trademark"]).count() == left.count()

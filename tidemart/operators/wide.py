@@ -155,6 +155,38 @@ def order_wide(
     return rows.select(*ORDER_WIDE_COLUMNS, "create_ts")
 
 
+def order_wide_as_of(
+    pairs: DataFrame,
+    user: DataFrame,
+    province: DataFrame,
+    sku: DataFrame,
+    spu: DataFrame,
+    category3: DataFrame,
+    trademark: DataFrame,
+    as_of: Column | None = None,
+    moment: str = "create_ts",
+) -> DataFrame:
+    """:func:`order_wide` with the dimension rows that held at each pair's ``moment``; dimensions as of
+    ``dims.dim_join_as_of``, those without ``valid_from`` hold always.
+
+    ``pairs`` are read several times, mostly two columns of them, so they should be a written table. The names that hang
+    on the sku row are looked up in the slots in which that sku row held.
+    """
+    rows = dims.dim_join_as_of(pairs, user, dims.USER, moment)
+    as_of = F.current_date() if as_of is None else as_of
+    rows = rows.withColumn("user_age", age_years(F.col("_birthday").cast("date"), as_of)).drop("_birthday")
+    slots = dims.slots_of(pairs, dims.PROVINCE, moment)
+    rows = dims.dim_join_as_of(rows, province, dims.PROVINCE, moment, slots=slots)
+    slots = dims.slots_of(pairs, dims.SKU, moment)
+    rows = dims.dim_join_as_of(rows, sku, dims.SKU, moment, slots=slots)
+    held = dims.versions_by_slot(sku, slots, dims.SKU)
+    for dim, spec in ((spu, dims.SPU), (category3, dims.CATEGORY3), (trademark, dims.TRADEMARK)):
+        keys = [F.col(f"_row.{row_col}").alias(f"_k_{k}") for k, row_col in spec.keys.items()]
+        slots = held.select(*keys, "_slot").dropna().distinct()
+        rows = dims.dim_join_as_of(rows, dim, spec, moment, slots=slots)
+    return rows.select(*ORDER_WIDE_COLUMNS, "create_ts")
+
+
 def coalesce_wide(rows: DataFrame, others: DataFrame, keys: tuple[str, ...] = ("order_id", "detail_id")) -> DataFrame:
     """Fill a wide row's nulls from the other row of the same keys.
 

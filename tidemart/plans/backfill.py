@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import day_of_millis
 from tidemart.operators import keywords, logs, measures, stats, visits, wide
+from tidemart.operators.dims import VALID_FROM, current_rows
 from tidemart.session import shared_dir
 
 
@@ -71,10 +72,19 @@ class Backfill:
     def orders(
         self, orders: DataFrame, details: DataFrame, payments: DataFrame, dims: dict[str, DataFrame], as_of=None
     ) -> None:
-        """Wide orders and payments, province metrics; ``dims`` as for ``operators.wide.order_wide``."""
+        """Wide orders and payments, province metrics; ``dims`` as for ``operators.wide.order_wide``.
+
+        Where some dimension is a log with ``valid_from``, orders get the dimension rows that held when they were made
+        (``operators.wide.order_wide_as_of``).
+        """
         s = self.settings
         pairs = wide.order_pairs(orders, details, s.order_bound)
-        wide_rows = self._write(wide.order_wide(pairs, **dims, as_of=as_of), "dwm_order_wide", F.col("create_ts"))
+        if any(VALID_FROM in dim.columns for dim in dims.values()):
+            pairs = self._write(pairs, "dwm_order_pairs", F.col("create_ts")).drop("dt")
+            rows = wide.order_wide_as_of(pairs, **dims, as_of=as_of)
+        else:
+            rows = wide.order_wide(pairs, **dims, as_of=as_of)
+        wide_rows = self._write(rows, "dwm_order_wide", F.col("create_ts"))
         paid = wide.payment_wide(payments, wide_rows, s.payment_bound)
         self._write(paid, "dwm_payment_wide", F.substring("callback_time", 1, 10))
         self._metrics(stats.province_stats(wide_rows, s.window), "province_stats")
@@ -87,7 +97,7 @@ class Backfill:
         comments: DataFrame,
         dims: dict[str, DataFrame],
     ) -> None:
-        """Product and product keyword metrics, after ``behaviour`` and ``orders``."""
+        """Product and product keyword metrics, after ``behaviour`` and ``orders``; names are the newest ones."""
         rows = measures.product_measures(
             self.pages(),
             self.read("dwm_order_wide").drop("dt"),
@@ -97,7 +107,7 @@ class Backfill:
             refunds,
             comments,
         )
-        names = {k: dims[k] for k in ("sku", "spu", "category3", "trademark")}
+        names = {k: current_rows(dims[k]) for k in ("sku", "spu", "category3", "trademark")}
         summed = stats.enrich_product_stats(stats.product_sums(rows, self.settings.window), **names)
         product = self._metrics(summed, "product_stats")
         self._metrics(keywords.product_keywords(product), "keyword_stats/of=product")

@@ -293,6 +293,28 @@ def dim_lookup_multi(v: Views) -> DataFrame:
     return dims.dim_join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"), customer, spec)
 
 
+@query
+def dim_lookup_as_of(v: Views) -> DataFrame:
+    """Details that were not returned meet their sku's last return by then; every tenth return ends what held."""
+    lines = v.table("lineitem")
+    log = lines.filter(F.col("l_returnflag") == "R").select(
+        F.col("l_partkey").alias("id"),
+        F.col("l_shipdate").alias("valid_from"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("return_id"),
+        F.col("l_linestatus").alias("status"),
+        (F.col("l_orderkey") % 10 == 0).alias("deleted"),
+    )
+    details = lines.filter(F.col("l_returnflag") != "R").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        F.col("l_partkey").alias("sku_id"),
+        F.col("l_shipdate").alias("create_ts"),
+        F.lit("none").alias("status"),
+    )
+    spec = dims.DimSpec({"id": "sku_id"}, {"return_id": "return_id", "status": "status"})
+    joined = dims.dim_join_as_of(details, log, spec, "create_ts")
+    return joined.select("id", "sku_id", "return_id", "status")
+
+
 @query
 def order_interval_join(v: Views) -> DataFrame:
     return wide.order_pairs(v.order_info, v.order_detail, NEAR).select(
