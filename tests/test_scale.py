@@ -1,12 +1,13 @@
 """Plans and results under hot keys, and the layered rebuild."""
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators import cdc, dims, keywords, logs, measures, serving, stats, visits, wide
 from tidemart.plans import Backfill, Settings, registry
+from tidemart.plans.backfill import days_around, on_days
 from tidemart.plans.views import Views
 from tidemart.schemas import TABLE_PROCESS_LOG_DDL
 
@@ -276,3 +277,97 @@ def test_backfill_finds_the_dimension_rows_of_the_time(spark, views, tmp_path):
     newest = dims.current_rows(versioned["sku"]).collect()
     assert sorted(newest) == sorted(new.select(*dims.current_rows(versioned["sku"]).columns).collect())
     assert dims.current_rows(versioned["trademark"]).count() == left.count()
+
+
+def test_days_around_and_ranges(spark):
+    day = date(2024, 3, 1)
+    assert days_around(None) is None and days_around([]) == []
+    assert days_around([day], timedelta(seconds=5), timedelta(days=1, seconds=1)) == [
+        date(2024, 2, 29), day, date(2024, 3, 2), date(2024, 3, 3)
+    ]
+    times = spark.sql("SELECT timestamp'2024-02-28' + make_interval(0, 0, 0, 0, 6 * id) AS t FROM range(24)")
+    for chosen in ([], [day], [date(2024, 2, 28), date(2024, 2, 29), date(2024, 3, 3)]):
+        got = times.filter(on_days(F.col("t"), chosen)).collect()
+        assert {r["t"].date() for r in got} == set(chosen) and len(got) == 4 * len(chosen)
+        millis = times.select(F.unix_millis("t").alias("t")).filter(on_days(F.col("t"), chosen, millis=True))
+        assert millis.count() == len(got)
+
+
+def test_changed_days_are_rebuilt_and_others_left_alone(spark, tmp_path):
+    """One day emptied, one with other records, one device whose first day moves to a day outside of them."""
+    days = [datetime(2024, 1, d) for d in range(1, 13)]
+
+    def page(n, mid, day, second, is_new="0", last=None):
+        ts = int((day - datetime(1970, 1, 1)).total_seconds() * 1000) + second * 1000
+        item = "handbag" if n % 2 else "sku"
+        shown = [(str(n % 3), "sku_id")]
+        return (n, (mid, "v", "c", "a", is_new), ("good_list", last, item, 5), None, shown, ts)
+
+    common = [page(100 * k + m, f"m{m}", day, 40_000 + 7 * m) for k, day in enumerate(days) for m in range(3)]
+    # the last second of a day and the first of the next: a bounce that the next day can prevent
+    night = [page(5000, "owl", days[6], 86_399, last=""), page(5001, "first", days[2], 10, "1"), page(5002, "first", days[9], 10, "1")]
+    ddl = (
+        "event_id bigint, common struct<mid string, vc string, ch string, ar string, is_new string>, page struct<page_id"
+        " string, last_page_id string, item string, during_time bigint>, start map<string,string>, displays"
+        " array<struct<item string, item_type string>>, ts bigint"
+    )
+    old = spark.createDataFrame(common + night, ddl)
+    # day 3 (index 2) loses everything, with it the first day of "first"; day 8 (index 7) gains a page of the owl
+    empty_day = days[2].date()
+    kept = [r for r in common + night if datetime(1970, 1, 1) + timedelta(milliseconds=r[5]) < days[2] or datetime(1970, 1, 1) + timedelta(milliseconds=r[5]) >= days[3]]
+    new = spark.createDataFrame([*kept, page(5003, "owl", days[7], 1, last="home")], ddl)
+    settings = Settings(window="10 seconds", keyword_window="1 hour", tie=("event_id",))
+    job = Backfill(spark, str(tmp_path / "days"), settings)
+    job.behaviour(old)
+    before = {str(f) for f in (tmp_path / "days").rglob("part-*.parquet")}
+    written = job.behaviour(new, [empty_day, days[7].date()])
+    after = {str(f) for f in (tmp_path / "days").rglob("part-*.parquet")}
+    assert written == [empty_day, days[7].date(), days[9].date()]
+
+    whole = Backfill(spark, str(tmp_path / "whole"), settings)
+    whole.behaviour(new)
+    layers = ("dwd_log", "dwd_display_log", "dwm_unique_visit", "dwm_user_jump_detail", "visitor_stats", "keyword_stats", "first_days")
+    for name in layers:
+        want = whole.read(name)
+        columns = [c for c in want.columns if c != "ts" or name == "dwd_log"]
+        as_text = lambda df: sorted(str(tuple(r)) for r in df.select(*columns).collect())  # noqa: E731, B023
+        assert as_text(job.read(name)) == as_text(want), name
+        assert want.count(), name
+    assert 5000 not in {r["event_id"] for r in job.read("dwm_user_jump_detail").collect()}
+    # folders of other days keep their files
+    for name in ("dwd_log", "dwd_display_log", "dwm_unique_visit", "dwm_user_jump_detail", "visitor_stats"):
+        gone = {f.split("dt=")[1][:10] for f in before - after if f"/{name}/" in f}
+        assert gone and gone <= {f"2024-01-{d:02}" for d in (2, 3, 7, 8, 9, 10)}, (name, gone)
+
+
+def test_changed_order_days_are_rebuilt(spark, views, tmp_path):
+    """Orders of one day taken away: all order layers as if built anew, folders of far days untouched."""
+    names = {
+        "user": views.dim_user, "province": views.dim_province, "sku": views.dim_sku, "spu": views.dim_spu,
+        "category3": views.dim_category3, "trademark": views.dim_trademark,
+    }
+    age = F.lit("2024-01-01").cast("date")
+    settings = Settings("1 hour", "1 hour", 10_000, timedelta(days=20), tie=("event_id",))
+    changed = date(1998, 5, 4)
+    # some months, as each day is a folder of its own
+    some = F.col("create_ts").between("1998-03-15", "1998-06-30")
+    made, details, paid = (df.filter(some) for df in (views.order_info, views.order_detail, views.payment_info))
+    fewer = made.filter(F.col("create_ts").cast("date") != changed)
+    more = views.favor.unionByName(views.favor.limit(1).withColumns({"create_ts": F.lit("2024-02-02 03:00:00").cast("timestamp_ntz"), "create_time": F.lit("2024-02-02 03:00:00")}))
+    rest = (views.cart, views.refund.filter(some), views.comment)
+    job, whole = Backfill(spark, str(tmp_path / "days"), settings), Backfill(spark, str(tmp_path / "whole"), settings)
+    for each, orders in ((job, made), (whole, fewer)):
+        each.behaviour(views.page_log)
+        each.orders(orders, details, paid, names, age)
+        each.products(views.favor if each is job else more, *rest, names)
+    before = {str(f) for f in (tmp_path / "days").rglob("part-*.parquet")}
+    touched = job.orders(fewer, details, paid, names, age, changed=[changed])
+    job.products(more, *rest, names, changed=[*touched, date(2024, 2, 2)])
+    after = {str(f) for f in (tmp_path / "days").rglob("part-*.parquet")}
+    for name in ("dwm_order_wide", "dwm_payment_wide", "province_stats", "product_stats", "keyword_stats"):
+        want = whole.read(name)
+        columns = [c for c in want.columns if c != "ts"]
+        as_text = lambda df: sorted(str(tuple(r)) for r in df.select(*columns).collect())  # noqa: E731, B023
+        assert as_text(job.read(name)) == as_text(want), name
+        kept = {f for f in before & after if f"/{name}/" in f}
+        assert kept, name

@@ -27,12 +27,12 @@ def page_log(log: DataFrame) -> DataFrame:
     return log.filter(~is_start())
 
 
-def display_log(log: DataFrame) -> DataFrame:
-    """One row per displayed item of a page record, with the page's id; start records give none."""
+def display_log(log: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per displayed item of a page record, with the page's id (and ``keep``); start records give none."""
     return (
         page_log(log)
-        .select(F.col("page.page_id").alias("page_id"), F.explode("displays").alias("_display"))
-        .select("_display.*", "page_id")
+        .select(*keep, F.col("page.page_id").alias("page_id"), F.explode("displays").alias("_display"))
+        .select("_display.*", "page_id", *keep)
     )
 
 
