@@ -72,6 +72,29 @@ def test_labels_of_one_class_or_none(spark, documents):
     assert toxicity.scored(docs.where("false"), toxicity.fit(docs, labels), "s").count() == 0
 
 
+@pytest.fixture(scope="module")
+def many_labels(spark):
+    """Of 2,900 toxic documents, the 400 with the largest hashes of their identifiers alone say zorgle, the others vilest."""
+    rng = random.Random(6)
+    names = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(200)]
+    plain = lambda: rng.choices(names, k=8)
+    order = spark.range(2900).orderBy(F.xxhash64("id"), "id").collect()
+    rows = [(r.id, " ".join([*plain(), "vilest" if k < 2500 else "zorgle"]), 1) for k, r in enumerate(order)]
+    rows += [(i, " ".join(plain()), 0) for i in range(2900, 6400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").withColumn("lang", F.lit("en"))
+    return frame.repartition(4).cache()
+
+
+def test_all_labels_train(spark, many_labels, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 1500)
+    docs, labels = many_labels.select("doc_id", "text", "lang"), many_labels.select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels)
+    scores = toxicity.score_texts(model, toxicity.Words(model), ["abcde zorgle fghij", "abcde vilest", "abcde fghij", ""])
+    assert min(scores[:2]) > 0.5 > max(scores[2:])
+    again = toxicity.fit(docs.repartition(7), labels)
+    assert np.array_equal(model.embedding, again.embedding) and model.thresholds == again.thresholds
+
+
 def test_held_out_accuracy(spark, sf):
     folder = sf.replace("0.001", "0.01")
     labels = spark.read.parquet(f"{folder}/labels.parquet")

@@ -1,13 +1,14 @@
 """Toxicity: a convolutional text classifier over hashed word embeddings, trained in numpy.
 
 A word's embedding is the sum of the rows of its hashed features (the word, and its first three, four and five
-letters); features that training has not met are zero. Filters over one, two and three words run along the whole text,
-the strongest answer of each filter (at least zero) is kept, and a logistic layer with weights of at least zero on these
-gives the score, so a text without evidence scores lowest. Scores are calibrated on a part of the sample that training does not see; thresholds for a decision are calibrated there by
-language. Scores themselves read nothing but the text.
+letters); rows that fewer than two training documents have met are zero. Filters over one, two and three words run along
+the whole text, the strongest answer of each filter (at least zero) is kept, and a logistic layer with weights of at least
+zero on these gives the score, so a text without evidence scores lowest. Scores themselves read nothing but the text.
 
-The classifier is fitted on the driver from a sample of labelled documents of bounded size (``per_class`` of each class,
-by hash); scoring runs over whole texts in Arrow batches.
+All labelled documents are used, each once: a fifth, by hash, calibrates the scores and the thresholds by language, the
+others train. They are dealt into shards by hash. A round is one pass: every shard trains on from the model so far, and
+a row moves by the mean of the shards that moved it. What reaches the driver is as large as the model, whatever the number
+of documents: sums of moves by row, and counts of margins by language and label. Sums are of integers, so reruns agree.
 
 Defined cases: null text is the empty text; it and texts without words have the score of no evidence; a label that is
 null is not used, contradicting labels of one document count as toxic; without labels of both classes every score is
@@ -21,9 +22,11 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,22 +38,32 @@ PREFIXES = (3, 4, 5)
 WIDTHS, DIM, FILTERS = (1, 2, 3), 16, 12
 # zero rows after a text: no filter reaches from one text into the next
 GAP = max(WIDTHS) + 1
-PER_CLASS = 2500
+# rows of the embedding, and places a word's features take
+BUCKETS, PLACES = 1 << 18, 1 + len(PREFIXES)
+# documents and bytes of a shard
+SHARD, SHARD_BYTES = 4000, 16 << 20
+# small sets are passed over until so many documents have been visited; any set at least twice
+VISITS, ROUNDS = 32_000, (2, 8)
+# bits that tell which identifiers have labels
+LABEL_BITS = 1 << 25
+# moves are summed as multiples of this fraction
+FRACTION = 1 << 30
+SEED = 7
 WORDS_KEPT = 300_000
 BATCH_WORDS = 40_000
 
 
 def features(word: str) -> list[int]:
-    """Hashes of the word and of its beginnings."""
+    """Buckets of the word and of its beginnings."""
     parts = [b"w" + word.encode()] + [b"p" + word[:k].encode() for k in PREFIXES if len(word) >= k]
-    return [zlib.crc32(p) for p in parts]
+    return [zlib.crc32(p) % BUCKETS for p in parts]
 
 
 @dataclass
 class Model:
-    """Parameters of the classifier; ``rows`` maps a feature's hash to its row of ``embedding`` (row 0 is zero)."""
+    """Parameters of the classifier; ``rows`` holds a bucket's row of ``embedding`` (row 0 is zero)."""
 
-    rows: dict[int, int]
+    rows: np.ndarray
     embedding: np.ndarray
     filters: list[np.ndarray]
     dense: np.ndarray
@@ -81,8 +94,7 @@ class Words:
             at = len(self.places) + 1
             if at >= len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            known = [r for f in features(word) if (r := self.model.rows.get(f))]
-            self.table[at] = self.model.embedding[known].sum(0)
+            self.table[at] = self.model.embedding[self.model.rows[features(word)]].sum(0)
             self.places[word] = at
         get = self.places.__getitem__
         ids, spans = [], []
@@ -124,27 +136,65 @@ def score_texts(model: Model, words: Words, texts: list[str]) -> np.ndarray:
 # --- training
 
 
+class Coded:
+    """Texts as numbers of words from 1; ``buckets`` holds the features of each word, -1 where it has fewer."""
+
+    def __init__(self, texts: list[str]):
+        numbers: dict[str, int] = {}
+        self.texts = []
+        for text in texts:
+            found = [numbers.setdefault(w, len(numbers) + 1) for w in WORDS.findall(text.lower())]
+            self.texts.append(np.array(found, "i4"))
+        self.buckets = np.full((len(numbers) + 1, PLACES), -1, "i4")
+        for word, number in numbers.items():
+            own = features(word)
+            self.buckets[number, : len(own)] = own
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray], buckets: np.ndarray) -> Coded:
+        made = cls([])
+        made.texts, made.buckets = texts, buckets
+        return made
+
+    def documents_by_bucket(self) -> np.ndarray:
+        """In how many texts each bucket occurs."""
+        counts = np.zeros(BUCKETS + 1, "i8")
+        for found in self.texts:
+            counts[np.unique(self.buckets[np.unique(found)])] += 1
+        return counts[:BUCKETS]
+
+
+def first_model(met: np.ndarray) -> Model:
+    """The model before training; ``met`` are the buckets that have a row."""
+    rng = np.random.default_rng(SEED)
+    filters = [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype("f4") for w in WIDTHS]
+    dense = np.abs(rng.normal(0, 0.3, len(WIDTHS) * FILTERS)).astype("f4")
+    embedding = rng.normal(0, 0.05, (len(met) + 1, DIM)).astype("f4")
+    embedding[0] = 0
+    rows = np.zeros(BUCKETS, "i4")
+    rows[met] = np.arange(1, len(met) + 1)
+    return Model(rows, embedding, filters, dense, -1.0)
+
+
 class Trainer:
-    """Adam on the rows a batch touches; of the texts, only the words that won the pooling carry gradients."""
+    """Adam on the rows a batch touches; of the texts, only the words that won the pooling carry gradients.
+
+    Training goes on from ``start``; without it, from a new model of the features that two of the texts share.
+    """
 
-    def __init__(self, texts: list[str], labels: np.ndarray, seed: int = 7):
+    def __init__(self, texts: list[str] | Coded, labels: np.ndarray, start: Model | None = None, seed: int = SEED):
         self.rng = np.random.default_rng(seed)
+        coded = texts if isinstance(texts, Coded) else Coded(texts)
         # the empty text goes with every batch, as clean: no evidence must not be toxic
-        self.anchor = len(texts)
+        self.anchor = len(coded.texts)
         self.labels = np.append(labels, 0).astype("f4")
-        self.words = [*(WORDS.findall(t.lower()) for t in texts), []]
-        seen: dict[int, int] = {}
-        hashed = {w: features(w) for w in set().union(*self.words)} if self.words else {}
-        for words in self.words:
-            for f in {f for w in set(words) for f in hashed[w]}:
-                seen[f] = seen.get(f, 0) + 1
-        rows = {f: i for i, f in enumerate((f for f in sorted(seen) if seen[f] > 1), 1)}
-        self.feature_rows = {w: np.array([rows.get(f, 0) for f in hashed[w]]) for w in hashed}
-        normal = self.rng.normal
-        embedding = normal(0, 0.05, (len(rows) + 1, DIM)).astype("f4")
-        embedding[0] = 0
-        filters = [normal(0, 0.3, (w, DIM, FILTERS)).astype("f4") for w in WIDTHS]
-        self.model = Model(rows, embedding, filters, np.abs(normal(0, 0.3, len(WIDTHS) * FILTERS)).astype("f4"), -1.0)
+        self.words = [*coded.texts, np.zeros(0, "i4")]
+        start = start or first_model(np.flatnonzero(coded.documents_by_bucket() > 1))
+        self.feature_rows = np.where(coded.buckets >= 0, start.rows[coded.buckets], 0)
+        self.model = Model(
+            start.rows, start.embedding.copy(), [f.copy() for f in start.filters], start.dense.copy(), start.bias
+        )
+        self.moved = np.zeros(len(start.embedding), bool)
         self.moments: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         self.step = 0
 
@@ -157,19 +207,16 @@ class Trainer:
 
     def _update(self, chosen: np.ndarray, rate: float) -> None:
         model = self.model
-        flat: list[str | None] = []
-        begins, ends = [], []
+        pieces, begins, ends, at = [], [], [], 0
         for i in chosen:
-            begins.append(len(flat))
-            ends.append(len(flat) + max(1, len(self.words[i])))
-            flat += [*self.words[i], *[None] * GAP]
-        distinct = {w: k for k, w in enumerate(dict.fromkeys(w for w in flat if w is not None), 1)}
-        table = np.zeros((len(distinct) + 1, DIM), "f4")
-        if distinct:
-            owned = [self.feature_rows[w] for w in distinct]
-            starts = np.cumsum([0, *map(len, owned)])[:-1]
-            table[1:] = np.add.reduceat(model.embedding[np.concatenate(owned)], starts, axis=0)
-        ids = np.array([distinct[w] if w is not None else 0 for w in flat])
+            own = self.words[i]
+            begins.append(at)
+            ends.append(at + max(1, len(own)))
+            pieces += [own, np.zeros(GAP, "i4")]
+            at += len(own) + GAP
+        # the first of the distinct numbers is the gaps' 0
+        distinct, ids = np.unique(np.concatenate(pieces), return_inverse=True)
+        table = model.embedding[self.feature_rows[distinct]].sum(1)
         x = table[ids]
         n = len(x) - max(WIDTHS) + 1
         best, values = [], []
@@ -200,24 +247,18 @@ class Trainer:
         bias = np.array([model.bias], "f4")
         self._adam("bias", bias, error.sum(keepdims=True), rate)
         model.bias = float(bias[0])
-        self._embedding(np.concatenate(words_at), np.concatenate(gradients), list(distinct), rate)
+        self._embedding(np.concatenate(words_at), np.concatenate(gradients), distinct, rate)
 
-    def _embedding(self, words_at: np.ndarray, gradients: np.ndarray, distinct: list[str], rate: float) -> None:
+    def _embedding(self, words_at: np.ndarray, gradients: np.ndarray, distinct: np.ndarray, rate: float) -> None:
         moved, place = np.unique(words_at, return_inverse=True)
         summed = np.zeros((len(moved), DIM), "f4")
         np.add.at(summed, place, gradients)
-        rows, parts = [], []
-        for at, g in zip(moved, summed, strict=True):
-            if at:
-                own = self.feature_rows[distinct[at - 1]]
-                rows.append(own)
-                parts.append(np.repeat(g[None], len(own), 0))
-        if not rows:
-            return
-        touched, place = np.unique(np.concatenate(rows), return_inverse=True)
+        rows = self.feature_rows[distinct[moved]]
+        touched, place = np.unique(rows.ravel(), return_inverse=True)
         total = np.zeros((len(touched), DIM), "f4")
-        np.add.at(total, place, np.concatenate(parts))
+        np.add.at(total, place, np.repeat(summed, PLACES, 0))
         total[touched == 0] = 0
+        self.moved[touched[touched > 0]] = True
         self._adam("embedding", self.model.embedding, total, rate, touched)
 
     def _adam(self, name: str, value: np.ndarray, gradient: np.ndarray, rate: float, rows: np.ndarray | None = None):
@@ -246,7 +287,7 @@ def calibrate(model: Model, margins: np.ndarray, labels: np.ndarray, weights: np
     scores = _logistic(model.scale[0] * margins + model.scale[1])
     for lang in sorted(set(langs)):
         own = np.array([x == lang for x in langs])
-        if (labels[own] == 1).sum() >= 20:
+        if weights[own][labels[own] == 1].sum() >= 20:
             model.thresholds[lang] = _best_threshold(scores[own], labels[own], weights[own])
 
 
@@ -261,36 +302,162 @@ def _best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray)
     return float(min(cuts[fit], key=lambda c: abs(c - 0.5)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
-    """A classifier from ``labels`` (``doc_id, toxic``) of documents in ``docs`` (``doc_id, text, lang``).
+def _flat(model: Model) -> np.ndarray:
+    """Filters, dense layer and bias in rows as wide as the embedding's."""
+    values = np.concatenate([*(f.ravel() for f in model.filters), model.dense, [model.bias]])
+    return np.append(values, np.zeros(-len(values) % DIM)).reshape(-1, DIM)
+
+
+def _stepped(model: Model, moves: np.ndarray, numbers: np.ndarray) -> Model:
+    """``model`` moved by ``moves`` of the rows ``numbers``; numbers below 0 are rows of :func:`_flat`, from -1 down."""
+    embedding, flat = model.embedding.copy(), _flat(model)
+    embedding[numbers[numbers >= 0]] += moves[numbers >= 0]
+    flat[-1 - numbers[numbers < 0]] += moves[numbers < 0]
+    values, filters, at = flat.ravel().astype("f4"), [], 0
+    for old in model.filters:
+        filters.append(values[at : at + old.size].reshape(old.shape))
+        at += old.size
+    dense = np.maximum(values[at : at + len(model.dense)], 0)
+    return Model(model.rows, embedding, filters, dense, float(values[at + len(dense)]))
+
+
+MOVES = [f"d{k}" for k in range(DIM)]
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard ready for its rounds: coded texts to train on, in an order of their own, and whole texts to check with.
+
+    The features of the shard's words go with its first coded text.
+    """
+    rows = [r for batch in batches for r in batch.to_pylist()]
+    rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
+    for checks in (False, True):
+        own = [r for r in rows if r["checks"] == checks]
+        if not own:
+            continue
+        codes, words, texts = [None] * len(own), [None] * len(own), [r["text"] for r in own]
+        if not checks:
+            coded = Coded(texts)
+            codes, texts = [c.tobytes() for c in coded.texts], codes
+            words[0] = coded.buckets.tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([checks] * len(own)), pa.array([r["toxic"] for r in own], pa.int32()),
+                pa.array([r["lang"] for r in own], pa.string()), pa.array(texts, pa.string()),
+                pa.array(codes, pa.binary()), pa.array(words, pa.binary()),
+            ],
+            ["checks", "toxic", "lang", "text", "codes", "words"],
+        )
+
+
+CODED = "checks boolean, toxic int, lang string, text string, codes binary, words binary"
+
+
+def _shard(batches: Iterator[pa.RecordBatch]) -> tuple[Coded, np.ndarray]:
+    """The coded texts of a shard and their labels."""
+    rows = pa.Table.from_batches(list(batches)).to_pylist()
+    words = b"".join(r["words"] or b"" for r in rows)
+    buckets = np.frombuffer(words, "i4").reshape(-1, PLACES)
+    return Coded.of([np.frombuffer(r["codes"], "i4") for r in rows], buckets), np.array([r["toxic"] for r in rows])
+
+
+def met_buckets(train: DataFrame) -> np.ndarray:
+    """The buckets that at least two documents have met, counted over all shards; at most ``BUCKETS`` numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first in batches:
+            counts = _shard(chain([first], batches))[0].documents_by_bucket()
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["bucket", "docs"])
+
+    counted = train.mapInArrow(run, "bucket long, docs long").groupBy("bucket").agg(F.sum("docs").alias("docs"))
+    return np.sort(counted.where("docs > 1").select("bucket").toPandas()["bucket"].to_numpy("i8"))
+
+
+def trained_round(train: DataFrame, model: Model, number: int) -> Model:
+    """One pass of all shards over their documents, from ``model``; a row moves by the mean of the shards that moved it."""
+    shared = train.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start = shared.value
+        for first in batches:
+            trainer = Trainer(*_shard(chain([first], batches)), start, SEED + number)
+            found = trainer.run(1)
+            at = np.flatnonzero(trainer.moved)
+            flat = _flat(found) - _flat(start)
+            moves = np.concatenate([found.embedding[at] - start.embedding[at], flat]).astype("f8")
+            numbers = np.concatenate([at, -1 - np.arange(len(flat))])
+            whole = np.rint(moves * FRACTION).astype("i8")
+            columns = [pa.array(numbers), *(pa.array(c) for c in whole.T.copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["number", *MOVES])
+
+    moved = train.mapInArrow(run, "number long, " + ", ".join(f"{c} long" for c in MOVES))
+    sums = moved.groupBy("number").agg(F.count("*").alias("shards"), *[F.sum(c).alias(c) for c in MOVES]).toPandas()
+    shared.destroy()
+    means = sums[MOVES].to_numpy("f8") / FRACTION / sums["shards"].to_numpy("f8")[:, None]
+    return _stepped(model, means.astype("f4"), sums["number"].to_numpy("i8"))
+
+
+def _calibrated(model: Model, check: DataFrame) -> None:
+    """Calibrate by all of ``check``: its documents are counted by language, label and margin in hundredths."""
+    tiny = F.lit(1e-12)
+    margin = F.log(F.greatest("score", tiny) / F.greatest(1 - F.col("score"), tiny))
+    kept = scored(check.select("lang", "text", "toxic"), model, "score", drop=("text",))
+    found = kept.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), "toxic", F.round(margin, 2).alias("margin"))
+    rows = found.count().orderBy("lang", "toxic", "margin").toPandas()
+    values = [rows[c].to_numpy("f8") for c in ("margin", "toxic", "count")]
+    calibrate(model, *values, rows["lang"].tolist())
+
+
+def _perhaps_labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose identifier shares its bit with a labelled one, so that other texts are not moved.
+
+    The table of bits has 4 MB, whatever the data; labels are joined exactly afterwards.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(LABEL_BITS)) + 1
+    bit, bucket = F.bitmap_bit_position(place), F.bitmap_bucket_number(place)
+    table = labels.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    octet = F.conv(F.hex(F.substring("_bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = docs.join(F.broadcast(table), bucket == F.col("_bucket"))
+    own = F.call_function("shiftleft", F.lit(1), bit.bitwiseAND(F.lit(7)).cast("int"))
+    return met.where(octet.bitwiseAND(own) != 0).select(*docs.columns)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """A classifier from all ``labels`` (``doc_id, toxic``) of documents in ``docs`` (``doc_id, text, lang``).
 
-    At most ``per_class`` documents of each class are read, those with the smallest hashes of their ``doc_id``; of
-    rows that repeat one, the one with the smallest hash of its text.
+    Of rows that repeat an identifier, the one with the smallest hash of its text is read.
     """
+    spark = docs.sparkSession
+    small_batches(spark)
     usable = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    pick = [usable.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
-    # at most 2 * per_class rows
-    chosen = F.broadcast(pick[0].union(pick[1]))
-    met = docs.select("doc_id", text_of().alias("text"), "lang").join(chosen, "doc_id")
+    usable = usable.where("toxic IN (0, 1)")
+    met = _perhaps_labelled(docs.select("doc_id", text_of().alias("text"), "lang"), usable)
+    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")
+    volume = met.agg(F.count("*").alias("n"), size).first()
+    shards = max(1, -(-volume.n // SHARD), -(-volume.size // SHARD_BYTES))
     # one row for each identifier, however many repeat it
-    one = met.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "lang", "toxic")).alias("row"))
-    rows = one.select("doc_id", "row.text", "row.lang", "row.toxic").collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.text))
-    truth = np.array([r.toxic for r in rows], "f4")
-    if len(set(truth.tolist())) < 2:
-        share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-        return Model({}, np.zeros((1, DIM), "f4"), [], np.zeros(0, "f4"), 0.0, constant=share)
-    trained = np.arange(len(rows)) % 5 != 0
-    model = Trainer([r.text for r, t in zip(rows, trained, strict=True) if t], truth[trained]).run()
-    check = np.flatnonzero(~trained)
-    if len(set(truth[check].tolist())) == 2:
-        words, texts = Words(model), [rows[i].text for i in check]
-        scores = score_texts(model, words, texts)
-        margins = np.log(np.maximum(scores, 1e-12) / np.maximum(1 - scores, 1e-12))
-        natural = np.array([sizes[y] / max(1, (truth == y).sum()) for y in (0, 1)])
-        calibrate(model, margins, truth[check], natural[truth[check].astype(int)], [rows[i].lang or "" for i in check])
-    return model
+    one = met.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "lang")).alias("row")).join(usable, "doc_id")
+    checks = F.pmod(F.xxhash64("doc_id", F.lit("check")), F.lit(5)) == 0
+    rows = one.select("doc_id", "row.text", "row.lang", "toxic", checks.alias("checks"))
+    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int")
+    dealt = rows.repartitionById(shards, shard).mapInArrow(_coded, CODED).persist(StorageLevel.DISK_ONLY)
+    try:
+        parts = {(r.checks, r.toxic): r.n for r in dealt.groupBy("checks", "toxic").agg(F.count("*").alias("n")).collect()}
+        if len({y for _, y in parts}) < 2:
+            share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+            return Model(np.zeros(0, "i4"), np.zeros((1, DIM), "f4"), [], np.zeros(0, "f4"), 0.0, constant=share)
+        train = dealt.where(~F.col("checks")).select("toxic", "codes", "words")
+        visits = sum(n for (held, _), n in parts.items() if not held)
+        model = first_model(met_buckets(train))
+        for number in range(min(ROUNDS[1], max(ROUNDS[0], -(-VISITS // max(1, visits))))):
+            model = trained_round(train, model, number)
+        if {(True, 0), (True, 1)} <= set(parts):
+            _calibrated(model, dealt.where("checks"))
+        return model
+    finally:
+        dealt.unpersist()
 
 
 def scored(docs: DataFrame, model: Model, column: str, drop: tuple[str, ...] = ()) -> DataFrame:
