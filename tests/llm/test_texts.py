@@ -95,6 +95,17 @@ def test_all_labels_train(spark, many_labels, monkeypatch):
     assert np.array_equal(model.embedding, again.embedding) and model.thresholds == again.thresholds
 
 
+def test_all_labels_beside_the_training_calibrate(spark, many_labels, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "ROUNDS", (1, 1))
+    monkeypatch.setattr(toxicity, "calibrate", lambda model, margins, labels, weights, langs: seen.append((labels, weights)))
+    toxicity.fit(many_labels.select("doc_id", "text", "lang"), many_labels.select("doc_id", "toxic"))
+    labels, weights = seen[0]
+    checks = many_labels.where(F.pmod(F.xxhash64("doc_id", F.lit("check")), F.lit(5)) == 0)
+    want = {r.toxic: r["count"] for r in checks.groupBy("toxic").count().collect()}
+    assert {y: weights[labels == y].sum() for y in (0, 1)} == want and sum(want.values()) > 1100
+
+
 def test_held_out_accuracy(spark, sf):
     folder = sf.replace("0.001", "0.01")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
