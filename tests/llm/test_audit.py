@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +109,48 @@ def test_rare_prefixes_are_discarded(spark):
 # --- Merkle manifest
 
 
+class Handed:
+    """Stands for a frame: keeps the function that its tasks would run."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+@pytest.mark.parametrize("complete", [False, True])
+def test_a_task_holds_little_whatever_it_reads(complete):
+    rng = random.Random(8)
+    names = ["".join(rng.choices("abcdefghijklmnopqrst", k=9)) for _ in range(60_000)]
+    texts = [" ".join(rng.choices(names, k=250)).encode() for _ in range(8_000)]
+    column = pa.array(texts, pa.binary())
+    flat = lambda value, n: pa.array([value] * n, pa.binary())
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [flat(b"en", 500), flat(b"s%d" % (at % 12), 500), column[at * 500 : (at + 1) * 500]], ["lang", "source", "text"]
+        )
+        for at in range(16)
+    ]
+    settings = divergence.Settings()
+    whole = type("Bits", (), {"value": b"\xff" * (settings.bits // 8)})
+    if complete:
+        run = divergence.term_counts(Handed(), settings, whole, 8)
+    else:
+        run = divergence.prefix_counts(Handed(), settings, whole, 4, 8)
+    if not complete:
+        batches = [b.select(["lang", "text"]) for b in batches]
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    arrow = found = 0
+    for batch in run(iter(batches)):
+        arrow, found = max(arrow, pa.total_allocated_bytes() - before), found + sum(batch.column(batch.num_columns - 1).to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == sum(len(set(t.split())) for t in texts) if complete else found > 0
+    assert peak < 90 << 20 and arrow < 70 << 20, (peak, arrow)
+
+
 def h(*parts):
     return hashlib.sha256("".join(parts).encode()).hexdigest()
 

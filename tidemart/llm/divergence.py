@@ -35,7 +35,7 @@ from tidemart.llm.work import small_batches, staged
 SCALE = 1_000_000_000
 BITS_A_ROW = 8 * 4096
 # bytes of rows whose terms are coded together
-CHUNK_BYTES = 10 << 20
+CHUNK_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -49,7 +49,7 @@ class Settings:
     # bits of a level's table: 4 MB
     bits: int = 1 << 25
     # entries that a task holds before it hands them on
-    held: int = 1_000_000
+    held: int = 250_000
     # terms of a block, sources of a tile
     block: int = 4096
     tile: int = 64
@@ -73,6 +73,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, pa.Table
         if size > CHUNK_BYTES:
             yield from _by_lang(waiting)
             waiting, size = [], 0
+            # a worker that waits for its next task holds no memory of the last chunks
+            pa.default_memory_pool().release_unused()
     if waiting:
         yield from _by_lang(waiting)
 
@@ -118,6 +120,7 @@ class Sums:
             self.join()
             yield from self.parts[0].cast(self.schema).to_batches(max_chunksize=50_000)
         self.parts, self.n = [], 0
+        pa.default_memory_pool().release_unused()
 
 
 class Kept:
