@@ -182,6 +182,25 @@ def test_routes_hold_from_their_place_on(spark):
     assert cdc.route_as_of(changes, log.limit(0), "place").count() == 0
 
 
+def test_sparse_order_bits_count_alike_in_eight_bytes(spark):
+    rng = random.Random(9)
+    ids_ = [*range(-70, 140), 2**40, -(2**63), 2**63 - 1]
+    kinds = [measures.ORDER, measures.PAID, measures.REFUND, None]
+    rows = [(rng.choice([1, 2]), rng.choice(kinds), rng.choice([*ids_, None]), datetime(2024, 1, d, h)) for d in (1, 2) for h in range(24) for _ in range(20)]
+    frame = spark.createDataFrame(rows, "sku_id bigint, order_kind string, kind_order_id bigint, event_time timestamp")
+    bits = stats.order_bits(frame, "1 hour", sparse=True)
+    assert dict(bits.dtypes)["bits"] == "bigint"
+    for keys in (["sku_id"], []):
+        got = serving.distinct_orders(bits, *keys)
+        want = {}
+        for sku, kind, number, _ in rows:
+            if kind and number is not None:
+                want.setdefault((sku,) if keys else (), {}).setdefault(kind, set()).add(number)
+        counted = {tuple(r[k] for k in keys): (r["order_ct"], r["paid_order_ct"], r["refund_order_ct"]) for r in got.collect()}
+        assert counted == {k: tuple(len(v.get(n, ())) for n in kinds[:3]) for k, v in want.items()}
+    assert got.schema == serving.distinct_orders(stats.order_bits(frame, "1 hour")).schema
+
+
 def test_distinct_orders_add_up_over_windows(spark):
     rng = random.Random(5)
     ids_ = [*range(-3, 40), 32_767, 32_768, 32_769, 2**40]

@@ -98,6 +98,12 @@ def test_order_bitmaps_combine_before_the_shuffle(views):
     assert "partial_bitmap_construct_agg" in text and "partial_bitmap_or_agg" in text and "collect_" not in text
 
 
+def test_spu_orders_hold_no_bitmap_for_each_order(views):
+    """A month's orders of one sku are few: bits in numbers, by hash, not 4 KB each."""
+    text = plan(registry.QUERIES["spu_orders_by_year"](views))
+    assert "partial_bit_or" in text and "bitmap" not in text and "SortAggregate" not in text
+
+
 def test_interval_join_meets_only_rows_near_in_time(spark, shuffled):
     """One order id for everything: the pairs looked at grow with the pairs found, not with the square."""
     start = datetime(2024, 1, 1)

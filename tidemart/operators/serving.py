@@ -108,15 +108,17 @@ def distinct_orders(order_bits: DataFrame, *keys: str | Column) -> DataFrame:
     """``keys, order_ct, paid_order_ct, refund_order_ct`` over any windows and skus, from ``stats.order_bits`` rows.
 
     Exact, where sums of window counts take an order of two windows or skus twice. Bitmaps of a bucket are united before
-    the shuffle, so a key is at most its buckets' rows from each task.
+    the shuffle, so a key is at most its buckets' rows from each task. Sparse rows (bits that are numbers) count alike.
     """
+    sparse = dict(order_bits.dtypes)["bits"] == "bigint"
+    ids = F.bit_count(F.bit_or("bits")) if sparse else F.bitmap_count(F.bitmap_or_agg("bits"))
     names = [f"_key{n}" for n in range(len(keys))]
     titles = order_bits.select(*keys).columns
     named = [F.col(k) if isinstance(k, str) else k for k in keys]
     united = (
         order_bits.select(*[k.alias(n) for k, n in zip(named, names)], "order_kind", "bucket", "bits")
         .groupBy(*names, "order_kind", "bucket")
-        .agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("_ids"))
+        .agg(ids.cast("bigint").alias("_ids"))
     )
     counts = {"order_ct": ORDER, "paid_order_ct": PAID, "refund_order_ct": REFUND}
     sums = [

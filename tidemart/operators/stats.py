@@ -88,19 +88,28 @@ def product_sums(measures: DataFrame, size: str = WINDOW) -> DataFrame:
     )
 
 
-def order_bits(measures: DataFrame, size: str = WINDOW) -> DataFrame:
+def order_bits(measures: DataFrame, size: str = WINDOW, sparse: bool = False) -> DataFrame:
     """The orders of a window and sku as bitmaps, beside the metrics: ``stt, edt, sku_id, order_kind, bucket, bits``.
 
     A row holds the ids of one bucket of 32,768. Counts of distinct orders can't be added over windows or skus, bitmaps
     can (:func:`tidemart.operators.serving.distinct_orders`). Rows without an order are left out. A bitmap has 4 KB
     whatever it holds, and combines before the shuffle; the ids of a hot sku lie in as many rows as they have buckets.
+
+    Where a window and sku hold few of a bucket's ids, that is 4 KB for each order. ``sparse`` makes ``bits`` a number of
+    64 bits for a bucket of 64 ids, so that rows are never more nor larger than the orders they hold.
     """
     orders = measures.filter(F.col("order_kind").isNotNull() & F.col("kind_order_id").isNotNull())
-    placed = orders.withColumn("bucket", F.bitmap_bucket_number("kind_order_id")).withColumn(
-        "_bit", F.bitmap_bit_position("kind_order_id")
-    )
     keys = ("sku_id", "order_kind", "bucket")
-    built = placed.groupBy(F.window("event_time", size), *keys).agg(F.bitmap_construct_agg("_bit").alias("bits"))
+    if sparse:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("kind_order_id").bitwiseAND(63).cast("int"))
+        placed = orders.withColumn("bucket", F.shiftright("kind_order_id", 6)).withColumn("_bit", bit)
+        bits = F.bit_or("_bit")
+    else:
+        placed = orders.withColumn("bucket", F.bitmap_bucket_number("kind_order_id")).withColumn(
+            "_bit", F.bitmap_bit_position("kind_order_id")
+        )
+        bits = F.bitmap_construct_agg("_bit")
+    built = placed.groupBy(F.window("event_time", size), *keys).agg(bits.alias("bits"))
     return built.select(window_text("start").alias("stt"), window_text("end").alias("edt"), *keys, "bits")
 
 

@@ -574,7 +574,8 @@ def spu_orders_by_year(v: Views) -> DataFrame:
         measures.order_product_measures(pairs), measures.payment_measures(_payments(v, pairs)),
         measures.refund_measures(v.refund),
     )
-    bits = stats.order_bits(rows, MONTH).join(v.dim_sku.select(F.col("id").alias("sku_id"), "spu_id"), "sku_id")
+    # a sku has few of a month's orders
+    bits = stats.order_bits(rows, MONTH, sparse=True).join(v.dim_sku.select(F.col("id").alias("sku_id"), "spu_id"), "sku_id")
     return serving.distinct_orders(bits, F.substring("stt", 1, 4).alias("year"), "spu_id")
 
 
