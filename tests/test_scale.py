@@ -377,3 +377,14 @@ def test_changed_order_days_are_rebuilt(spark, views, tmp_path):
         assert as_text(job.read(name)) == as_text(want), name
         kept = {f for f in before & after if f"/{name}/" in f}
         assert kept, name
+
+
+def test_words_are_counted_inside_their_row(spark):
+    """Only identifiers of several rows meet in a shuffle; null is one of them."""
+    rows = [(1, "b a b, A"), (2, "b"), (2, "b c"), (None, "x"), (None, "x 天地 x"), (3, None), (4, " ")]
+    found = keywords.counts_by_key(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text")
+    want = {(1, "b", 2), (1, "a", 2), (2, "b", 2), (2, "c", 1), (None, "x", 3), (None, "天地", 1)}
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+    # the one exchange of words is that of several rows; those of single rows meet none
+    alone = keywords.word_counts(spark.createDataFrame(rows, "doc_id int, text string"), "text")
+    assert "Exchange" not in plan(alone)

@@ -154,6 +154,51 @@ def cut_runs(runs: DataFrame, dictionary: DataFrame, smart: bool = False) -> Dat
     )
 
 
+def long_runs(found: DataFrame, word: str) -> DataFrame:
+    """The distinct Han runs of more than one character among words, as ``run``."""
+    long_han = F.col(word).rlike(HAN_PATTERN) & (F.length(word) > 1)
+    return found.filter(long_han).select(F.col(word).alias("run")).distinct()
+
+
+def in_pieces(found: DataFrame, cut: DataFrame, word: str) -> DataFrame:
+    """``found`` with a row for each piece of its words, from ``run, pieces``; words that were not cut stay."""
+    return (
+        found.join(own_exchange(cut, "run"), F.col(word) == F.col("run"), "left")
+        .withColumn(word, F.explode(F.coalesce(F.col("pieces"), F.array(F.col(word)))))
+        .drop("run", "pieces")
+    )
+
+
+def word_counts(df: DataFrame, text: str, out: str = "keyword", count: str = "ct") -> DataFrame:
+    """One row per distinct word of each row's ``text``, with how often it occurs there; other columns stay, text does not.
+
+    Counted inside the row: sorted words are cut where they change, so that nothing is grouped by word and moved.
+    """
+    others = [c for c in df.columns if c != text]
+    found = computed_once(df, "_words", F.array_sort(words(F.col(text)))).filter(F.size("_words") > 0)
+    begins = F.filter(
+        F.sequence(F.lit(0), F.size("_words") - 1),
+        lambda n: (n == 0) | (F.get("_words", n) != F.get("_words", n - 1)),
+    )
+    cut = computed_once(found.select(*others, "_words"), "_begins", begins)
+    ends = lambda n: F.coalesce(F.get("_begins", n + 1), F.size("_words"))
+    counted = F.transform(
+        "_begins",
+        lambda at, n: F.struct(F.get("_words", at).alias(out), (ends(n) - at).cast("bigint").alias(count)),
+    )
+    return cut.select(*others, F.inline(counted))
+
+
+def counts_by_key(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, keyword, ct`` of all words of a key's texts. Only keys of several rows, and the null key, are grouped."""
+    keys = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    several = keys.filter((F.col("_n") > 1) | F.col("_key").isNull()).select("_key")
+    met = F.col(key).eqNullSafe(F.col("_key"))
+    alone = word_counts(df.join(several, met, "left_anti"), text)
+    grouped = word_counts(df.join(several, met, "left_semi"), text).groupBy(key, "keyword").agg(F.sum("ct").alias("ct"))
+    return alone.unionByName(grouped)
+
+
 def tokenize(
     df: DataFrame,
     text: str,
@@ -172,14 +217,7 @@ def tokenize(
     if dictionary is not None:
         if df.isStreaming:
             raise ValueError("use a dictionary inside foreachBatch, where each batch is a plain frame")
-        long_han = F.col(out).rlike(HAN_PATTERN) & (F.length(out) > 1)
-        runs = found.filter(long_han).select(F.col(out).alias("run")).distinct()
-        pieces = own_exchange(cut_runs(runs, dictionary, smart), "run")
-        found = (
-            found.join(pieces, F.col(out) == F.col("run"), "left")
-            .withColumn(out, F.explode(F.coalesce(F.col("pieces"), F.array(F.col(out)))))
-            .drop("run", "pieces")
-        )
+        found = in_pieces(found, cut_runs(long_runs(found, out), dictionary, smart), out)
     if stop_words:
         found = found.filter(~F.col(out).isin(*stop_words))
     return found

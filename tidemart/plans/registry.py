@@ -623,8 +623,7 @@ def search_keywords(v: Views) -> DataFrame:
 
 @query
 def tokenize_documents(v: Views) -> DataFrame:
-    words = keywords.tokenize(v.table("documents").select("doc_id", "text"), "text")
-    return words.groupBy("doc_id", "keyword").agg(F.count(F.lit(1)).alias("ct"))
+    return keywords.counts_by_key(v.table("documents").select("doc_id", "text"), "doc_id", "text")
 
 
 @query
@@ -632,12 +631,22 @@ def product_keywords(v: Views) -> DataFrame:
     return keywords.tokenize(v.dim_spu, "spu_name").select("id", "keyword")
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder, so that plans know its size and repeat nothing below it."""
+    path = f"{shared_dir(df.sparkSession)}/words/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _dictionary_words(v: Views, smart: bool) -> DataFrame:
     han = v.table("documents").select("doc_id", F.translate(F.lower("text"), LETTERS, HAN_LETTERS).alias("text"))
-    whole = keywords.tokenize(han, "text", "word").select("word").distinct()
-    known = whole.filter(F.col("word").rlike(keywords.HAN_PATTERN) & F.length("word").between(2, 4))
-    words = keywords.tokenize(han, "text", dictionary=known, smart=smart)
-    return words.groupBy("doc_id", "keyword").agg(F.count(F.lit(1)).alias("ct"))
+    # documents are cut into words once to count them, once to learn the distinct ones; all that follows reads those
+    counted = keywords.word_counts(han, "text")
+    runs = kept(keywords.long_runs(counted, "keyword"), "runs")
+    known = kept(runs.filter(F.length("run").between(2, 4)).select(F.col("run").alias("word")), "known")
+    cut = kept(keywords.cut_runs(runs, known, smart), "pieces")
+    words = keywords.in_pieces(counted, cut, "keyword")
+    return words.groupBy("doc_id", "keyword").agg(F.sum("ct").alias("ct"))
 
 
 @query
