@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -106,6 +107,24 @@ def test_all_labels_beside_the_training_calibrate(spark, many_labels, monkeypatc
     assert {y: weights[labels == y].sum() for y in (0, 1)} == want and sum(want.values()) > 1100
 
 
+def test_moves_of_many_rows_reach_the_driver_as_blocks(spark):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(200)) for _ in range(400)]
+    rows = [(i, t, i % 2, False, "en") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int, checks boolean, lang string")
+    train = frame.coalesce(1).mapInArrow(toxicity._coded, toxicity.CODED).select("toxic", "codes", "words").cache()
+    model = toxicity.first_model(np.arange(toxicity.BUCKETS))
+    tracemalloc.start()
+    moved = toxicity.trained_round(train, model, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rows_moved = (moved.embedding != model.embedding).any(1).sum()
+    # beside the moved copy and the pickled one
+    assert rows_moved > 40_000 and peak < 2.5 * model.embedding.nbytes
+    alone = toxicity.Trainer(*toxicity._shard(iter(train.toArrow().to_batches())), model, toxicity.SEED).run(1)
+    assert np.allclose(moved.embedding, alone.embedding, atol=1e-6) and abs(moved.bias - alone.bias) < 1e-6
+
+
 def test_held_out_accuracy(spark, sf):
     folder = sf.replace("0.001", "0.01")
     labels = spark.read.parquet(f"{folder}/labels.parquet")

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -308,11 +308,12 @@ def _flat(model: Model) -> np.ndarray:
     return np.append(values, np.zeros(-len(values) % DIM)).reshape(-1, DIM)
 
 
-def _stepped(model: Model, moves: np.ndarray, numbers: np.ndarray) -> Model:
-    """``model`` moved by ``moves`` of the rows ``numbers``; numbers below 0 are rows of :func:`_flat`, from -1 down."""
+def _stepped(model: Model, blocks: Iterable[tuple[np.ndarray, np.ndarray]]) -> Model:
+    """``model`` moved by blocks of row numbers and moves; numbers below 0 are rows of :func:`_flat`, from -1 down."""
     embedding, flat = model.embedding.copy(), _flat(model)
-    embedding[numbers[numbers >= 0]] += moves[numbers >= 0]
-    flat[-1 - numbers[numbers < 0]] += moves[numbers < 0]
+    for numbers, moves in blocks:
+        embedding[numbers[numbers >= 0]] += moves[numbers >= 0]
+        flat[-1 - numbers[numbers < 0]] += moves[numbers < 0]
     values, filters, at = flat.ravel().astype("f4"), [], 0
     for old in model.filters:
         filters.append(values[at : at + old.size].reshape(old.shape))
@@ -370,8 +371,23 @@ def met_buckets(train: DataFrame) -> np.ndarray:
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["bucket", "docs"])
 
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy(zero_copy_only=False).astype("i4")
+            yield pa.RecordBatch.from_arrays([pa.array([at.tobytes()], pa.binary())], ["buckets"])
+
     counted = train.mapInArrow(run, "bucket long, docs long").groupBy("bucket").agg(F.sum("docs").alias("docs"))
-    return np.sort(counted.where("docs > 1").select("bucket").toPandas()["bucket"].to_numpy("i8"))
+    blocks = counted.where("docs > 1").select("bucket").mapInArrow(block, "buckets binary").toLocalIterator()
+    return np.sort(np.frombuffer(b"".join(r.buckets for r in blocks), "i4").astype("i8"))
+
+
+def _mean_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Summed moves as means, a batch in one row of bytes: the driver holds no objects for single rows or values."""
+    for batch in batches:
+        number, shards, *sums = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        means = np.stack(sums, 1).astype("f8") / FRACTION / shards.astype("f8")[:, None]
+        columns = [pa.array([x.tobytes()], pa.binary()) for x in (number.astype("i4"), means.astype("f4"))]
+        yield pa.RecordBatch.from_arrays(columns, ["numbers", "moves"])
 
 
 def trained_round(train: DataFrame, model: Model, number: int) -> Model:
@@ -392,10 +408,11 @@ def trained_round(train: DataFrame, model: Model, number: int) -> Model:
             yield pa.RecordBatch.from_arrays(columns, ["number", *MOVES])
 
     moved = train.mapInArrow(run, "number long, " + ", ".join(f"{c} long" for c in MOVES))
-    sums = moved.groupBy("number").agg(F.count("*").alias("shards"), *[F.sum(c).alias(c) for c in MOVES]).toPandas()
+    sums = moved.groupBy("number").agg(F.count("*").alias("shards"), *[F.sum(c).alias(c) for c in MOVES])
+    blocks = sums.mapInArrow(_mean_blocks, "numbers binary, moves binary").toLocalIterator()
+    made = _stepped(model, ((np.frombuffer(r.numbers, "i4"), np.frombuffer(r.moves, "f4").reshape(-1, DIM)) for r in blocks))
     shared.destroy()
-    means = sums[MOVES].to_numpy("f8") / FRACTION / sums["shards"].to_numpy("f8")[:, None]
-    return _stepped(model, means.astype("f4"), sums["number"].to_numpy("i8"))
+    return made
 
 
 def _calibrated(model: Model, check: DataFrame) -> None:
