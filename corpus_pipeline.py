@@ -12,9 +12,9 @@ from tidemart.llm.work import staged, table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents below their language's threshold; the classifier learns from all labels of these documents."""
+    """Documents below their language's threshold; all labels of these documents train the classifier and its thresholds."""
     labels = table(spark, folder, "labels").select("doc_id", "toxic")
-    return toxicity.clean_documents(docs, toxicity.fit(docs, labels))
+    return toxicity.clean_documents(docs, toxicity.fit(docs, labels, crossed=True))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

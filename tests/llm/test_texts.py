@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemart.llm import chat, fingerprints, licenses, registry, toxicity, url_reputation
 
 # --- toxicity
@@ -107,6 +108,44 @@ def test_all_labels_beside_the_training_calibrate(spark, many_labels, monkeypatc
     assert {y: weights[labels == y].sum() for y in (0, 1)} == want and sum(want.values()) > 1100
 
 
+def test_all_labels_give_the_pipelines_thresholds(spark, many_labels, monkeypatch, tmp_path):
+    seen, trained = [], []
+    monkeypatch.setattr(toxicity, "SHARD", 1500)
+    monkeypatch.setattr(toxicity, "calibrate", lambda model, *counts: seen.append(counts))
+    step = toxicity.trained_round
+    monkeypatch.setattr(toxicity, "trained_round", lambda train, *more: trained.append(train.count()) or step(train, *more))
+    many_labels.select("doc_id", "toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = many_labels.select("doc_id", "text", "lang")
+    corpus_pipeline.without_toxic(spark, docs, str(tmp_path))
+    margins, labels, weights, _ = seen[0]
+    assert {y: weights[labels == y].sum() for y in (0, 1)} == {0: 3500, 1: 2900} and len(seen) == 1
+    assert max(trained) == 6400 and len(set(trained)) == 3 and sum(set(trained)) == 2 * 6400
+    # a half's margins come from the model of the other half, and know both words
+    assert weights[(labels == 1) & (margins > 0)].sum() > 2800 and weights[(labels == 0) & (margins > 0)].sum() < 100
+
+
+def test_labels_by_chance_are_not_learnt_by_crossed_margins(spark, documents, monkeypatch):
+    seen, rng = [], random.Random(9)
+    monkeypatch.setattr(toxicity, "calibrate", lambda model, *counts: seen.append(counts))
+    rows = [(i, " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) + f" u{i} u{i}x") for i in range(1500)]
+    labels = spark.createDataFrame([(i, rng.randint(0, 1)) for i in range(1500)], "doc_id long, toxic int")
+    toxicity.fit(documents(rows), labels, crossed=True)
+    margins, toxic, weights, _ = seen[0]
+    right = weights[(margins > np.median(np.repeat(margins, weights.astype(int)))) == (toxic == 1)].sum()
+    assert 0.42 < right / weights.sum() < 0.58
+
+
+def test_margins_of_coded_texts_are_those_of_texts(labelled, monkeypatch):
+    model = toxicity.Trainer([t for _, t, _ in labelled[:200]], np.array([y for *_, y in labelled[:200]], "f4")).run(2)
+    texts = ["", *[t for _, t, _ in labelled[200:280]], "a", "", "b c"]
+    scores = toxicity.score_texts(model, toxicity.Words(model), texts)
+    for words in (toxicity.BATCH_WORDS, 1):
+        monkeypatch.setattr(toxicity, "BATCH_WORDS", words)
+        margins = toxicity.coded_margins(model, toxicity.Coded(texts))
+        assert np.allclose(1 / (1 + np.exp(-margins)), scores, atol=1e-6)
+    assert len(toxicity.coded_margins(model, toxicity.Coded([]))) == 0
+
+
 def test_moves_of_many_rows_reach_the_driver_as_blocks(spark):
     rng = random.Random(8)
     texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(200)) for _ in range(400)]

@@ -5,8 +5,9 @@ letters); rows that fewer than two training documents have met are zero. Filters
 the whole text, the strongest answer of each filter (at least zero) is kept, and a logistic layer with weights of at least
 zero on these gives the score, so a text without evidence scores lowest. Scores themselves read nothing but the text.
 
-All labelled documents are used, each once: a fifth, by hash, calibrates the scores and the thresholds by language, the
-others train. They are dealt into shards by hash. A round is one pass: every shard trains on from the model so far, and
+All labelled documents are used. Either each once: a fifth, by hash, calibrates the scores and the thresholds by language,
+the others train. Or crossed: all train, and all calibrate, each half by the margins of a model that only the other half
+has trained. They are dealt into shards by hash. A round is one pass: every shard trains on from the model so far, and
 a row moves by the mean of the shards that moved it. What reaches the driver is as large as the model, whatever the number
 of documents: sums of moves by row, and counts of margins by language and label. Sums are of integers, so reruns agree.
 
@@ -325,6 +326,22 @@ def _stepped(model: Model, blocks: Iterable[tuple[np.ndarray, np.ndarray]]) -> M
 MOVES = [f"d{k}" for k in range(DIM)]
 
 
+def coded_margins(model: Model, coded: Coded) -> np.ndarray:
+    """Margins of coded texts."""
+    table = model.embedding[np.where(coded.buckets >= 0, model.rows[coded.buckets], 0)].sum(1)
+    out, gap, at = [], np.zeros(GAP, "i4"), 0
+    while at < len(coded.texts):
+        pieces, spans, end = [], [], 0
+        while at < len(coded.texts) and end < BATCH_WORDS:
+            own = coded.texts[at]
+            pieces += [own, gap]
+            spans += [end, end + max(1, len(own))]
+            end, at = end + len(own) + GAP, at + 1
+        x = table[np.concatenate(pieces)]
+        out.append(pooled(x, np.array(spans), model.filters) @ model.dense + model.bias)
+    return np.concatenate([np.zeros(0, "f4"), *out])
+
+
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard ready for its rounds: coded texts to train on, in an order of their own, and whole texts to check with.
 
@@ -343,15 +360,16 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words[0] = coded.buckets.tobytes()
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([checks] * len(own)), pa.array([r["toxic"] for r in own], pa.int32()),
+                pa.array([checks] * len(own)), pa.array([r.get("half", 0) for r in own], pa.int32()),
+                pa.array([r["toxic"] for r in own], pa.int32()),
                 pa.array([r["lang"] for r in own], pa.string()), pa.array(texts, pa.string()),
                 pa.array(codes, pa.binary()), pa.array(words, pa.binary()),
             ],
-            ["checks", "toxic", "lang", "text", "codes", "words"],
+            ["checks", "half", "toxic", "lang", "text", "codes", "words"],
         )
 
 
-CODED = "checks boolean, toxic int, lang string, text string, codes binary, words binary"
+CODED = "checks boolean, half int, toxic int, lang string, text string, codes binary, words binary"
 
 
 def _shard(batches: Iterator[pa.RecordBatch]) -> tuple[Coded, np.ndarray]:
@@ -377,7 +395,7 @@ def met_buckets(train: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([at.tobytes()], pa.binary())], ["buckets"])
 
     counted = train.mapInArrow(run, "bucket long, docs long").groupBy("bucket").agg(F.sum("docs").alias("docs"))
-    blocks = counted.where("docs > 1").select("bucket").mapInArrow(block, "buckets binary").toLocalIterator()
+    blocks = counted.where("docs > 1").select("bucket").mapInArrow(block, "buckets binary").collect()
     return np.sort(np.frombuffer(b"".join(r.buckets for r in blocks), "i4").astype("i8"))
 
 
@@ -409,7 +427,7 @@ def trained_round(train: DataFrame, model: Model, number: int) -> Model:
 
     moved = train.mapInArrow(run, "number long, " + ", ".join(f"{c} long" for c in MOVES))
     sums = moved.groupBy("number").agg(F.count("*").alias("shards"), *[F.sum(c).alias(c) for c in MOVES])
-    blocks = sums.mapInArrow(_mean_blocks, "numbers binary, moves binary").toLocalIterator()
+    blocks = sums.mapInArrow(_mean_blocks, "numbers binary, moves binary").collect()
     made = _stepped(model, ((np.frombuffer(r.numbers, "i4"), np.frombuffer(r.moves, "f4").reshape(-1, DIM)) for r in blocks))
     shared.destroy()
     return made
@@ -420,7 +438,25 @@ def _calibrated(model: Model, check: DataFrame) -> None:
     tiny = F.lit(1e-12)
     margin = F.log(F.greatest("score", tiny) / F.greatest(1 - F.col("score"), tiny))
     kept = scored(check.select("lang", "text", "toxic"), model, "score", drop=("text",))
-    found = kept.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), "toxic", F.round(margin, 2).alias("margin"))
+    _calibrate_by_counts(model, kept.select("lang", "toxic", margin.alias("margin")))
+
+
+def _margins(coded: DataFrame, model: Model) -> DataFrame:
+    """Language, label and margin of all documents of coded shards."""
+    shared = coded.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first in batches:
+            whole = pa.Table.from_batches([first, *batches])
+            found = coded_margins(shared.value, _shard(iter(whole.to_batches()))[0])
+            columns = [whole["lang"].combine_chunks(), whole["toxic"].combine_chunks(), pa.array(found.astype("f8"))]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "toxic", "margin"])
+
+    return coded.select("lang", "toxic", "codes", "words").mapInArrow(run, "lang string, toxic int, margin double")
+
+
+def _calibrate_by_counts(model: Model, margins: DataFrame) -> None:
+    found = margins.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), "toxic", F.round("margin", 2).alias("margin"))
     rows = found.count().orderBy("lang", "toxic", "margin").toPandas()
     values = [rows[c].to_numpy("f8") for c in ("margin", "toxic", "count")]
     calibrate(model, *values, rows["lang"].tolist())
@@ -440,10 +476,18 @@ def _perhaps_labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return met.where(octet.bitwiseAND(own) != 0).select(*docs.columns)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
+def _trained(train: DataFrame, visits: int) -> Model:
+    model = first_model(met_buckets(train))
+    for number in range(min(ROUNDS[1], max(ROUNDS[0], -(-VISITS // max(1, visits))))):
+        model = trained_round(train, model, number)
+    return model
+
+
+def fit(docs: DataFrame, labels: DataFrame, crossed: bool = False) -> Model:
     """A classifier from all ``labels`` (``doc_id, toxic``) of documents in ``docs`` (``doc_id, text, lang``).
 
-    Of rows that repeat an identifier, the one with the smallest hash of its text is read.
+    A fifth calibrates and the others train; with ``crossed``, all train and all calibrate, for one more training of each
+    half. Of rows that repeat an identifier, the one with the smallest hash of its text is read.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -456,20 +500,33 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     shards = max(1, -(-volume.n // SHARD), -(-volume.size // SHARD_BYTES))
     # one row for each identifier, however many repeat it
     one = met.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "lang")).alias("row")).join(usable, "doc_id")
-    checks = F.pmod(F.xxhash64("doc_id", F.lit("check")), F.lit(5)) == 0
-    rows = one.select("doc_id", "row.text", "row.lang", "toxic", checks.alias("checks"))
+    checks = F.lit(False) if crossed else F.pmod(F.xxhash64("doc_id", F.lit("check")), F.lit(5)) == 0
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) if crossed else F.lit(0)
+    rows = one.select("doc_id", "row.text", "row.lang", "toxic", checks.alias("checks"), half.cast("int").alias("half"))
     shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int")
+    if crossed:
+        # a shard is of one half
+        shards = 2 * -(-shards // 2)
+        shard = 2 * F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards // 2)).cast("int") + F.col("half")
     dealt = rows.repartitionById(shards, shard).mapInArrow(_coded, CODED).persist(StorageLevel.DISK_ONLY)
     try:
-        parts = {(r.checks, r.toxic): r.n for r in dealt.groupBy("checks", "toxic").agg(F.count("*").alias("n")).collect()}
+        kinds = dealt.groupBy("checks", "half", "toxic").agg(F.count("*").alias("n")).collect()
+        parts = {(r.half if crossed else r.checks, r.toxic): r.n for r in kinds}
         if len({y for _, y in parts}) < 2:
             share = sizes.get(1, 0) / max(1, sum(sizes.values()))
             return Model(np.zeros(0, "i4"), np.zeros((1, DIM), "f4"), [], np.zeros(0, "f4"), 0.0, constant=share)
+        if crossed:
+            coded = dealt.select("half", "lang", "toxic", "codes", "words")
+            model = _trained(coded, sum(parts.values()))
+            if len(parts) == 4:
+                own, other = [coded.where(F.col("half") == h) for h in (0, 1)], []
+                for h in (0, 1):
+                    learnt = _trained(own[1 - h], sum(n for (at, _), n in parts.items() if at != h))
+                    other.append(_margins(own[h], learnt))
+                _calibrate_by_counts(model, other[0].union(other[1]))
+            return model
         train = dealt.where(~F.col("checks")).select("toxic", "codes", "words")
-        visits = sum(n for (held, _), n in parts.items() if not held)
-        model = first_model(met_buckets(train))
-        for number in range(min(ROUNDS[1], max(ROUNDS[0], -(-VISITS // max(1, visits))))):
-            model = trained_round(train, model, number)
+        model = _trained(train, sum(n for (held, _), n in parts.items() if not held))
         if {(True, 0), (True, 1)} <= set(parts):
             _calibrated(model, dealt.where("checks"))
         return model
