@@ -1,8 +1,10 @@
 """Toxicity, fingerprints, licenses, chat formatting and URL reputation."""
 
+import gc
 import hashlib
 import random
 import tracemalloc
+import weakref
 
 import numpy as np
 import pytest
@@ -164,6 +166,35 @@ def test_moves_of_many_rows_reach_the_driver_as_blocks(spark):
     assert np.allclose(moved.embedding, alone.embedding, atol=1e-6) and abs(moved.bias - alone.bias) < 1e-6
 
 
+def test_a_new_model_is_drawn_block_by_block():
+    tracemalloc.start()
+    model = toxicity.first_model(np.arange(toxicity.BUCKETS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rng = np.random.default_rng(toxicity.SEED)
+    filters = [rng.normal(0, 0.3, f.shape).astype("f4") for f in model.filters]
+    dense = np.abs(rng.normal(0, 0.3, len(model.dense))).astype("f4")
+    want = rng.normal(0, 0.05, model.embedding.shape).astype("f4")
+    assert np.array_equal(model.embedding[1:], want[1:]) and not model.embedding[0].any() and peak < 1.5 * want.nbytes
+    assert all(map(np.array_equal, model.filters, filters)) and np.array_equal(model.dense, dense)
+
+
+def test_one_model_at_a_time_while_fitting_crossed(spark, many_labels, monkeypatch):
+    begun, made, train = [], [], toxicity._trained
+
+    def trained(*args):
+        gc.collect()
+        begun.append(sum(m() is not None for m in made))
+        model = train(*args)
+        made.append(weakref.ref(model))
+        return model
+
+    monkeypatch.setattr(toxicity, "ROUNDS", (1, 1))
+    monkeypatch.setattr(toxicity, "_trained", trained)
+    toxicity.fit(many_labels.select("doc_id", "text", "lang"), many_labels.select("doc_id", "toxic"), crossed=True)
+    assert begun == [0, 0, 0]
+
+
 def test_held_out_accuracy(spark, sf):
     folder = sf.replace("0.001", "0.01")
     labels = spark.read.parquet(f"{folder}/labels.parquet")

@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -49,6 +50,8 @@ VISITS, ROUNDS = 32_000, (2, 8)
 LABEL_BITS = 1 << 25
 # moves are summed as multiples of this fraction
 FRACTION = 1 << 30
+# rows that are drawn at once
+BLOCK = 1 << 13
 SEED = 7
 WORDS_KEPT = 300_000
 BATCH_WORDS = 40_000
@@ -170,7 +173,10 @@ def first_model(met: np.ndarray) -> Model:
     rng = np.random.default_rng(SEED)
     filters = [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype("f4") for w in WIDTHS]
     dense = np.abs(rng.normal(0, 0.3, len(WIDTHS) * FILTERS)).astype("f4")
-    embedding = rng.normal(0, 0.05, (len(met) + 1, DIM)).astype("f4")
+    embedding = np.zeros((len(met) + 1, DIM), "f4")
+    for at in range(0, len(embedding), BLOCK):
+        part = embedding[at : at + BLOCK]
+        part[:] = rng.normal(0, 0.05, part.shape)
     embedding[0] = 0
     rows = np.zeros(BUCKETS, "i4")
     rows[met] = np.arange(1, len(met) + 1)
@@ -395,8 +401,21 @@ def met_buckets(train: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([at.tobytes()], pa.binary())], ["buckets"])
 
     counted = train.mapInArrow(run, "bucket long, docs long").groupBy("bucket").agg(F.sum("docs").alias("docs"))
-    blocks = counted.where("docs > 1").select("bucket").mapInArrow(block, "buckets binary").collect()
-    return np.sort(np.frombuffer(b"".join(r.buckets for r in blocks), "i4").astype("i8"))
+    found = [np.zeros(0, "i8")]
+    for (buckets,) in _fetched(counted.where("docs > 1").select("bucket").mapInArrow(block, "buckets binary")):
+        found.append(np.frombuffer(buckets, "i4").astype("i8"))
+    return np.sort(np.concatenate(found))
+
+
+def _fetched(blocks: DataFrame) -> Iterator[tuple[pa.Buffer, ...]]:
+    """The rows of binary columns, by one job.
+
+    As Arrow they pass the driver's JVM task by task; as rows, it would hold all of them, and once more pickled.
+    """
+    table = blocks.toArrow()
+    for batch in table.to_batches():
+        for row in zip(*batch.columns, strict=True):
+            yield tuple(value.as_buffer() for value in row)
 
 
 def _mean_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,8 +446,8 @@ def trained_round(train: DataFrame, model: Model, number: int) -> Model:
 
     moved = train.mapInArrow(run, "number long, " + ", ".join(f"{c} long" for c in MOVES))
     sums = moved.groupBy("number").agg(F.count("*").alias("shards"), *[F.sum(c).alias(c) for c in MOVES])
-    blocks = sums.mapInArrow(_mean_blocks, "numbers binary, moves binary").collect()
-    made = _stepped(model, ((np.frombuffer(r.numbers, "i4"), np.frombuffer(r.moves, "f4").reshape(-1, DIM)) for r in blocks))
+    blocks = _fetched(sums.mapInArrow(_mean_blocks, "numbers binary, moves binary"))
+    made = _stepped(model, ((np.frombuffer(n, "i4"), np.frombuffer(m, "f4").reshape(-1, DIM)) for n, m in blocks))
     shared.destroy()
     return made
 
@@ -438,11 +457,11 @@ def _calibrated(model: Model, check: DataFrame) -> None:
     tiny = F.lit(1e-12)
     margin = F.log(F.greatest("score", tiny) / F.greatest(1 - F.col("score"), tiny))
     kept = scored(check.select("lang", "text", "toxic"), model, "score", drop=("text",))
-    _calibrate_by_counts(model, kept.select("lang", "toxic", margin.alias("margin")))
+    _calibrate_by_counts(model, _counts(kept.select("lang", "toxic", margin.alias("margin"))))
 
 
-def _margins(coded: DataFrame, model: Model) -> DataFrame:
-    """Language, label and margin of all documents of coded shards."""
+def _margin_counts(coded: DataFrame, model: Model) -> pd.DataFrame:
+    """Counts of the margins of all documents of coded shards."""
     shared = coded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -452,12 +471,20 @@ def _margins(coded: DataFrame, model: Model) -> DataFrame:
             columns = [whole["lang"].combine_chunks(), whole["toxic"].combine_chunks(), pa.array(found.astype("f8"))]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "toxic", "margin"])
 
-    return coded.select("lang", "toxic", "codes", "words").mapInArrow(run, "lang string, toxic int, margin double")
+    margins = coded.select("lang", "toxic", "codes", "words").mapInArrow(run, "lang string, toxic int, margin double")
+    found = _counts(margins)
+    shared.destroy()
+    return found
 
 
-def _calibrate_by_counts(model: Model, margins: DataFrame) -> None:
+def _counts(margins: DataFrame) -> pd.DataFrame:
+    """Documents by language, label and margin in hundredths."""
     found = margins.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), "toxic", F.round("margin", 2).alias("margin"))
-    rows = found.count().orderBy("lang", "toxic", "margin").toPandas()
+    return found.count().toPandas()
+
+
+def _calibrate_by_counts(model: Model, *counts: pd.DataFrame) -> None:
+    rows = pd.concat(counts).groupby(["lang", "toxic", "margin"], as_index=False)["count"].sum()
     values = [rows[c].to_numpy("f8") for c in ("margin", "toxic", "count")]
     calibrate(model, *values, rows["lang"].tolist())
 
@@ -517,13 +544,15 @@ def fit(docs: DataFrame, labels: DataFrame, crossed: bool = False) -> Model:
             return Model(np.zeros(0, "i4"), np.zeros((1, DIM), "f4"), [], np.zeros(0, "f4"), 0.0, constant=share)
         if crossed:
             coded = dealt.select("half", "lang", "toxic", "codes", "words")
+            counts = []
+            # the halves first, and counts instead of their models: the driver holds one model at a time
+            for h in (0, 1) if len(parts) == 4 else ():
+                visits = sum(n for (at, _), n in parts.items() if at != h)
+                own, other = (coded.where(F.col("half") == x) for x in (h, 1 - h))
+                counts.append(_margin_counts(own, _trained(other, visits)))
             model = _trained(coded, sum(parts.values()))
-            if len(parts) == 4:
-                own, other = [coded.where(F.col("half") == h) for h in (0, 1)], []
-                for h in (0, 1):
-                    learnt = _trained(own[1 - h], sum(n for (at, _), n in parts.items() if at != h))
-                    other.append(_margins(own[h], learnt))
-                _calibrate_by_counts(model, other[0].union(other[1]))
+            if counts:
+                _calibrate_by_counts(model, *counts)
             return model
         train = dealt.where(~F.col("checks")).select("toxic", "codes", "words")
         model = _trained(train, sum(n for (held, _), n in parts.items() if not held))
