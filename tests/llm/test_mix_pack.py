@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -272,6 +273,39 @@ def test_pieces_table_may_overflow(tokenizer, monkeypatch):
     assert encoder.batch([]).to_pylist() == []
 
 
+def test_a_word_is_coded_once_whatever_mark_follows(tokenizer, monkeypatch):
+    met = []
+    known = token_files.Encoder._known
+    monkeypatch.setattr(token_files.Encoder, "_known", lambda self, pieces: met.append(len(pieces)) or known(self, pieces))
+    words = [a + b + c for a in ("th", "é", "7") for b in "aeiou" for c in ("n", "ß", "3")]
+    marks = ["", ".", ",", "$$$", ".%%%", "!!", "'s", "'", "-", ")"]
+    texts = [" ".join(w + m for w in words) for m in marks]
+    coded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert token_files.Encoder(VOCABULARY, 1).batch(texts).to_pylist() == [[*c.ids, 1] for c in coded]
+    assert met == [len(words) + len(marks) - 1]
+
+
+def test_cuts_before_marks_keep_the_ids(tokenizer):
+    rng = random.Random(5)
+    parts = ["a", "B", "é", "Ü", "ÿ", "×", "÷", "œ", "7", "½", "'", "s", "ll", ".", ",", "<", "=", "_", "^", "`", "~", "|"]
+    parts += ["\u0301", "\u0338", "\u0345", "K", "İ", "日", "🙂", "…", "’", "\xa0", "\t", "\r", "\x00", "\x7f", "\xad", " ", "\n"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(3000)]
+    coded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert token_files.Encoder(VOCABULARY, 1).batch(texts).to_pylist() == [[*c.ids, 1] for c in coded]
+
+
+def test_chunks_reach_across_batches(monkeypatch):
+    monkeypatch.setattr(token_files, "CHUNK_CHARS", 9)
+    rows = [(n, "x" * (n % 7 * 2)) for n in range(40)]
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in rows[n : n + 3]]) for n in range(0, 40, 3)]
+    batches.insert(5, batches[0].slice(0, 0))
+    found = [(ids.to_pylist(), texts) for ids, texts in token_files._chunks(iter(batches))]
+    assert [row for ids, texts in found for row in zip(ids, texts, strict=True)] == rows
+    sizes = [[len(t) for t in texts] for _, texts in found]
+    assert all(sum(x) > 9 >= sum(x[:-1]) for x in sizes[:-1]) and sum(sizes[-1]) <= 9
+    assert list(token_files._chunks(iter([]))) == []
+
+
 def test_ids_of_the_test_documents_are_the_library_s(spark, sf, tokenizer):
     texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
     coded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)

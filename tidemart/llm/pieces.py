@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 
@@ -9,10 +12,11 @@ import pyarrow as pa
 class Pieces:
     """Runs of bytes between spaces in some texts, after each byte is replaced by that of ``table``.
 
-    ``row`` is the text of each piece, in order, and ``code`` its place among the ``distinct`` ones.
+    ``row`` is the text of each piece, in order, and ``code`` its place among the ``distinct`` ones; ``counts`` is how
+    many pieces each text has. ``inner`` tells, of all bytes, where else a piece ends and the next one begins.
     """
 
-    def __init__(self, texts: pa.LargeBinaryArray, table: bytes):
+    def __init__(self, texts: pa.LargeBinaryArray, table: bytes, inner: Callable[[np.ndarray], np.ndarray] | None = None):
         offsets = np.frombuffer(texts.buffers()[1], "i8")[texts.offset : texts.offset + len(texts) + 1]
         data = texts.buffers()[2]
         raw = bytes(data[offsets[0] : offsets[-1]]) if data else b""
@@ -24,15 +28,22 @@ class Pieces:
         # a piece ends with its text
         cuts = offsets[1:-1]
         cuts = cuts[(cuts > 0) & (cuts < len(raw))]
+        if inner:
+            cuts = np.concatenate((cuts, inner(raw)))
         first[cuts], last[cuts - 1] = inside[cuts], inside[cuts - 1]
-        at, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
-        ends = np.concatenate(([0], np.cumsum(stop - at)))
+        at = np.flatnonzero(first)
+        ends = np.zeros(len(at) + 1, "i8")
+        np.cumsum(np.flatnonzero(last) + 1 - at, out=ends[1:])
+        del first, last
         buffers = [None, pa.py_buffer(ends), pa.py_buffer(raw[inside])]
         coded = pa.Array.from_buffers(pa.large_binary(), len(at), buffers).dictionary_encode()
         # how many pieces begin before each text's end
-        n = np.diff(np.searchsorted(at, offsets))
-        self.row, self.code = np.repeat(np.arange(len(texts)), n), coded.indices.to_numpy()
-        self.distinct = coded.dictionary
+        self.counts = np.diff(np.searchsorted(at, offsets))
+        self.code, self.distinct = coded.indices.to_numpy(), coded.dictionary
+
+    @cached_property
+    def row(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def firsts(self, size: int | None = None) -> list[bytes]:
         """The distinct pieces, or their first bytes."""

@@ -4,9 +4,10 @@ Files hold ``doc_id, n_tokens, ids`` (``ids`` a list of integers that ends with
 this small are dictionary-coded, other integer columns delta-coded (Parquet version 2 pages); row groups and pages are
 limited, and page indexes let a reader fetch the lists of a few documents, or the counts of all, without the rest.
 
-Texts are cut at spaces and line feeds, and each distinct piece is encoded once: the tokenizer cuts there itself, so ids
-are those of the whole text. Words of letters go to the tokenizer's model without its other steps. Strings of special
-tokens are what the tokenizer takes them for: texts that hold one are encoded as a whole. A worker process keeps its pieces for its next tasks, in a table of bounded size.
+Texts are cut at spaces and line feeds, and where a letter or digit meets a mark, and each distinct piece is encoded
+once: the tokenizer cuts there itself, so ids are those of the whole text. Words of letters go to the tokenizer's model
+without its other steps. Strings of special tokens are what the tokenizer takes them for: texts that hold one are encoded
+as a whole. A worker process keeps its pieces for its next tasks, in two tables of bounded size.
 
 Defined cases: null text is the empty text (the end id alone); rows without ``doc_id`` come last; repeated rows are
 documents of their own; a table without rows gives none; other columns are not read.
@@ -17,9 +18,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,20 @@ from tidemart.llm.work import small_batches, text_of, work_path
 
 PIECES_KEPT = 500_000
 # characters of texts whose pieces are coded together
-CHUNK_CHARS = 8 << 20
+CHUNK_CHARS = 6 << 20
+# documents that are handed on together
+ROWS_AT_ONCE = 500
 # letters end a piece's tokens as one word; beyond ASCII those of two bytes whose lower case is the next block's
 WORD = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 # A-Z to lower case, line feeds to spaces: the tokenizer does so too
 LOWERED = bytes(c + 0x20 if 0x41 <= c <= 0x5A else 0x20 if c == 0x0A else c for c in range(256))
-# the tokenizer's characters for bytes that are not printable
-UNPRINTABLE = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
-BYTE_CHARS = {c: 0x100 + n for n, c in enumerate(UNPRINTABLE)}
+# ASCII marks, and the letters and digits that a piece may end with before one
+MARKS = bytes(0x21 <= c < 0x7F and not chr(c).isalnum() for c in range(256))
+ENDS = np.array([c < 0x80 and chr(c).isalnum() for c in range(256)])
+# second bytes of the letters of two bytes
+ENDS_WIDE = np.array([0x80 <= c < 0xC0 and c not in (0x97, 0xB7) for c in range(256)])
+# words of letters that the model gets as one text
+WORDS_AT_ONCE = 1000
 WRITE_OPTIONS = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "true",
@@ -50,6 +57,31 @@ WRITE_OPTIONS = {
 FILE_SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 
 
+class Table:
+    """Ids of pieces, one piece after another; the first is the end id and has no name."""
+
+    def __init__(self, end_id: int):
+        self.place: dict[bytes, int] = {}
+        self.ids, self.ends = np.array([end_id], "<u4"), np.array([0, 4], "i8")
+
+    def places(self, pieces: list[bytes]) -> np.ndarray:
+        """Where each piece is; -1 for those not here."""
+        return np.fromiter(map(self.place.get, pieces, repeat(-1)), "i8", len(pieces))
+
+    def add(self, pieces: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.ends) - 1
+        self.place.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.ids = np.concatenate((self.ids, ids))
+        self.ends = np.concatenate((self.ends, self.ends[-1] + 4 * np.cumsum(sizes)))
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one piece after another, and where each piece begins, with the end of the last."""
+        buffers = [None, pa.py_buffer(self.ends), pa.py_buffer(self.ids)]
+        taken = pa.Array.from_buffers(pa.large_binary(), len(self.ends) - 1, buffers).take(pa.array(places))
+        begins = np.frombuffer(taken.buffers()[1], "i8")[: len(places) + 1] // 4
+        return np.frombuffer(taken.buffers()[2], "<u4")[: begins[-1]], begins
+
+
 class Encoder:
     """Ids of whole texts.
 
@@ -57,54 +89,71 @@ class Encoder:
     """
 
     def __init__(self, path: str, end_id: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.end_id = end_id
         # texts that hold a special token go through the tokenizer as they are
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.stops = dict(zip(b".,", self._encode_each([b".", b","]), strict=True))
+        self.younger, self.older = Table(end_id), Table(end_id)
+        # the model alone, for words of letters; the last token of a word ends with the model's suffix
+        self.model = Tokenizer(self.tokenizer.model)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), as_bytes])
+        vocabulary, suffix = self.model.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[n for token, n in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         # whether words of letters may go to the model itself, as the tokenizer would hand them over
-        trial = "the Über-naïve façade Straße ÿ à í".replace("-", " ").split()
-        self.direct = [self._word(w.lower().encode()) for w in trial] == self._encode_each([w.encode() for w in trial])
-
-    def _word(self, word: bytes) -> bytes:
-        """Ids of a word of letters."""
-        text = word.decode()
-        if not word.isascii():
-            text = text.lower().encode().decode("latin-1").translate(BYTE_CHARS)
-        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
-
-    def _encode_each(self, pieces: list[bytes]) -> list[bytes]:
+        words = [w.lower().encode() for w in "the Über naïve façade Straße ÿ à í".split()]
+        self.direct = self._equal(self._words(words), self._each(words))
+        # whether the tokenizer cuts between a letter or digit and a mark
+        marks = [chr(c) + after for c, mark in enumerate(MARKS) if mark for after in ("", "s", "1", ".")]
+        whole = self._each([(before + m).encode() for m in marks for before in "té1"])
+        parts = self._each([part.encode() for m in marks for before in "té1" for part in (before, m)])
+        self.inner = _before_marks if np.array_equal(whole[0], parts[0]) else None
+
+    @staticmethod
+    def _equal(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
+        return all(map(np.array_equal, a, b))
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, one word after another, and how many each has."""
+        texts = [
+            b" ".join(words[n : n + WORDS_AT_ONCE]).decode().lower() for n in range(0, len(words), WORDS_AT_ONCE)
+        ]
+        coded = self.model.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.empty(0, "<u4"), *[np.array(c.ids, "<u4") for c in coded]])
+        stops = np.flatnonzero(self.last[ids])
+        if len(stops) != len(words):
+            return self._each(words)
+        return ids, np.diff(stops, prepend=-1)
+
+    def _each(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any pieces, one piece after another, and how many each has."""
         coded = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        return [array("I", c.ids).tobytes() for c in coded]
-
-    def _encode(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        words = [p for p in pieces if self.direct and WORD.fullmatch(p)]
-        found = {w: self._word(w) for w in words}
-        rest = [p for p in pieces if p not in found]
-        return found | dict(zip(rest, self._encode_each(rest), strict=True))
-
-    def _known(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of pieces that differ from each other; a stop after a word is a token of its own."""
-        if len(self.pieces) + len(pieces) > PIECES_KEPT:
-            self.older, self.pieces = self.pieces, {}
-        kept, older = self.pieces, self.older
-        new = [p for p in pieces if p not in kept]
-        if new:
-            kept.update((p, older[p]) for p in new if p in older)
-            new = [p for p in new if p not in kept]
-            bases = [p[:-1] if p[-1] in self.stops and WORD.fullmatch(p, 0, len(p) - 1) else p for p in new]
-            unknown = {b for b in bases if b not in kept}
-            from_older = {b: older[b] for b in unknown if b in older}
-            known = from_older | self._encode([b for b in unknown if b not in from_older])
-            for piece, base in zip(new, bases, strict=True):
-                ids = known[base] if base in known else kept[base]
-                kept[piece] = ids if base is piece else ids + self.stops[piece[-1]]
-        return [kept[p] for p in pieces]
+        ids = [c.ids for c in coded]
+        return np.fromiter(chain.from_iterable(ids), "<u4"), np.fromiter(map(len, ids), "i8", len(ids))
+
+    def _known(self, pieces: list[bytes]) -> np.ndarray:
+        """Where in the younger table the ids of pieces that differ from each other are."""
+        if len(self.younger.place) + len(pieces) > PIECES_KEPT:
+            self.older, self.younger = self.younger, Table(self.end_id)
+        places = self.younger.places(pieces)
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = [pieces[n] for n in missing.tolist()]
+            old = self.older.places(new)
+            kept = [p for p, n in zip(new, old.tolist(), strict=True) if n >= 0]
+            ids, begins = self.older.take(old[old >= 0])
+            self.younger.add(kept, ids, np.diff(begins))
+            rest = [p for p, n in zip(new, old.tolist(), strict=True) if n < 0]
+            words, others = [], [] if self.direct else rest
+            for p in rest if self.direct else ():
+                (words if WORD.fullmatch(p) else others).append(p)
+            self.younger.add(words, *self._words(words))
+            self.younger.add(others, *self._each(others))
+            places[missing] = self.younger.places(new)
+        return places
 
     def _whole(self, text: str) -> bool:
         """Whether a special token, in any case, may be in a text."""
@@ -115,31 +164,35 @@ class Encoder:
 
     def batch(self, texts: list[str]) -> pa.ListArray:
         """The ids of each text, with the end id."""
+        data = [t.encode() for t in texts]
         whole = {n: text for n, text in enumerate(texts) if self._whole(text)}
-        plain = pa.array([b"" if n in whole else t.encode() for n, t in enumerate(texts)], pa.large_binary())
-        found = Pieces(plain, LOWERED)
-        ids = self._known(found.firsts())
-        sizes = np.array([len(i) // 4 for i in ids], "i8")
-        flat, begins = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
-        n = sizes[found.code]
-        # each text has one more place, for its end id
-        counts = np.bincount(found.row, n, len(texts)).astype("i8") + 1
-        out = np.full(counts.sum(), self.end_id, "<u4")
-        inside = np.ones(len(out), bool)
-        inside[np.cumsum(counts) - 1] = False
-        out[inside] = flat[np.repeat(begins[found.code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        plain = pa.array([b"" if n in whole else t for n, t in enumerate(data)], pa.large_binary())
+        del data
+        found = Pieces(plain, LOWERED, self.inner)
+        places = self._known(found.firsts()).astype("i4")
+        # each text has one more piece, its end id
+        ids, begins = self.younger.take(np.insert(places[found.code], np.cumsum(found.counts), 0))
+        ends = np.append(0, begins[np.cumsum(found.counts + 1)])
         if whole:
-            return self._with_whole(out, counts, whole)
-        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(out.view("<i4")))
+            return self._with_whole(ids, ends, whole)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view("<i4")))
 
-    def _with_whole(self, out: np.ndarray, counts: np.ndarray, whole: dict[int, str]) -> pa.ListArray:
-        lists = np.split(out.view("<i4"), np.cumsum(counts)[:-1])
+    def _with_whole(self, ids: np.ndarray, ends: np.ndarray, whole: dict[int, str]) -> pa.ListArray:
+        lists = np.split(ids.view("<i4"), ends[1:-1])
         for n, text in whole.items():
             lists[n] = np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, self.end_id], "<i4")
         ends = np.append(0, np.cumsum([len(x) for x in lists]))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))
 
 
+def _before_marks(raw: np.ndarray) -> np.ndarray:
+    """Where a mark follows a letter or digit: the tokenizer cuts there."""
+    at = np.flatnonzero(np.frombuffer(raw.tobytes().translate(MARKS), bool)[1:]) + 1
+    before = raw[at - 1]
+    # a text's first bytes are cut from those before anyway
+    return at[ENDS[before] | ENDS_WIDE[before] & (raw[at - 2] == 0xC3)]
+
+
 @cache
 def encoder(path: str, end_id: int) -> Encoder:
     """One encoder for a worker process, kept for its next tasks."""
@@ -154,11 +207,11 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer, end_id)
-        for batch in batches:
-            for ids, texts in _chunks(batch):
-                lists = own.batch(texts)
-                counts = pa.array(np.diff(lists.offsets.to_numpy()).astype("i8"))
-                yield pa.RecordBatch.from_arrays([ids, counts, lists], ["doc_id", "n_tokens", "ids"])
+        for ids, texts in _chunks(batches):
+            lists = own.batch(texts)
+            counts = pa.array(np.diff(lists.offsets.to_numpy()).astype("i8"))
+            coded = pa.RecordBatch.from_arrays([ids, counts, lists], ["doc_id", "n_tokens", "ids"])
+            yield from (coded.slice(n, ROWS_AT_ONCE) for n in range(0, len(coded), ROWS_AT_ONCE))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     ordered = texts.repartitionByRange(F.asc_nulls_last("doc_id")).sortWithinPartitions(
@@ -167,15 +220,23 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return ordered.mapInArrow(run, FILE_SCHEMA)
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Identifiers and texts of a batch, some megabytes at a time."""
-    texts = batch.column("text").to_pylist()
-    begin, size = 0, 0
-    for n, text in enumerate(texts):
-        size += len(text)
-        if size > CHUNK_CHARS or n == len(texts) - 1:
-            yield batch.column("doc_id").slice(begin, n + 1 - begin), texts[begin : n + 1]
-            begin, size = n + 1, 0
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Identifiers and texts, some megabytes at a time, across batches."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        begin = 0
+        for n, text in enumerate(batch.column("text").to_pylist()):
+            texts.append(text)
+            size += len(text)
+            if size > CHUNK_CHARS:
+                yield pa.concat_arrays([*ids, batch.column("doc_id").slice(begin, n + 1 - begin)]), texts
+                ids, texts, size, begin = [], [], 0, n + 1
+                # what the last chunk took goes back before the next one
+                pa.default_memory_pool().release_unused()
+        if begin < batch.num_rows:
+            ids.append(batch.column("doc_id").slice(begin))
+    if texts:
+        yield pa.concat_arrays(ids), texts
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = None) -> str:
