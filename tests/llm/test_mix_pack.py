@@ -294,6 +294,14 @@ def test_cuts_before_marks_keep_the_ids(tokenizer):
     assert token_files.Encoder(VOCABULARY, 1).batch(texts).to_pylist() == [[*c.ids, 1] for c in coded]
 
 
+def test_accents_after_capitals_are_composed_first(tokenizer):
+    texts = [a + b + c for a in "HJTWYAhjtwya" for b in ("", "\u0327") for c in ("\u0308", "\u030a", "\u030c", "\u0331")]
+    texts = ["x", *texts, "W", "\u030a", f"a {'b' * 20} W\u030a", "", "T恤", "WHAT’S", "W\u05b0\u030a"]
+    coded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert token_files.Encoder(VOCABULARY, 1).batch(texts).to_pylist() == [[*c.ids, 1] for c in coded]
+    assert token_files._uncomposed(["T恤 WHAT’S".encode(), b"W", "a W\u030a".encode(), b""]) == [2]
+
+
 def test_chunks_reach_across_batches(monkeypatch):
     monkeypatch.setattr(token_files, "CHUNK_CHARS", 9)
     rows = [(n, "x" * (n % 7 * 2)) for n in range(40)]

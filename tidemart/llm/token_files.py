@@ -7,7 +7,7 @@ limited, and page indexes let a reader fetch the lists of a few documents, or th
 Texts are cut at spaces and line feeds, and where a letter or digit meets a mark, and each distinct piece is encoded
 once: the tokenizer cuts there itself, so ids are those of the whole text. Words of letters go to the tokenizer's model
 without its other steps. Strings of special tokens are what the tokenizer takes them for: texts that hold one are encoded
-as a whole. A worker process keeps its pieces for its next tasks, in two tables of bounded size.
+as a whole, and so are those where an accent may follow a capital that has no character with it. A worker process keeps its pieces for its next tasks, in two tables of bounded size.
 
 Defined cases: null text is the empty text (the end id alone); rows without ``doc_id`` come last; repeated rows are
 documents of their own; a table without rows gives none; other columns are not read.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -44,6 +45,10 @@ MARKS = bytes(0x21 <= c < 0x7F and not chr(c).isalnum() for c in range(256))
 ENDS = np.array([c < 0x80 and chr(c).isalnum() for c in range(256)])
 # second bytes of the letters of two bytes
 ENDS_WIDE = np.array([0x80 <= c < 0xC0 and c not in (0x97, 0xB7) for c in range(256)])
+# capitals that take no accent into one character, while their small letters do: the tokenizer composes before it lowers
+UNCOMPOSED = bytes(c in b"HJTWY" for c in range(256))
+# first byte of U+0300, the first of the accents that stand after their letter
+COMBINING = 0xCC
 # words of letters that the model gets as one text
 WORDS_AT_ONCE = 1000
 WRITE_OPTIONS = {
@@ -166,6 +171,7 @@ class Encoder:
         """The ids of each text, with the end id."""
         data = [t.encode() for t in texts]
         whole = {n: text for n, text in enumerate(texts) if self._whole(text)}
+        whole |= {n: texts[n] for n in _uncomposed(data)}
         plain = pa.array([b"" if n in whole else t for n, t in enumerate(data)], pa.large_binary())
         del data
         found = Pieces(plain, LOWERED, self.inner)
@@ -185,6 +191,20 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))
 
 
+def _may_combine(char: str) -> bool:
+    """Whether a character is an accent or the like, or may have become one since this Python's tables."""
+    return unicodedata.combining(char) > 0 or unicodedata.category(char) == "Cn"
+
+
+def _uncomposed(texts: list[bytes]) -> list[int]:
+    """Texts where lower-casing before composing may tell."""
+    joined = b"".join(texts) + b" "
+    at = np.flatnonzero(np.frombuffer(joined.translate(UNCOMPOSED), bool))
+    at = at[np.frombuffer(joined, "u1")[at + 1] >= COMBINING]
+    at = np.array([n for n in at.tolist() if _may_combine(joined[n + 1 : n + 5].decode(errors="ignore")[0])], "i8")
+    return np.unique(np.searchsorted(np.cumsum([len(t) for t in texts]), at, "right")).tolist()
+
+
 def _before_marks(raw: np.ndarray) -> np.ndarray:
     """Where a mark follows a letter or digit: the tokenizer cuts there."""
     at = np.flatnonzero(np.frombuffer(raw.tobytes().translate(MARKS), bool)[1:]) + 1
