@@ -1,6 +1,8 @@
 """Exact and near deduplication against brute force."""
 
+import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -193,6 +195,68 @@ def test_shards_meet_every_pair():
         assert any(not (visits[i][n] and visits[len(points) + i][n]) for n in shared)
 
 
+def test_trees_are_walked_by_many_fingerprints_at_once(spark, monkeypatch):
+    """Not by each Arrow batch: leaves grow with the table as batches do, so that work would grow with the square."""
+    walks = spark.sparkContext.accumulator(0)
+
+    class Counting(simhash_trees.Tree):
+        def shards(self, points):
+            walks.add(1)
+            return super().shards(points)
+
+    monkeypatch.setattr(simhash_trees, "Tree", Counting)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    points = [int(x) for x in np.random.default_rng(8).integers(-(2**63), 2**63, 2000)]
+    distinct = spark.createDataFrame([(p,) for p in points], "fp long").coalesce(1)
+    spark.conf.set(key, "20")
+    try:
+        simhash_trees.links(distinct).collect()
+    finally:
+        spark.conf.set(key, before)
+    # three trees, to count and to deal
+    assert walks.value == 6
+
+
+def test_rows_of_a_leaf_meet_once(monkeypatch):
+    """Whether a leaf is one task or cut into blocks, for its rows at home or for its guests."""
+    monkeypatch.setattr(simhash_trees, "SHARD_ROWS", 10)
+    monkeypatch.setattr(simhash_trees, "DEAL_ROWS", 50)
+    homes, guests = np.array([7, 35, 8, 0, 25, 9]), np.array([9, 28, 40, 12, 0, 0])
+    deal, rng = simhash_trees.Deal(100, homes, guests), np.random.default_rng(4)
+    leaf = np.concatenate([np.repeat(np.arange(6), homes), np.repeat(np.arange(6), guests)])
+    guest, points = np.arange(len(leaf)) >= homes.sum(), rng.integers(0, 2**63, len(leaf), dtype="u8")
+    dealt = pd.concat([batch.to_pandas() for batch in deal.rows(leaf, guest, points)])
+    assert dealt["task"].between(100, deal.end - 1).all()
+    met = Counter()
+    for _, rows in dealt.groupby("task"):
+        own, first, second = (rows["fp"][mask].tolist() for mask in (rows["side"] == 0, rows["side"] < 2, rows["side"] == 2))
+        met.update(frozenset(x) for x in [*itertools.combinations(own, 2), *itertools.product(first, second)])
+    want = set()
+    for n in range(6):
+        at_home, visiting = (points[(leaf == n) & mask].tolist() for mask in (~guest, guest))
+        want |= {frozenset(x) for x in [*itertools.combinations(at_home, 2), *itertools.product(at_home, visiting)]}
+    assert set(met) == want and set(met.values()) == {1}
+
+
+def test_groups_that_no_tree_splits_are_not_compared_by_all_pairs(monkeypatch):
+    """Thousands within few bits of each other, and points that share the block but lie far away."""
+    monkeypatch.setattr(simhash_trees, "PAIRS", 1 << 12)
+    rng, mask = np.random.default_rng(6), simhash_trees.block_masks(3)[2]
+    near = rng.choice(1 << 13, 3000, replace=False).astype("u8")
+    points = rng.permutation(np.concatenate([near, rng.integers(0, 2**42, 200, dtype="u8"), np.array([0b11111 << 30], "u8")]))
+    compared, plain = [], simhash_trees.ShardJoin._pairs
+    monkeypatch.setattr(simhash_trees.ShardJoin, "_pairs", lambda self, a, b: compared.append(len(a) * len(b)) or plain(self, a, b))
+    join = simhash_trees.ShardJoin(points, mask, 1, 4)
+    join.among(np.arange(len(points)))
+    got, want = join.links.join(), simhash_trees.Links(len(points))
+    for i, p in enumerate(points):
+        others = np.flatnonzero(np.bitwise_count(points ^ p) <= 4)
+        want.add(np.full(len(others), i), others)
+    assert (got == want.join()).all() and 1 < len(set(got.tolist())) < 300
+    assert sum(compared) < len(points) ** 2 / 2
+
+
 def test_one_document_of_each_group_stays(spark, documents):
     text = " ".join(f"word{i}" for i in range(300))
     rows = [(5, text), (3, text + " end"), (9, text), (7, "something else entirely written here"), (None, "no name"), (3, text + " end")]

@@ -19,6 +19,7 @@ none; other columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,9 @@ SHINGLE, SEED, RADIUS, TREES = 4, 42, 4, 3
 # distinct fingerprints the upper trees are built from, at most
 SAMPLE = 20_000
 # fingerprints of a task, and of a block whose pairs are compared without a tree
-SHARD_ROWS, LEAF_ROWS = 40_000, 192
+SHARD_ROWS, LEAF_ROWS = 1 << 18, 192
+# fingerprints that go through the upper trees together, rows dealt at once, and pairs compared at once
+STEP_ROWS, DEAL_ROWS, PAIRS = 1 << 15, 1 << 18, 1 << 20
 CHUNK = 1 << 14
 
 
@@ -111,7 +114,9 @@ class Tree:
             return self.n - 1
         vantage, middle = split
         near = _away(points, vantage, self.mask) <= middle
-        return vantage, middle, self._grow(points[near], leaves // 2), self._grow(points[~near], leaves - leaves // 2)
+        # a median distance may be that of many points: each side gets leaves by its share
+        left = min(max(1, round(leaves * float(near.mean()))), leaves - 1)
+        return vantage, middle, self._grow(points[near], left), self._grow(points[~near], leaves - left)
 
     def shards(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each visit: the point's place, the leaf, and whether the point is a guest there.
@@ -211,7 +216,26 @@ class ShardJoin:
             stack.append((a[(da > middle) & (da <= middle + near)], b[(db <= middle) & (db > middle - near)]))
 
     def _compare(self, a: np.ndarray, b: np.ndarray) -> None:
-        step = max(1, (1 << 20) // max(1, len(b)))
+        """All pairs of ``a`` and ``b``, but those that the links found on the way join anyway."""
+        stack = [(a, b, 1)]
+        while stack:
+            a, b, steps = stack.pop()
+            done = steps * max(1, PAIRS // max(1, len(b)))
+            self._pairs(a[:done], b)
+            a = a[done:]
+            if not len(a) or not len(b):
+                continue
+            label = self.links.join()
+            seen, times = np.unique(label[b[:: 1 + len(b) // 256]], return_counts=True)
+            most = seen[times.argmax()]
+            joined = label[a] == most
+            if 8 * joined.sum() > len(a):
+                stack.append((a[joined], b[label[b] != most], 1))
+                a = a[~joined]
+            stack.append((a, b, 2 * steps))
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> None:
+        step = max(1, PAIRS // max(1, len(b)))
         for at in range(0, len(a), step):
             part = a[at : at + step]
             near = np.bitwise_count(self.points[part][:, None] ^ self.points[b][None, :]) <= self.radius
@@ -229,30 +253,58 @@ class ShardJoin:
 # --- the distributed join
 
 
-def _tasks(tree: int, leaf: np.ndarray, guest: np.ndarray, points: np.ndarray, sizes: dict) -> Iterator[pd.DataFrame]:
-    """Rows ``tree, leaf, task, alone, side, fp``: a leaf is one task, or pairs of blocks of it where it is large."""
-
-    def rows(where, task, alone, side):
-        return pd.DataFrame(
-            {"tree": tree, "leaf": leaf[where], "task": task, "alone": alone, "side": side, "fp": points[where].view("i8")}
-        )
-
-    large = {k: v for k, v in sizes.items() if k[0] == tree and max(v) > SHARD_ROWS}
-    plain = ~np.isin(leaf, [k[1] for k in large])
-    yield rows(plain, 0, True, guest[plain].astype("i4"))
-    spread = points * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
-    for (_, number), (n_home, n_guest) in large.items():
-        home_blocks, guest_blocks = -(-n_home // SHARD_ROWS), -(-n_guest // SHARD_ROWS)
-        for i in range(home_blocks):
-            own = (leaf == number) & ~guest & (spread % np.uint64(home_blocks) == i)
-            for j in range(home_blocks):
-                a, b = min(i, j), max(i, j)
-                yield rows(own, a * home_blocks + b, a == b, int(i != a))
-            for k in range(guest_blocks):
-                task = home_blocks * home_blocks + i * guest_blocks + k
-                yield rows(own, task, False, 0)
-                visit = (leaf == number) & guest & (spread % np.uint64(guest_blocks) == k)
-                yield rows(visit, task, False, 1)
+class Deal:
+    """The tasks of a tree's leaves, numbered from ``first``; ``homes`` and ``guests`` are the rows of each leaf.
+
+    A leaf is one task. Where it is large it is cut into blocks by a hash, and each pair of home blocks, and of a home
+    and a guest block, is a task. Of a task's rows those of side 0 meet each other, those of sides 0 and 1 meet side 2.
+    """
+
+    def __init__(self, first: int, homes: np.ndarray, guests: np.ndarray):
+        large = np.maximum(homes, guests) > SHARD_ROWS
+        self.home_blocks = np.maximum(1, -(-homes // SHARD_ROWS))
+        # none where the guests come to the only task
+        self.guest_blocks = np.where(large, -(-guests // SHARD_ROWS), 0)
+        sizes = self.home_blocks * (self.home_blocks + self.guest_blocks)
+        self.first, self.end = first + np.cumsum(sizes) - sizes, first + int(sizes.sum())
+
+    def rows(self, leaf: np.ndarray, guest: np.ndarray, points: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows ``task, side, fp`` of visits to leaves."""
+        n_tasks = self.home_blocks[leaf] + np.where(guest, 0, self.guest_blocks[leaf])
+        step = max(1, DEAL_ROWS // int(n_tasks.max(initial=1)))
+        for at in range(0, len(leaf), step):
+            here = slice(at, at + step)
+            task, side, row = self._tasks(leaf[here], guest[here], points[here], n_tasks[here])
+            columns = [pa.array(task), pa.array(side.astype("i4")), pa.array(points[here][row].view("i8"))]
+            yield pa.RecordBatch.from_arrays(columns, ["task", "side", "fp"])
+
+    def _tasks(self, leaf, guest, points, n_tasks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        spread = (points * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+        block = spread % np.where(guest, np.maximum(1, self.guest_blocks[leaf]), self.home_blocks[leaf])
+        row = np.repeat(np.arange(len(leaf)), n_tasks)
+        other = np.arange(len(row)) - np.repeat(np.cumsum(n_tasks) - n_tasks, n_tasks)
+        leaf, guest, block = leaf[row], guest[row], block[row]
+        homes, guests = self.home_blocks[leaf], self.guest_blocks[leaf]
+        # a row at home meets all home blocks, then all guest blocks; a guest meets all home blocks
+        at_home = ~guest & (other < homes)
+        a, b = np.minimum(block, other), np.maximum(block, other)
+        own, visitor = np.where(guest, other, block), np.where(guest, block, other - homes)
+        task = np.where(at_home, a * homes + b, np.where(guests > 0, homes * homes + own * guests + visitor, 0))
+        side = np.where(at_home, np.where(a == b, 0, np.where(block == a, 1, 2)), np.where(guest, 2, 1))
+        return self.first[leaf] + task, side, row
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Fingerprints, many at a time: a walk through the trees and their leaves takes about as long for few of them."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch.column("fp").to_numpy(zero_copy_only=False).view("u8"))
+        n += len(held[-1])
+        if n >= STEP_ROWS:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if n:
+        yield np.concatenate(held)
 
 
 def links(distinct: DataFrame, radius: int = RADIUS, trees: int = TREES) -> DataFrame:
@@ -264,37 +316,40 @@ def links(distinct: DataFrame, radius: int = RADIUS, trees: int = TREES) -> Data
     forest = [Tree(sample, m, near, leaves) for m in masks] if len(sample) else []
 
     def visits(batches):
-        for batch in batches:
-            points = batch["fp"].to_numpy("i8").view("u8")
+        for points in _steps(batches):
             for number, tree in enumerate(forest):
                 _, leaf, guest = tree.shards(points)
-                found = pd.DataFrame({"tree": number, "leaf": leaf, "home": ~guest, "guest": guest})
-                yield found.groupby(["tree", "leaf"], as_index=False).sum()
+                every, guests = (np.bincount(x, minlength=tree.n) for x in (leaf, leaf[guest]))
+                columns = [np.full(tree.n, number, "i4"), np.arange(tree.n), every - guests, guests]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["tree", "leaf", "home", "guest"])
 
     # one row for each leaf of the bounded trees
-    counted = distinct.select("fp").mapInPandas(visits, "tree int, leaf long, home long, guest long")
+    counted = distinct.select("fp").mapInArrow(visits, "tree int, leaf long, home long, guest long")
     per_leaf = counted.groupBy("tree", "leaf").agg(F.sum("home").alias("home"), F.sum("guest").alias("guest")).collect()
-    sizes = {(r.tree, r.leaf): (r.home, r.guest) for r in per_leaf}
+    sizes = [np.zeros((2, tree.n), np.int64) for tree in forest]
+    for r in per_leaf:
+        sizes[r.tree][:, r.leaf] = r.home, r.guest
+    deals, starts = [], []
+    for homes, guests in sizes:
+        starts.append(deals[-1].end if deals else 0)
+        deals.append(Deal(starts[-1], homes, guests))
 
     def deal(batches):
-        for batch in batches:
-            points = batch["fp"].to_numpy("i8").view("u8")
-            for number, tree in enumerate(forest):
+        for points in _steps(batches):
+            for tree, dealt in zip(forest, deals, strict=True):
                 at, leaf, guest = tree.shards(points)
-                yield from _tasks(number, leaf, guest, points[at], sizes)
+                yield from dealt.rows(leaf, guest, points[at])
 
     def join(key, rows):
         points, side = rows["fp"].to_numpy("i8").view("u8"), rows["side"].to_numpy()
-        found = ShardJoin(points, masks[key[0]], near, radius)
-        first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if rows["alone"].iat[0]:
-            found.among(first)
-        found.across(first, second)
+        found = ShardJoin(points, masks[bisect_right(starts, key[0]) - 1], near, radius)
+        found.among(np.flatnonzero(side == 0))
+        found.across(np.flatnonzero(side < 2), np.flatnonzero(side == 2))
         a, b = found.forest()
         return pd.DataFrame({"a": a.view("i8"), "b": b.view("i8")})
 
-    dealt = distinct.select("fp").mapInPandas(deal, "tree int, leaf long, task long, alone boolean, side int, fp long")
-    return dealt.groupBy("tree", "leaf", "task").applyInPandas(join, "a long, b long")
+    dealt = distinct.select("fp").mapInArrow(deal, "task long, side int, fp long")
+    return dealt.groupBy("task").applyInPandas(join, "a long, b long")
 
 
 def near_components(
